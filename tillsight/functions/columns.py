@@ -65,3 +65,18 @@ def dim_names(dims: Sequence | None) -> list[str]:
         else:
             out.append(d._jc.toString())  # noqa: SLF001 - Column has no public name accessor
     return out
+
+
+def join_nullsafe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on ``keys`` where null matches null (SQL ``PARTITION BY`` groups
+    nulls together, so a window rewritten as aggregate + join needs this).
+    Right-side keys are renamed first, so frames that share lineage (an
+    aggregate joined back to its own input) stay unambiguous."""
+    renamed = right
+    for k in keys:
+        renamed = renamed.withColumnRenamed(k, f"_r_{k}")
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(renamed[f"_r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
