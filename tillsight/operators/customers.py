@@ -211,3 +211,86 @@ def get_next_purchase_date(df: DataFrame, *, customer_id, order_date, order_id,
         day_diff(F.col("_next_date"), F.col("order_date")).alias("days_to_next_purchase"),
         F.try_divide(prior.cast("double"), lifetime.cast("double")).alias("frequency"),
         "next_purchase_quantity", "next_purchase_revenue")
+
+
+# fixed values: the original's daily calendar bounds
+CALENDAR_START = "1990-01-01"
+CALENDAR_END = "2100-01-01"
+
+
+def history_rfm_segments(df: DataFrame, *, customer_id, transaction_type, date, revenue, order_id,
+                         sale_value: str = SALE, as_of=None, revenue_scope: str = "customer") -> DataFrame:
+    """Slowly-changing RFM state: validity intervals per customer and segment.
+
+    The original joins every purchase interval ``[d, next purchase - 1]`` to a
+    daily calendar (1990-01-01..2100-01-01), scores each day, then groups the
+    days by state.  Within an interval the state only changes when recency
+    crosses 6 or 13 days or the year changes, so each interval is cut at those
+    change points instead (at most ~2 + years pieces, not one row per day),
+    and the same group-by yields identical intervals.
+
+    ``revenue_scope="customer"`` keeps the original's running sum of the
+    customer's *all-time* revenue per purchase date; ``"day"`` sums that
+    day's revenue instead.
+    """
+    today = as_of_date(as_of)
+    raw = col(date)
+    sales = df.where(col(transaction_type) == F.lit(sale_value)).select(
+        col(customer_id).alias("customer_id"), raw.alias("_raw"), col(order_id).alias("_oid"),
+        col(revenue).alias("_rev"))
+    per_raw = sales.groupBy("customer_id", "_raw").agg(F.countDistinct("_oid").alias("total_order"),
+                                                     F.sum("_rev").alias("_day_rev"))
+    per_customer = sales.groupBy("customer_id").agg(
+        F.sum("_rev").alias("_all_rev"), F.min(F.col("_raw").cast("date")).alias("first_transaction_date"))
+    agg = join_nullsafe(per_raw, per_customer, ["customer_id"], "left")
+    if revenue_scope == "customer":
+        rev = F.col("_all_rev")
+    elif revenue_scope == "day":
+        rev = F.col("_day_rev")
+    else:
+        raise ValueError("revenue_scope must be 'customer' or 'day'")
+    data_agg = agg.select(F.col("_raw").cast("date").alias("date"), "customer_id", rev.alias("total_revenue"),
+                          "total_order", "first_transaction_date")
+    if revenue_scope == "customer":
+        data_agg = data_agg.distinct()
+
+    # rows per customer = distinct purchase days: bounded by the calendar
+    w = Window.partitionBy("customer_id").orderBy(F.col("date").asc_nulls_first(),
+                                                  F.col("total_order").asc_nulls_first())
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    prep = data_agg.select(
+        "date", "customer_id",
+        F.round(F.sum("total_revenue").over(run), 2).alias("total_revenue_to_date"),
+        F.sum("total_order").over(run).alias("total_order_to_date"),
+        "first_transaction_date",
+        F.coalesce(F.date_sub(F.lead("date").over(w), 1), today).alias("_next"))
+
+    start = F.greatest(F.col("date"), F.lit(CALENDAR_START).cast("date"))
+    end = F.least(F.col("_next"), F.lit(CALENDAR_END).cast("date"))
+    prep = prep.withColumns({"_start": start, "_end": end}).where(F.col("_start") <= F.col("_end"))
+    s, e = F.col("_start"), F.col("_end")
+    new_years = F.when(F.year(e) > F.year(s),
+                       F.transform(F.sequence(F.year(s) + 1, F.year(e)), lambda y: F.make_date(y, F.lit(1), F.lit(1))))
+    cuts = F.filter(F.array(F.date_add("date", 6), F.date_add("date", 13)), lambda c: (c > s) & (c <= e))
+    points = F.array_sort(F.array_distinct(F.concat(F.array(s), cuts, F.coalesce(
+        new_years, F.array().cast("array<date>")))))
+    pieces = prep.select("*", F.posexplode(points).alias("_i", "_p")).withColumn(
+        "_q", F.coalesce(F.date_sub(F.try_element_at(points, (F.col("_i") + 2).cast("int")), 1), e))
+
+    recency = F.datediff("_p", "date")
+    years = (F.year("_p") - F.year("first_transaction_date")).cast("long")
+    freq = F.coalesce(F.try_divide(F.col("total_order_to_date").cast("double"), years.cast("double")), F.lit(1.0))
+    r_seg = F.when(recency > 12, 1).when(recency.between(6, 12), 2).otherwise(3)
+    f_seg = F.when(freq < 1, 1).when(freq.between(1, 2), 2).when(freq > 2, 3).otherwise(3)
+    m = F.col("total_revenue_to_date")
+    m_seg = F.when(m <= 150, 1).when(m.between(150, 500), 2).when(m > 500, 3).otherwise(3)
+    scored = pieces.select("_p", "_q", "customer_id", "total_revenue_to_date", "total_order_to_date",
+                           F.col("date").alias("latest_conversion_date"), "first_transaction_date",
+                           r_seg.alias("recency_segment"), f_seg.alias("frequency_segment"),
+                           m_seg.alias("monetary_segment"))
+    keys = ["customer_id", "total_revenue_to_date", "total_order_to_date", "latest_conversion_date",
+            "first_transaction_date", "recency_segment", "frequency_segment", "monetary_segment"]
+    out = scored.groupBy(*keys).agg(F.min("_p").alias("first_date_state"), F.max("_q").alias("last_date_state"))
+    score = (F.col("recency_segment") * F.col("frequency_segment") * F.col("monetary_segment")).cast("long")
+    return (out.select("first_date_state", "last_date_state", *keys, score.alias("score"))
+            .orderBy(F.col("customer_id").asc_nulls_first(), F.col("first_date_state").asc_nulls_first()))

@@ -52,6 +52,12 @@ def q_get_rfm_segments(spark, sf):
                                       recency="recency", orders="orders", revenue="revenue", tenure="tenure")
 
 
+def q_history_rfm(spark, sf):
+    return customers.history_rfm_segments(B.sales_lines(spark, sf), customer_id="customer_id",
+                                          transaction_type="transaction_type", date="order_date",
+                                          revenue="revenue", order_id="order_id", as_of=B.ORDERS_AS_OF)
+
+
 def q_customer_abc_segments(spark, sf, scope="customer"):
     return customers.customer_abc_segments(_customers(spark, sf), customer_id="customer_id", revenue="revenue",
                                            recency="recency", threshold=80, total_scope=scope)
@@ -149,6 +155,7 @@ def q_job_cost(spark, sf):
 _QUERIES: dict[str, Query] = {
     "get_customers": q_get_customers,
     "get_rfm_segments": q_get_rfm_segments,
+    "history_rfm_segments": q_history_rfm,
     "customer_abc_segments": q_customer_abc_segments,
     "customer_abc_segments_total": lambda s, sf: q_customer_abc_segments(s, sf, "all"),
     "product_abc_segments": q_product_abc_segments,
