@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from tillsight.operators import campaigns, cohorts, customers, job_costs, products, raw_json
 from tillsight.sources import bindings as B
+from tillsight.sources import legal_units, metrics, posts, profiles, web_traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -152,6 +153,35 @@ def q_job_cost(spark, sf):
     return job_costs.create_model_bigquery_cost(B.job_log(spark, sf), as_of=B.EVENTS_AS_OF)
 
 
+def q_web_traffic(spark, sf):
+    return web_traffic.sessions_by_competitor(B.traffic_series(spark, sf), "FR")
+
+
+def q_legal_units(spark, sf):
+    src = B.legal_units(spark, sf)
+    target = legal_units.conform_legal_units(src.where(F.col("dateCreationUniteLegale") < "2000-01-01"))
+    return legal_units.incremental_append(src, target, extracted_at="2024-01-31 00:00:00")
+
+
+def q_replace_window(spark, sf):
+    return posts.replace_profile_window(B.post_rows(spark, sf), B.post_rows(spark, sf, refetch=True),
+                                        network="instagram", as_of=B.EVENTS_AS_OF)
+
+
+def q_replace_tail(spark, sf):
+    existing = metrics.union_metrics(B.profile_metrics(spark, sf))
+    new = metrics.union_metrics(B.profile_metrics(spark, sf, since="2024-01-21"))
+    return metrics.replace_tail(existing, new, date_col="date", days=10, as_of=B.EVENTS_AS_OF)
+
+
+def q_profiles(spark, sf):
+    return profiles.clean_profiles(profiles.union_profiles(B.social_profiles(spark, sf)))
+
+
+def q_export_posts(spark, sf):
+    return posts.export_posts(B.post_pages(spark, sf), "facebook", reaction_keys=["like", "love"])
+
+
 _QUERIES: dict[str, Query] = {
     "get_customers": q_get_customers,
     "get_rfm_segments": q_get_rfm_segments,
@@ -176,6 +206,12 @@ _QUERIES: dict[str, Query] = {
     "splio_campaign_performance": q_splio_perf,
     "splio_contact_segmentation": q_splio_contacts,
     "create_model_bigquery_cost": q_job_cost,
+    "web_traffic_sessions": q_web_traffic,
+    "incremental_legal_units": q_legal_units,
+    "replace_profile_window": q_replace_window,
+    "replace_metrics_tail": q_replace_tail,
+    "union_profiles": q_profiles,
+    "export_posts": q_export_posts,
 }
 
 

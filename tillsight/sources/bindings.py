@@ -89,3 +89,108 @@ def job_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("destination_table"),
         labels.alias("labels"),
         (F.round(F.col("value") * 100).cast("long") * 10_000_000).alias("total_bytes_billed"))
+
+
+# --- landed-export views for the ingest operators ---------------------------
+
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+def traffic_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Daily event counts per event type, read as one visits series per domain."""
+    e = table(spark, sf_dir, "events")
+    return {f"{t}.fr": e.where(F.col("event_type") == t).groupBy(F.to_date("ts").alias("date"))
+            .agg(F.count(F.lit(1)).cast("double").alias("visits")) for t in EVENT_TYPES}
+
+
+def legal_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``orders`` read as a company-register extract (plus one surplus column)."""
+    o = table(spark, sf_dir, "orders")
+    n = F.col("o_custkey")
+    return o.select(
+        F.col("o_orderkey").cast("string").alias("siren"),
+        F.col("o_orderstatus").alias("statutDiffusionUniteLegale"),
+        F.to_date("o_orderdate").cast("string").alias("dateCreationUniteLegale"),
+        F.col("o_orderpriority").alias("categorieEntreprise"),
+        F.when(n % 11 == 0, F.lit("x")).otherwise((n % 7).cast("string")).alias("nombrePeriodesUniteLegale"),
+        F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("dateDernierTraitementUniteLegale"),
+        F.array(F.struct(F.to_date("o_orderdate").cast("string").alias("dateDebut"),
+                         F.col("o_orderstatus").alias("etatAdministratifUniteLegale"))).alias("periodesUniteLegale"),
+        F.col("o_totalprice").alias("surplus"))
+
+
+def post_rows(spark: SparkSession, sf_dir: str, as_of=EVENTS_AS_OF, refetch: bool = False) -> DataFrame:
+    """``events`` read as exported posts keyed by ``instagram_profileId``.
+    ``refetch`` gives the re-read of the last 14 days for every second profile."""
+    e = table(spark, sf_dir, "events")
+    if refetch:
+        e = e.where((F.to_date("ts") >= F.date_sub(F.lit(as_of), 14)) & (F.col("user_id") % 2 == 0))
+    return e.select(
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("instagram_profileId"),
+        F.col("ts").alias("created_time"),
+        F.col("event_type").alias("content_type"),
+        F.col("event_id").alias("instagram_id"),
+        (F.col("value") * (2 if refetch else 1)).alias("instagram_insights_reach"))
+
+
+def profile_metrics(spark: SparkSession, sf_dir: str, since=None) -> list[DataFrame]:
+    """Per network daily metrics per user (different metric sets per network)."""
+    e = table(spark, sf_dir, "events")
+    if since is not None:
+        e = e.where(F.to_date("ts") >= F.lit(since))
+    day = F.to_date("ts").cast("string").alias("date")
+    who = F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("profile_id")
+    t = F.col("event_type")
+    ig = (e.where(t.isin("view", "click")).groupBy(day, who)
+          .agg(F.count(F.when(t == "view", 1)).alias("instagram_views"),
+               F.count(F.when(t == "click", 1)).alias("instagram_clicks"))
+          .withColumn("network", F.lit("instagram")))
+    fb = (e.where(t == "purchase").groupBy(day, who)
+          .agg(F.count(F.lit(1)).alias("facebook_purchases"),
+               F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("facebook_revenue"))
+          .withColumn("network", F.lit("facebook")))
+    return [ig, fb]
+
+
+def social_profiles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """``customer`` read as profile lists of three networks (one of them empty)."""
+    c = table(spark, sf_dir, "customer")
+    bal = F.col("c_acctbal")
+    base = c.select(
+        F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+        F.array(F.col("c_mktsegment"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))).alias("profile_labels"),
+        F.when(bal < 0, F.lit(None).cast("boolean")).otherwise(bal > 5000).alias("community_enabled"),
+        F.col("c_mktsegment").alias("_segment"), F.col("c_nationkey").alias("_nation"))
+    return {
+        "facebook": base.where(F.col("_segment") == "BUILDING").drop("_segment", "_nation"),
+        "instagram": base.where(F.col("_segment") == "MACHINERY").withColumnRenamed("_nation", "nation")
+        .drop("_segment"),
+        "tiktok": base.where(F.col("_segment") == "NONE").drop("_segment", "_nation"),
+    }
+
+
+def post_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` read as API pages of at most 100 posts (``data.posts``)."""
+    e = table(spark, sf_dir, "events")
+    k = F.get_json_object("props", "$.k")
+    post = F.struct(
+        F.col("event_id").cast("string").alias("id"),
+        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("authorId"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("created_time"),
+        F.col("event_type").alias("content_type"),
+        F.concat(F.lit("post "), F.col("event_id").cast("string")).alias("content"),
+        F.array(F.struct(F.lit("k").alias("id"), F.concat(F.lit("k"), k).alias("name")),
+                F.struct(F.lit("x").alias("id"), F.lit("").alias("name"))).alias("post_labels"),
+        F.col("value").cast("string").alias("insights_reach"),
+        F.when(F.col("event_type") == "error", F.lit("n/a"))
+        .otherwise(F.floor(F.col("value") * 10).cast("long").cast("string")).alias("insights_impressions"),
+        F.create_map(F.lit("like"), F.col("user_id") % 7, F.lit("love"), F.col("event_id") % 3)
+        .alias("reactions_by_type"),
+        F.struct(F.col("event_type").alias("type"),
+                 F.concat(F.lit("https://example.org/p/"), F.col("event_id").cast("string")).alias("url"))
+        .alias("attachments"))
+    page = F.floor(F.col("event_id") / 100)
+    return (e.groupBy("user_id", page.alias("_page"))
+            .agg(F.collect_list(post).alias("posts"))
+            .select(F.struct("posts", F.lit(0).alias("remaining"), F.lit(None).cast("string").alias("next"))
+                    .alias("data")))
