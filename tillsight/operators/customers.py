@@ -83,8 +83,8 @@ def customer_abc_segments(df: DataFrame, *, customer_id, revenue, recency, thres
         totals = active.groupBy("_cid").agg(F.sum("_rev").alias("revenue_total"))
         active = join_nullsafe(active, totals, ["_cid"], "left")
     elif total_scope == "all":
-        # one-row aggregate: a broadcast of known size
-        active = active.crossJoin(F.broadcast(active.agg(F.sum("_rev").alias("revenue_total"))))
+        # uncorrelated scalar subquery, as in SQL
+        active = active.withColumn("revenue_total", active.agg(F.sum("_rev")).scalar())
     else:
         raise ValueError("total_scope must be 'customer' or 'all'")
     ran = ordered_scan(active, [("_rev", False), "_cid"], running_sums={"revenue_cumsum": F.col("_rev")})
@@ -92,14 +92,13 @@ def customer_abc_segments(df: DataFrame, *, customer_id, revenue, recency, thres
                          F.round(F.try_divide(F.col("revenue_cumsum").cast("decimal(25,2)") * 100,
                                                       F.col("revenue_total").cast("decimal(25,2)")), 2))
     ranked = ordered_scan(ran, ["revenue_running_percentage", "_cid"], row_number="abc_rank_name")
-    n_active = active.agg((F.count(F.lit(1)) + 1).alias("_missing_rank"))
+    missing_rank = active.agg(F.count(F.lit(1)) + 1).scalar()  # (select count(*) + 1 from ...)
     out = (base.select("_cid")
-           .join(ranked.select("_cid", "revenue_running_percentage", "abc_rank_name"), "_cid", "left")
-           .crossJoin(F.broadcast(n_active)))
+           .join(ranked.select("_cid", "revenue_running_percentage", "abc_rank_name"), "_cid", "left"))
     pct = F.col("revenue_running_percentage")
     return out.select(F.col("_cid").alias(_name(customer_id)),
                       _abc_class(pct, threshold, with_d=True).alias("abc_class_name"),
-                      F.coalesce(F.col("abc_rank_name"), F.col("_missing_rank")).cast("long").alias("abc_rank_name"))
+                      F.coalesce(F.col("abc_rank_name"), missing_rank).cast("long").alias("abc_rank_name"))
 
 
 def _name(c) -> str:

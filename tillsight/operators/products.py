@@ -33,10 +33,9 @@ def _wide(c):
 def product_abc_segments(df: DataFrame, *, product, revenue, threshold=80) -> DataFrame:
     """ABC class and rank of every input row by running revenue share."""
     p = df.select(col(product).alias("product"), col(revenue).alias("revenue"))
-    total = p.agg(F.sum("revenue").alias("_total"))  # one row: broadcast of known size
+    total = p.agg(F.sum("revenue")).scalar()  # sum() over (): a scalar subquery
     ran = ordered_scan(p, [("revenue", False), "product"], running_sums={"_cumsum": F.col("revenue")})
-    ran = ran.crossJoin(F.broadcast(total)).withColumn(
-        "_pct", F.round(_wide(F.col("_cumsum")) * 100 / _wide(F.col("_total")), 2))
+    ran = ran.withColumn("_pct", F.round(_wide(F.col("_cumsum")) * 100 / _wide(total), 2))
     ranked = ordered_scan(ran, ["_pct", "product"], row_number="abc_rank_name")
     pct = F.col("_pct")
     cls = (F.when((pct > 0) & (pct <= threshold), "A")
@@ -65,11 +64,10 @@ def basket_product_analytics(df: DataFrame, *, product, order_id, unassigned: st
         half.select(F.col("p2").alias("product_item"), F.col("p1").alias("product_item_b"),
                     "associated_orders"))
     items = od.groupBy("product_item").agg(F.count("order_id").alias("item_total_orders"))
-    total = od.agg(F.countDistinct("order_id").alias("total_orders"))  # one row
+    total = od.agg(F.countDistinct("order_id")).scalar()  # count(distinct) over (): a scalar
     items_b = items.select(F.col("product_item").alias("product_item_b"),
                            F.col("item_total_orders").alias("item_total_orders_b"))
-    j = (assoc.join(items, "product_item").join(items_b, "product_item_b")
-         .crossJoin(F.broadcast(total)))
+    j = assoc.join(items, "product_item").join(items_b, "product_item_b").withColumn("total_orders", total)
     return j.select(
         "product_item", "product_item_b", "associated_orders", "item_total_orders", "item_total_orders_b",
         "total_orders",

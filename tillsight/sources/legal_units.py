@@ -57,10 +57,9 @@ def incremental_append(source: DataFrame, target: DataFrame, *, ts_col: str = UP
     The bound is inclusive (the boundary day is fetched again), as in the
     original; de-duplicate downstream on ``siren`` if needed.
     """
-    wm = high_watermark(target, ts_col)  # one row: broadcast of known size
+    wm = high_watermark(target, ts_col).scalar()  # one value: a scalar subquery
     ts = F.to_date(F.try_to_timestamp(F.col(ts_col), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS")))
     stamp = F.lit(extracted_at) if extracted_at is not None else \
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    batch = (source.crossJoin(F.broadcast(wm)).where(ts >= F.col("watermark")).drop("watermark")
-             .withColumn("date_extraction", stamp))
+    batch = source.where(ts >= wm).withColumn("date_extraction", stamp)
     return conform_legal_units(batch)
