@@ -237,19 +237,21 @@ def history_rfm_segments(df: DataFrame, *, customer_id, transaction_type, date,
     sales = df.where(col(transaction_type) == F.lit(sale_value)).select(
         col(customer_id).alias("customer_id"), raw.alias("_raw"), col(order_id).alias("_oid"),
         col(revenue).alias("_rev"))
+    # one pass over the lines; everything after works on (customer, day) rows
     per_raw = sales.groupBy("customer_id", "_raw").agg(F.countDistinct("_oid").alias("total_order"),
                                                      F.sum("_rev").alias("_day_rev"))
-    per_customer = sales.groupBy("customer_id").agg(
-        F.sum("_rev").alias("_all_rev"), F.min(F.col("_raw").cast("date")).alias("first_transaction_date"))
-    agg = join_nullsafe(per_raw, per_customer, ["customer_id"], "left")
+    # customer totals as windows over (customer, day) rows: the same
+    # partitioning as the running sums below, so one exchange serves both
+    wc = Window.partitionBy("customer_id")
     if revenue_scope == "customer":
-        rev = F.col("_all_rev")
+        rev = F.sum("_day_rev").over(wc)
     elif revenue_scope == "day":
         rev = F.col("_day_rev")
     else:
         raise ValueError("revenue_scope must be 'customer' or 'day'")
-    data_agg = agg.select(F.col("_raw").cast("date").alias("date"), "customer_id", rev.alias("total_revenue"),
-                          "total_order", "first_transaction_date")
+    data_agg = per_raw.select(F.col("_raw").cast("date").alias("date"), "customer_id", rev.alias("total_revenue"),
+                              "total_order",
+                              F.min(F.col("_raw").cast("date")).over(wc).alias("first_transaction_date"))
     if revenue_scope == "customer":
         data_agg = data_agg.distinct()
 
