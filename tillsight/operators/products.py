@@ -88,30 +88,35 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
 
     The original's distinct-count windows become two small flag tables
     (single-product orders; one-time (product, customer) buyers) joined onto
-    the lines, followed by one aggregation at ``(product, order)`` grain and
-    one at product grain - no distinct-aggregate row expansion.
+    the ``(product, order, customer)`` grain, followed by one aggregation at
+    ``(product, order)`` grain and one at product grain - no distinct-aggregate
+    row expansion and one scan of the lines.
     """
     pm = (df.select(col(product).alias("product"), col(order_id).alias("order_id"),
                     col(quantity).alias("quantity"), col(customer_id).alias("customer_id"),
                     col(line_price).alias("line_price"), col(unit_price).alias("unit_price"))
           .where(_assigned(F.col("product"), unassigned)))
-    single = pm.groupBy("order_id").agg((F.countDistinct("product") == 1).alias("_single"))
-    once = pm.groupBy("product", "customer_id").agg(
-        (F.countDistinct(F.when(F.col("quantity") > 0, F.col("order_id"))) == 1).alias("_once"))
-    flagged = join_nullsafe(pm, single, ["order_id"], "left")
-    flagged = join_nullsafe(flagged, once, ["product", "customer_id"], "left")
-    po = flagged.groupBy("product", "order_id").agg(
+    # one pass over the lines: everything below reads this (product, order,
+    # customer) grain, so the source is scanned once and its exchange reused
+    grain = pm.groupBy("product", "order_id", "customer_id").agg(
         F.sum("line_price").alias("_sl"), F.count("line_price").alias("_cl"),
         F.sum("unit_price").alias("_su"), F.count("unit_price").alias("_cu"),
-        F.sum("quantity").alias("_sq"),
-        F.max("_single").alias("_single"), F.max("_once").alias("_once"))
+        F.sum("quantity").alias("_sq"), F.max(F.col("quantity") > 0).alias("_pos"))
+    single = grain.groupBy("order_id").agg((F.countDistinct("product") == 1).alias("_single"))
+    once = grain.groupBy("product", "customer_id").agg(
+        (F.count(F.when(F.col("_pos"), F.col("order_id"))) == 1).alias("_once"))
+    flagged = join_nullsafe(grain, single, ["order_id"], "left")
+    flagged = join_nullsafe(flagged, once, ["product", "customer_id"], "left")
+    po = flagged.groupBy("product", "order_id").agg(
+        F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"), F.sum("_su").alias("_su"), F.sum("_cu").alias("_cu"),
+        F.sum("_sq").alias("_sq"), F.max("_single").alias("_single"), F.max("_once").alias("_once"))
     sku = po.groupBy("product").agg(
         F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"), F.sum("_su").alias("_su"),
         F.sum("_cu").alias("_cu"), F.sum("_sq").alias("items"),
         F.count("order_id").alias("orders"),
         F.count(F.when(F.col("_single"), F.col("order_id"))).alias("purchased_individually"),
         F.count(F.when(F.col("_once"), F.col("order_id"))).alias("purchased_once"))
-    customers = pm.groupBy("product").agg(F.countDistinct("customer_id").alias("customers"))
+    customers = grain.groupBy("product").agg(F.countDistinct("customer_id").alias("customers"))
     sku = join_nullsafe(sku, customers, ["product"])
 
     # two-level sums widen decimals twice; bring them back to the width of a
