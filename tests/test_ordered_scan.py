@@ -38,6 +38,17 @@ def test_matches_window(spark, pb, order):
     assert ref.exceptAll(got).count() == 0
 
 
+@pytest.mark.parametrize("order", [[("k", True), ("id", True)], [("k", False), ("id", False)]])
+def test_rank_only_path_matches_window(spark, order):
+    df = _frame(spark)
+    got = ordered_scan(df, order, row_number="rn", ntiles={"nt": 5, "nt7": 7}, buckets=5)
+    cols = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
+    w = Window.partitionBy().orderBy(*cols)
+    ref = df.select("*", F.row_number().over(w).cast("long").alias("rn"), F.ntile(5).over(w).cast("long").alias("nt"),
+                    F.ntile(7).over(w).cast("long").alias("nt7"))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
 def test_all_ties_and_fewer_rows_than_tiles(spark):
     df = spark.createDataFrame([(1, 0), (2, 0), (3, 0)], "id long, k long")
     got = ordered_scan(df, ["k", "id"], ntiles={"nt": 5}, row_number="rn", buckets=4)

@@ -80,6 +80,9 @@ def ordered_scan(
     n = buckets or shuffle_partitions(df.sparkSession)
     original = df.columns
 
+    if not (pb or sums or lag or lead):
+        return _ranks_only(df, order_by, row_number, ntiles, n)
+
     for name, expr in sums.items():
         df = df.withColumn(f"_sx_{name}", expr)
     if pb:
@@ -161,6 +164,38 @@ def ordered_scan(
     return out.select(*original, *added)
 
 
+def _ranks_only(df: DataFrame, order_by: list[Column], row_number: str | None, ntiles: Mapping[str, int],
+                n: int) -> DataFrame:
+    """Global row number / ntile without a window.
+
+    After the range shuffle each bucket is sorted in place, so a row's
+    position inside its bucket is the low part of
+    ``monotonically_increasing_id()`` (partition index in the upper bits,
+    row position in the lower 33).  Bucket, position and the per-bucket
+    counts all come from one checkpointed copy; the offsets table has one
+    row per bucket.
+    """
+    original = df.columns
+    pinned = checkpointed(df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+                          .withColumns({BUCKET: F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
+    counts = pinned.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_scnt"))
+    ws = Window.partitionBy().orderBy(BUCKET)
+    offsets = counts.select(
+        BUCKET,
+        F.coalesce(F.sum("_scnt").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ocnt"),
+        F.sum("_scnt").over(ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("_ntot"))
+    joined = pinned.join(F.broadcast(offsets), BUCKET)
+    local = F.col("_mid") - F.shiftleft(F.col(BUCKET).cast("long"), 33) + 1
+    rn = (F.col("_ocnt") + local).cast("long")
+    out = joined
+    if row_number:
+        out = out.withColumn(row_number, rn)
+    for name, k in ntiles.items():
+        out = out.withColumn(name, _ntile(rn, F.col("_ntot").cast("long"), k))
+    added = ([row_number] if row_number else []) + list(ntiles)
+    return out.select(*original, *added)
+
+
 def _ntile(r: Column, total: Column, n: int) -> Column:
     """SQL ``ntile(n)`` from the 1-based row number ``r`` of ``total`` rows:
     the first ``total % n`` tiles hold one extra row."""

@@ -21,7 +21,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Report decimals as double and every integer width as long."""
+    """Report decimals as double, every integer width as long and zoned
+    timestamps as wall-clock timestamps."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -29,6 +30,9 @@ def comparable(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("long")
+        elif isinstance(f.dataType, T.TimestampType):
+            # wall-clock time in the session zone, like the oracle's TIMESTAMP
+            c = c.cast("timestamp_ntz")
         out.append(c.alias(f.name))
     return df.select(*out)
 
