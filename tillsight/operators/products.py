@@ -3,7 +3,7 @@ rates and multi-brand loyalty."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.columns import col, join_nullsafe, where
@@ -156,6 +156,24 @@ def _one_sum_type(c, t):
     return c
 
 
+def _returned(profile: DataFrame, purchases: DataFrame, keys: list[str], min_days: int, days: int,
+              name: str) -> DataFrame:
+    """Per (first-brand-day, brand): profiles whose first purchase on or after
+    ``_fbd + min_days`` (within ``keys``) is at most ``_fbd + days``."""
+    probes = profile.select(*keys, *(["brand"] if "brand" not in keys else []),
+                            F.col("_fbd"), F.date_add("_fbd", min_days).alias("_t"), F.lit(0).alias("_kind"))
+    buys = purchases.select(*keys, F.col("date").alias("_t"), F.lit(1).alias("_kind"))
+    both = probes.unionByName(buys, allowMissingColumns=True)
+    # descending time, purchases before probes on the same day: the running
+    # min over preceding rows is the first purchase at or after the probe
+    w = (Window.partitionBy(*keys).orderBy(F.col("_t").desc(), F.col("_kind").desc())
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    nxt = F.min(F.when(F.col("_kind") == 1, F.col("_t"))).over(w)
+    hit = both.select("brand", "_fbd", "_kind", (nxt <= F.date_add("_fbd", days)).alias("_hit")) \
+        .where((F.col("_kind") == 0) & F.col("_hit"))
+    return hit.groupBy("_fbd", "brand").agg(F.count(F.lit(1)).alias(name))
+
+
 def get_multi_brands_loyalty(df: DataFrame, *, customer_id, date, order_id, brand, revenue, quantity,
                              days_threshold: int, row_condition=None, min_days: int = 0) -> DataFrame:
     """Daily brand sales, new customers and customers returning within N days.
@@ -186,19 +204,13 @@ def get_multi_brands_loyalty(df: DataFrame, *, customer_id, date, order_id, bran
     new_clients = (dcb.join(first_c, (dcb["customer_id"] == first_c["customer_id"]) & (dcb["date"] == first_c["_cfd"]))
                    .groupBy(dcb["date"], dcb["brand"]).agg(F.count(F.lit(1)).alias("new_clients")))
 
-    lo = F.date_add(F.col("p._fbd"), min_days)
-    hi = F.date_add(F.col("p._fbd"), days_threshold)
-    p = profile.alias("p")
-    dcd = dcb.select("customer_id", "date").distinct().alias("d")
-    returned = (p.join(dcd, (F.col("p.customer_id") == F.col("d.customer_id"))
-                       & (F.col("d.date") >= lo) & (F.col("d.date") <= hi))
-                .select("p.customer_id", "p.brand", "p._fbd").distinct()
-                .groupBy("_fbd", "brand").agg(F.count(F.lit(1)).alias("_ret")))
-    s = dcb.alias("s")
-    same = (p.join(s, (F.col("p.customer_id") == F.col("s.customer_id")) & F.col("p.brand").eqNullSafe(F.col("s.brand"))
-                   & (F.col("s.date") >= lo) & (F.col("s.date") <= hi))
-            .select("p.customer_id", "p.brand", "p._fbd").distinct()
-            .groupBy("_fbd", "brand").agg(F.count(F.lit(1)).alias("_same")))
+    # "returned" = the first purchase on or after first-brand-day + min_days
+    # falls within the N-day window: an as-of lookup, done as a running min
+    # over (purchase days + profile rows) per customer in descending time, so
+    # the work per customer is days + brands instead of days x brands
+    returned = _returned(profile, dcb.select("customer_id", "date").distinct(), ["customer_id"],
+                         min_days, days_threshold, "_ret")
+    same = _returned(profile, dcb, ["customer_id", "brand"], min_days, days_threshold, "_same")
     loyalty = (profile.select("_fbd", "brand").distinct()
                .join(returned, ["_fbd", "brand"], "left").join(same, ["_fbd", "brand"], "left")
                .select(F.col("_fbd").alias("_ld"), F.col("brand").alias("_lb"),
