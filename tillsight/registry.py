@@ -38,13 +38,13 @@ def comparable(df: DataFrame) -> DataFrame:
 
 
 def _customers(spark, sf):
-    return customers.get_customers(B.sales_lines(spark, sf), customer_id="customer_id", revenue="revenue",
+    return customers.get_customers(B.sales_lines(spark, sf, with_part=False), customer_id="customer_id", revenue="revenue",
                                    order_id="order_id", quantity="quantity", date="order_date",
                                    transaction_type="transaction_type", as_of=B.ORDERS_AS_OF)
 
 
 def _products(spark, sf):
-    return B.sales_lines(spark, sf).groupBy("product").agg(F.sum("revenue").alias("revenue"))
+    return B.sales_lines(spark, sf, with_part=False).groupBy("product").agg(F.sum("revenue").alias("revenue"))
 
 
 def q_get_customers(spark, sf):
@@ -58,7 +58,7 @@ def q_get_rfm_segments(spark, sf):
 
 
 def q_history_rfm(spark, sf):
-    return customers.history_rfm_segments(B.sales_lines(spark, sf), customer_id="customer_id",
+    return customers.history_rfm_segments(B.sales_lines(spark, sf, with_part=False), customer_id="customer_id",
                                           transaction_type="transaction_type", date="order_date",
                                           revenue="revenue", order_id="order_id", as_of=B.ORDERS_AS_OF)
 
@@ -73,7 +73,8 @@ def q_product_abc_segments(spark, sf):
 
 
 def q_basket(spark, sf, product="product"):
-    return products.basket_product_analytics(B.sales_lines(spark, sf), product=product, order_id="order_id")
+    lines = B.sales_lines(spark, sf, with_part=product != "product")
+    return products.basket_product_analytics(lines, product=product, order_id="order_id")
 
 
 def q_cohort_matrix(spark, sf):
@@ -82,18 +83,18 @@ def q_cohort_matrix(spark, sf):
 
 
 def q_latency(spark, sf):
-    return customers.get_latency(B.sales_lines(spark, sf), customer_id="customer_id", order_date="order_date",
+    return customers.get_latency(B.sales_lines(spark, sf, with_part=False), customer_id="customer_id", order_date="order_date",
                                  order_id="order_id", as_of=B.ORDERS_AS_OF)
 
 
 def q_lifetimes(spark, sf):
-    return customers.get_lifetimes_rfmt(B.sales_lines(spark, sf), replacement="replacement",
+    return customers.get_lifetimes_rfmt(B.sales_lines(spark, sf, with_part=False), replacement="replacement",
                                         customer_id="customer_id", order_date="order_date", order_id="order_id",
                                         revenue="revenue", observation_periode_end=B.ORDERS_AS_OF)
 
 
 def q_next_purchase(spark, sf):
-    return customers.get_next_purchase_date(B.sales_lines(spark, sf), customer_id="customer_id",
+    return customers.get_next_purchase_date(B.sales_lines(spark, sf, with_part=False), customer_id="customer_id",
                                             order_date="order_date", order_id="order_id", revenue="revenue",
                                             quantity="quantity", row_condition="transaction_type = 'VENTE'")
 

@@ -21,23 +21,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``lineitem`` joined to ``orders`` and ``part``: one row per order line."""
+def sales_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> DataFrame:
+    """``lineitem`` joined to ``orders`` (and ``part``): one row per order line.
+
+    ``with_part=False`` is the same view without ``brand`` and ``unit_price``
+    for operators that need neither: at scale the part join is a second full
+    shuffle of the lines (every line has its part, so no row changes).
+    """
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                                                  "l_returnflag", "l_linestatus")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"]).join(p, li["l_partkey"] == p["p_partkey"])
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
+    if with_part:
+        p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
+        j = j.join(p, li["l_partkey"] == p["p_partkey"])
     money = "decimal(18,2)"
+    part_cols = [F.col("p_brand").alias("brand"), F.col("p_retailprice").cast(money).alias("unit_price")] \
+        if with_part else []
     return j.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product"),
         F.col("o_orderdate").cast("date").alias("order_date"),
-        F.col("p_brand").alias("brand"),
+        *part_cols,
         F.col("l_extendedprice").cast(money).alias("revenue"),
         F.col("l_quantity").cast(money).alias("quantity"),
-        F.col("p_retailprice").cast(money).alias("unit_price"),
         F.when(F.col("l_returnflag") != "R", "VENTE").otherwise("RETOUR").alias("transaction_type"),
         F.when(F.col("l_linestatus") == "O", 0).otherwise(1).alias("replacement"))
 
