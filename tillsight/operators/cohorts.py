@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.columns import col, dim_names
 from tillsight.functions.dates import month_label
+from tillsight.plans.ordered import checkpointed
 
 
 def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at, dims: Sequence = ()) -> DataFrame:
@@ -24,8 +25,10 @@ def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at,
     dim_cols = [col(d).alias(n) for d, n in zip(dims, names)]
     base = (df.where(col(customer_id).isNotNull() & col(order_id).isNotNull())
             .select(*dim_cols, col(customer_id).alias("_cid"), col(order_created_at).alias("_ts")))
-    first = base.groupBy("_cid").agg(month_label(F.min("_ts")).alias("acquisition_cohort"))
-    months = base.select(*names, "_cid", month_label(F.col("_ts")).alias("order_cohort")).distinct()
+    months = checkpointed(base.select(*names, "_cid", month_label(F.col("_ts")).alias("order_cohort")).distinct())
+    # 'yyyy-MM' text orders like the dates, so the first month comes from the
+    # same distinct rows (one pass over the orders)
+    first = months.groupBy("_cid").agg(F.min("order_cohort").alias("acquisition_cohort"))
     retention = (months.join(first, "_cid")
                  .groupBy(*names, "acquisition_cohort", "order_cohort")
                  .agg(F.count(F.lit(1)).alias("customers")))

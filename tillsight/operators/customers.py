@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.columns import as_of_date, col, join_nullsafe, where
 from tillsight.functions.dates import day_diff, quarter_label
-from tillsight.plans.ordered import ordered_scan
+from tillsight.plans.ordered import checkpointed, ordered_scan
 
 # fixed values: sale marker and RFM segment labels of the original macros
 SALE = "VENTE"
@@ -77,7 +77,10 @@ def customer_abc_segments(df: DataFrame, *, customer_id, revenue, recency, thres
     ``total_scope="customer"`` keeps the original's per-customer denominator
     (every active customer lands in C); ``"all"`` divides by the grand total.
     """
-    base = df.select(col(customer_id).alias("_cid"), col(revenue).alias("_rev"), col(recency).alias("_rec"))
+    # read four times below (active set, totals, rank, count): materialise the
+    # narrow input once
+    base = checkpointed(df.select(col(customer_id).alias("_cid"), col(revenue).alias("_rev"),
+                                  col(recency).alias("_rec")))
     active = base.where(F.col("_rec") <= active_days).select("_cid", "_rev")
     if total_scope == "customer":
         totals = active.groupBy("_cid").agg(F.sum("_rev").alias("revenue_total"))
@@ -118,8 +121,11 @@ def get_latency(df: DataFrame, *, customer_id, order_date, order_id, as_of=None)
     today = as_of_date(as_of)
     base = df.select(col(customer_id).alias("customer_id"), col(order_id).alias("order_id"),
                      col(order_date).alias("order_date"))
-    days = base.groupBy("customer_id", F.col("order_date").cast("date").alias("_d")).agg(
-        F.count(F.lit(1)).alias("_c"))
+    # one pass over the lines: day counts and per-customer figures both come
+    # from this (customer, order date, order) grain, materialised once
+    grain = checkpointed(base.groupBy("customer_id", "order_date", "order_id").agg(F.count(F.lit(1)).alias("_n")))
+    days = grain.groupBy("customer_id", F.col("order_date").cast("date").alias("_d")).agg(
+        F.sum("_n").alias("_c"))
     w = Window.partitionBy("customer_id").orderBy(F.col("_d").asc_nulls_first())
     days = days.withColumn("_g", F.datediff("_d", F.lag("_d").over(w)).cast("long"))
     nonnull = F.col("_d").isNotNull()
@@ -139,8 +145,8 @@ def get_latency(df: DataFrame, *, customer_id, order_date, order_id, as_of=None)
     std = F.when(m > 1, F.sqrt(num / (m * (m - 1)).cast("double")))
     gaps = gaps.select("customer_id", mean.alias("_avg"), lo.alias("_min"), hi.alias("_max"), std.alias("_std"))
 
-    per_customer = base.groupBy("customer_id").agg(F.countDistinct("order_id").alias("frequency"),
-                                                   F.max("order_date").alias("recency_date"))
+    per_customer = grain.groupBy("customer_id").agg(F.countDistinct("order_id").alias("frequency"),
+                                                    F.max("order_date").alias("recency_date"))
     j = join_nullsafe(per_customer, gaps, ["customer_id"], "left")
     j = j.select("customer_id", "frequency", "recency_date",
                  day_diff(today, F.col("recency_date")).alias("recency"),
@@ -191,14 +197,16 @@ def get_next_purchase_date(df: DataFrame, *, customer_id, order_date, order_id,
                   col(order_id).alias("order_id"), col(revenue).alias("revenue"),
                   col(quantity).alias("quantity"))
           .distinct())
-    first = ft.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
-    ft = join_nullsafe(ft, first, ["customer_id"], "left")
     has_id = F.when(F.col("order_id").isNotNull(), F.lit(1)).otherwise(F.lit(0)).cast("long")
     s = ordered_scan(ft, ["order_date", "order_id", "revenue", "quantity"], partition_by=["customer_id"],
                      running_sums={"total_transactions": has_id, "total_revenue": F.col("revenue")},
                      lag={"previous_order_date": "order_date"},
                      lead={"_next_date": "order_date", "next_purchase_quantity": "quantity",
                            "next_purchase_revenue": "revenue"})
+    # first purchase per customer from the scan's (checkpointed) rows, not a
+    # second pass over the source
+    first = s.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
+    s = join_nullsafe(s, first, ["customer_id"], "left")
     lifetime = day_diff(F.col("order_date"), F.col("first_order_date"))
     prior = F.col("total_transactions") - has_id
     return s.select(

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.functions.columns import col, join_nullsafe, where
-from tillsight.plans.ordered import ordered_scan
+from tillsight.plans.ordered import checkpointed, ordered_scan
 
 # fixed value: placeholder product excluded by the original macros
 UNASSIGNED = "Unassigned"
@@ -32,7 +32,8 @@ def _wide(c):
 
 def product_abc_segments(df: DataFrame, *, product, revenue, threshold=80) -> DataFrame:
     """ABC class and rank of every input row by running revenue share."""
-    p = df.select(col(product).alias("product"), col(revenue).alias("revenue"))
+    # read by the scan and by the total: materialise the narrow input once
+    p = checkpointed(df.select(col(product).alias("product"), col(revenue).alias("revenue")))
     total = p.agg(F.sum("revenue")).scalar()  # sum() over (): a scalar subquery
     ran = ordered_scan(p, [("revenue", False), "product"], running_sums={"_cumsum": F.col("revenue")})
     ran = ran.withColumn("_pct", F.round(_wide(F.col("_cumsum")) * 100 / _wide(total), 2))
@@ -51,9 +52,11 @@ def basket_product_analytics(df: DataFrame, *, product, order_id, unassigned: st
     halves the self-join.  ``(product, order)`` is distinct, so the distinct
     order counts of the original become plain counts.
     """
-    od = (df.select(col(product).alias("product_item"), col(order_id).alias("order_id"))
-          .where(_assigned(F.col("product_item"), unassigned))
-          .distinct())
+    # both join sides, the per-product counts and the total read the distinct
+    # (product, order) rows: materialise them once
+    od = checkpointed(df.select(col(product).alias("product_item"), col(order_id).alias("order_id"))
+                      .where(_assigned(F.col("product_item"), unassigned))
+                      .distinct())
     a, b = od.alias("a"), od.alias("b")
     half = (a.join(b, (F.col("a.order_id") == F.col("b.order_id"))
                    & (F.col("a.product_item") < F.col("b.product_item")))
@@ -97,11 +100,12 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
                     col(line_price).alias("line_price"), col(unit_price).alias("unit_price"))
           .where(_assigned(F.col("product"), unassigned)))
     # one pass over the lines: everything below reads this (product, order,
-    # customer) grain, so the source is scanned once and its exchange reused
+    # customer) grain, materialised once (four consumers)
     grain = pm.groupBy("product", "order_id", "customer_id").agg(
         F.sum("line_price").alias("_sl"), F.count("line_price").alias("_cl"),
         F.sum("unit_price").alias("_su"), F.count("unit_price").alias("_cu"),
         F.sum("quantity").alias("_sq"), F.max(F.col("quantity") > 0).alias("_pos"))
+    grain = checkpointed(grain)
     single = grain.groupBy("order_id").agg((F.countDistinct("product") == 1).alias("_single"))
     once = grain.groupBy("product", "customer_id").agg(
         (F.count(F.when(F.col("_pos"), F.col("order_id"))) == 1).alias("_once"))
@@ -195,7 +199,8 @@ def get_multi_brands_loyalty(df: DataFrame, *, customer_id, date, order_id, bran
         F.countDistinct("order_id").alias("brand_orders"), F.countDistinct("customer_id").alias("brand_customers"))
 
     known = raw.where(F.col("customer_id").isNotNull())
-    dcb = known.select("customer_id", "brand", "date").distinct()
+    # every loyalty figure reads (customer, brand, day): materialised once
+    dcb = checkpointed(known.select("customer_id", "brand", "date").distinct())
     first_c = dcb.groupBy("customer_id").agg(F.min("date").alias("_cfd"))
     profile = dcb.groupBy("customer_id", "brand").agg(F.min("date").alias("_fbd"))
 

@@ -19,6 +19,8 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # checkpoint files of materialised intermediates are removed once unused
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -106,9 +106,11 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 def traffic_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Daily event counts per event type, read as one visits series per domain."""
-    e = table(spark, sf_dir, "events")
-    return {f"{t}.fr": e.where(F.col("event_type") == t).groupBy(F.to_date("ts").alias("date"))
-            .agg(F.count(F.lit(1)).cast("double").alias("visits")) for t in EVENT_TYPES}
+    from tillsight.plans.ordered import checkpointed
+
+    daily = checkpointed(table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("date"), "event_type")
+                         .agg(F.count(F.lit(1)).cast("double").alias("visits")))
+    return {f"{t}.fr": daily.where(F.col("event_type") == t).select("date", "visits") for t in EVENT_TYPES}
 
 
 def legal_units(spark: SparkSession, sf_dir: str) -> DataFrame:
