@@ -91,3 +91,18 @@ def test_hot_key_is_split_across_buckets(spark):
                     F.sum("v").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("rs"),
                     F.lag("k").over(w).alias("pk"))
     assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+@pytest.mark.parametrize("pb", [[], ["g"]])
+def test_default_buckets_follow_aqe(spark, pb):
+    """No explicit bucket count: ranges come from the shuffle-partition
+    setting and AQE may merge them; results must not change."""
+    df = _frame(spark, n=3000)
+    order = [("k", True), ("id", True)]
+    got = ordered_scan(df, order, partition_by=pb, row_number="rn", ntiles={"nt": 5},
+                       running_sums={"rs": F.col("v")}, lag={"pk": "k"}, lead={"nv": "v"})
+    ref = _reference(df, order, pb)
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+    ranks = ordered_scan(df, order, row_number="rn", ntiles={"nt": 5})
+    ref2 = _reference(df, order, []).select(*df.columns, "rn", "nt")
+    assert ranks.exceptAll(ref2).count() == 0 and ref2.exceptAll(ranks).count() == 0

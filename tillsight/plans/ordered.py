@@ -26,12 +26,24 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.session import ensure_checkpoint_dir, shuffle_partitions
+from tillsight.session import ensure_checkpoint_dir
 
 BUCKET = "_scan_bucket"
 _SEG = "_scan_seg"
 
 
+def _by_range(df: DataFrame, keys: list[Column], buckets: int | None) -> DataFrame:
+    """Range-partition on ``keys``.
+
+    Without an explicit count the shuffle uses ``spark.sql.shuffle.partitions``
+    (or AQE's ``initialPartitionNum``) and AQE merges adjacent ranges up to the
+    advisory partition size, so bucket sizes follow the data.  Bucket ids are
+    read in the same stage (``spark_partition_id``) and then checkpointed, so
+    coalescing cannot make them disagree.
+    """
+    return df.repartitionByRange(buckets, *keys) if buckets else df.repartitionByRange(*keys)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the session's ``spark.checkpoint.dir``."""
     ensure_checkpoint_dir(df.sparkSession)
@@ -77,7 +89,7 @@ def ordered_scan(
     lag = dict(lag or {})
     lead = dict(lead or {})
     pb = list(partition_by)
-    n = buckets or shuffle_partitions(df.sparkSession)
+    n = buckets
     original = df.columns
 
     if not (pb or sums or lag or lead):
@@ -94,7 +106,7 @@ def ordered_scan(
         seg_keys = [BUCKET]
         keys = list(order_by)
 
-    bucketed = checkpointed(df.repartitionByRange(n, *keys).withColumn(BUCKET, F.spark_partition_id()))
+    bucketed = checkpointed(_by_range(df, keys, n).withColumn(BUCKET, F.spark_partition_id()))
 
     w = Window.partitionBy(*seg_keys).orderBy(*order_by)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -165,7 +177,7 @@ def ordered_scan(
 
 
 def _ranks_only(df: DataFrame, order_by: list[Column], row_number: str | None, ntiles: Mapping[str, int],
-                n: int) -> DataFrame:
+                n: int | None) -> DataFrame:
     """Global row number / ntile without a window.
 
     After the range shuffle each bucket is sorted in place, so a row's
@@ -176,7 +188,7 @@ def _ranks_only(df: DataFrame, order_by: list[Column], row_number: str | None, n
     row per bucket.
     """
     original = df.columns
-    pinned = checkpointed(df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    pinned = checkpointed(_by_range(df, order_by, n).sortWithinPartitions(*order_by)
                           .withColumns({BUCKET: F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
     counts = pinned.groupBy(BUCKET).agg(F.count(F.lit(1)).alias("_scnt"))
     ws = Window.partitionBy().orderBy(BUCKET)
