@@ -160,24 +160,6 @@ def _one_sum_type(c, t):
     return c
 
 
-def _returned(profile: DataFrame, purchases: DataFrame, keys: list[str], min_days: int, days: int,
-              name: str) -> DataFrame:
-    """Per (first-brand-day, brand): profiles whose first purchase on or after
-    ``_fbd + min_days`` (within ``keys``) is at most ``_fbd + days``."""
-    probes = profile.select(*keys, *(["brand"] if "brand" not in keys else []),
-                            F.col("_fbd"), F.date_add("_fbd", min_days).alias("_t"), F.lit(0).alias("_kind"))
-    buys = purchases.select(*keys, F.col("date").alias("_t"), F.lit(1).alias("_kind"))
-    both = probes.unionByName(buys, allowMissingColumns=True)
-    # descending time, purchases before probes on the same day: the running
-    # min over preceding rows is the first purchase at or after the probe
-    w = (Window.partitionBy(*keys).orderBy(F.col("_t").desc(), F.col("_kind").desc())
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.min(F.when(F.col("_kind") == 1, F.col("_t"))).over(w)
-    hit = both.select("brand", "_fbd", "_kind", (nxt <= F.date_add("_fbd", days)).alias("_hit")) \
-        .where((F.col("_kind") == 0) & F.col("_hit"))
-    return hit.groupBy("_fbd", "brand").agg(F.count(F.lit(1)).alias(name))
-
-
 def get_multi_brands_loyalty(df: DataFrame, *, customer_id, date, order_id, brand, revenue, quantity,
                              days_threshold: int, row_condition=None, min_days: int = 0) -> DataFrame:
     """Daily brand sales, new customers and customers returning within N days.
@@ -185,50 +167,70 @@ def get_multi_brands_loyalty(df: DataFrame, *, customer_id, date, order_id, bran
     ``min_days=0`` keeps the original's inclusive lower bound (the first
     purchase counts as a return); ``min_days=1`` counts real returns.
 
-    Every "returned" figure is a distinct-customer count, so purchases are
-    first reduced to ``(customer, brand, day)`` and the range join runs on
-    that (fan-out per customer bounded by brands x days, not lines).
+    Every figure besides the sums is a distinct-customer count, so purchases
+    are first reduced to ``(customer, brand, day)``; the original's range
+    join becomes an as-of lookup by running minimum (no pairs are formed).
     """
-    raw = (where(df, row_condition)
-           .select(col(customer_id).alias("customer_id"), col(date).cast("date").alias("date"),
-                   col(order_id).alias("order_id"), col(brand).alias("brand"),
-                   col(revenue).alias("revenue"), col(quantity).alias("quantity"))
-           .distinct())
+    # the distinct lines feed the sums and the (customer, brand, day) rows:
+    # materialised once, so the source is read once
+    raw = checkpointed(where(df, row_condition)
+                       .select(col(customer_id).alias("customer_id"), col(date).cast("date").alias("date"),
+                               col(order_id).alias("order_id"), col(brand).alias("brand"),
+                               col(revenue).alias("revenue"), col(quantity).alias("quantity"))
+                       .distinct())
+    # one distinct aggregate (two-level, no row expansion); distinct customers
+    # come from the (customer, brand, day) rows below
     brand_purchase = raw.groupBy("date", "brand").agg(
         F.sum("revenue").alias("brand_revenue"), F.sum("quantity").alias("brand_quantity"),
-        F.countDistinct("order_id").alias("brand_orders"), F.countDistinct("customer_id").alias("brand_customers"))
+        F.countDistinct("order_id").alias("brand_orders"))
 
     known = raw.where(F.col("customer_id").isNotNull())
     # every loyalty figure reads (customer, brand, day): materialised once
     dcb = checkpointed(known.select("customer_id", "brand", "date").distinct())
-    first_c = dcb.groupBy("customer_id").agg(F.min("date").alias("_cfd"))
     profile = dcb.groupBy("customer_id", "brand").agg(F.min("date").alias("_fbd"))
 
-    new_to_brand = profile.where(F.col("_fbd").isNotNull()).groupBy(F.col("_fbd").alias("date"), "brand").agg(
-        F.count(F.lit(1)).alias("new_clients_to_brand"))
-    new_clients = (dcb.join(first_c, (dcb["customer_id"] == first_c["customer_id"]) & (dcb["date"] == first_c["_cfd"]))
-                   .groupBy(dcb["date"], dcb["brand"]).agg(F.count(F.lit(1)).alias("new_clients")))
-
-    # "returned" = the first purchase on or after first-brand-day + min_days
-    # falls within the N-day window: an as-of lookup, done as a running min
-    # over (purchase days + profile rows) per customer in descending time, so
-    # the work per customer is days + brands instead of days x brands
-    returned = _returned(profile, dcb.select("customer_id", "date").distinct(), ["customer_id"],
-                         min_days, days_threshold, "_ret")
-    same = _returned(profile, dcb, ["customer_id", "brand"], min_days, days_threshold, "_same")
-    loyalty = (profile.select("_fbd", "brand").distinct()
-               .join(returned, ["_fbd", "brand"], "left").join(same, ["_fbd", "brand"], "left")
-               .select(F.col("_fbd").alias("_ld"), F.col("brand").alias("_lb"),
-                       F.coalesce("_ret", F.lit(0)).alias("customer_returned"),
-                       F.coalesce("_same", F.lit(0)).alias("customer_returned_to_same_brand")))
-
-    def nullsafe_left(left, right, value):
-        r = right.withColumnRenamed("date", "_rd").withColumnRenamed("brand", "_rb")
-        j = left.join(r, left["date"].eqNullSafe(r["_rd"]) & left["brand"].eqNullSafe(r["_rb"]), "left")
-        return j.drop("_rd", "_rb").withColumn(value, F.coalesce(F.col(value), F.lit(0)))
-
-    out = nullsafe_left(brand_purchase, new_to_brand, "new_clients_to_brand")
-    out = nullsafe_left(out, new_clients, "new_clients")
-    out = out.join(loyalty, (out["brand"] == loyalty["_lb"]) & (out["date"] == loyalty["_ld"]), "left")
+    # One window pass over probes (one per profile, at first-brand-day +
+    # min_days) and purchases, in descending time with purchases before probes
+    # on the same day: the running min of purchase days is then the first
+    # purchase at or after the probe (an as-of lookup), for any brand
+    # (per customer) and for the same brand (per customer and brand; the same
+    # hash partitioning).  Rows per customer: brands x days, never pairs.
+    probes = profile.select("customer_id", "brand", "_fbd", F.date_add("_fbd", min_days).alias("_t"),
+                            F.lit(0).alias("_kind"))
+    buys = dcb.select("customer_id", "brand", F.lit(None).cast("date").alias("_fbd"), F.col("date").alias("_t"),
+                      F.lit(1).alias("_kind"))
+    order = [F.col("_t").desc_nulls_last(), F.col("_kind").desc()]
+    w_any = Window.partitionBy("customer_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    w_same = Window.partitionBy("customer_id", "brand").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    buy_day = F.when(F.col("_kind") == 1, F.col("_t"))
+    flags = (probes.unionByName(buys)
+             .select("brand", "_fbd", "_kind", "_t",
+                     F.min(buy_day).over(w_any).alias("_next_any"),
+                     F.min(buy_day).over(w_same).alias("_next_same"),
+                     F.min(buy_day).over(Window.partitionBy("customer_id")).alias("_cfd")))
+    probe = (F.col("_kind") == 0) & F.col("_fbd").isNotNull()
+    hi = F.date_add("_fbd", days_threshold)
+    # keyed by purchase day (purchase rows) or first-brand day (probe rows);
+    # a customer is new overall on its first brand day iff that day is its
+    # first day at all
+    day = F.when(F.col("_kind") == 1, F.col("_t")).otherwise(F.col("_fbd"))
+    counts = flags.groupBy(day.alias("_ld"), F.col("brand").alias("_lb")).agg(
+        F.count(F.when(F.col("_kind") == 1, 1)).alias("_customers"),
+        F.count(F.when(probe, 1)).alias("_new_brand"),
+        F.count(F.when(probe & (F.col("_fbd") == F.col("_cfd")), 1)).alias("_new"),
+        F.count(F.when(probe & (F.col("_next_any") <= hi), 1)).alias("_ret"),
+        F.count(F.when(probe & (F.col("_next_same") <= hi), 1)).alias("_same"))
+
+    out = brand_purchase.join(counts, brand_purchase["date"].eqNullSafe(counts["_ld"])
+                              & brand_purchase["brand"].eqNullSafe(counts["_lb"]), "left")
+    # the original matches loyalty rows (one per first-brand day) on plain
+    # equality: no profile, null brand or null day -> null
+    loyal = F.col("brand").isNotNull() & F.col("date").isNotNull() & (F.col("_new_brand") > 0)
+    out = out.select("date", "brand", "brand_revenue", "brand_quantity", "brand_orders",
+                     F.coalesce("_customers", F.lit(0)).alias("brand_customers"),
+                     F.coalesce("_new_brand", F.lit(0)).alias("new_clients_to_brand"),
+                     F.coalesce("_new", F.lit(0)).alias("new_clients"),
+                     F.when(loyal, F.col("_ret")).alias("customer_returned"),
+                     F.when(loyal, F.col("_same")).alias("customer_returned_to_same_brand"))
     return out.select("date", "brand", "brand_revenue", "brand_quantity", "brand_orders", "brand_customers",
                       "new_clients_to_brand", "new_clients", "customer_returned", "customer_returned_to_same_brand")
