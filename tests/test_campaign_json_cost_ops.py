@@ -91,3 +91,19 @@ def test_job_cost_labels(spark):
     out = {(r.label_group, r.label_key): r.cost_usd for r in job_costs.create_model_bigquery_cost(
         df, as_of=D(2024, 1, 31)).collect()}
     assert out == {("OTHERS", None): 5.0, ("DBT", "dbt_x"): 10.0, ("LOOKER STUDIO", "k"): 10.0}
+
+
+def test_cohort_matrix_with_dimension(spark):
+    rows = [(1, 10, TS(2024, 1, 1), "web"), (2, 10, TS(2024, 2, 1), "web"), (3, 11, TS(2024, 1, 9), "app")]
+    out = cohorts.get_cohort_matrix(spark.createDataFrame(rows, "o long, c long, ts timestamp, ch string"),
+                                    order_id="o", customer_id="c", order_created_at="ts", dims=["ch"]).collect()
+    assert {(r.ch, r.acquisition_cohort, r.order_cohort, r.customers) for r in out} == {
+        ("web", "2024-01", "2024-01", 1), ("web", "2024-01", "2024-02", 1), ("app", "2024-01", "2024-01", 1)}
+
+
+def test_job_cost_default_date_is_today(spark):
+    now = dt.datetime.now()
+    df = spark.createDataFrame([(now, "u", None, 1024 ** 4)],
+                               "creation_time timestamp, user_email string, "
+                               "labels array<struct<key:string,value:string>>, total_bytes_billed long")
+    assert [r.cost_usd for r in job_costs.create_model_bigquery_cost(df).collect()] == [5.0]

@@ -105,3 +105,12 @@ def test_history_rfm_intervals_cover_and_split(spark):
     assert days == (D(2024, 1, 31) - D(2023, 12, 20)).days + 1
     # the running revenue adds the all-time total per purchase date (literal quirk)
     assert {float(r.total_revenue_to_date) for r in out} == {700.0, 1400.0}
+
+
+def test_history_rfm_day_scope(spark):
+    df = _lines(spark, [(1, 1, D(2024, 1, 10), 100, 1, "VENTE"), (1, 2, D(2024, 1, 20), 600, 1, "VENTE")])
+    out = C.history_rfm_segments(df, customer_id="customer_id", transaction_type="transaction_type",
+                                 date="order_date", revenue="revenue", order_id="order_id",
+                                 as_of=D(2024, 1, 31), revenue_scope="day").collect()
+    assert {float(r.total_revenue_to_date) for r in out} == {100.0, 700.0}
+    assert {r.total_order_to_date for r in out} == {1, 2}
