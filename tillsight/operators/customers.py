@@ -276,7 +276,10 @@ def history_rfm_segments(df: DataFrame, *, customer_id, transaction_type, date,
 
     start = F.greatest(F.col("date"), F.lit(CALENDAR_START).cast("date"))
     end = F.least(F.col("_next"), F.lit(CALENDAR_END).cast("date"))
-    prep = prep.withColumns({"_start": start, "_end": end}).where(F.col("_start") <= F.col("_end"))
+    # greatest/least skip nulls: a null purchase day must give no days (it
+    # still counts in the running sums above)
+    prep = prep.withColumns({"_start": start, "_end": end}).where(
+        F.col("date").isNotNull() & F.col("_next").isNotNull() & (F.col("_start") <= F.col("_end")))
     s, e = F.col("_start"), F.col("_end")
     new_years = F.when(F.year(e) > F.year(s),
                        F.transform(F.sequence(F.year(s) + 1, F.year(e)), lambda y: F.make_date(y, F.lit(1), F.lit(1))))
