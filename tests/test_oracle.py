@@ -36,13 +36,19 @@ def test_entry_runs(spark):
     assert "rfm_segments_name" in df.columns
 
 
-# Queries over the order/line tables, re-run on a small fixture with null
-# customers, dates and parts, duplicate lines, zero quantities and ties.
+# Every query re-run on a small fixture with null customers, dates and parts,
+# duplicate lines, zero quantities, ties, and events with null fields.
 EDGE_QUERIES = ["get_customers", "get_rfm_segments", "history_rfm_segments", "customer_abc_segments",
                 "customer_abc_segments_total", "product_abc_segments", "basket_product_analytics",
                 "basket_brand_analytics", "get_cohort_matrix", "get_latency", "get_lifetimes_rfmt",
                 "get_next_purchase_date", "get_repurchase_rates", "get_multi_brands_loyalty",
-                "get_multi_brands_loyalty_returns"]
+                "get_multi_brands_loyalty_returns",
+                # events with null types, times, values and props; objects / arrays as JSON values
+                "create_source_model_from_raw_table_airbyte", "create_source_model_stg_klaviyo_data",
+                "klaviyo_campaign_performance", "klaviyo_campaign_performance_by_customer_type",
+                "klaviyo_contact_segmentation", "splio_campaign_performance", "splio_contact_segmentation",
+                "create_model_bigquery_cost", "web_traffic_sessions", "replace_profile_window",
+                "replace_metrics_tail", "export_posts", "union_profiles", "incremental_legal_units"]
 
 
 @pytest.fixture(scope="module")

@@ -34,7 +34,7 @@ def conform_legal_units(df: DataFrame) -> DataFrame:
             v = c.cast("double") if isinstance(t, T.NumericType) else c.try_cast("double")
             c = F.nanvl(v, F.lit(None).cast("double"))
         elif isinstance(t, (T.StructType, T.ArrayType, T.MapType)):
-            c = F.to_json(c)
+            c = F.to_json(c, {"ignoreNullFields": "false"})
         elif isinstance(t, (T.DoubleType, T.FloatType)):
             c = F.nanvl(c, F.lit(None).cast(t))
         out.append(c.alias(name))

@@ -100,9 +100,13 @@ def expand_struct_columns(df: DataFrame, network: str, reaction_keys: Iterable[s
     return df
 
 
+# JSON text keeps null fields, as a JSON dump of the record would
+JSON_OPTIONS = {"ignoreNullFields": "false"}
+
+
 def _text(c: Column, t: T.DataType) -> Column:
     if isinstance(t, (T.StructType, T.MapType)):
-        return F.to_json(c)
+        return F.to_json(c, JSON_OPTIONS)
     if isinstance(t, T.ArrayType):
         return F.array_join(F.transform(c, lambda x: _text(x, t.elementType)), ", ")
     return c.cast("string")

@@ -31,7 +31,7 @@ def clean_profiles(df: DataFrame) -> DataFrame:
     if "profile_labels" in df.columns:
         t = df.schema["profile_labels"].dataType
         c = F.col("profile_labels")
-        repl["profile_labels"] = F.to_json(c) if isinstance(t, (T.ArrayType, T.StructType, T.MapType)) \
+        repl["profile_labels"] = F.to_json(c, {"ignoreNullFields": "false"}) if isinstance(t, (T.ArrayType, T.StructType, T.MapType)) \
             else c.cast("string")
     if "community_enabled" in df.columns:
         c = F.col("community_enabled").cast("boolean")

@@ -48,8 +48,19 @@ def write(out: str, seed: int = 1) -> None:
     con.executemany("insert into part values (?, ?, ?, ?, ?, ?)", parts)
     for t in ("orders", "lineitem", "part"):
         con.execute(f"copy {t} to '{out}/{t}.parquet' (format parquet)")
+    events = []
+    props = ['{"k": 1}', '{"k": 2}', '{"k": "7"}', '{"k": {"x": 1}}', '{"k": [1, 2]}', '{"k": null}', '{}', None]
+    kinds = ["view", "click", "purchase", "signup", "error", None]
+    for e in range(400):
+        ts = None if rnd.random() < 0.05 else dt.datetime(2024, 1, 1) + dt.timedelta(minutes=rnd.randrange(0, 43000))
+        value = None if rnd.random() < 0.05 else rnd.choice([0.0, 1.5, 12.31, 99.99])
+        events.append((e, ts, rnd.randrange(1, 12), rnd.choice(kinds), value, rnd.choice(props)))
+    con.execute("create table events (event_id bigint, ts timestamp, user_id bigint, event_type varchar,"
+                " value double, props varchar)")
+    con.executemany("insert into events values (?, ?, ?, ?, ?, ?)", events)
+    con.execute(f"copy events to '{out}/events.parquet' (format parquet)")
     # the remaining tables are copied from the smallest test set
-    for t in ("region", "nation", "customer", "supplier", "events", "documents", "embeddings", "pages",
+    for t in ("region", "nation", "customer", "supplier", "documents", "embeddings", "pages",
               "benchmark", "labels", "conversations"):
         con.execute(f"copy (select * from read_parquet('/root/testdata/sf0.001/{t}.parquet')) "
                     f"to '{out}/{t}.parquet' (format parquet)")
