@@ -63,3 +63,17 @@ def test_multi_brand_loyalty_min_days(spark):
     a = real[(D(2024, 1, 1), "A")]
     assert (a.customer_returned, a.customer_returned_to_same_brand) == (1, 0)
     assert real[(D(2024, 1, 20), "B")].new_clients == 0
+
+
+def test_basket_hot_order_grid_is_exact(spark):
+    # order 0 holds a third of the rows; a tiny pair budget forces a grid
+    hot = [(f"p{i}", 0) for i in range(60)]
+    rest = [(f"p{i % 17}", 1 + i % 40) for i in range(120)]
+    df = spark.createDataFrame(hot + rest, "p string, o long")
+    plain = P.basket_product_analytics(df, product="p", order_id="o")
+    grid = P.basket_product_analytics(df, product="p", order_id="o", max_pairs_per_task=50)
+    assert plain.count() > 0
+    assert plain.exceptAll(grid).count() == 0 and grid.exceptAll(plain).count() == 0
+    od = df.select(F.col("p").alias("product_item"), F.col("o").alias("order_id")).distinct()
+    sizes = {r.order_id: r._s for r in P._cells(od, 50).select("order_id", "_s").distinct().collect()}
+    assert sizes[0] > 1 and all(s == 1 for o, s in sizes.items() if o != 0)

@@ -46,6 +46,9 @@ def test_basket_pairs_symmetric(spark, rows):
     df = spark.createDataFrame(rows, "p string, o long")
     out = {(r.product_item, r.product_item_b): r.associated_orders
            for r in P.basket_product_analytics(df, product="p", order_id="o").collect()}
+    grid = {(r.product_item, r.product_item_b): r.associated_orders
+            for r in P.basket_product_analytics(df, product="p", order_id="o", max_pairs_per_task=2).collect()}
+    assert grid == out
     assert all(out[(b, a)] == n for (a, b), n in out.items())
     expected = Counter()
     for o in {o for _, o in rows}:

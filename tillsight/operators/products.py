@@ -3,6 +3,8 @@ rates and multi-brand loyalty."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,23 +47,52 @@ def product_abc_segments(df: DataFrame, *, product, revenue, threshold=80) -> Da
     return ranked.select("product", cls.alias("abc_class_name"), "abc_rank_name")
 
 
-def basket_product_analytics(df: DataFrame, *, product, order_id, unassigned: str = UNASSIGNED) -> DataFrame:
+# orders with more products than this many are split into a grid of cells
+DEFAULT_MAX_PAIRS_PER_TASK = 10_000_000
+# hot-order lists up to this many rows are broadcast; longer lists are joined
+BROADCAST_ROWS = 1_000_000
+
+
+def _cells(od: DataFrame, max_pairs_per_task: int) -> DataFrame:
+    """Attach a grid size ``_s`` per order: 1 for normal orders; for an order
+    with ``k`` products, ``ceil(k / side)`` so that one grid cell holds at most
+    ``side`` products of each side (``side**2 / 2 <= max_pairs_per_task``)."""
+    side = max(2, int(math.isqrt(2 * max_pairs_per_task)))
+    hot = (od.groupBy("order_id").agg(F.count(F.lit(1)).alias("_k"))
+           .where(F.col("_k") > side)
+           .select("order_id", F.ceil(F.col("_k") / side).cast("int").alias("_s")))
+    n_hot = hot.count()  # one small job on the materialised rows
+    if n_hot == 0:
+        return od.withColumn("_s", F.lit(1))
+    right = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot  # size-checked broadcast, else a shuffle join
+    return od.join(right, "order_id", "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
+
+
+def basket_product_analytics(df: DataFrame, *, product, order_id, unassigned: str = UNASSIGNED,
+                             max_pairs_per_task: int = DEFAULT_MAX_PAIRS_PER_TASK) -> DataFrame:
     """Ordered product pairs bought in the same order, attachment rate vs. base rate.
 
     Pairs are built once with ``a < b`` and mirrored after aggregation, which
     halves the self-join.  ``(product, order)`` is distinct, so the distinct
-    order counts of the original become plain counts.
+    order counts of the original become plain counts.  A hot order (one that
+    would build more than ``max_pairs_per_task`` pairs in one task) is split
+    into an s x s grid of product-hash cells: side a is placed in its own
+    cell row and copied across the s columns, side b the other way round, so
+    every pair meets in exactly one cell and no task builds more than about
+    ``max_pairs_per_task`` pairs.  Normal orders keep a single cell.
     """
     # both join sides, the per-product counts and the total read the distinct
     # (product, order) rows: materialise them once
     od = checkpointed(df.select(col(product).alias("product_item"), col(order_id).alias("order_id"))
                       .where(_assigned(F.col("product_item"), unassigned))
                       .distinct())
-    a, b = od.alias("a"), od.alias("b")
-    half = (a.join(b, (F.col("a.order_id") == F.col("b.order_id"))
-                   & (F.col("a.product_item") < F.col("b.product_item")))
-            .groupBy(F.col("a.product_item").alias("p1"), F.col("b.product_item").alias("p2"))
-            .agg(F.count(F.lit(1)).alias("associated_orders")))
+    cells = _cells(od.where(F.col("order_id").isNotNull()), max_pairs_per_task)
+    span = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
+    own = F.pmod(F.xxhash64("product_item"), F.col("_s")).cast("int")
+    a = cells.select("order_id", F.col("product_item").alias("p1"), own.alias("_ca"), span.alias("_cb"))
+    b = cells.select("order_id", F.col("product_item").alias("p2"), span.alias("_ca"), own.alias("_cb"))
+    half = (a.join(b, ["order_id", "_ca", "_cb"]).where(F.col("p1") < F.col("p2"))
+            .groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("associated_orders")))
     assoc = half.select(F.col("p1").alias("product_item"), F.col("p2").alias("product_item_b"),
                         "associated_orders").unionByName(
         half.select(F.col("p2").alias("product_item"), F.col("p1").alias("product_item_b"),

@@ -28,8 +28,24 @@ KINDS = {
 }
 
 
+def _final_only(plan: str) -> str:
+    """Drop every "== Initial Plan ==" subtree (subqueries carry their own)."""
+    keep, skip_at = [], None
+    for line in plan.splitlines():
+        col = len(line) - len(line.lstrip(" :|+-"))
+        if skip_at is not None:
+            if col >= skip_at:
+                continue
+            skip_at = None
+        if "== Initial Plan ==" in line:
+            skip_at = col
+            continue
+        keep.append(line)
+    return "\n".join(keep)
+
+
 def summarise(plan: str) -> dict:
-    final = plan.split("== Initial Plan ==")[0]
+    final = _final_only(plan)
     out = {k: len(re.findall(p, final)) for k, p in KINDS.items()}
     scans = re.findall(r"FileScan parquet [^\[]*\[([^\]]*)\].*?/(\w+)\.parquet", final)
     out["parquet scans"] = ", ".join(f"{t}({len(c.split(','))} cols)" for c, t in scans) or "-"
@@ -42,12 +58,15 @@ def main():
     rows = []
     for name, fn in queries().items():
         df = fn(spark, sf)
-        df.write.format("noop").mode("overwrite").save()
+        # run this DataFrame's own query execution so AQE finalises its plan
+        df._jdf.queryExecution().toRdd().count()  # noqa: SLF001
         rows.append((name, summarise(df._jdf.queryExecution().executedPlan().toString())))
     cols = list(KINDS) + ["parquet scans"]
     lines = ["# Physical plans (final AQE plans, generated by tools/plan_report.py)", "",
              f"Scale factor directory: `{sf}`. Counts are operators in the final plan; operators that",
-             "materialise an intermediate show the plan after their last checkpoint (`checkpoint reads`).", "",
+             "materialise an intermediate show the plan after their last checkpoint (`checkpoint reads`).",
+             "`broadcast`/`BHJ` are AQE's runtime choices from measured sizes (below the broadcast threshold),",
+             "plus the per-bucket offset table of global ordered scans (one row per bucket).", "",
              "| query | " + " | ".join(cols) + " |", "|---" * (len(cols) + 1) + "|"]
     for name, s in rows:
         lines.append(f"| {name} | " + " | ".join(str(s[c]) for c in cols) + " |")
