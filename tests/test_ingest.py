@@ -153,3 +153,14 @@ def test_sink_append_and_replace(spark, tmp_dir):
     assert spark.read.parquet(path).count() == 6
     sinks.write(df.where(F.col("id") > 0), path, "overwrite")
     assert spark.read.parquet(path).count() == 2
+
+
+def test_legal_units_dedupe_on(spark):
+    target = spark.createDataFrame([("1", "2024-01-05T10:11:12.000")],
+                                   "siren string, dateDernierTraitementUniteLegale string")
+    src = spark.createDataFrame([("1", "2024-01-05T10:11:12.000"), ("1", "2024-01-05T10:11:12.000"),
+                                 ("2", "2024-01-05T11:00:00.000"), ("2", "2024-01-05T11:00:00.000")],
+                                "siren string, dateDernierTraitementUniteLegale string")
+    out = legal_units.incremental_append(src, target, extracted_at="x",
+                                         dedupe_on=["siren", "dateDernierTraitementUniteLegale"])
+    assert [r.siren for r in out.collect()] == ["2"]

@@ -50,16 +50,21 @@ def high_watermark(target: DataFrame, col: str = UPDATED_AT) -> DataFrame:
 
 
 def incremental_append(source: DataFrame, target: DataFrame, *, ts_col: str = UPDATED_AT,
-                       extracted_at: str | None = None) -> DataFrame:
+                       extracted_at: str | None = None, dedupe_on=None) -> DataFrame:
     """Rows of ``source`` updated on or after the target's watermark date,
     stamped with ``date_extraction`` and conformed: the batch to append (P16).
 
     The bound is inclusive (the boundary day is fetched again), as in the
-    original; de-duplicate downstream on ``siren`` if needed.
+    original.  ``dedupe_on`` (e.g. ``["siren", UPDATED_AT]``) drops batch rows
+    whose key is already in ``target`` (a left anti join) and repeats inside
+    the batch.
     """
     wm = high_watermark(target, ts_col).scalar()  # one value: a scalar subquery
     ts = F.to_date(F.try_to_timestamp(F.col(ts_col), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS")))
     stamp = F.lit(extracted_at) if extracted_at is not None else \
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    batch = source.where(ts >= wm).withColumn("date_extraction", stamp)
-    return conform_legal_units(batch)
+    batch = source.where(ts >= wm)
+    if dedupe_on:
+        keys = list(dedupe_on)
+        batch = batch.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    return conform_legal_units(batch.withColumn("date_extraction", stamp))
