@@ -34,11 +34,11 @@ def _wide(c):
 
 def product_abc_segments(df: DataFrame, *, product, revenue, threshold=80) -> DataFrame:
     """ABC class and rank of every input row by running revenue share."""
-    # read by the scan and by the total: materialise the narrow input once
-    p = checkpointed(df.select(col(product).alias("product"), col(revenue).alias("revenue")))
-    total = p.agg(F.sum("revenue")).scalar()  # sum() over (): a scalar subquery
-    ran = ordered_scan(p, [("revenue", False), "product"], running_sums={"_cumsum": F.col("revenue")})
-    ran = ran.withColumn("_pct", F.round(_wide(F.col("_cumsum")) * 100 / _wide(total), 2))
+    p = df.select(col(product).alias("product"), col(revenue).alias("revenue"))
+    # sum() over () comes from the scan's bucket sums: the input is read once
+    ran = ordered_scan(p, [("revenue", False), "product"], running_sums={"_cumsum": F.col("revenue")},
+                       totals={"_total": "_cumsum"})
+    ran = ran.withColumn("_pct", F.round(_wide(F.col("_cumsum")) * 100 / _wide(F.col("_total")), 2))
     ranked = ordered_scan(ran, ["_pct", "product"], row_number="abc_rank_name")
     pct = F.col("_pct")
     cls = (F.when((pct > 0) & (pct <= threshold), "A")

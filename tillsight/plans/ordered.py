@@ -71,6 +71,7 @@ def ordered_scan(
     running_sums: Mapping[str, Column] | None = None,
     lag: Mapping[str, str] | None = None,
     lead: Mapping[str, str] | None = None,
+    totals: Mapping[str, str] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """Add global (or per-``partition_by``) ordered values to ``df``.
@@ -79,6 +80,8 @@ def ordered_scan(
     * ``ntiles``: ``{name: n}`` for ``ntile(n)``
     * ``running_sums``: ``{name: expr}`` for ``sum(expr) rows between unbounded preceding and current row``
     * ``lag`` / ``lead``: ``{name: source column}`` for offset 1
+    * ``totals``: ``{name: running sum name}`` for the sum over the whole
+      partition (``sum(expr) over (partition by ..)``), from the bucket sums
 
     ``order_by`` items are column names or ``(name, ascending)`` pairs.
     """
@@ -88,6 +91,7 @@ def ordered_scan(
     sums = dict(running_sums or {})
     lag = dict(lag or {})
     lead = dict(lead or {})
+    totals = dict(totals or {})
     pb = list(partition_by)
     n = buckets
     original = df.columns
@@ -146,11 +150,14 @@ def ordered_scan(
                                                                            Window.unboundedFollowing)))
     for name in sums:
         seg = seg.withColumn(f"_osum_{name}", F.sum(f"_ssum_{name}").over(ws_before))
+    for name, src in totals.items():
+        seg = seg.withColumn(f"_tot_{name}", F.sum(f"_ssum_{src}").over(
+            ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
     for name in lag:
         seg = seg.withColumn(f"_pprev_{name}", F.lag(f"_slast_{name}").over(ws))
     for name in lead:
         seg = seg.withColumn(f"_pnext_{name}", F.lead(f"_sfirst_{name}").over(ws))
-    keep = [c for c in seg.columns if c.startswith(("_ocnt", "_ntot", "_osum_", "_pprev_", "_pnext_"))]
+    keep = [c for c in seg.columns if c.startswith(("_ocnt", "_ntot", "_osum_", "_tot_", "_pprev_", "_pnext_"))]
     seg = seg.select(*seg_keys, *keep)
     # global case: one row per bucket, a size bounded by the bucket count
     joined = local.join(F.broadcast(seg) if not pb else seg, on=seg_keys, how="inner")
@@ -165,6 +172,8 @@ def ordered_scan(
         off, loc = F.col(f"_osum_{name}"), F.col(f"_lsum_{name}")
         out = out.withColumn(name, F.when(off.isNull() & loc.isNull(), F.lit(None))
                              .otherwise(F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0))))
+    for name in totals:
+        out = out.withColumn(name, F.col(f"_tot_{name}"))
     for name in lag:
         out = out.withColumn(name, F.when(F.col("_lrn") == 1, F.col(f"_pprev_{name}"))
                              .otherwise(F.col(f"_llag_{name}")))
@@ -172,7 +181,7 @@ def ordered_scan(
         out = out.withColumn(name, F.when(F.col("_lrn") == F.col("_lcnt"), F.col(f"_pnext_{name}"))
                              .otherwise(F.col(f"_llead_{name}")))
     added = [row_number] if row_number else []
-    added += list(ntiles) + list(sums) + list(lag) + list(lead)
+    added += list(ntiles) + list(sums) + list(totals) + list(lag) + list(lead)
     return out.select(*original, *added)
 
 
