@@ -120,11 +120,12 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
                          unassigned: str = UNASSIGNED) -> DataFrame:
     """Per-product sales metrics, bulk and repurchase rates, quintile label.
 
-    The original's distinct-count windows become two small flag tables
-    (single-product orders; one-time (product, customer) buyers) joined onto
-    the ``(product, order, customer)`` grain, followed by one aggregation at
-    ``(product, order)`` grain and one at product grain - no distinct-aggregate
-    row expansion and one scan of the lines.
+    The original's distinct-count windows become aggregations: orders with a
+    single product are counted per that product (no join, so a hot order stays
+    map-side combined), and the one-time (product, customer) flag is joined
+    onto the ``(product, order, customer)`` grain, followed by one aggregation
+    at ``(product, order)`` grain and one at product grain - no
+    distinct-aggregate row expansion and one scan of the lines.
     """
     pm = (df.select(col(product).alias("product"), col(order_id).alias("order_id"),
                     col(quantity).alias("quantity"), col(customer_id).alias("customer_id"),
@@ -137,22 +138,27 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
         F.sum("unit_price").alias("_su"), F.count("unit_price").alias("_cu"),
         F.sum("quantity").alias("_sq"), F.max(F.col("quantity") > 0).alias("_pos"))
     grain = checkpointed(grain)
-    single = grain.groupBy("order_id").agg((F.countDistinct("product") == 1).alias("_single"))
+    # orders holding a single product, counted per that product: aggregations
+    # only (map-side combined), so a hot order never meets a join
+    individually = (grain.where(F.col("order_id").isNotNull()).groupBy("order_id")
+                    .agg(F.countDistinct("product").alias("_n"), F.min("product").alias("product"))
+                    .where(F.col("_n") == 1)
+                    .groupBy("product").agg(F.count(F.lit(1)).alias("purchased_individually")))
     once = grain.groupBy("product", "customer_id").agg(
         (F.count(F.when(F.col("_pos"), F.col("order_id"))) == 1).alias("_once"))
-    flagged = join_nullsafe(grain, single, ["order_id"], "left")
-    flagged = join_nullsafe(flagged, once, ["product", "customer_id"], "left")
+    flagged = join_nullsafe(grain, once, ["product", "customer_id"], "left")
     po = flagged.groupBy("product", "order_id").agg(
         F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"), F.sum("_su").alias("_su"), F.sum("_cu").alias("_cu"),
-        F.sum("_sq").alias("_sq"), F.max("_single").alias("_single"), F.max("_once").alias("_once"))
+        F.sum("_sq").alias("_sq"), F.max("_once").alias("_once"))
     sku = po.groupBy("product").agg(
         F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"), F.sum("_su").alias("_su"),
         F.sum("_cu").alias("_cu"), F.sum("_sq").alias("items"),
         F.count("order_id").alias("orders"),
-        F.count(F.when(F.col("_single"), F.col("order_id"))).alias("purchased_individually"),
         F.count(F.when(F.col("_once"), F.col("order_id"))).alias("purchased_once"))
     customers = grain.groupBy("product").agg(F.countDistinct("customer_id").alias("customers"))
     sku = join_nullsafe(sku, customers, ["product"])
+    sku = join_nullsafe(sku, individually, ["product"], "left").withColumn(
+        "purchased_individually", F.coalesce("purchased_individually", F.lit(0)))
 
     # two-level sums widen decimals twice; bring them back to the width of a
     # single sum so that the divisions below keep 12 fractional digits
