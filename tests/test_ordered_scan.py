@@ -33,10 +33,11 @@ def test_matches_window(spark, pb, order):
     df = _frame(spark)
     got = ordered_scan(df, order, partition_by=pb, row_number="rn", ntiles={"nt": 5},
                        running_sums={"rs": F.col("v")}, lag={"pk": "k"}, lead={"nv": "v"}, buckets=7,
-                       totals={"tot": "rs"})
+                       totals={"tot": "rs"}, mins={"mk": "k"})
     ref = _reference(df, order, pb)
     whole = Window.partitionBy(*pb) if pb else Window.partitionBy()
-    ref = ref.select(*df.columns, "rn", "nt", "rs", F.sum("v").over(whole).alias("tot"), "pk", "nv")
+    ref = ref.select(*df.columns, "rn", "nt", "rs", F.sum("v").over(whole).alias("tot"),
+                     F.min("k").over(whole).alias("mk"), "pk", "nv")
     assert got.exceptAll(ref).count() == 0
     assert ref.exceptAll(got).count() == 0
 

@@ -202,11 +202,10 @@ def get_next_purchase_date(df: DataFrame, *, customer_id, order_date, order_id,
                      running_sums={"total_transactions": has_id, "total_revenue": F.col("revenue")},
                      lag={"previous_order_date": "order_date"},
                      lead={"_next_date": "order_date", "next_purchase_quantity": "quantity",
-                           "next_purchase_revenue": "revenue"})
-    # first purchase per customer from the scan's (checkpointed) rows, not a
-    # second pass over the source
-    first = s.groupBy("customer_id").agg(F.min("order_date").alias("first_order_date"))
-    s = join_nullsafe(s, first, ["customer_id"], "left")
+                           "next_purchase_revenue": "revenue"},
+                     # min(order_date) over (partition by customer), from the
+                     # scan's bucket minimums: no join of the lines
+                     mins={"first_order_date": "order_date"})
     lifetime = day_diff(F.col("order_date"), F.col("first_order_date"))
     prior = F.col("total_transactions") - has_id
     return s.select(

@@ -72,6 +72,7 @@ def ordered_scan(
     lag: Mapping[str, str] | None = None,
     lead: Mapping[str, str] | None = None,
     totals: Mapping[str, str] | None = None,
+    mins: Mapping[str, str] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """Add global (or per-``partition_by``) ordered values to ``df``.
@@ -82,6 +83,8 @@ def ordered_scan(
     * ``lag`` / ``lead``: ``{name: source column}`` for offset 1
     * ``totals``: ``{name: running sum name}`` for the sum over the whole
       partition (``sum(expr) over (partition by ..)``), from the bucket sums
+    * ``mins``: ``{name: source column}`` for ``min(src) over (partition by ..)``,
+      from the bucket minimums (no join of the rows with a per-key aggregate)
 
     ``order_by`` items are column names or ``(name, ascending)`` pairs.
     """
@@ -92,11 +95,12 @@ def ordered_scan(
     lag = dict(lag or {})
     lead = dict(lead or {})
     totals = dict(totals or {})
+    mins = dict(mins or {})
     pb = list(partition_by)
     n = buckets
     original = df.columns
 
-    if not (pb or sums or lag or lead):
+    if not (pb or sums or lag or lead or totals or mins):
         return _ranks_only(df, order_by, row_number, ntiles, n)
 
     for name, expr in sums.items():
@@ -131,6 +135,7 @@ def ordered_scan(
         seg_aggs += [F.sum(f"_sx_{name}").alias(f"_ssum_{name}") for name in sums]
         seg_aggs += [F.first(f"_slast_{name}").alias(f"_slast_{name}") for name in lag]
         seg_aggs += [F.first(f"_sfirst_{name}").alias(f"_sfirst_{name}") for name in lead]
+        seg_aggs += [F.min(src).alias(f"_smin_{name}") for name, src in mins.items()]
         seg = local.groupBy(*seg_keys).agg(*seg_aggs)
     else:
         # straight from the buckets: partial aggregation, no second sort
@@ -139,6 +144,7 @@ def ordered_scan(
         seg_aggs += [F.sum(f"_sx_{name}").alias(f"_ssum_{name}") for name in sums]
         seg_aggs += [F.max_by(F.col(src), key).alias(f"_slast_{name}") for name, src in lag.items()]
         seg_aggs += [F.min_by(F.col(src), key).alias(f"_sfirst_{name}") for name, src in lead.items()]
+        seg_aggs += [F.min(src).alias(f"_smin_{name}") for name, src in mins.items()]
         seg = bucketed.groupBy(*seg_keys).agg(*seg_aggs)
         local = local.drop(*[f"_slast_{n}" for n in lag], *[f"_sfirst_{n}" for n in lead])
 
@@ -150,14 +156,17 @@ def ordered_scan(
                                                                            Window.unboundedFollowing)))
     for name in sums:
         seg = seg.withColumn(f"_osum_{name}", F.sum(f"_ssum_{name}").over(ws_before))
+    whole = ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     for name, src in totals.items():
-        seg = seg.withColumn(f"_tot_{name}", F.sum(f"_ssum_{src}").over(
-            ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+        seg = seg.withColumn(f"_tot_{name}", F.sum(f"_ssum_{src}").over(whole))
+    for name in mins:
+        seg = seg.withColumn(f"_pmin_{name}", F.min(f"_smin_{name}").over(whole))
     for name in lag:
         seg = seg.withColumn(f"_pprev_{name}", F.lag(f"_slast_{name}").over(ws))
     for name in lead:
         seg = seg.withColumn(f"_pnext_{name}", F.lead(f"_sfirst_{name}").over(ws))
-    keep = [c for c in seg.columns if c.startswith(("_ocnt", "_ntot", "_osum_", "_tot_", "_pprev_", "_pnext_"))]
+    keep = [c for c in seg.columns
+            if c.startswith(("_ocnt", "_ntot", "_osum_", "_tot_", "_pmin_", "_pprev_", "_pnext_"))]
     seg = seg.select(*seg_keys, *keep)
     # global case: one row per bucket, a size bounded by the bucket count
     joined = local.join(F.broadcast(seg) if not pb else seg, on=seg_keys, how="inner")
@@ -174,6 +183,8 @@ def ordered_scan(
                              .otherwise(F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0))))
     for name in totals:
         out = out.withColumn(name, F.col(f"_tot_{name}"))
+    for name in mins:
+        out = out.withColumn(name, F.col(f"_pmin_{name}"))
     for name in lag:
         out = out.withColumn(name, F.when(F.col("_lrn") == 1, F.col(f"_pprev_{name}"))
                              .otherwise(F.col(f"_llag_{name}")))
@@ -181,7 +192,7 @@ def ordered_scan(
         out = out.withColumn(name, F.when(F.col("_lrn") == F.col("_lcnt"), F.col(f"_pnext_{name}"))
                              .otherwise(F.col(f"_llead_{name}")))
     added = [row_number] if row_number else []
-    added += list(ntiles) + list(sums) + list(totals) + list(lag) + list(lead)
+    added += list(ntiles) + list(sums) + list(totals) + list(mins) + list(lag) + list(lead)
     return out.select(*original, *added)
 
 
