@@ -131,10 +131,12 @@ def legal_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def post_rows(spark: SparkSession, sf_dir: str, as_of=EVENTS_AS_OF, refetch: bool = False) -> DataFrame:
     """``events`` read as exported posts keyed by ``instagram_profileId``.
-    ``refetch`` gives the re-read of the last 14 days for every second profile."""
+    ``refetch`` gives the re-read of the last 14 days, which returns only the
+    view / click / purchase posts (so other posts in the window are dropped)."""
     e = table(spark, sf_dir, "events")
     if refetch:
-        e = e.where((F.to_date("ts") >= F.date_sub(F.lit(as_of), 14)) & (F.col("user_id") % 2 == 0))
+        e = e.where((F.to_date("ts") >= F.date_sub(F.lit(as_of), 14))
+                    & F.col("event_type").isin("view", "click", "purchase"))
     return e.select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("instagram_profileId"),
         F.col("ts").alias("created_time"),
