@@ -122,10 +122,11 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
 
     The original's distinct-count windows become aggregations: orders with a
     single product are counted per that product (no join, so a hot order stays
-    map-side combined), and the one-time (product, customer) flag is joined
-    onto the ``(product, order, customer)`` grain, followed by one aggregation
-    at ``(product, order)`` grain and one at product grain - no
-    distinct-aggregate row expansion and one scan of the lines.
+    map-side combined); the one-time (product, customer) flag and the distinct
+    customers come from one window per (product, customer) on the
+    ``(product, order, customer)`` grain, followed by one aggregation at
+    ``(product, order)`` grain and one at product grain - no joins of the
+    grain, no distinct-aggregate row expansion, one scan of the lines.
     """
     pm = (df.select(col(product).alias("product"), col(order_id).alias("order_id"),
                     col(quantity).alias("quantity"), col(customer_id).alias("customer_id"),
@@ -144,19 +145,22 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
                     .agg(F.countDistinct("product").alias("_n"), F.min("product").alias("product"))
                     .where(F.col("_n") == 1)
                     .groupBy("product").agg(F.count(F.lit(1)).alias("purchased_individually")))
-    once = grain.groupBy("product", "customer_id").agg(
-        (F.count(F.when(F.col("_pos"), F.col("order_id"))) == 1).alias("_once"))
-    flagged = join_nullsafe(grain, once, ["product", "customer_id"], "left")
-    po = flagged.groupBy("product", "order_id").agg(
+    # times purchased and a first-row marker per (product, customer) in one
+    # window (the pair's rows: one product of one customer); summed per
+    # product, the marker counts distinct customers
+    pc = Window.partitionBy("product", "customer_id")
+    first = F.row_number().over(pc.orderBy(F.col("order_id").asc_nulls_first())) == 1
+    marked = grain.select("*", (F.count(F.when(F.col("_pos"), F.col("order_id"))).over(pc) == 1).alias("_once"),
+                          F.when(first & F.col("customer_id").isNotNull(), 1).otherwise(0).alias("_first"))
+    po = marked.groupBy("product", "order_id").agg(
         F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"), F.sum("_su").alias("_su"), F.sum("_cu").alias("_cu"),
-        F.sum("_sq").alias("_sq"), F.max("_once").alias("_once"))
+        F.sum("_sq").alias("_sq"), F.max("_once").alias("_once"), F.sum("_first").alias("_first"))
     sku = po.groupBy("product").agg(
         F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"), F.sum("_su").alias("_su"),
         F.sum("_cu").alias("_cu"), F.sum("_sq").alias("items"),
         F.count("order_id").alias("orders"),
-        F.count(F.when(F.col("_once"), F.col("order_id"))).alias("purchased_once"))
-    customers = grain.groupBy("product").agg(F.countDistinct("customer_id").alias("customers"))
-    sku = join_nullsafe(sku, customers, ["product"])
+        F.count(F.when(F.col("_once"), F.col("order_id"))).alias("purchased_once"),
+        F.sum("_first").alias("customers"))
     sku = join_nullsafe(sku, individually, ["product"], "left").withColumn(
         "purchased_individually", F.coalesce("purchased_individually", F.lit(0)))
 

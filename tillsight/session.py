@@ -21,6 +21,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # checkpoint files of materialised intermediates are removed once unused
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # broadcast only genuinely small tables: a broadcast is collected on the
+    # driver and rebuilt on every executor; above ~1 MB a shuffle join is
+    # cheaper here and is the plan these joins take at scale anyway
+    "spark.sql.autoBroadcastJoinThreshold": str(1 << 20),
 }
 
 
