@@ -93,15 +93,18 @@ def basket_product_analytics(df: DataFrame, *, product, order_id, unassigned: st
     b = cells.select("order_id", F.col("product_item").alias("p2"), span.alias("_ca"), own.alias("_cb"))
     half = (a.join(b, ["order_id", "_ca", "_cb"]).where(F.col("p1") < F.col("p2"))
             .groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("associated_orders")))
-    assoc = half.select(F.col("p1").alias("product_item"), F.col("p2").alias("product_item_b"),
-                        "associated_orders").unionByName(
-        half.select(F.col("p2").alias("product_item"), F.col("p1").alias("product_item_b"),
-                    "associated_orders"))
     items = od.groupBy("product_item").agg(F.count("order_id").alias("item_total_orders"))
     total = od.agg(F.countDistinct("order_id")).scalar()  # count(distinct) over (): a scalar
-    items_b = items.select(F.col("product_item").alias("product_item_b"),
-                           F.col("item_total_orders").alias("item_total_orders_b"))
-    j = assoc.join(items, "product_item").join(items_b, "product_item_b").withColumn("total_orders", total)
+    # per-product counts are attached to the half pairs, then mirrored: the
+    # joins see each unordered pair once
+    n1 = items.select(F.col("product_item").alias("p1"), F.col("item_total_orders").alias("_n1"))
+    n2 = items.select(F.col("product_item").alias("p2"), F.col("item_total_orders").alias("_n2"))
+    half = half.join(n1, "p1").join(n2, "p2")
+    names = ("product_item", "product_item_b", "associated_orders", "item_total_orders", "item_total_orders_b")
+    j = half.select(*[F.col(c).alias(n) for c, n in zip(("p1", "p2", "associated_orders", "_n1", "_n2"), names)]) \
+        .unionByName(half.select(*[F.col(c).alias(n) for c, n in
+                                   zip(("p2", "p1", "associated_orders", "_n2", "_n1"), names)])) \
+        .withColumn("total_orders", total)
     return j.select(
         "product_item", "product_item_b", "associated_orders", "item_total_orders", "item_total_orders_b",
         "total_orders",
