@@ -18,10 +18,13 @@ def test_global_orderings_are_not_single_task(spark, name):
 
 
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_no_cartesian_or_nested_loop_joins(spark, name):
+def test_no_cartesian_or_nested_loop_joins_or_python(spark, name):
     plan = _plan(queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+    # every registered query stays JVM-side (no Python UDF / pandas stages)
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
+        assert node not in plan
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
