@@ -44,13 +44,21 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only invent one when it is unset (tests)."""
+    """Use the cluster's ``spark.checkpoint.dir``.
+
+    Only a local-mode session (tests, benchmarks) may fall back to a fresh
+    temporary folder; on a cluster a machine-local folder would not be
+    visible to other executors, so an unset directory is an error.
+    """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors "
+                               "(operators materialise intermediates there)")
         configured = tempfile.mkdtemp(prefix="tillsight-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
