@@ -164,3 +164,22 @@ def test_legal_units_dedupe_on(spark):
     out = legal_units.incremental_append(src, target, extracted_at="x",
                                          dedupe_on=["siren", "dateDernierTraitementUniteLegale"])
     assert [r.siren for r in out.collect()] == ["2"]
+
+
+def test_reaction_keys_discovered(spark):
+    out = posts.export_posts(_pages(spark), "facebook")  # keys found with one distinct-keys job
+    assert "facebook_reaction_like" in out.columns
+
+
+def test_archive_members_written_per_entry(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "drop")
+    os.makedirs(src)
+    with zipfile.ZipFile(os.path.join(src, "kw.zip"), "w") as z:
+        z.writestr("a.csv", "id\n1\n")
+        z.writestr("b.csv", "id\n2\n3\n")
+    lines = archives.unzip_lines(archives.list_drop_files(spark, src, "kw", dt.date.today()))
+    out = os.path.join(tmp_dir, "landed")
+    sinks.write(archives.parse_csv(lines, "id INT"), out, "overwrite", partition_by=["entry"])
+    assert sorted(os.listdir(out))[:2] == ["_SUCCESS", "entry=a.csv"] or "entry=a.csv" in os.listdir(out)
+    back = spark.read.parquet(out)
+    assert sorted((r.entry, r.id) for r in back.collect()) == [("a.csv", 1), ("b.csv", 2), ("b.csv", 3)]
