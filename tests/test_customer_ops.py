@@ -114,3 +114,12 @@ def test_history_rfm_day_scope(spark):
                                  as_of=D(2024, 1, 31), revenue_scope="day").collect()
     assert {float(r.total_revenue_to_date) for r in out} == {100.0, 700.0}
     assert {r.total_order_to_date for r in out} == {1, 2}
+
+
+def test_history_rfm_unsorted_option_same_rows(spark):
+    df = _lines(spark, [(1, 1, D(2024, 1, 10), 100, 1, "VENTE"), (2, 2, D(2024, 1, 20), 600, 1, "VENTE")])
+    kw = dict(customer_id="customer_id", transaction_type="transaction_type", date="order_date",
+              revenue="revenue", order_id="order_id", as_of=D(2024, 1, 31))
+    a = C.history_rfm_segments(df, **kw)
+    b = C.history_rfm_segments(df, sort_output=False, **kw)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

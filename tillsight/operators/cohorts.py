@@ -12,7 +12,8 @@ from tillsight.functions.dates import month_label
 from tillsight.plans.ordered import checkpointed
 
 
-def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at, dims: Sequence = ()) -> DataFrame:
+def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at, dims: Sequence = (),
+                      sort_output: bool = True) -> DataFrame:
     """Acquisition month x order month: distinct customers, periods and retention.
 
     The original takes ``min(date) over (partition by customer)`` on every
@@ -20,6 +21,7 @@ def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at,
     pairs first and joined to the customer's first month, so the join fan-out
     per customer is bounded by its active months.  ``dims`` adds grouping
     columns (the original declared channel / platform but never used them).
+    ``sort_output=False`` skips the final global ``order by``.
     """
     names = dim_names(dims)
     dim_cols = [col(d).alias(n) for d, n in zip(dims, names)]
@@ -41,4 +43,4 @@ def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at,
     out = retention.select(*names, "acquisition_cohort", "order_cohort", periods.alias("periods"), "customers",
                            first_customers.alias("cohort_customers"),
                            F.round(F.col("customers") / first_customers, 3).alias("retention_percentage"))
-    return out.orderBy(*names, "acquisition_cohort", "order_cohort", "periods")
+    return out.orderBy(*names, "acquisition_cohort", "order_cohort", "periods") if sort_output else out

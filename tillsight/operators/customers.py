@@ -225,7 +225,8 @@ CALENDAR_END = "2100-01-01"
 
 
 def history_rfm_segments(df: DataFrame, *, customer_id, transaction_type, date, revenue, order_id,
-                         sale_value: str = SALE, as_of=None, revenue_scope: str = "customer") -> DataFrame:
+                         sale_value: str = SALE, as_of=None, revenue_scope: str = "customer",
+                         sort_output: bool = True) -> DataFrame:
     """Slowly-changing RFM state: validity intervals per customer and segment.
 
     The original joins every purchase interval ``[d, next purchase - 1]`` to a
@@ -237,7 +238,9 @@ def history_rfm_segments(df: DataFrame, *, customer_id, transaction_type, date,
 
     ``revenue_scope="customer"`` keeps the original's running sum of the
     customer's *all-time* revenue per purchase date; ``"day"`` sums that
-    day's revenue instead.
+    day's revenue instead.  ``sort_output=False`` skips the original's final
+    global ``order by`` (a sampling pass and a range shuffle); rows stay
+    grouped by customer.
     """
     today = as_of_date(as_of)
     raw = col(date)
@@ -303,5 +306,6 @@ def history_rfm_segments(df: DataFrame, *, customer_id, transaction_type, date,
             "first_transaction_date", "recency_segment", "frequency_segment", "monetary_segment"]
     out = scored.groupBy(*keys).agg(F.min("_p").alias("first_date_state"), F.max("_q").alias("last_date_state"))
     score = (F.col("recency_segment") * F.col("frequency_segment") * F.col("monetary_segment")).cast("long")
-    return (out.select("first_date_state", "last_date_state", *keys, score.alias("score"))
-            .orderBy(F.col("customer_id").asc_nulls_first(), F.col("first_date_state").asc_nulls_first()))
+    out = out.select("first_date_state", "last_date_state", *keys, score.alias("score"))
+    order = [F.col("customer_id").asc_nulls_first(), F.col("first_date_state").asc_nulls_first()]
+    return out.orderBy(*order) if sort_output else out.sortWithinPartitions(*order)
