@@ -21,6 +21,7 @@ BASE_COLUMNS = ("profile_id", "created_time", "content_type", "network")
 PROFILE_COLUMN = {"facebook": "facebook_profileId", "instagram": "instagram_profileId",
                   "tiktok": "profile_id", "youtube": "profile_id"}
 REACTIONS_COLUMN = "facebook_reactions_by_type"
+BROADCAST_ROWS = 1_000_000  # profile lists up to this size are broadcast
 
 
 def post_label_names(labels: Column) -> Column:
@@ -149,8 +150,12 @@ def replace_profile_window(existing: DataFrame, new: DataFrame, *, network: str
     hi = as_of_date(end if end is not None else as_of)
     lo = as_of_date(start) if start is not None else F.date_sub(hi, days)
     profiles = new.select(F.col(key).alias("_profile")).distinct()
+    # a re-fetch usually covers few profiles: broadcast the list when a count
+    # shows it is small, so the existing table is filtered in place instead
+    # of being shuffled by profile; otherwise a shuffle join
+    right = F.broadcast(profiles) if profiles.count() <= BROADCAST_ROWS else profiles
     d = _created_date(existing)
-    kept = existing.join(profiles, (existing[key] == profiles["_profile"]) & (d >= lo) & (d <= hi), "left_anti")
+    kept = existing.join(right, (existing[key] == right["_profile"]) & (d >= lo) & (d <= hi), "left_anti")
     return kept.unionByName(new, allowMissingColumns=True)
 
 
