@@ -16,6 +16,11 @@ into a single task.  ``ordered_scan`` computes the same values in two passes:
    those segment rows (at most ``#keys + #buckets`` rows, at most ``#buckets``
    per key) turns them into offsets, joined back on the segment key.
 
+Row numbers / ntiles alone (global) skip the local window: each bucket is
+sorted in place after the range shuffle and a row's position is the low part
+of ``monotonically_increasing_id()``.  Partition totals and minimums come from
+the same segment rows, so no per-key aggregate is joined back onto the data.
+
 The result equals the single global window (ties broken by the given order).
 """
 
