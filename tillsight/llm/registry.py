@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import packing, token_counts, token_files
+from tillsight.llm import decontaminate, html_text, nearest, packing, pii, token_counts, token_files, toxicity
 from tillsight.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,11 +26,43 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_checksum(token_files.read_token_files(spark, path))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item found in a document within the edit budget, with its least distance."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+#: the fold that is kept out of training
+HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
+
+
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
+    """The model learned from the labels outside the held-out fold."""
+    return toxicity.fit(toxicity.training_rows(docs, labels, where=~F.expr(HELD_OUT)))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity score, from a lexicon learned on the training fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = toxicity_model(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", F.expr(HELD_OUT).alias("held_out"), "score", "predicted",
+                                              "n_terms")
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of personal data in every document."""
+    return pii.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts through a digest cache that starts empty."""
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer=PIECE_BPE)
 
 
+def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest vectors of every vector whose id is divisible by 100, found by tree search."""
+    return nearest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def packed_digest(packed: DataFrame) -> DataFrame:
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
@@ -41,10 +73,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digest(packing.pack(_table(spark, sf_dir, "documents"), tokenizer=BYTE_BPE))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_text.extract_main_text(_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
+    "op2_decontamination": op2_decontamination,
+    "op4_toxicity": op4_toxicity,
+    "op5_personal_data": op5_personal_data,
     "op6_token_counts": op6_token_counts,
+    "op8_nearest": op8_nearest,
     "op9_packing": op9_packing,
+    "op10_main_text": op10_main_text,
 }
 
 #: none of these can be written in SQL: tokenizers, learned models and iterative joins; the tests hold them to brute force

@@ -22,8 +22,10 @@ from tillsight.llm.common import worker_state
 
 #: Unicode white space (and the four separators that only some engines count).
 WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-#: distinct words kept per worker process before the store starts afresh
-MAX_WORDS = 600_000
+#: letters below this one are letters to every engine
+LATIN_END = "\u0250"
+#: distinct pieces kept per worker process (about 200 bytes each) before the store starts afresh
+MAX_WORDS = 1_200_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -52,64 +54,94 @@ class BatchEncoder:
         self.separator = (marks[0]["content"], marks[0]["id"]) if marks else None
         unsafe = [f"{WHITE} {WHITE}"] + [_quote(t["content"]) for t in added]
         self.unsafe = "|".join(unsafe)
+        spaced = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+        spaced[[i for t, i in self.tokenizer.get_vocab().items() if t.startswith("\u0120")]] = True
+        self.spaced = spaced  # ids of tokens that begin with a space
         self._reset()
 
     def _reset(self) -> None:
-        self.slots: dict[str, int] = {}
-        self.parts: dict[str, bytes] = {}
+        self.slots: dict[str, int] = {"": 0}
         self.pool = np.empty(1 << 20, dtype=np.uint32)
         self.used = 0
-        self.starts = np.empty(1 << 18, dtype=np.int64)
-        self.sizes = np.empty(1 << 18, dtype=np.int64)
-        self.count = 0
-
-    def _encode_parts(self, parts: list[str]) -> None:
-        """Ids of pieces not seen before."""
-        for lo in range(0, len(parts), 4000):
-            some = parts[lo:lo + 4000]
+        self.starts = np.zeros(1 << 18, dtype=np.int64)
+        self.sizes = np.zeros(1 << 18, dtype=np.int64)
+        self.count = 1  # slot 0: no ids
+
+    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and the number of ids of each."""
+        ids, sizes = [], []
+        for lo in range(0, len(pieces), 4000):
+            some = pieces[lo:lo + 4000]
             if self.separator:
                 mark, mark_id = self.separator
-                ids = np.array(self.tokenizer.encode_batch_fast([mark.join(some)], add_special_tokens=False)[0].ids,
-                               dtype="<u4")
-                cuts = np.flatnonzero(ids == mark_id)
-                lows = np.concatenate(([0], cuts + 1))
-                highs = np.concatenate((cuts, [len(ids)]))
-                data = ids.tobytes()
-                for p, a, b in zip(some, (lows * 4).tolist(), (highs * 4).tolist(), strict=True):
-                    self.parts[p] = data[a:b]
+                # a space opens a pre-token of letters, so such pieces need no separator between them
+                words = all(p[0] == " " and p[1:].isalpha() and p[-1] < LATIN_END for p in some)
+                text = "".join(some) if words else mark.join(some)
+                got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+                if words:
+                    heads = np.flatnonzero(self.spaced[got])
+                    sizes.append(np.diff(heads, append=len(got)))
+                else:
+                    cuts = np.flatnonzero(got == mark_id)
+                    sizes.append(np.diff(cuts, prepend=-1, append=len(got)) - 1)
+                    got = got[got != mark_id]
+                ids.append(got)
             else:
-                for p, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                    self.parts[p] = np.array(e.ids, dtype="<u4").tobytes()
+                found = self.whole(some)
+                ids += found
+                sizes.append(np.array([len(f) for f in found], dtype=np.int64))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _add(self, pieces: list[str]) -> None:
+        pieces.sort(key=_kind)  # words between spaces first
+        cut = next((i for i, p in enumerate(pieces) if _kind(p)), len(pieces))
+        for some in (pieces[:cut], pieces[cut:]):
+            if not some:
+                continue
+            data, sizes = self._encode_pieces(some)
+            n = len(some)
+            if len(sizes) != n or int(sizes.sum()) != len(data):
+                raise ValueError("the tokenizer does not keep pieces apart")
+            self.pool = _grown(self.pool, self.used + len(data))
+            self.pool[self.used:self.used + len(data)] = data
+            self.starts = _grown(self.starts, self.count + n)
+            self.sizes = _grown(self.sizes, self.count + n)
+            self.starts[self.count:self.count + n] = self.used + np.cumsum(sizes) - sizes
+            self.sizes[self.count:self.count + n] = sizes
+            self.slots.update(zip(some, range(self.count, self.count + n), strict=True))
+            self.used += len(data)
+            self.count += n
+
+    def _slots_of(self, pieces: list[str]) -> np.ndarray:
+        slots = self.slots
+        missing = {p for p in pieces if p not in slots}
+        if missing:
+            self._add(list(missing))
+        return np.fromiter(map(slots.__getitem__, pieces), dtype=np.int64, count=len(pieces))
+
+    def _words(self, words: list[str], lead: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of ``lead + word`` for each word, and their bounds.
 
-    def _add(self, words: list[str]) -> None:
-        """Store words (with their leading space, if any); letters and a tail of ``.,`` are pre-tokens of their own."""
-        split = []
+        Letters and a tail of ``.,`` are pre-tokens of their own, stored once each.
+        """
+        bases, tails = [], []
         for w in words:
             base = w.rstrip(".,")
-            letters = base[1:] if base[:1] == " " else base
-            split.append((base, w[len(base):]) if letters and letters.isalpha() and letters[-1] < "ɐ" else (w, ""))
-        need = {p for pair in split for p in pair if p and p not in self.parts}
-        self._encode_parts(sorted(need))
-        parts = self.parts
-        encoded = [(parts[a] if a else b"") + (parts[b] if b else b"") for a, b in split]
-        data = np.frombuffer(b"".join(encoded), dtype="<u4")
-        sizes = np.fromiter((len(e) >> 2 for e in encoded), dtype=np.int64, count=len(encoded))
-        self.pool = _grown(self.pool, self.used + len(data))
-        self.pool[self.used:self.used + len(data)] = data
-        self.starts = _grown(self.starts, self.count + len(words))
-        self.sizes = _grown(self.sizes, self.count + len(words))
-        self.starts[self.count:self.count + len(words)] = self.used + np.cumsum(sizes) - sizes
-        self.sizes[self.count:self.count + len(words)] = sizes
-        self.slots.update(zip(words, range(self.count, self.count + len(words)), strict=True))
-        self.used += len(data)
-        self.count += len(words)
-
-    def _slots_of(self, words: list[str]) -> np.ndarray:
-        missing = [w for w in words if w not in self.slots]
-        if missing:
-            self._add(list(dict.fromkeys(missing)))
-        slots = self.slots
-        return np.fromiter((slots[w] for w in words), dtype=np.int64, count=len(words))
+            if len(base) == len(w) or not (base.isalpha() and base[-1] < LATIN_END):
+                base = w
+            bases.append(lead + base)
+            tails.append(w[len(base):])
+        slots = np.empty(2 * len(words), dtype=np.int64)
+        slots[0::2] = self._slots_of(bases)
+        slots[1::2] = self._slots_of(tails)
+        ids, ends = self._gather(self.pool, self.starts[slots], self.sizes[slots])
+        return ids, np.concatenate(([0], ends[1::2]))
+
+    @staticmethod
+    def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        return pool[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)], ends
 
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype=np.uint32)
@@ -138,18 +170,19 @@ class BatchEncoder:
         names = words.dictionary.to_pylist()
         later = np.ones(len(codes), dtype=bool)
         later[first] = False
-        used = np.unique(codes[later])
-        slot_of = np.zeros(len(names), dtype=np.int64)
-        slot_of[used] = self._slots_of([" " + names[c] for c in used])
-        slots = slot_of[codes]
-        slots[first] = self._slots_of([names[c] for c in codes[first]])
-        sizes = self.sizes[slots]
-        begin = self.starts[slots]
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.pool[np.repeat(begin - (ends - sizes), sizes) + np.arange(total)]
-        heads = np.concatenate((first, [len(codes)]))
-        bounds = np.concatenate(([0], ends))[heads]
+        used = np.flatnonzero(np.bincount(codes[later], minlength=len(names)))
+        spaced, spaced_bounds = self._words([names[c] for c in used], " ")
+        heads, head_bounds = self._words([names[c] for c in codes[first].tolist()], "")
+        rank = np.zeros(len(names), dtype=np.int64)
+        rank[used] = np.arange(len(used))
+        word = rank[codes]
+        begin = spaced_bounds[word]
+        sizes = spaced_bounds[word + 1] - begin if len(used) else np.zeros(len(codes), dtype=np.int64)
+        begin[first] = head_bounds[:-1] + len(spaced)
+        sizes[first] = np.diff(head_bounds)
+        ids, ends = self._gather(np.concatenate((spaced, heads)), begin, sizes)
+        marks = np.concatenate((first, [len(codes)]))
+        bounds = np.concatenate(([0], ends))[marks]
         if len(odd):
             pieces = np.split(ids, bounds[1:-1])
             for i, w in zip(odd, whole, strict=True):
@@ -159,6 +192,10 @@ class BatchEncoder:
         return ids, bounds.astype(np.int64)
 
 
+def _kind(piece: str) -> bool:
+    return not (piece[0] == " " and piece[1:].isalpha() and piece[-1] < LATIN_END)
+
+
 def _quote(text: str) -> str:
     return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text)
 
