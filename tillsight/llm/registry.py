@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import decontaminate, html_text, nearest, packing, pii, token_counts, token_files, toxicity
+from tillsight.llm import decontaminate, html_text, jaccard_join, nearest, packing, pii, token_counts, token_files, toxicity
 from tillsight.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,11 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), tokenizer=PIECE_BPE)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of shingles and the component of its near duplicates."""
+    return jaccard_join.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every vector whose id is divisible by 100, found by tree search."""
     return nearest.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
@@ -84,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op5_personal_data": op5_personal_data,
     "op6_token_counts": op6_token_counts,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_nearest": op8_nearest,
     "op9_packing": op9_packing,
     "op10_main_text": op10_main_text,
