@@ -1,22 +1,53 @@
-"""The corpus pipeline: toxicity, near duplicates, decontamination, personal data, packing."""
+"""The corpus pipeline: toxicity, near duplicates, benchmark decontamination, personal data, packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and works on all that its predecessor
+kept; all but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillsight.llm import packing
+from tillsight.llm import decontaminate, jaccard_join, packing, pii, toxicity
 from tillsight.llm.common import scratch_path
-from tillsight.llm.registry import BYTE_BPE, packed_digest
+from tillsight.llm.registry import BYTE_BPE, packed_digest, toxicity_model
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score stays below 0.5, under a model learned from the labels of the training fold."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.reject(docs, toxicity_model(docs, labels))
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group whose 5-word shingles overlap by 0.8 or more."""
+    return jaccard_join.keep_first(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.remove_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data masked and lengths brought up to date."""
+    return pii.mask_personal_data(docs)
 
 
-def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every kept document as pieces of windows of 1024 tokens."""
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every remaining document as pieces of windows of 1024 tokens."""
     return packed_digest(packing.pack(docs, tokenizer=BYTE_BPE))
 
 
-STAGES = [("packing", pack_stage)]
+STAGES = [
+    ("toxicity", toxicity_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("personal_data", personal_data_stage),
+    ("packing", packing_stage),
+]
 
-#: tokenization and learned scores have no SQL form; the tests hold run() to a brute-force version
+#: learned scores, joins over components and tokenizers have no SQL form; the tests hold run() to a brute-force version
 ORACLE_SQL = None
 
 

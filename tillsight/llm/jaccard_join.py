@@ -332,3 +332,15 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     result = table.select("doc_id", *same_set).join(named, same_set, "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
+
+
+def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
+    """``docs`` (all columns) with one document of each group of near duplicates, the one with the smallest id.
+
+    One row of each repeated id stays; rows without an id are all kept.
+    """
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width)
+    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
+    key = F.col(f"`{id_col}`").cast("long")
+    kept = docs.join(first, key == F.col("_first"), "left_semi").dropDuplicates([id_col])
+    return kept.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))

@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.llm import decontaminate, html_text, jaccard_join, nearest, packing, pii, token_counts, token_files, toxicity
+from tillsight.llm import (
+    decontaminate,
+    html_text,
+    jaccard_join,
+    nearest,
+    packing,
+    pii,
+    repeats,
+    token_counts,
+    token_files,
+    toxicity,
+)
 from tillsight.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +42,11 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 100-byte strings that occur earlier."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 #: the fold that is kept out of training
 HELD_OUT = "crc32(cast(doc_id as string)) % 5 = 0"
 
@@ -86,6 +102,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_decontamination": op2_decontamination,
+    "op3_repeated_strings": op3_repeated_strings,
     "op4_toxicity": op4_toxicity,
     "op5_personal_data": op5_personal_data,
     "op6_token_counts": op6_token_counts,
