@@ -6,21 +6,26 @@ most ``5s/4`` elements and differs in at most ``H = floor((s + floor(5s/4)) / 9)
 
 Sizes fall into bands.  For each band the universe is hashed into ``m`` segments;
 a set's part in a segment has a signature.  The smaller set of a pair probes, the larger
-is indexed.  A probe may skip a segment (value -1), look for an equal part (0) or
-for a part within one element (1: the part, its one-deletion neighbours, and the
-neighbours the indexed side has stored for the band's first segments).  If the values
-plus one add up to at least ``H + 1``, a linked pair must meet in some segment.  The
-allocation takes the cheapest values: fuller parts first (they are rarer), then one-deletion
-neighbourhoods, and the empty part (shared by all) only when nothing else is left.
+is indexed (for its own band, and for the band below if a partner there can be large enough).
+A probe may skip a segment (value -1), look for an equal part (0) or, in the relief
+segment, for a part within one element (1: the part, its one-deletion
+neighbours, and the neighbours that the indexed sets have stored).  If the values plus one
+add up to ``H + 1``, a linked pair must meet in some segment.  Costs decide the allocation: a
+segment whose signature nobody else holds is probed for nothing, and of the others
+those with the fewest holders are taken until ``H + 1`` is reached.  So a text whose parts are
+mostly its own needs no probe at all, and the signatures of common passages are skipped.
 
-Transport and verification:
+Stages, each written to the shared folder:
 
 1. One scan makes, per batch of texts, a sorted array of signatures for each
    bucket; copies of a set are signed once per task.  Each bucket is one task that
-   finds the signatures held by several sets, and links every holder to the first one (a star, not all pairs).
-2. Stars are verified exactly on the full sets, and their components found.
-3. In every signature group that still spans several components, each probe is verified
-   against each indexed set of another component.  So every linked pair is either inside one component
+   finds the signatures with several holders and tells every prober their number.
+2. Every prober chooses its probes.
+3. In its bucket a small group of probers and holders gives all its pairs; a large one gives a
+   star: every member with the one whose parts are the least its own.
+   These pairs are verified exactly on the full sets, and components are found.
+4. In every large group that still spans several components, each probe is verified
+   against each holder of another component.  So every linked pair is either inside one component
    or verified itself: nothing is capped or sampled, and a group of near copies costs a star.
 
 Shingles are compared as 64-bit hashes.  Sets below four elements link only with equal sets.
@@ -46,10 +51,12 @@ from tillsight.session import shuffle_partitions
 
 WIDTH = 5
 SMALLEST = 4  # below this size no two different sets link
-DOC, EDGE, GROUP, REF = range(4)
+DOC, SIGNED, MATCH, GROUP = range(4)
 _DOC = np.dtype([("doc_id", "<i8"), ("digest", "<i8"), ("n", "<i8"), ("fp1", "<i8"), ("fp2", "<i8"), ("has_id", "<i8")])
 _BLOB = "kind int, bucket int, base long, data binary"
-_SIG_BITS = np.uint64(17)  # below the signature: one bit for a probe, 16 for the place in the batch
+#: a packed entry: signature, role, place in the batch
+_SIGNATURE = ~np.uint64((1 << 18) - 1)
+INDEXED, OWN, NEIGHBOUR, RELIEF = range(4)
 _ROWS = 1 << 15
 
 
@@ -70,66 +77,75 @@ def bands(limit: int) -> list[tuple[int, int]]:
 
 _BANDS = bands(1 << 40)
 _LOWS = np.array([b[0] for b in _BANDS])
-RELIEF = 2  # segments of each band whose one-deletion neighbours are indexed
-
-
-def _parts(elements: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Segment of each element, scrambled elements, and the count and sum of each segment."""
+def _parts(elements: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Segment of each element, scrambled elements, and the sum of each segment."""
     segment = ((elements >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
     scrambled = mix(elements + np.uint64(0x51ED270B))
     sums = np.zeros(m, dtype=np.uint64)
     np.add.at(sums, segment, scrambled)
-    return segment, scrambled, np.bincount(segment, minlength=m), sums
+    return segment, scrambled, sums
 
 
 def _key(band: int, segments: np.ndarray, space: int) -> np.ndarray:
     return mix((np.uint64(band * 2 + space) << np.uint64(40)) + segments.astype(np.uint64))
 
 
+def band_of(size: int) -> int:
+    return int(np.searchsorted(_LOWS, size, side="right")) - 1
+
+
 def signatures(elements: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(signatures, whether each is a probe) of a set; an indexed signature is no probe.
+    """(signatures, roles) of a set.
 
-    A probe with the part itself is one entry that is also indexed.
+    ``OWN`` and ``RELIEF`` (segment 0) are parts in the set's own band, indexed and ready to
+    be probed; ``NEIGHBOUR`` are the probes for a part within one element of segment 0;
+    ``INDEXED`` are the stored one-deletion neighbours, and the parts in the band below.
     """
     size = len(elements)
     if size < SMALLEST:
-        return np.empty(0, np.uint64), np.empty(0, bool)
-    band = int(np.searchsorted(_LOWS, size, side="right")) - 1
-    out, probes = [], []
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    band = band_of(size)
+    out: list[np.ndarray] = []
+    roles: list[np.ndarray] = []
 
-    def add(values: np.ndarray, probe: np.ndarray | bool) -> None:
+    def add(values: np.ndarray, role: int) -> None:
         out.append(values)
-        probes.append(np.broadcast_to(probe, values.shape))
+        roles.append(np.full(len(values), role, np.uint64))
 
     for k in (band, band - 1):
         if k < 0 or (k < band and size > (_BANDS[band][0] - 1) * 5 // 4):
             continue  # no partner in the band below is large enough
         m = _BANDS[k][1]
-        segment, scrambled, counts, sums = _parts(elements, m)
-        places = np.arange(m)
-        own = mix(sums + _key(k, places, 0))
-        near = segment < RELIEF
-        less = sums[segment[near]] - scrambled[near]  # each part without one element
-        add(mix(less + _key(k, segment[near], 1)), False)
+        segment, scrambled, sums = _parts(elements, m)
+        own = mix(sums + _key(k, np.arange(m), 0))
+        zero = np.array([0])
+        less = sums[0] - scrambled[segment == 0]  # the part in segment 0 without one element
+        add(mix(less + _key(k, zero, 1)), INDEXED)
         if k < band:
-            add(own, False)
+            add(own, INDEXED)
             continue
-        need = max_difference(size) + 1
-        order = np.argsort(-counts, kind="stable")
-        full = int((counts > 0).sum())
-        exact = np.zeros(m, dtype=bool)
-        exact[order[:min(need, full)]] = True
-        short = need - full
-        if short > 0:
-            relief = [j for j in range(min(RELIEF, m)) if counts[j] > 1][:short]
-            for j in relief:
-                one = np.array([j])
-                add(mix(sums[one] + _key(k, one, 1)), True)
-                mine = segment == j
-                add(mix(sums[j] - scrambled[mine] + _key(k, segment[mine], 0)), True)
-            exact[order[full:full + short - len(relief)]] = True
-        add(own, exact)
-    return np.concatenate(out), np.concatenate(probes)
+        add(own[1:], OWN)
+        add(own[:1], RELIEF)
+        add(mix(sums[:1] + _key(k, zero, 1)), NEIGHBOUR)
+        add(mix(less + _key(k, zero, 0)), NEIGHBOUR)
+    return np.concatenate(out), np.concatenate(roles)
+
+
+def allocate(size: int, costs: np.ndarray, relief: int, neighbours: int) -> tuple[int, int]:
+    """The cheapest probes: (how many of the ``OWN`` entries in the order of their costs, value + 1 of segment 0).
+
+    ``costs``: sorted numbers of holders of the ``OWN`` parts that have others;
+    ``relief`` and ``neighbours``: those of segment 0 and of its neighbourhood (0: none).
+    """
+    need = max_difference(size) + 1
+    free = _BANDS[band_of(size)][1] - 1 - len(costs)  # parts that nobody else holds
+    total = np.concatenate(([0], np.cumsum(costs)))
+    best = None
+    for value, price in enumerate((0, relief, relief + neighbours)):
+        rest = max(0, need - free - value)
+        if rest <= len(costs) and (best is None or price + total[rest] < best[0]):
+            best = (price + total[rest], rest, value)
+    return best[1], best[2]
 
 
 def _sign(n_buckets: int, width: int):
@@ -154,20 +170,30 @@ def _sign(n_buckets: int, width: int):
                     rows[i]["fp1"], rows[i]["fp2"] = np.array([first, second], np.uint64).view(np.int64)
                     if rows[i]["has_id"] and (first, second) not in seen:
                         seen.add((first, second))
-                        values, probe = signatures(s)
-                        packed.append((values >> _SIG_BITS << _SIG_BITS) | (probe.astype(np.uint64) << np.uint64(16))
-                                      | np.uint64(i))
+                        values, roles = signatures(s)
+                        packed.append((values & _SIGNATURE) | (roles << np.uint64(16)) | np.uint64(i))
                 yield _blobs([(DOC, task % n_buckets, base, rows.tobytes())])
                 if packed:
                     values = np.sort(np.concatenate(packed))
-                    bucket = ((values >> np.uint64(32)) * np.uint64(n_buckets) >> np.uint64(32)).astype(np.int64)
-                    cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
-                    yield _blobs([(EDGE, k, base, values[cuts[k]:cuts[k + 1]].tobytes())
+                    cuts = np.searchsorted(_bucket(values, n_buckets), np.arange(n_buckets + 1))
+                    yield _blobs([(SIGNED, k, base, values[cuts[k]:cuts[k + 1]].tobytes())
                                   for k in range(n_buckets) if cuts[k] < cuts[k + 1]])
 
     return run
 
 
+def _bucket(values: np.ndarray, n: int) -> np.ndarray:
+    return ((values >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
+def _place(values: np.ndarray) -> np.ndarray:
+    return (values & np.uint64(0xFFFF)).astype(np.int64)
+
+
+def _role(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(16) & np.uint64(3)).astype(np.int64)
+
+
 def _blobs(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
     kind, bucket, base, data = zip(*rows, strict=True) if rows else ((), (), (), ())
     return pa.RecordBatch.from_arrays([pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()),
@@ -176,58 +202,207 @@ def _blobs(rows: list[tuple[int, int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _collide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One bucket: signatures held by several sets, as stars, and as groups for the second round."""
+    """One bucket: signatures with several holders, and their number for every prober."""
     task = TaskContext.get().partitionId()
     parts: list[tuple[int, np.ndarray]] = []
     for b in batches:
         rows = list(zip(*(c.to_pylist() for c in b.columns), strict=True))
         yield _blobs([r for r in rows if r[0] == DOC])
-        parts += [(base, np.frombuffer(data, np.uint64)) for kind, _, base, data in rows if kind == EDGE]
+        parts += [(base, np.frombuffer(data, np.uint64)) for kind, _, base, data in rows if kind == SIGNED]
     if not parts:
         return
     parts.sort(key=lambda p: p[0])
     values = np.concatenate([v for _, v in parts])
-    bases = np.repeat(np.array([b for b, _ in parts], np.int64), [len(v) for _, v in parts])
-    refs = bases | (values & np.uint64(0xFFFF)).astype(np.int64)
-    order = np.argsort(values >> _SIG_BITS, kind="stable")
+    refs = np.repeat(np.array([b for b, _ in parts], np.int64), [len(v) for _, v in parts]) | _place(values)
+    order = np.argsort(values & _SIGNATURE, kind="stable")
     values, refs = values[order], refs[order]
-    head = np.flatnonzero(np.diff(values >> _SIG_BITS, prepend=~values[:1] >> _SIG_BITS) != 0)
+    head = np.flatnonzero(np.diff(values & _SIGNATURE, prepend=~values[:1]))
     size = np.diff(head, append=len(values))
-    probe = (values >> np.uint64(16) & np.uint64(1)).astype(bool)
-    # several holders, one of them a probe
-    useful = (size > 1) & (np.maximum.reduceat(refs, head) != np.minimum.reduceat(refs, head)) & (
-        np.maximum.reduceat(probe.astype(np.int8), head) > 0)
+    holds = _role(values) != NEIGHBOUR
+    # distinct holders: an upper bound is enough for the cost, but a set must not meet only itself
+    others = np.maximum.reduceat(refs, head) != np.minimum.reduceat(refs, head)
+    holders = np.add.reduceat(holds.astype(np.int64), head)
+    useful = others & (holders > 0) & (np.maximum.reduceat((_role(values) != INDEXED).astype(np.int8), head) > 0)
     keep = np.repeat(useful, size)
     if not keep.any():
         return
-    refs, probe, size = refs[keep], probe[keep], size[useful]
+    cost = np.repeat(holders, size)[keep]
+    values, refs, size = values[keep], refs[keep], size[useful]
+    probe = np.flatnonzero(_role(values) != INDEXED)
+    probe = probe[np.argsort(refs[probe] >> 16, kind="stable")]
+    base = refs[probe] >> 16
+    cuts = np.flatnonzero(np.diff(base, prepend=-1))
+    out = [(MATCH, task, int(base[a]) << 16, values[probe[a:z]].tobytes() + cost[probe[a:z]].tobytes())
+           for a, z in zip(cuts.tolist(), [*cuts[1:].tolist(), len(base)], strict=True)]
+    for lo in range(0, len(out), 1000):
+        yield _blobs(out[lo:lo + 1000])
     first = np.cumsum(size) - size
-    centre = np.repeat(np.minimum.reduceat(refs, first), size)
-    stars = np.unique(np.column_stack((refs, centre))[refs != centre], axis=0)
-    yield _blobs([(EDGE, task, 0, stars.tobytes())])
-    yield _blobs([(REF, task, 0, np.unique(refs).tobytes())])
-    for lo in range(0, len(size), 1 << 17):  # whole groups, a bounded number each
-        hi = min(len(size), lo + (1 << 17))
+    cut = [0, *(np.flatnonzero(np.diff(first >> 17)) + 1).tolist(), len(size)]  # whole groups, a bounded number each
+    for lo, hi in zip(cut[:-1], cut[1:], strict=True):
         a, z = first[lo], first[hi - 1] + size[hi - 1]
-        yield _blobs([(GROUP, task, int(hi - lo), np.concatenate(
-            (size[lo:hi], refs[a:z] << 1 | probe[a:z])).astype(np.int64).tobytes())])
+        yield _blobs([(GROUP, task, int(z - a), values[a:z].tobytes() + refs[a:z].tobytes())])
 
 
-def _decoded(blobs: DataFrame, kind: int, dtype: np.dtype, columns: str) -> DataFrame:
-    """Rows of fixed-width records out of the blobs of one kind."""
+_CHOSEN = "bucket int, data binary"
+
+
+def _choose(n_buckets: int):
+    """Per batch: every set's probes, by bucket, as (signature, set, number of parts that are its own)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sizes, entries = None, None, []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if current is None or not entries:
+                return
+            values = np.concatenate([v for v, _ in entries])
+            costs = np.concatenate([c for _, c in entries])
+            order = np.lexsort((costs, _role(values), _place(values)))
+            values, costs = values[order], costs[order]
+            place = _place(values)
+            head = np.flatnonzero(np.diff(place, prepend=-1))
+            chosen, own = [], []
+            for a, z in zip(head.tolist(), [*head[1:].tolist(), len(place)], strict=True):
+                role, cost = _role(values[a:z]), costs[a:z]
+                size = int(sizes[place[a]])
+                parts = cost[role == OWN]
+                near, relief = int(cost[role == NEIGHBOUR].sum()), int(cost[role == RELIEF].sum())
+                rest, value = allocate(size, parts, relief, near)
+                pick = np.zeros(z - a, dtype=bool)
+                pick[np.flatnonzero(role == OWN)[:rest]] = True
+                pick |= ((role == RELIEF) & (value > 0)) | ((role == NEIGHBOUR) & (value > 1))
+                if pick.any():
+                    chosen.append(values[a:z][pick])
+                    own.append(np.full(int(pick.sum()), _BANDS[band_of(size)][1] - 1 - len(parts)))
+            if not chosen:
+                return
+            values, own = np.concatenate(chosen), np.concatenate(own)
+            rows = np.column_stack(((values & _SIGNATURE).view(np.int64), current | _place(values), own))
+            bucket = _bucket(values, n_buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(n_buckets + 1))
+            some = [k for k in range(n_buckets) if cuts[k] < cuts[k + 1]]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(some, pa.int32()),
+                 pa.array([np.ascontiguousarray(rows[order[cuts[k]:cuts[k + 1]]]).tobytes() for k in some], pa.binary())],
+                ["bucket", "data"])
+
         for b in batches:
-            for bucket, base, data in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                rows = np.frombuffer(data, dtype)
-                if dtype.names == _DOC.names:
-                    cols = [base + np.arange(len(rows)), *(rows[c].copy() for c in _DOC.names)]
+            for kind, base, data in zip(*(b.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
+                if base != current:
+                    yield from flush()
+                    current, sizes, entries = base, None, []
+                if kind == DOC:
+                    sizes = np.frombuffer(data, _DOC)["n"]
                 else:
-                    cols = [np.full(len(rows), bucket), *(rows[c].copy() for c in dtype.names)]
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in cols],
-                                                 [c.split()[0] for c in columns.split(", ")])
+                    half = len(data) // 2
+                    entries.append((np.frombuffer(data[:half], np.uint64), np.frombuffer(data[half:], np.int64)))
+        yield from flush()
 
-    return blobs.where(F.col("kind") == kind).select("bucket", "base", "data").mapInArrow(run, columns)
+    return run
+
+
+def _groups(groups: pa.Table, chosen: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(probers, holders, parts of their own of the probers) of each signature that somebody probes."""
+    if not chosen.num_rows:
+        return
+    picked = np.concatenate([np.frombuffer(d, np.int64).reshape(-1, 3) for d in chosen["data"].to_pylist()])
+    signature = picked[:, 0].copy().view(np.uint64)
+    order = np.lexsort((picked[:, 1], signature))
+    picked, signature = picked[order], signature[order]
+    for count, data in zip(groups["base"].to_pylist(), groups["data"].to_pylist(), strict=True):
+        values, refs = np.frombuffer(data[:8 * count], np.uint64), np.frombuffer(data[8 * count:], np.int64)
+        held = values & _SIGNATURE
+        head = np.flatnonzero(np.diff(held, prepend=~held[:1]))
+        end = np.append(head[1:], len(held))
+        lo = np.searchsorted(signature, held[head], side="left")
+        hi = np.searchsorted(signature, held[head], side="right")
+        for g in np.flatnonzero(hi > lo).tolist():
+            members = slice(head[g], end[g])
+            holders = np.unique(refs[members][_role(values[members]) != NEIGHBOUR])
+            probers, at = np.unique(picked[lo[g]:hi[g], 1], return_index=True)
+            yield probers, holders, picked[lo[g]:hi[g], 2][at]
+
+
+def _small(probers: np.ndarray, holders: np.ndarray) -> bool:
+    return len(probers) * len(holders) <= 4 * (len(probers) + len(holders))
+
+
+_META = "bucket int, kind int, data binary"
+PAIRS, MEMBERS = 0, 1
+
+
+def _meta(rows: list[tuple[int, int, bytes]]) -> pa.Table:
+    bucket, kind, data = zip(*rows, strict=True) if rows else ((), (), ())
+    return pa.table([pa.array(bucket, pa.int32()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())],
+                    ["bucket", "kind", "data"])
+
+
+def _distinct(pairs: list[np.ndarray], width: int = 2) -> np.ndarray:
+    """Distinct rows of some arrays."""
+    return np.unique(np.concatenate([np.empty((0, width), np.int64), *pairs]), axis=0)
+
+
+def _first_round(key, groups: pa.Table, chosen: pa.Table) -> pa.Table:
+    """All pairs of the small groups of a bucket and a star of each large one; the members of the large."""
+    pairs, members, held = [], [], 0
+    for probers, holders, own in _groups(groups, chosen):
+        if _small(probers, holders):
+            pairs.append(np.column_stack((np.repeat(probers, len(holders)), np.tile(holders, len(probers)))))
+        else:
+            centre = probers[np.lexsort((probers, own))[0]]
+            everyone = np.union1d(probers, holders)
+            pairs.append(np.column_stack((everyone, np.full(len(everyone), centre))))
+            members.append(everyone)
+        held += len(pairs[-1])
+        if held > 1 << 20:
+            pairs, held = [_distinct(pairs)], 0
+            members = [np.unique(np.concatenate(members))] if members else []
+    found = _distinct([np.sort(p, axis=1) for p in pairs])
+    found = found[found[:, 0] != found[:, 1]]
+    bucket = key[0].as_py()
+    return _meta([(bucket, PAIRS, found.tobytes())]
+                 + ([(bucket, MEMBERS, np.unique(np.concatenate(members)).tobytes())] if members else []))
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for base, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            rows = np.frombuffer(data.as_buffer(), _DOC)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(base + np.arange(len(rows)))]
+                + [pa.array(rows[c].copy(), mask=(rows["has_id"] == 0) if c == "doc_id" else None)
+                   for c in _DOC.names[:-1]], ["ref", *_DOC.names[:-1]])
+
+
+def _pairs(blobs: DataFrame) -> DataFrame:
+    """Pairs ``(x, y)`` out of the blobs of the buckets; one that several buckets found comes once per task."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out() -> pa.RecordBatch:
+            rows = _distinct(held)
+            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], ["x", "y"])
+
+        for b in batches:
+            held += [np.frombuffer(d.as_buffer(), np.int64).reshape(-1, 2) for d in b.column(0)]
+            if sum(map(len, held)) > 4 << 20:
+                held = [_distinct(held)]
+                if len(held[0]) > 2 << 20:
+                    yield out()
+                    held = []
+        yield out()
+
+    return blobs.where(F.col("kind") == PAIRS).select("data").mapInArrow(run, "x long, y long").distinct()
+
+
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for bucket, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            refs = np.frombuffer(data.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(refs), bucket, np.int32)), pa.array(refs.copy())],
+                                             ["bucket", "ref"])
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -248,35 +423,32 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return (pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct())
 
 
-def _cross(groups: pa.Table, members: pa.Table) -> pa.Table:
-    """Second round in one bucket: probes against indexed sets of other components."""
-    out = [np.empty((0, 2), np.int64)]
+def _second_round(key, left: pa.Table, members: pa.Table) -> pa.Table:
+    """Probes of the large groups of a bucket against the holders of other components."""
     order = np.argsort(members["ref"].to_numpy())
-    ref, node, component, n = (members[c].to_numpy()[order] for c in ("ref", "node", "component", "n"))
-    for count, data in zip(groups["base"].to_pylist(), groups["data"].to_pylist(), strict=True):
-        values = np.frombuffer(data, np.int64)
-        size, entries = values[:count], values[count:]
-        at = np.searchsorted(ref, entries >> 1)
-        probe = (entries & 1).astype(bool)
-        first = np.cumsum(size) - size
-        mixed = np.minimum.reduceat(component[at], first) != np.maximum.reduceat(component[at], first)
-        held: dict[int, set[bytes]] = {}
-        for g in np.flatnonzero(mixed):
-            mine = at[first[g]:first[g] + size[g]]
-            asking = np.unique(mine[probe[first[g]:first[g] + size[g]]])
-            mine = np.unique(mine)
-            key = asking.tobytes() + mine.tobytes()
-            if key in held.setdefault(len(mine), set()):
-                continue  # the same sets met in another signature
-            held[len(mine)].add(key)
-            for p in asking:
-                other = mine[(component[mine] != component[p]) & (n[mine] >= n[p]) & (4 * n[mine] <= 5 * n[p])]
-                if len(other):
-                    out.append(np.column_stack((np.full(len(other), node[p]), node[other])))
+    ref, component, n = (members[c].to_numpy()[order] for c in ("ref", "component", "n"))
+    kinds = left["kind"]
+    groups = left.filter(pa.compute.equal(kinds, GROUP))
+    chosen = left.filter(pa.compute.equal(kinds, MATCH))
+    out: list[np.ndarray] = []
+    seen: set[tuple[bytes, bytes]] = set()
+    for probers, holders, _ in _groups(groups, chosen):
+        if _small(probers, holders):
+            continue
+        p, h = np.searchsorted(ref, probers), np.searchsorted(ref, holders)
+        if len(np.unique(np.concatenate((component[p], component[h])))) == 1:
+            continue
+        pair = (probers.tobytes(), holders.tobytes())
+        if pair in seen:  # the same sets met in another signature
+            continue
+        if len(seen) < 1000:
+            seen.add(pair)
+        for i, x in zip(p, probers, strict=True):
+            other = holders[(component[h] != component[i]) & (n[h] >= n[i]) & (4 * n[h] <= 5 * n[i])]
+            out.append(np.sort(np.column_stack((np.full(len(other), x), other)), axis=1))
         if sum(map(len, out)) > 1 << 20:
-            out = [np.unique(np.sort(np.concatenate(out), axis=1), axis=0)]
-    pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
-    return pa.table([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+            out = [_distinct(out)]
+    return _meta([(key[0].as_py(), PAIRS, _distinct(out).tobytes())])
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -286,9 +458,10 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("digest"))
     signed = rows.mapInArrow(_sign(n_buckets, width), _BLOB)
     blobs = materialize(signed.repartitionById(n_buckets, F.col("bucket")).mapInArrow(_collide, _BLOB), "signatures")
+    kind = F.col("kind")
 
-    table = _decoded(blobs, DOC, _DOC, "ref long, " + ", ".join(f"{c} long" for c in _DOC.names))
-    table = materialize(table.withColumn("doc_id", F.expr("if(has_id = 1, doc_id, null)")).drop("has_id"), "sets")
+    table = blobs.where(kind == DOC).select("base", "data").mapInArrow(
+        _documents, "ref long, doc_id long, digest long, n long, fp1 long, fp2 long")
     same_set = ["fp1", "fp2", "n"]
     linked = table.where("doc_id is not null and n > 0")
     first = F.min(F.struct("doc_id", "digest")).alias("first")
@@ -296,14 +469,24 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     nodes = materialize(linked.select("ref", *same_set).join(groups, same_set)
                         .select("ref", "node", "n", F.col("digest").alias("node_digest")), "nodes")
 
-    star = np.dtype([("x", "<i8"), ("y", "<i8")])
-    stars = _decoded(blobs, EDGE, star, "bucket long, x long, y long").select("x", "y").distinct()
+    # the sets of a batch choose their probes together
+    asked = blobs.where(kind.isin(DOC, MATCH)).repartition("base").sortWithinPartitions("base", "kind")
+    chosen = materialize(asked.mapInArrow(_choose(n_buckets), _CHOSEN), "probes")
+    held = blobs.where(kind == GROUP).select("bucket", "base", "data")
+    found = materialize(held.groupBy("bucket").cogroup(chosen.groupBy("bucket")).applyInArrow(_first_round, _META),
+                        "stars")
+
     of = nodes.select("ref", "node")
-    pairs = (stars.join(of.toDF("x", "a"), "x").join(of.toDF("y", "b"), "y").where("a != b")
-             .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    pairs = materialize(pairs, "pairs")
 
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    def by_node(pairs: DataFrame) -> DataFrame:
+        return (pairs.join(of.toDF("x", "a"), "x").join(of.toDF("y", "b"), "y").where("a != b")
+                .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+
+    pairs = materialize(by_node(_pairs(found)), "pairs")
+    members = found.where(kind == MEMBERS).select("bucket", "data").mapInArrow(_members, "bucket int, ref long")
+
+    met = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
+    met = met.union(members.select("ref").distinct().join(of, "ref").select("node")).distinct()
     wanted = (nodes.select("node", "node_digest").distinct().join(met, "node", "left_semi")
               .select(F.col("node").alias("doc_id"), F.col("node_digest").alias("digest")))
 
@@ -318,13 +501,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     links = materialize(_verified(pairs, sets), "links")
     known = connected_components(links)
 
-    members = (_decoded(blobs, REF, np.dtype([("ref", "<i8")]), "bucket long, ref long")
-               .join(nodes.join(known, "node", "left").select("ref", "node", "n", F.coalesce("component", "node")
-                                                              .alias("component")), "ref"))
-    grouped = blobs.where(F.col("kind") == GROUP).select(F.col("bucket").cast("long").alias("bucket"), "base", "data")
-    others = (grouped.groupBy("bucket").cogroup(members.groupBy("bucket")).applyInArrow(_cross, "a long, b long")
-              .distinct())
-    more = materialize(_verified(materialize(others, "pairs"), sets), "links")
+    component = nodes.join(known, "node", "left").select("ref", "n", F.coalesce("component", "node").alias("component"))
+    large = members.select("bucket").distinct()
+    again = (held.withColumn("kind", F.lit(GROUP)).unionByName(
+        chosen.select("bucket", F.lit(0).cast("long").alias("base"), "data", F.lit(MATCH).alias("kind")))
+        .join(large, "bucket", "left_semi"))
+    others = materialize(again.groupBy("bucket").cogroup(members.join(component, "ref").groupBy("bucket"))
+                         .applyInArrow(_second_round, _META), "stars")
+    more = materialize(_verified(by_node(_pairs(others)), sets), "links")
     if not more.isEmpty():
         known = connected_components(links.unionByName(more))
 
