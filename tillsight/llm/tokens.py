@@ -19,13 +19,17 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 from tillsight.llm.common import worker_state
+from tillsight.llm.shingles import mix, text_bytes
 
 #: Unicode white space (and the four separators that only some engines count).
 WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-#: letters below this one are letters to every engine
-LATIN_END = "\u0250"
-#: distinct pieces kept per worker process (about 200 bytes each) before the store starts afresh
-MAX_WORDS = 1_200_000
+#: letters that are letters to every engine, and a tail that never joins them
+PLAIN_WORD = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]*$"
+#: distinct pieces kept per worker process (about 60 bytes each) before the store starts afresh
+MAX_WORDS = 1_500_000
+_RNG = np.random.default_rng(97)
+_BASES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], dtype=np.uint64)
+_BYTES = _RNG.integers(1, 1 << 62, (2, 256), dtype=np.uint64)
 
 
 def tokenizer_path(name: str) -> str:
@@ -60,27 +64,26 @@ class BatchEncoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.slots: dict[str, int] = {"": 0}
+        self.keys = [np.empty(0, np.uint64), np.empty(0, np.uint64)]  # two digests of each piece, sorted by the first
+        self.slots = np.empty(0, np.int32)
         self.pool = np.empty(1 << 20, dtype=np.uint32)
         self.used = 0
-        self.starts = np.zeros(1 << 18, dtype=np.int64)
-        self.sizes = np.zeros(1 << 18, dtype=np.int64)
+        self.starts = np.zeros(1 << 16, dtype=np.int64)
+        self.sizes = np.zeros(1 << 16, dtype=np.int32)
         self.count = 1  # slot 0: no ids
 
-    def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces and the number of ids of each."""
+    def _encode_pieces(self, pieces: list[str], words: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces and the number of ids of each; ``words``: letters after a space."""
         ids, sizes = [], []
         for lo in range(0, len(pieces), 4000):
             some = pieces[lo:lo + 4000]
             if self.separator:
                 mark, mark_id = self.separator
-                # a space opens a pre-token of letters, so such pieces need no separator between them
-                words = all(p[0] == " " and p[1:].isalpha() and p[-1] < LATIN_END for p in some)
+                # a space opens a pre-token of letters, so words need no separator between them
                 text = "".join(some) if words else mark.join(some)
                 got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
                 if words:
-                    heads = np.flatnonzero(self.spaced[got])
-                    sizes.append(np.diff(heads, append=len(got)))
+                    sizes.append(np.diff(np.flatnonzero(self.spaced[got]), append=len(got)))
                 else:
                     cuts = np.flatnonzero(got == mark_id)
                     sizes.append(np.diff(cuts, prepend=-1, append=len(got)) - 1)
@@ -92,48 +95,64 @@ class BatchEncoder:
                 sizes.append(np.array([len(f) for f in found], dtype=np.int64))
         return np.concatenate(ids), np.concatenate(sizes)
 
-    def _add(self, pieces: list[str]) -> None:
-        pieces.sort(key=_kind)  # words between spaces first
-        cut = next((i for i, p in enumerate(pieces) if _kind(p)), len(pieces))
-        for some in (pieces[:cut], pieces[cut:]):
-            if not some:
-                continue
-            data, sizes = self._encode_pieces(some)
-            n = len(some)
-            if len(sizes) != n or int(sizes.sum()) != len(data):
-                raise ValueError("the tokenizer does not keep pieces apart")
-            self.pool = _grown(self.pool, self.used + len(data))
-            self.pool[self.used:self.used + len(data)] = data
-            self.starts = _grown(self.starts, self.count + n)
-            self.sizes = _grown(self.sizes, self.count + n)
-            self.starts[self.count:self.count + n] = self.used + np.cumsum(sizes) - sizes
-            self.sizes[self.count:self.count + n] = sizes
-            self.slots.update(zip(some, range(self.count, self.count + n), strict=True))
-            self.used += len(data)
-            self.count += n
-
-    def _slots_of(self, pieces: list[str]) -> np.ndarray:
-        slots = self.slots
-        missing = {p for p in pieces if p not in slots}
-        if missing:
-            self._add(list(missing))
-        return np.fromiter(map(slots.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-
-    def _words(self, words: list[str], lead: str) -> tuple[np.ndarray, np.ndarray]:
+    def _add(self, pieces: list[str], words: bool) -> np.ndarray:
+        """Encode and store pieces; their slots."""
+        data, sizes = self._encode_pieces(pieces, words)
+        n = len(pieces)
+        if len(sizes) != n or int(sizes.sum()) != len(data):
+            raise ValueError("the tokenizer does not keep pieces apart")
+        self.pool = _grown(self.pool, self.used + len(data))
+        self.pool[self.used:self.used + len(data)] = data
+        self.starts = _grown(self.starts, self.count + n)
+        self.sizes = _grown(self.sizes, self.count + n)
+        self.starts[self.count:self.count + n] = self.used + np.cumsum(sizes) - sizes
+        self.sizes[self.count:self.count + n] = sizes
+        self.used += len(data)
+        self.count += n
+        return np.arange(self.count - n, self.count)
+
+    def _slots_of(self, bases: pa.Array, lead: str, words: bool) -> np.ndarray:
+        """The slot of ``lead + base`` for each base."""
+        coded = bases.dictionary_encode()
+        distinct = coded.dictionary
+        one, two = _digests(distinct, 2 * bool(lead) + words)
+        at = np.minimum(np.searchsorted(self.keys[0], one), max(0, len(self.keys[0]) - 1))
+        slots = np.full(len(one), -1, dtype=np.int64)
+        if len(self.keys[0]):
+            known = (self.keys[0][at] == one) & (self.keys[1][at] == two)
+            slots[known] = self.slots[at[known]]
+        if not lead:
+            slots[np.asarray(pc.equal(pc.binary_length(distinct), 0))] = 0
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            new = [lead + p for p in distinct.take(pa.array(missing)).to_pylist()]
+            slots[missing] = self._add(new, words)
+            keys = [np.concatenate((k, d[missing])) for k, d in zip(self.keys, (one, two), strict=True)]
+            order = np.argsort(keys[0], kind="stable")
+            self.slots = np.concatenate((self.slots, slots[missing].astype(np.int32)))[order]
+            self.keys = [k[order] for k in keys]
+        return slots[coded.indices.to_numpy(zero_copy_only=False)]
+
+    def _words(self, words: pa.Array, lead: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of ``lead + word`` for each word, and their bounds.
 
-        Letters and a tail of ``.,`` are pre-tokens of their own, stored once each.
+        Latin letters and a tail of ``.,`` are pre-tokens of their own, stored once each.
         """
-        bases, tails = [], []
-        for w in words:
-            base = w.rstrip(".,")
-            if len(base) == len(w) or not (base.isalpha() and base[-1] < LATIN_END):
-                base = w
-            bases.append(lead + base)
-            tails.append(w[len(base):])
-        slots = np.empty(2 * len(words), dtype=np.int64)
-        slots[0::2] = self._slots_of(bases)
-        slots[1::2] = self._slots_of(tails)
+        plain = np.asarray(pc.match_substring_regex(words, PLAIN_WORD))
+        slots = np.zeros((len(words), 2), dtype=np.int64)
+        at = np.flatnonzero(plain)
+        if len(at):
+            some = words.take(pa.array(at))
+            base = pc.utf8_rtrim(some, ".,")
+            slots[at, 0] = self._slots_of(base, lead, words=bool(lead))
+            cut = np.flatnonzero(np.asarray(pc.binary_length(base)) < np.asarray(pc.binary_length(some)))
+            if len(cut):
+                tail = pc.utf8_ltrim(pc.replace_substring_regex(some.take(pa.array(cut)), "^[^.,]+", ""), " ")
+                slots[at[cut], 1] = self._slots_of(tail, "", words=False)
+        at = np.flatnonzero(~plain)
+        if len(at):
+            slots[at, 0] = self._slots_of(words.take(pa.array(at)), lead, words=False)
+        slots = slots.ravel()
         ids, ends = self._gather(self.pool, self.starts[slots], self.sizes[slots])
         return ids, np.concatenate(([0], ends[1::2]))
 
@@ -167,12 +186,12 @@ class BatchEncoder:
         first = np.asarray(lists.offsets)[:-1].astype(np.int64) - lists.offsets[0].as_py()
         words = lists.flatten().dictionary_encode()
         codes = words.indices.to_numpy(zero_copy_only=False)
-        names = words.dictionary.to_pylist()
+        names = words.dictionary
         later = np.ones(len(codes), dtype=bool)
         later[first] = False
         used = np.flatnonzero(np.bincount(codes[later], minlength=len(names)))
-        spaced, spaced_bounds = self._words([names[c] for c in used], " ")
-        heads, head_bounds = self._words([names[c] for c in codes[first].tolist()], "")
+        spaced, spaced_bounds = self._words(names.take(pa.array(used)), " ")
+        heads, head_bounds = self._words(names.take(pa.array(codes[first])), "")
         rank = np.zeros(len(names), dtype=np.int64)
         rank[used] = np.arange(len(used))
         word = rank[codes]
@@ -192,8 +211,17 @@ class BatchEncoder:
         return ids, bounds.astype(np.int64)
 
 
-def _kind(piece: str) -> bool:
-    return not (piece[0] == " " and piece[1:].isalpha() and piece[-1] < LATIN_END)
+def _digests(texts: pa.Array, salt: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit digests of each string."""
+    data, bounds = text_bytes(texts)
+    size = np.diff(bounds)
+    place = np.arange(len(data)) - np.repeat(bounds[:-1], size)
+    powers = np.cumprod(np.full((int(size.max(initial=0)) + 1, 2), _BASES, dtype=np.uint64), axis=0)
+    out = []
+    for k in range(2):
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[k][data] * powers[place, k])))
+        out.append(mix(total[bounds[1:]] - total[bounds[:-1]] + mix(size.astype(np.uint64) * np.uint64(4) + np.uint64(salt))))
+    return out[0], out[1]
 
 
 def _quote(text: str) -> str:
