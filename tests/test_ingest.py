@@ -5,6 +5,7 @@ import os
 import time
 import zipfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillsight.sources import archives, legal_units, metrics, posts, profiles, sinks, web_traffic
@@ -93,7 +94,6 @@ def test_replace_tail_is_unconditional(spark):
 
 
 def test_legal_units_increment(spark):
-    ts = "yyyy-MM-dd'T'HH:mm:ss.SSS"
     target = spark.createDataFrame([("1", "2024-01-05T10:11:12.000")], "siren string, dateDernierTraitementUniteLegale string")
     src = spark.createDataFrame([("1", "2024-01-05T23:00:00.000", "x", [("2020-01-01", "A")], 1.0),
                                  ("2", "2024-01-04T10:00:00.000", "3", None, 2.0),
@@ -110,7 +110,6 @@ def test_legal_units_increment(spark):
     assert rows["1"].nombrePeriodesUniteLegale is None and rows["3"].nombrePeriodesUniteLegale == 4.0
     assert rows["1"].periodesUniteLegale == '[{"dateDebut":"2020-01-01","etat":"A"}]'
     assert rows["3"].sigleUniteLegale is None and rows["1"].date_extraction == "2024-01-31 00:00:00"
-    assert ts  # format documented in legal_units
 
 
 def test_web_traffic_names_and_melt(spark):
@@ -139,8 +138,7 @@ def test_archives_listing_and_unzip(spark, tmp_dir):
     os.utime(old, (past, past))
     files = archives.list_drop_files(spark, tmp_dir, "kw", dt.date.today())
     assert [os.path.basename(r.path) for r in files.select("path").collect()] == ["export_kw_1.zip"]
-    lines = archives.unzip_lines(files)
-    parsed = archives.parse_csv(lines, "id INT, name STRING")
+    parsed = archives.parse_csv(archives.unzip_records(files), "id INT, name STRING")
     got = sorted((r.entry, r.id, r.name) for r in parsed.collect())
     assert got == [("a.csv", 1, "x"), ("a.csv", 2, "y"), ("b.csv", 3, "z")]
 
@@ -177,9 +175,92 @@ def test_archive_members_written_per_entry(spark, tmp_dir):
     with zipfile.ZipFile(os.path.join(src, "kw.zip"), "w") as z:
         z.writestr("a.csv", "id\n1\n")
         z.writestr("b.csv", "id\n2\n3\n")
-    lines = archives.unzip_lines(archives.list_drop_files(spark, src, "kw", dt.date.today()))
+    records = archives.unzip_records(archives.list_drop_files(spark, src, "kw", dt.date.today()))
     out = os.path.join(tmp_dir, "landed")
-    sinks.write(archives.parse_csv(lines, "id INT"), out, "overwrite", partition_by=["entry"])
+    sinks.write(archives.parse_csv(records, "id INT"), out, "overwrite", partition_by=["entry"])
     assert sorted(os.listdir(out))[:2] == ["_SUCCESS", "entry=a.csv"] or "entry=a.csv" in os.listdir(out)
     back = spark.read.parquet(out)
     assert sorted((r.entry, r.id) for r in back.collect()) == [("a.csv", 1), ("b.csv", 2), ("b.csv", 3)]
+
+
+LU = "siren string, dateDernierTraitementUniteLegale string"
+
+
+def test_legal_units_any_fraction(spark):
+    target = spark.createDataFrame([("0", "2024-01-05T10:11:12")], LU)
+    src = spark.createDataFrame([("1", "2024-01-05T10:00:00"), ("2", "2024-01-06T10:00:00.123456"),
+                                 ("3", "2024-01-06T10:00:00.1"), ("4", "2024-01-04T23:59:59.999999"), ("5", None)], LU)
+    out = legal_units.incremental_append(src, target, extracted_at="x")
+    assert sorted(r.siren for r in out.collect()) == ["1", "2", "3"]
+
+
+def test_legal_units_bad_text_fails(spark):
+    good = spark.createDataFrame([("0", "2024-01-05T10:11:12")], LU)
+    bad = spark.createDataFrame([("1", "2024-99-99 never")], LU)
+    with pytest.raises(Exception, match="not an ISO timestamp"):
+        legal_units.incremental_append(bad, good, extracted_at="x").collect()
+    with pytest.raises(Exception, match="not an ISO timestamp"):
+        legal_units.high_watermark(bad).collect()
+
+
+def test_legal_units_one_row_per_key_is_defined(spark):
+    rows = [("1", "2024-01-06T00:00:00", "b"), ("1", "2024-01-06T00:00:00", "a")]
+    for order in (rows, rows[::-1]):
+        src = spark.createDataFrame(order, LU + ", sigleUniteLegale string")
+        out = legal_units.incremental_append(src, src.limit(0), extracted_at="x",
+                                             dedupe_on=["siren", legal_units.UPDATED_AT])
+        assert [r.sigleUniteLegale for r in out.collect()] == ["a"]
+
+
+def test_legal_units_bound_reaches_the_scan(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "lu")
+    spark.createDataFrame([("1", "2024-01-05T10:00:00"), ("2", "2024-02-05T10:00:00")], LU).write.parquet(path)
+    target = spark.createDataFrame([("0", "2024-02-01T00:00:00")], LU)
+    out = legal_units.incremental_append(spark.read.parquet(path), target, extracted_at="x")
+    assert [r.siren for r in out.collect()] == ["2"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    pushed = [x for x in plan.splitlines() if "PushedFilters" in x or "DataFilters" in x]
+    assert any("dateDernierTraitementUniteLegale" in x and ">=" in x for x in pushed)
+
+
+def test_align_series_keeps_repeated_dates(spark):
+    d = dt.date(2024, 1, 1)
+    a = spark.createDataFrame([(d, 5.0), (d, 1.0)], "date date, visits double")
+    b = spark.createDataFrame([(d, 7.0)], "date date, visits double")
+    out = web_traffic.align_series({"a.fr": a, "b.fr": b})
+    assert sorted((r["a.fr"], r["b.fr"]) for r in out.collect()) == [(1.0, 7.0), (5.0, None)]
+
+
+def test_clean_name_cases():
+    assert web_traffic.clean_name("a..b/c & d&e") == "a_b_c__d" + "e"
+    assert web_traffic.clean_name("Fraîcheur+") == "Fraicheur"
+
+
+def test_midnight_file_belongs_to_its_day(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "kw.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("a.csv", "id\n1\n")
+    midnight = dt.datetime(2024, 3, 5, tzinfo=dt.timezone.utc).timestamp()
+    os.utime(path, (midnight, midnight))
+    assert archives.list_drop_files(spark, tmp_dir, "kw", "2024-03-05").count() == 1
+    assert archives.list_drop_files(spark, tmp_dir, "kw", "2024-03-04").count() == 0
+
+
+def test_csv_records_keep_quoted_breaks(spark, tmp_dir):
+    for n in (1, 2):
+        with zipfile.ZipFile(os.path.join(tmp_dir, f"kw{n}.zip"), "w") as z:
+            z.writestr("a.csv", f'id,name\r\n{n},"two\nlines"\r\n{n + 10},"x\u2028y"\r\n{n + 20},\r\n')
+            z.writestr("sub/", "")
+    with zipfile.ZipFile(os.path.join(tmp_dir, "kw3.zip"), "w") as z:
+        z.writestr("latin.csv", "id,name\n9,été\n".encode("latin-1"))
+    files = archives.list_drop_files(spark, tmp_dir, "kw", dt.date.today())
+    utf8 = files.where(~F.col("path").endswith("kw3.zip"))
+    got = sorted((r.id, r.name) for r in archives.parse_csv(archives.unzip_records(utf8), "id INT, name STRING").collect())
+    assert got == [(1, "two\nlines"), (2, "two\nlines"), (11, "x\u2028y"), (12, "x\u2028y"), (21, ""), (22, "")]
+    latin = archives.unzip_records(files.where(F.col("path").endswith("kw3.zip")), encoding="latin-1")
+    assert [r.name for r in archives.parse_csv(latin, "id INT, name STRING").collect()] == ["été"]
+
+
+def test_unlisted_reaction_key_fails(spark):
+    with pytest.raises(Exception, match="reaction_keys lacks like"):
+        posts.export_posts(_pages(spark), "facebook", reaction_keys=["love"]).collect()

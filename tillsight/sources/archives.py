@@ -1,22 +1,16 @@
-"""Zip archives landed in a drop folder -> CSV lines."""
+"""Zip archives landed in a drop folder -> CSV records."""
 
 from __future__ import annotations
 
 import datetime as dt
-import io
-import zipfile
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LINE_SCHEMA = T.StructType([
-    T.StructField("archive", T.StringType()),
-    T.StructField("entry", T.StringType()),
-    T.StructField("line_no", T.LongType()),
-    T.StructField("line", T.StringType()),
-])
+RECORD_SCHEMA = "archive string, entry string, record_no long, fields array<string>"
+CHUNK_RECORDS = 5_000
+CHUNK_CHARS = 4 << 20
 
 
 def _glob_literal(text: str) -> str:
@@ -25,40 +19,62 @@ def _glob_literal(text: str) -> str:
 
 def list_drop_files(spark: SparkSession, path: str, keyword: str, day: dt.date | str | None = None) -> DataFrame:
     """Files under ``path`` whose name contains ``keyword`` and that were
-    modified on ``day`` (default: today), with their bytes (P21)."""
+    modified on ``day`` (default: today; midnight belongs to the day it opens),
+    with their bytes (P21)."""
     day = dt.date.fromisoformat(str(day)) if day is not None else dt.date.today()
-    nxt = day + dt.timedelta(days=1)
-    return (spark.read.format("binaryFile")
-            .option("pathGlobFilter", f"*{_glob_literal(keyword)}*")
-            .option("modifiedAfter", f"{day.isoformat()}T00:00:00")
-            .option("modifiedBefore", f"{nxt.isoformat()}T00:00:00")
-            .load(path))
-
-
-def _unzip(batches):
-    for pdf in batches:
-        out = []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as z:
-                for name in z.namelist():
-                    if name.endswith("/"):
-                        continue
-                    text = z.read(name).decode("utf-8-sig")
-                    for i, line in enumerate(text.splitlines()):
-                        out.append((path, name, i, line))
-        yield pd.DataFrame(out, columns=["archive", "entry", "line_no", "line"])
-
-
-def unzip_lines(files: DataFrame) -> DataFrame:
-    """Every member of every archive as ``(archive, entry, line_no, line)``
-    (P22).  One archive is one task's unit of work; members are kept apart
-    by ``entry`` (the original wrote them all to the same file name)."""
-    return files.select("path", "content").mapInPandas(_unzip, LINE_SCHEMA)
-
-
-def parse_csv(lines: DataFrame, schema: T.StructType | str, header: bool = True, sep: str = ",") -> DataFrame:
-    """Parse the lines of :func:`unzip_lines` with a known schema."""
-    body = lines.where(F.col("line_no") > 0) if header else lines
-    ddl = schema if isinstance(schema, str) else schema.simpleString()[len("struct<"):-1].replace(":", " ")
-    parsed = F.from_csv(F.col("line"), ddl, {"sep": sep})
-    return body.select("archive", "entry", parsed.alias("_r")).select("archive", "entry", "_r.*")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", f"*{_glob_literal(keyword)}*").load(path))
+    return files.where((F.col("modificationTime") >= F.lit(f"{day}").cast("timestamp"))
+                       & (F.col("modificationTime") < F.lit(f"{day + dt.timedelta(days=1)}").cast("timestamp")))
+
+
+def unzip_records(files: DataFrame, *, sep: str = ",", encoding: str = "utf-8-sig") -> DataFrame:
+    """Every CSV record of every member of every archive as ``(archive, entry,
+    record_no, fields)`` (P22).
+
+    One archive is one task's unit of work; its members are streamed, so a task
+    holds the archive's bytes and one bounded chunk of records.  Members are kept
+    apart by ``entry`` (the original wrote them all to the same file name).
+    A quoted field keeps its line breaks, and only CR and LF end a record.
+    """
+
+    def read(batches):
+        import csv
+        import io
+        import zipfile
+
+        import pyarrow as pa
+
+        def chunk(rows):
+            cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.list_(pa.string()))
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
+                                              ["archive", "entry", "record_no", "fields"])
+
+        csv.field_size_limit(1 << 30)
+        for batch in batches:
+            for path, content in zip(*batch.columns, strict=True):
+                rows, chars = [], 0
+                with zipfile.ZipFile(io.BytesIO(content.as_buffer())) as z:
+                    for member in z.infolist():
+                        if member.is_dir():
+                            continue
+                        with z.open(member) as raw, io.TextIOWrapper(raw, encoding=encoding, newline="") as text:
+                            for n, fields in enumerate(r for r in csv.reader(text, delimiter=sep) if r):
+                                rows.append((path.as_py(), member.filename, n, fields))
+                                chars += sum(map(len, fields))
+                                if len(rows) >= max_records or chars >= max_chars:
+                                    yield chunk(rows)
+                                    rows, chars = [], 0
+                yield chunk(rows)
+
+    max_records, max_chars = CHUNK_RECORDS, CHUNK_CHARS
+    return files.select("path", "content").mapInArrow(read, RECORD_SCHEMA)
+
+
+def parse_csv(records: DataFrame, schema: T.StructType | str, header: bool = True) -> DataFrame:
+    """The records of :func:`unzip_records` with a known schema; a missing,
+    empty (but for text) or unparsable field is null."""
+    body = records.where(F.col("record_no") > 0) if header else records
+    fields = T.StructType.fromDDL(schema).fields if isinstance(schema, str) else schema.fields
+    value = [F.try_element_at("fields", F.lit(i + 1)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(fields)]
+    return body.select("archive", "entry", *value)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,12 +43,24 @@ def conform_legal_units(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def _timestamp(text: Column) -> Column:
+    """ISO timestamp text with any fraction (or none); unparsable text fails the job."""
+    ts = text.try_cast("timestamp")
+    return F.when(text.isNotNull() & ts.isNull(),
+                  F.raise_error(F.concat(F.lit("not an ISO timestamp: "), text)).cast("timestamp")).otherwise(ts)
+
+
 def high_watermark(target: DataFrame, col: str = UPDATED_AT) -> DataFrame:
     """One-row frame ``watermark``: the date of the newest ISO timestamp text
     in ``target``, 1970-01-01 when empty (P15)."""
-    newest = F.max(F.col(col))
-    d = F.to_date(F.try_to_timestamp(newest, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS")))
-    return target.agg(F.coalesce(d, F.lit(DEFAULT_WATERMARK).cast("date")).alias("watermark"))
+    newest = F.to_date(F.max(_timestamp(F.col(col))))
+    return target.agg(F.coalesce(newest, F.lit(DEFAULT_WATERMARK).cast("date")).alias("watermark"))
+
+
+def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per key: the first one in the order of all columns' JSON text."""
+    first = Window.partitionBy(*keys).orderBy(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    return df.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
 def incremental_append(source: DataFrame, target: DataFrame, *, ts_col: str = UPDATED_AT,
@@ -55,16 +69,18 @@ def incremental_append(source: DataFrame, target: DataFrame, *, ts_col: str = UP
     stamped with ``date_extraction`` and conformed: the batch to append (P16).
 
     The bound is inclusive (the boundary day is fetched again), as in the
-    original.  ``dedupe_on`` (e.g. ``["siren", UPDATED_AT]``) drops batch rows
-    whose key is already in ``target`` (a left anti join) and repeats inside
-    the batch.
+    original.  ISO text sorts like time, so the bound on the text itself reaches
+    the scan; a text in the batch that is no timestamp fails the job.
+    ``dedupe_on`` (e.g. ``["siren", UPDATED_AT]``) drops batch rows whose key is
+    already in ``target`` (a left anti join) and repeats inside the batch.
     """
-    wm = high_watermark(target, ts_col).scalar()  # one value: a scalar subquery
-    ts = F.to_date(F.try_to_timestamp(F.col(ts_col), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS")))
+    wm = high_watermark(target, ts_col)
+    text = F.col(ts_col)
     stamp = F.lit(extracted_at) if extracted_at is not None else \
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    batch = source.where(ts >= wm)
+    bound = wm.select(F.date_format("watermark", "yyyy-MM-dd")).scalar()  # one value: a scalar subquery
+    batch = source.where(text >= bound).where(F.to_date(_timestamp(text)) >= F.to_date(bound))
     if dedupe_on:
         keys = list(dedupe_on)
-        batch = batch.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+        batch = one_per_key(batch, keys).join(target.select(*keys), keys, "left_anti")
     return conform_legal_units(batch.withColumn("date_extraction", stamp))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight.functions.columns import as_of_date
+from tillsight.sources.posts import distinct_names
 
 
 def unpack_metric_cube(payloads: DataFrame, network: str, metric_names: Iterable[str] | None = None) -> DataFrame:
@@ -18,13 +19,13 @@ def unpack_metric_cube(payloads: DataFrame, network: str, metric_names: Iterable
     ``payloads`` has ``header`` (array of ``{rows: array<string>}``: dates,
     profiles, metrics) and ``data`` (array<array<array<double>>>).  Payloads
     without a full header or without data are skipped.  Metric names come
-    from the caller or from one distinct-names job.  Both axes are exploded
+    from the caller or from one distinct-names job (a bounded number).  Both axes are exploded
     with positions, so no cube is ever collected.
     """
     valid = payloads.where(F.col("data").isNotNull() & (F.size("header") >= 3))
     metrics = F.col("header").getItem(2).getField("rows")
     if metric_names is None:
-        metric_names = [r[0] for r in valid.select(F.explode(metrics)).distinct().orderBy(1).collect()]
+        metric_names = distinct_names(valid.select(F.explode(metrics)))
     cells = (valid.select(F.posexplode(F.col("header").getItem(0).getField("rows")).alias("_di", "date"),
                           F.col("header").getItem(1).getField("rows").alias("_profiles"),
                           metrics.alias("_metrics"), "data")
@@ -42,7 +43,10 @@ def unpack_metric_cube(payloads: DataFrame, network: str, metric_names: Iterable
 
 
 def union_metrics(frames: Iterable[DataFrame]) -> DataFrame:
-    """Append networks with different metric columns; missing numbers -> 0."""
+    """Append networks with different metric columns; missing numbers -> 0.
+
+    Only numeric columns are filled; text and dates stay null.
+    """
     out = None
     for df in frames:
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)

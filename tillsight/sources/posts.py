@@ -21,7 +21,15 @@ BASE_COLUMNS = ("profile_id", "created_time", "content_type", "network")
 PROFILE_COLUMN = {"facebook": "facebook_profileId", "instagram": "instagram_profileId",
                   "tiktok": "profile_id", "youtube": "profile_id"}
 REACTIONS_COLUMN = "facebook_reactions_by_type"
-BROADCAST_ROWS = 1_000_000  # profile lists up to this size are broadcast
+MAX_KEYS = 10_000  # distinct names that become columns
+
+
+def distinct_names(names: DataFrame) -> list[str]:
+    """The distinct values of a one-column frame; more than ``MAX_KEYS`` cannot be columns and raise."""
+    found = [r[0] for r in names.distinct().orderBy(1).limit(MAX_KEYS + 1).collect()]
+    if len(found) > MAX_KEYS:
+        raise ValueError(f"more than {MAX_KEYS} distinct names")
+    return found
 
 
 def post_label_names(labels: Column) -> Column:
@@ -73,8 +81,9 @@ def expand_struct_columns(df: DataFrame, network: str, reaction_keys: Iterable[s
     """Reaction counts -> ``facebook_reaction_<k>`` columns; attachment
     objects -> ``<network>_attachment_<field>`` columns (P05).
 
-    Map-typed reactions need their keys: pass ``reaction_keys`` or they are
-    discovered with one distinct-keys job.  Attachment *lists* are left for
+    Map-typed reactions need their keys: pass ``reaction_keys`` (a key that is
+    not listed fails the job, so no count is lost) or they are discovered with
+    one distinct-keys job, of at most ``MAX_KEYS`` names.  Attachment *lists* are left for
     :func:`stringify_complex`, as in the original.  The original gave every
     attachment field the same name; fields get a suffix here.
     """
@@ -85,9 +94,12 @@ def expand_struct_columns(df: DataFrame, network: str, reaction_keys: Iterable[s
         if isinstance(t, T.StructType):
             new = [rc.getField(f.name).alias(f"facebook_reaction_{f.name}") for f in t.fields]
         elif isinstance(t, T.MapType):
-            keys = list(reaction_keys) if reaction_keys is not None else [
-                r[0] for r in df.select(F.explode(F.map_keys(rc))).distinct().orderBy(1).collect()]
-            new = [F.try_element_at(rc, F.lit(k)).alias(f"facebook_reaction_{k}") for k in keys]
+            keys = list(reaction_keys) if reaction_keys is not None else distinct_names(
+                df.select(F.explode(F.map_keys(rc))))
+            unlisted = F.array_except(F.map_keys(rc), F.array(*map(F.lit, keys)).cast("array<string>"))
+            known = F.when(F.size(unlisted) > 0, F.raise_error(F.concat(
+                F.lit("reaction_keys lacks "), F.array_join(unlisted, ", "))).cast(t)).otherwise(rc)
+            new = [F.try_element_at(known, F.lit(k)).alias(f"facebook_reaction_{k}") for k in keys]
         else:
             new = []
         df = df.select(*[F.col(f"`{c}`") for c in df.columns if c != REACTIONS_COLUMN], *new)
@@ -117,6 +129,8 @@ def stringify_complex(df: DataFrame) -> DataFrame:
     """Lists -> ", "-joined text, objects -> JSON, missing text -> '' (P06).
 
     Numbers and dates keep their type (pandas only touched object columns).
+    List items that are booleans become ``true`` / ``false``, null items are left
+    out, and JSON text keeps non-ASCII characters as they are.
     """
     out = []
     for f in df.schema.fields:
@@ -150,13 +164,12 @@ def replace_profile_window(existing: DataFrame, new: DataFrame, *, network: str
     hi = as_of_date(end if end is not None else as_of)
     lo = as_of_date(start) if start is not None else F.date_sub(hi, days)
     profiles = new.select(F.col(key).alias("_profile")).distinct()
-    # a re-fetch usually covers few profiles: broadcast the list when a count
-    # shows it is small, so the existing table is filtered in place instead
-    # of being shuffled by profile; otherwise a shuffle join
-    right = F.broadcast(profiles) if profiles.count() <= BROADCAST_ROWS else profiles
     d = _created_date(existing)
-    kept = existing.join(right, (existing[key] == right["_profile"]) & (d >= lo) & (d <= hi), "left_anti")
-    return kept.unionByName(new, allowMissingColumns=True)
+    inside = F.coalesce((d >= lo) & (d <= hi), F.lit(False))
+    # rows outside the window pass through; only the window's slice is joined
+    slice_ = existing.where(inside)
+    kept = slice_.join(profiles, slice_[key] == profiles["_profile"], "left_anti")
+    return existing.where(~inside).unionByName(kept).unionByName(new, allowMissingColumns=True)
 
 
 def export_posts(pages: DataFrame, network: str, reaction_keys: Iterable[str] | None = None) -> DataFrame:

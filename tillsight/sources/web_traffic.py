@@ -7,21 +7,20 @@ import re
 import unicodedata
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# fixed values: the column-name cleaning rule of the original export
-NAME_PATTERN = r"/|en|[()]|\.+|& "
-NAME_REPLACEMENTS = ((" ", "_"), ("&", ""), ("-", "_"), ("+", ""))
+# fixed values: what becomes an underscore and what disappears from a column name
+UNDERSCORED = (r"\.+", "en", "& ", "[/() -]")
+DROPPED = "[&+]"
+_NAME_PART = re.compile(f"(?P<line>{'|'.join(UNDERSCORED)})|{DROPPED}")
 
 
 def clean_name(text: str) -> str:
-    """Apply the export's naming rule to one column name.  Note that the
-    substring "en" is replaced anywhere ("centre" -> "c_tre"), as in the original."""
-    text = re.sub(NAME_PATTERN, "_", text)
-    for old, new in NAME_REPLACEMENTS:
-        text = text.replace(old, new)
-    return unicodedata.normalize("NFD", text).encode("ascii", "ignore").decode("utf-8")
+    """One column name in plain ASCII.  Note that the substring "en" is
+    replaced anywhere ("centre" -> "c_tre"), as in the original."""
+    marked = _NAME_PART.sub(lambda m: "_" if m["line"] else "", text)
+    return "".join(c for c in unicodedata.normalize("NFD", marked) if c < "\x80")
 
 
 def clean_column_names(df: DataFrame) -> DataFrame:
@@ -34,8 +33,10 @@ def align_series(frames: Mapping[str, DataFrame], *, date_col: str = "date", val
     visits and ``date_<domain>`` that domain's date (P18).
 
     The original glued the frames by row position; rows are matched by date
-    here (identical for equal date grids).  All series go through one
-    union + pivot, i.e. a single aggregation instead of a chain of joins.
+    here (identical for equal date grids).  A domain's repeated rows of one date
+    are numbered in the order of their values and matched by date and number, so
+    every row is kept.  All series go through one union + pivot, i.e. a single
+    aggregation instead of a chain of joins.
     """
     domains = list(frames)
     long = None
@@ -43,8 +44,9 @@ def align_series(frames: Mapping[str, DataFrame], *, date_col: str = "date", val
         part = df.select(F.col(date_col).alias("_date"), F.lit(d).alias("_domain"),
                          F.col(value_col).cast("double").alias("_v"))
         long = part if long is None else long.unionByName(part)
-    wide = long.groupBy("_date").pivot("_domain", domains).agg(F.first("_v").alias("v"),
-                                                                F.max("_date").alias("d"))
+    nth = F.row_number().over(Window.partitionBy("_domain", "_date").orderBy(F.col("_v").asc_nulls_first()))
+    wide = (long.withColumn("_nth", nth).groupBy("_date", "_nth").pivot("_domain", domains)
+            .agg(F.max("_v").alias("v"), F.max("_date").alias("d")))
     cols = []
     for d in domains:
         cols += [F.col(f"`{d}_d`").alias(f"date_{d}"), F.col(f"`{d}_v`").alias(d)]

@@ -10,13 +10,16 @@ a crashed run resumes from the checkpoint without duplicates.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from tillsight.functions.columns import join_nullsafe
 from tillsight.session import ensure_checkpoint_dir
-from tillsight.sources.legal_units import UPDATED_AT, conform_legal_units
+from tillsight.sources.legal_units import conform_legal_units, one_per_key
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
@@ -25,26 +28,36 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
 
 
 def legal_unit_stream(spark: SparkSession, source_dir: str, schema: T.StructType | str, *,
-                      fmt: str = "json", extracted_at: str | None = None, dedupe_on=None,
-                      dedupe_horizon: str = "30 days") -> DataFrame:
-    """Streaming frame of conformed legal units from landed extract files.
-
-    ``dedupe_on`` (e.g. ``["siren", UPDATED_AT]``) drops re-delivered
-    records: the inclusive watermark of the original re-fetches the boundary
-    day, so the same record can land twice.  State is bounded by an
-    event-time watermark of ``dedupe_horizon``.
-    """
+                      fmt: str = "json", extracted_at: str | None = None) -> DataFrame:
+    """Streaming frame of conformed legal units from landed extract files."""
     stream = spark.readStream.schema(schema).format(fmt).load(source_dir)
-    if dedupe_on:
-        ts = F.try_to_timestamp(F.col(UPDATED_AT), F.lit("yyyy-MM-dd'T'HH:mm:ss.SSS"))
-        stream = (stream.withColumn("_event_time", ts).withWatermark("_event_time", dedupe_horizon)
-                  .dropDuplicatesWithinWatermark(list(dedupe_on)).drop("_event_time"))
     stamp = F.lit(extracted_at) if extracted_at is not None else \
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
     return conform_legal_units(stream.withColumn("date_extraction", stamp))
 
 
-def append_available(df: DataFrame, target_dir: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
-    """Append everything available now to ``target_dir`` and stop."""
-    return (df.writeStream.format(fmt).option("path", target_dir).option("checkpointLocation", checkpoint)
-            .outputMode("append").trigger(availableNow=True).start())
+def append_available(df: DataFrame, target_dir: str, checkpoint: str, fmt: str = "parquet", *,
+                     dedupe_on: Sequence[str] | None = None) -> StreamingQuery:
+    """Append everything available now to ``target_dir`` and stop.
+
+    ``dedupe_on`` (e.g. ``["siren", UPDATED_AT]``) drops re-delivered records: a
+    batch's rows whose key the target already holds, however old, and repeats
+    inside the batch.  The key is checked against the target itself, so there is no
+    state that grows and no record is too late.
+    """
+    if not dedupe_on:
+        return (df.writeStream.format(fmt).option("path", target_dir).option("checkpointLocation", checkpoint)
+                .outputMode("append").trigger(availableNow=True).start())
+    keys = list(dedupe_on)
+
+    def append(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        # an empty append makes the first batch's target readable
+        batch.limit(0).write.mode("append").format(fmt).save(target_dir)
+        target = spark.read.schema(batch.schema).format(fmt).load(target_dir)
+        new = join_nullsafe(one_per_key(batch, keys), target.select(*keys).distinct(), keys, "left_anti")
+        # written in one piece: a retried batch finds its own rows and appends nothing twice
+        new.write.mode("append").format(fmt).save(target_dir)
+
+    return (df.writeStream.foreachBatch(append).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
