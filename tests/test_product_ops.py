@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tillsight.operators import customers
 from tillsight.operators import products as P
 
 D = dt.date
@@ -74,6 +75,33 @@ def test_basket_hot_order_grid_is_exact(spark):
     grid = P.basket_product_analytics(df, product="p", order_id="o", max_pairs_per_task=50)
     assert plain.count() > 0
     assert plain.exceptAll(grid).count() == 0 and grid.exceptAll(plain).count() == 0
-    od = df.select(F.col("p").alias("product_item"), F.col("o").alias("order_id")).distinct()
-    sizes = {r.order_id: r._s for r in P._cells(od, 50).select("order_id", "_s").distinct().collect()}
-    assert sizes[0] > 1 and all(s == 1 for o, s in sizes.items() if o != 0)
+
+
+
+def test_abc_shares_below_a_cent(spark):
+    rows = [("a", 0.004), ("b", 0.003), ("c", 0.001)]
+    for kind in ("double", "decimal(12,4)"):
+        df = spark.createDataFrame(rows, "p string, r double").withColumn("r", F.col("r").cast(kind))
+        out = {r.product: r.abc_class_name for r in P.product_abc_segments(df, product="p", revenue="r").collect()}
+        assert out == {"a": "A", "b": "B", "c": "C"}
+        c = df.withColumn("age", F.lit(1))
+        got = customers.customer_abc_segments(c, customer_id="p", revenue="r", recency="age", total_scope="all")
+        assert {r.p: r.abc_class_name for r in got.collect()} == {"a": "A", "b": "B", "c": "C"}
+
+
+def test_repurchase_with_a_hot_guest(spark):
+    # half of one product's purchases have no customer
+    rows = [("p", i, None if i % 2 else i, 1, 2.0) for i in range(40)] + [("q", 1, 7, 1, 3.0), ("p", 100, 0, 1, 2.0)]
+    df = spark.createDataFrame(rows, "product string, order_id long, customer_id long, quantity int, price double")
+    prices = spark.createDataFrame([("p", 2.0), ("q", 3.0)], "product string, unit_price double")
+    got = {r.product: r for r in P.get_repurchase_rates(
+        df, product="product", order_id="order_id", quantity="quantity", customer_id="customer_id",
+        line_price="price", unit_prices=prices).collect()}
+    same = {r.product: r for r in P.get_repurchase_rates(
+        df, product="product", order_id="order_id", quantity="quantity", customer_id="customer_id",
+        line_price="price", unit_price="price").collect()}
+    assert got == same
+    p = got["p"]
+    # customer 0 bought twice; the guests are one customer group with 20 orders
+    assert (p.orders, p.customers, p.purchased_once, p.repurchases) == (41, 20, 19, 22)
+    assert (p.purchased_individually, p.avg_unit_price) == (40, 2.0)

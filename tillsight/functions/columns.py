@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ColumnLike = "str | Column"
+
 
 
 def col(c) -> Column:

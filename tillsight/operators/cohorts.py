@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tillsight.functions.columns import col, dim_names
 from tillsight.functions.dates import month_label
-from tillsight.plans.ordered import checkpointed
 
 
 def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at, dims: Sequence = (),
@@ -18,8 +17,7 @@ def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at,
 
     The original takes ``min(date) over (partition by customer)`` on every
     order.  Here orders are reduced to distinct ``(customer, order month)``
-    pairs first and joined to the customer's first month, so the join fan-out
-    per customer is bounded by its active months.  ``dims`` adds grouping
+    rows first, so the window per customer is bounded by its active months.  ``dims`` adds grouping
     columns (the original declared channel / platform but never used them).
     ``sort_output=False`` skips the final global ``order by``.
     """
@@ -27,11 +25,10 @@ def get_cohort_matrix(df: DataFrame, *, order_id, customer_id, order_created_at,
     dim_cols = [col(d).alias(n) for d, n in zip(dims, names)]
     base = (df.where(col(customer_id).isNotNull() & col(order_id).isNotNull())
             .select(*dim_cols, col(customer_id).alias("_cid"), col(order_created_at).alias("_ts")))
-    months = checkpointed(base.select(*names, "_cid", month_label(F.col("_ts")).alias("order_cohort")).distinct())
-    # 'yyyy-MM' text orders like the dates, so the first month comes from the
-    # same distinct rows (one pass over the orders)
-    first = months.groupBy("_cid").agg(F.min("order_cohort").alias("acquisition_cohort"))
-    retention = (months.join(first, "_cid")
+    months = base.select(*names, "_cid", month_label(F.col("_ts")).alias("order_cohort")).distinct()
+    # 'yyyy-MM' text orders like the dates
+    first = F.min("order_cohort").over(Window.partitionBy("_cid"))
+    retention = (months.withColumn("acquisition_cohort", first)
                  .groupBy(*names, "acquisition_cohort", "order_cohort")
                  .agg(F.count(F.lit(1)).alias("customers")))
     as_month = lambda c: F.to_date(F.col(c), "yyyy-MM")

@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.functions.columns import as_of_date, col, join_nullsafe, where
+from tillsight.functions.columns import as_of_date, col, where
 from tillsight.functions.dates import day_diff, quarter_label
-from tillsight.plans.ordered import checkpointed, ordered_scan
+from tillsight.operators.products import percentage
+from tillsight.plans.ordered import checkpointed, ordered_scan, tile_of
 
 # fixed values: sale marker and RFM segment labels of the original macros
 SALE = "VENTE"
@@ -55,9 +56,10 @@ def get_rfm_segments(df: DataFrame, *, customer_id, first_order_date, last_order
     p = df.select(col(customer_id).alias("customer_id"), col(first_order_date).alias("acquisition_date"),
                   col(last_order_date).alias("recency_date"), col(recency).alias("recency"),
                   col(orders).alias("frequency"), col(revenue).alias("monetary"), col(tenure).alias("tenure"))
-    for measure in ("recency", "frequency", "monetary"):
-        p = ordered_scan(p, [measure, "customer_id"], ntiles={f"{measure}_rank": 5})
-    label = F.col("recency_rank") * 100 + F.col("frequency_rank") * 10 + F.col("monetary_rank")
+    # one row per customer, read by three narrow orderings and one projection
+    p = checkpointed(p)
+    tile = {m: tile_of(p, m, "customer_id", 5) for m in ("recency", "frequency", "monetary")}
+    label = tile["recency"] * 100 + tile["frequency"] * 10 + tile["monetary"]
     return p.select("customer_id", "acquisition_date", "recency_date", "recency", "frequency", "monetary",
                     "tenure", _rfm_segment(label).alias("rfm_segments_name"))
 
@@ -77,31 +79,27 @@ def customer_abc_segments(df: DataFrame, *, customer_id, revenue, recency, thres
     ``total_scope="customer"`` keeps the original's per-customer denominator
     (every active customer lands in C); ``"all"`` divides by the grand total.
     """
-    # read four times below (active set, totals, rank, count): materialise the
-    # narrow input once
-    base = checkpointed(df.select(col(customer_id).alias("_cid"), col(revenue).alias("_rev"),
-                                  col(recency).alias("_rec")))
-    active = base.where(F.col("_rec") <= active_days).select("_cid", "_rev")
-    if total_scope == "customer":
-        totals = active.groupBy("_cid").agg(F.sum("_rev").alias("revenue_total"))
-        active = join_nullsafe(active, totals, ["_cid"], "left")
-    elif total_scope == "all":
-        # uncorrelated scalar subquery, as in SQL
-        active = active.withColumn("revenue_total", active.agg(F.sum("_rev")).scalar())
-    else:
+    rows = df.select(col(customer_id).alias("_cid"), col(revenue).alias("_rev"), col(recency).alias("_rec"))
+    # every row goes through the scans, the inactive ones behind the active:
+    # the input is read once and no rank is joined back
+    on = F.coalesce(F.col("_rec") <= active_days, F.lit(False))
+    rows = rows.select("_cid", F.when(on, F.col("_rev")).alias("_rev"), F.when(on, 0).otherwise(1).alias("_off"))
+    if total_scope not in ("customer", "all"):
         raise ValueError("total_scope must be 'customer' or 'all'")
-    ran = ordered_scan(active, [("_rev", False), "_cid"], running_sums={"revenue_cumsum": F.col("_rev")})
-    ran = ran.withColumn("revenue_running_percentage",
-                         F.round(F.try_divide(F.col("revenue_cumsum").cast("decimal(25,2)") * 100,
-                                                      F.col("revenue_total").cast("decimal(25,2)")), 2))
-    ranked = ordered_scan(ran, ["revenue_running_percentage", "_cid"], row_number="abc_rank_name")
-    missing_rank = active.agg(F.count(F.lit(1)) + 1).scalar()  # (select count(*) + 1 from ...)
-    out = (base.select("_cid")
-           .join(ranked.select("_cid", "revenue_running_percentage", "abc_rank_name"), "_cid", "left"))
-    pct = F.col("revenue_running_percentage")
-    return out.select(F.col("_cid").alias(_name(customer_id)),
-                      _abc_class(pct, threshold, with_d=True).alias("abc_class_name"),
-                      F.coalesce(F.col("abc_rank_name"), missing_rank).cast("long").alias("abc_rank_name"))
+    ran = ordered_scan(rows, ["_off", ("_rev", False), "_cid"],
+                       running_sums={"_cumsum": F.col("_rev"), "_seen": (1 - F.col("_off")).cast("long")},
+                       totals={"_total": "_cumsum", "_active": "_seen"})
+    if total_scope == "customer":
+        # a customer's rows: one in a customer table
+        ran = ran.withColumn("_total", F.sum("_rev").over(Window.partitionBy("_off", "_cid")))
+    share = F.round(percentage(F.col("_cumsum"), F.col("_total"), rows.schema["_rev"].dataType), 2)
+    ran = ran.withColumn("_pct", F.when(F.col("_off") == 0, share))
+    ranked = ordered_scan(ran, ["_off", "_pct", "_cid"], row_number="_rank")
+    known = (F.col("_off") == 0) & F.col("_cid").isNotNull()
+    return ranked.select(F.col("_cid").alias(_name(customer_id)),
+                         _abc_class(F.when(known, F.col("_pct")), threshold, with_d=True).alias("abc_class_name"),
+                         F.when(known, F.col("_rank")).otherwise(F.col("_active") + 1).cast("long")
+                         .alias("abc_rank_name"))
 
 
 def _name(c) -> str:
@@ -121,15 +119,18 @@ def get_latency(df: DataFrame, *, customer_id, order_date, order_id, as_of=None)
     today = as_of_date(as_of)
     base = df.select(col(customer_id).alias("customer_id"), col(order_id).alias("order_id"),
                      col(order_date).alias("order_date"))
-    # one pass over the lines: day counts and per-customer figures both come
-    # from this (customer, order date, order) grain, materialised once
-    grain = checkpointed(base.groupBy("customer_id", "order_date", "order_id").agg(F.count(F.lit(1)).alias("_n")))
+    # an order counts once, on its first row of the (customer, date, order) grain
+    grain = base.groupBy("customer_id", "order_date", "order_id").agg(F.count(F.lit(1)).alias("_n"))
+    nth = F.row_number().over(Window.partitionBy("customer_id", "order_id").orderBy(F.col("order_date").asc_nulls_first()))
+    grain = grain.withColumn("_new", F.when(F.col("order_id").isNotNull() & (nth == 1), 1).otherwise(0))
     days = grain.groupBy("customer_id", F.col("order_date").cast("date").alias("_d")).agg(
-        F.sum("_n").alias("_c"))
+        F.sum("_n").alias("_c"), F.sum("_new").alias("_f"), F.max("order_date").alias("_latest"))
     w = Window.partitionBy("customer_id").orderBy(F.col("_d").asc_nulls_first())
     days = days.withColumn("_g", F.datediff("_d", F.lag("_d").over(w)).cast("long"))
     nonnull = F.col("_d").isNotNull()
     gaps = days.groupBy("customer_id").agg(
+        F.sum("_f").alias("frequency"),
+        F.max("_latest").alias("recency_date"),
         F.sum(F.when(nonnull, F.col("_c")).otherwise(0)).alias("_rows"),
         F.coalesce(F.sum("_g"), F.lit(0)).alias("_s"),
         F.coalesce(F.sum(F.col("_g") * F.col("_g")), F.lit(0)).alias("_q"),
@@ -143,11 +144,8 @@ def get_latency(df: DataFrame, *, customer_id, order_date, order_id, as_of=None)
     hi = F.when(m > 0, F.greatest(F.coalesce("_gmax", F.lit(0)), F.when(dup, 0).otherwise(F.col("_gmax"))))
     num = (m.cast("decimal(38,0)") * F.col("_q") - F.col("_s").cast("decimal(38,0)") * F.col("_s")).cast("double")
     std = F.when(m > 1, F.sqrt(num / (m * (m - 1)).cast("double")))
-    gaps = gaps.select("customer_id", mean.alias("_avg"), lo.alias("_min"), hi.alias("_max"), std.alias("_std"))
-
-    per_customer = grain.groupBy("customer_id").agg(F.countDistinct("order_id").alias("frequency"),
-                                                    F.max("order_date").alias("recency_date"))
-    j = join_nullsafe(per_customer, gaps, ["customer_id"], "left")
+    j = gaps.select("customer_id", "frequency", "recency_date", mean.alias("_avg"), lo.alias("_min"), hi.alias("_max"),
+                    std.alias("_std"))
     j = j.select("customer_id", "frequency", "recency_date",
                  day_diff(today, F.col("recency_date")).alias("recency"),
                  F.round("_avg").alias("avg_latency"),

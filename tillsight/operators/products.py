@@ -7,9 +7,10 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillsight.functions.columns import col, join_nullsafe, where
-from tillsight.plans.ordered import checkpointed, ordered_scan
+from tillsight.plans.ordered import checkpointed, ordered_scan, tile_of
 
 # fixed value: placeholder product excluded by the original macros
 UNASSIGNED = "Unassigned"
@@ -26,10 +27,17 @@ def _assigned(c, unassigned: str):
     return c.cast("string") != F.lit(unassigned)
 
 
-def _wide(c):
-    """Money sums as decimal(25,2) so a ratio keeps 9 fractional digits
-    before it is rounded (a 38-digit operand leaves only 6)."""
-    return c.cast("decimal(25,2)")
+def percentage(part, whole, kind: T.DataType):
+    """``part * 100 / whole`` of sums over a column of type ``kind``.
+
+    Decimal sums keep their scale; their precision is brought down to 23 digits
+    before the point, so that the ratio keeps its fractional digits (38-digit
+    operands leave only 6).  Other numbers are divided as doubles.
+    """
+    if isinstance(kind, T.DecimalType):
+        narrow = f"decimal({min(38, 23 + kind.scale)},{kind.scale})"
+        return F.try_divide(part.cast(narrow) * 100, whole.cast(narrow))
+    return F.try_divide(part.cast("double") * 100, whole.cast("double"))
 
 
 def product_abc_segments(df: DataFrame, *, product, revenue, threshold=80) -> DataFrame:
@@ -38,7 +46,7 @@ def product_abc_segments(df: DataFrame, *, product, revenue, threshold=80) -> Da
     # sum() over () comes from the scan's bucket sums: the input is read once
     ran = ordered_scan(p, [("revenue", False), "product"], running_sums={"_cumsum": F.col("revenue")},
                        totals={"_total": "_cumsum"})
-    ran = ran.withColumn("_pct", F.round(_wide(F.col("_cumsum")) * 100 / _wide(F.col("_total")), 2))
+    ran = ran.withColumn("_pct", F.round(percentage(F.col("_cumsum"), F.col("_total"), p.schema["revenue"].dataType), 2))
     ranked = ordered_scan(ran, ["_pct", "product"], row_number="abc_rank_name")
     pct = F.col("_pct")
     cls = (F.when((pct > 0) & (pct <= threshold), "A")
@@ -47,25 +55,8 @@ def product_abc_segments(df: DataFrame, *, product, revenue, threshold=80) -> Da
     return ranked.select("product", cls.alias("abc_class_name"), "abc_rank_name")
 
 
-# orders with more products than this many are split into a grid of cells
+# orders that would build more pairs than this in one task are split into a grid of cells
 DEFAULT_MAX_PAIRS_PER_TASK = 10_000_000
-# hot-order lists up to this many rows are broadcast; longer lists are joined
-BROADCAST_ROWS = 1_000_000
-
-
-def _cells(od: DataFrame, max_pairs_per_task: int) -> DataFrame:
-    """Attach a grid size ``_s`` per order: 1 for normal orders; for an order
-    with ``k`` products, ``ceil(k / side)`` so that one grid cell holds at most
-    ``side`` products of each side (``side**2 / 2 <= max_pairs_per_task``)."""
-    side = max(2, int(math.isqrt(2 * max_pairs_per_task)))
-    hot = (od.groupBy("order_id").agg(F.count(F.lit(1)).alias("_k"))
-           .where(F.col("_k") > side)
-           .select("order_id", F.ceil(F.col("_k") / side).cast("int").alias("_s")))
-    n_hot = hot.count()  # one small job on the materialised rows
-    if n_hot == 0:
-        return od.withColumn("_s", F.lit(1))
-    right = F.broadcast(hot) if n_hot <= BROADCAST_ROWS else hot  # size-checked broadcast, else a shuffle join
-    return od.join(right, "order_id", "left").withColumn("_s", F.coalesce("_s", F.lit(1)))
 
 
 def basket_product_analytics(df: DataFrame, *, product, order_id, unassigned: str = UNASSIGNED,
@@ -74,37 +65,41 @@ def basket_product_analytics(df: DataFrame, *, product, order_id, unassigned: st
 
     Pairs are built once with ``a < b`` and mirrored after aggregation, which
     halves the self-join.  ``(product, order)`` is distinct, so the distinct
-    order counts of the original become plain counts.  A hot order (one that
-    would build more than ``max_pairs_per_task`` pairs in one task) is split
-    into an s x s grid of product-hash cells: side a is placed in its own
-    cell row and copied across the s columns, side b the other way round, so
-    every pair meets in exactly one cell and no task builds more than about
-    ``max_pairs_per_task`` pairs.  Normal orders keep a single cell.
+    order counts of the original become plain counts; each row carries its
+    product's order count through the pair aggregate.  An order of ``k`` products is
+    laid out on an s x s grid of product-hash cells, ``s = ceil(k / side)``
+    with ``side**2 / 2 <= max_pairs_per_task``: side a is placed in its own cell row
+    and copied across the s columns, side b the other way round, so every pair meets
+    in exactly one cell and no task builds more than about ``max_pairs_per_task``
+    pairs.  Normal orders have a single cell.
     """
-    # both join sides, the per-product counts and the total read the distinct
+    # both join sides, the counts and the total read the distinct
     # (product, order) rows: materialise them once
     od = checkpointed(df.select(col(product).alias("product_item"), col(order_id).alias("order_id"))
                       .where(_assigned(F.col("product_item"), unassigned))
                       .distinct())
-    cells = _cells(od.where(F.col("order_id").isNotNull()), max_pairs_per_task)
+    side = max(2, int(math.isqrt(2 * max_pairs_per_task)))
+    items = od.groupBy("product_item").agg(F.count("order_id").alias("_n"))
+    grid = od.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / side).cast("int").alias("_s"))
+    total = od.agg(F.countDistinct("order_id")).scalar()  # count(distinct) over (): a scalar
+    cells = od.join(items, "product_item").join(grid, "order_id")
     span = F.explode(F.sequence(F.lit(0), F.col("_s") - 1))
     own = F.pmod(F.xxhash64("product_item"), F.col("_s")).cast("int")
-    a = cells.select("order_id", F.col("product_item").alias("p1"), own.alias("_ca"), span.alias("_cb"))
-    b = cells.select("order_id", F.col("product_item").alias("p2"), span.alias("_ca"), own.alias("_cb"))
+    a = cells.select("order_id", F.col("product_item").alias("p1"), F.col("_n").alias("_n1"), own.alias("_ca"),
+                     span.alias("_cb"))
+    b = cells.select("order_id", F.col("product_item").alias("p2"), F.col("_n").alias("_n2"), span.alias("_ca"),
+                     own.alias("_cb"))
     half = (a.join(b, ["order_id", "_ca", "_cb"]).where(F.col("p1") < F.col("p2"))
-            .groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("associated_orders")))
-    items = od.groupBy("product_item").agg(F.count("order_id").alias("item_total_orders"))
-    total = od.agg(F.countDistinct("order_id")).scalar()  # count(distinct) over (): a scalar
-    # per-product counts are attached to the half pairs, then mirrored: the
-    # joins see each unordered pair once
-    n1 = items.select(F.col("product_item").alias("p1"), F.col("item_total_orders").alias("_n1"))
-    n2 = items.select(F.col("product_item").alias("p2"), F.col("item_total_orders").alias("_n2"))
-    half = half.join(n1, "p1").join(n2, "p2")
-    names = ("product_item", "product_item_b", "associated_orders", "item_total_orders", "item_total_orders_b")
-    j = half.select(*[F.col(c).alias(n) for c, n in zip(("p1", "p2", "associated_orders", "_n1", "_n2"), names)]) \
-        .unionByName(half.select(*[F.col(c).alias(n) for c, n in
-                                   zip(("p2", "p1", "associated_orders", "_n2", "_n1"), names)])) \
-        .withColumn("total_orders", total)
+            .groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("associated_orders"), F.max("_n1").alias("_n1"),
+                                     F.max("_n2").alias("_n2")))
+    # each unordered pair gives two rows
+    both = F.explode(F.array(
+        F.struct(F.col("p1").alias("a"), F.col("p2").alias("b"), F.col("_n1").alias("na"), F.col("_n2").alias("nb")),
+        F.struct(F.col("p2").alias("a"), F.col("p1").alias("b"), F.col("_n2").alias("na"), F.col("_n1").alias("nb"))))
+    j = half.select("associated_orders", both.alias("_p")).select(
+        F.col("_p.a").alias("product_item"), F.col("_p.b").alias("product_item_b"), "associated_orders",
+        F.col("_p.na").alias("item_total_orders"), F.col("_p.nb").alias("item_total_orders_b"),
+        total.alias("total_orders"))
     return j.select(
         "product_item", "product_item_b", "associated_orders", "item_total_orders", "item_total_orders_b",
         "total_orders",
@@ -119,58 +114,63 @@ def _label(tile, labels):
     return expr
 
 
-def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer_id, line_price, unit_price,
-                         unassigned: str = UNASSIGNED) -> DataFrame:
+def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer_id, line_price, unit_price=None,
+                         unit_prices: DataFrame | None = None, unassigned: str = UNASSIGNED) -> DataFrame:
     """Per-product sales metrics, bulk and repurchase rates, quintile label.
 
-    The original's distinct-count windows become aggregations: orders with a
-    single product are counted per that product (no join, so a hot order stays
-    map-side combined); the one-time (product, customer) flag and the distinct
-    customers come from one window per (product, customer) on the
-    ``(product, order, customer)`` grain, followed by one aggregation at
-    ``(product, order)`` grain and one at product grain - no joins of the
-    grain, no distinct-aggregate row expansion, one scan of the lines.
+    The original's distinct-count windows become aggregations over the
+    ``(product, order, customer)`` grain.  How often a (product, customer) pair
+    bought is an aggregate joined back null-safe, a sort-merge join whose hot pairs
+    (all guest purchases of a popular product, say) AQE can split; no window
+    gathers a product, an order or a customer.
+
+    The unit price is a column of the lines, or ``unit_prices`` gives it per product
+    (``product``, ``unit_price``): it is then joined to the report, not to the lines.
     """
+    price = F.lit(None).cast("double") if unit_price is None else col(unit_price)
     pm = (df.select(col(product).alias("product"), col(order_id).alias("order_id"),
                     col(quantity).alias("quantity"), col(customer_id).alias("customer_id"),
-                    col(line_price).alias("line_price"), col(unit_price).alias("unit_price"))
+                    col(line_price).alias("line_price"), price.alias("unit_price"))
           .where(_assigned(F.col("product"), unassigned)))
     # one pass over the lines: everything below reads this (product, order,
-    # customer) grain, materialised once (four consumers)
-    grain = pm.groupBy("product", "order_id", "customer_id").agg(
+    # customer) grain, materialised once (three consumers)
+    grain = checkpointed(pm.groupBy("product", "order_id", "customer_id").agg(
+        F.count(F.lit(1)).alias("_lines"),
         F.sum("line_price").alias("_sl"), F.count("line_price").alias("_cl"),
         F.sum("unit_price").alias("_su"), F.count("unit_price").alias("_cu"),
-        F.sum("quantity").alias("_sq"), F.max(F.col("quantity") > 0).alias("_pos"))
-    grain = checkpointed(grain)
+        F.sum("quantity").alias("_sq"), F.max(F.col("quantity") > 0).alias("_pos")))
     # orders holding a single product, counted per that product: aggregations
     # only (map-side combined), so a hot order never meets a join
     individually = (grain.where(F.col("order_id").isNotNull()).groupBy("order_id")
                     .agg(F.countDistinct("product").alias("_n"), F.min("product").alias("product"))
                     .where(F.col("_n") == 1)
                     .groupBy("product").agg(F.count(F.lit(1)).alias("purchased_individually")))
-    # times purchased and a first-row marker per (product, customer) in one
-    # window (the pair's rows: one product of one customer); summed per
-    # product, the marker counts distinct customers
-    pc = Window.partitionBy("product", "customer_id")
-    first = F.row_number().over(pc.orderBy(F.col("order_id").asc_nulls_first())) == 1
-    marked = grain.select("*", (F.count(F.when(F.col("_pos"), F.col("order_id"))).over(pc) == 1).alias("_once"),
-                          F.when(first & F.col("customer_id").isNotNull(), 1).otherwise(0).alias("_first"))
-    po = marked.groupBy("product", "order_id").agg(
-        F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"), F.sum("_su").alias("_su"), F.sum("_cu").alias("_cu"),
-        F.sum("_sq").alias("_sq"), F.max("_once").alias("_once"), F.sum("_first").alias("_first"))
-    sku = po.groupBy("product").agg(
-        F.sum("_sl").alias("_sl"), F.sum("_cl").alias("_cl"), F.sum("_su").alias("_su"),
-        F.sum("_cu").alias("_cu"), F.sum("_sq").alias("items"),
-        F.count("order_id").alias("orders"),
-        F.count(F.when(F.col("_once"), F.col("order_id"))).alias("purchased_once"),
-        F.sum("_first").alias("customers"))
-    sku = join_nullsafe(sku, individually, ["product"], "left").withColumn(
-        "purchased_individually", F.coalesce("purchased_individually", F.lit(0)))
+    pairs = grain.groupBy("product", "customer_id").agg(
+        F.count(F.when(F.col("_pos"), F.col("order_id"))).alias("_times"))
+    customers = pairs.groupBy("product").agg(F.count("customer_id").alias("customers"))
+    once = (join_nullsafe(grain.where(F.col("order_id").isNotNull()).select("product", "customer_id", "order_id"),
+                          pairs.where(F.col("_times") == 1).select("product", "customer_id"),
+                          ["product", "customer_id"], "left_semi")
+            .select("product", "order_id").distinct()
+            .groupBy("product").agg(F.count(F.lit(1)).alias("purchased_once")))
+    sku = (grain.groupBy("product", "order_id").agg(
+        *[F.sum(c).alias(c) for c in ("_lines", "_sl", "_cl", "_su", "_cu", "_sq")])
+        .groupBy("product").agg(*[F.sum(c).alias(c) for c in ("_lines", "_sl", "_cl", "_su", "_cu")],
+                                F.sum("_sq").alias("items"), F.count("order_id").alias("orders")))
+    # one row per product each
+    sku = sku.join(customers, "product").join(individually, "product", "left").join(once, "product", "left")
+    sku = sku.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("purchased_individually", "purchased_once")})
+    unit_type = pm.schema["unit_price"].dataType
+    if unit_prices is not None:
+        unit_type = unit_prices.schema["unit_price"].dataType
+        sku = sku.join(unit_prices.select("product", "unit_price"), "product", "left").withColumns({
+            "_su": F.col("unit_price") * F.col("_lines"), "_cu": F.when(F.col("unit_price").isNotNull(), F.col("_lines"))})
 
     # two-level sums widen decimals twice; bring them back to the width of a
     # single sum so that the divisions below keep 12 fractional digits
     sku = sku.withColumns({c: _one_sum_type(F.col(c), pm.schema[src].dataType)
-                           for c, src in (("_sl", "line_price"), ("_su", "unit_price"), ("items", "quantity"))})
+                           for c, src in (("_sl", "line_price"), ("items", "quantity"))}).withColumn(
+        "_su", _one_sum_type(F.col("_su"), unit_type))
 
     def avg(s, c):
         return F.col(s) / F.col(c)
@@ -190,11 +190,12 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
         "repurchases": F.col("orders") - F.col("purchased_once"),
         "repurchase_rate": F.round((F.col("orders") - F.col("purchased_once")) / F.col("orders"), 2),
     })
-    rep = ordered_scan(rep, ["bulk_purchase_rate", "product"], ntiles={"_bulk_tile": 5})
-    rep = ordered_scan(rep, ["repurchase_rate", "product"], ntiles={"_rep_tile": 5})
-    label = F.concat(_label(F.col("_bulk_tile"), BULK_LABELS), F.lit("_"),
-                     _label(F.col("_rep_tile"), REPURCHASE_LABELS))
-    return rep.withColumn("bulk_and_repurchase_label", label).drop("_bulk_tile", "_rep_tile")
+    # product grain from here on; only (rate, product) is ordered
+    rep = checkpointed(rep)
+    tile = {rate: tile_of(rep, rate, "product", 5) for rate in ("bulk_purchase_rate", "repurchase_rate")}
+    label = F.concat(_label(tile["bulk_purchase_rate"], BULK_LABELS), F.lit("_"),
+                     _label(tile["repurchase_rate"], REPURCHASE_LABELS))
+    return rep.withColumn("bulk_and_repurchase_label", label)
 
 
 def _one_sum_type(c, t):
@@ -215,40 +216,42 @@ def get_multi_brands_loyalty(df: DataFrame, *, customer_id, date, order_id, bran
     are first reduced to ``(customer, brand, day)``; the original's range
     join becomes an as-of lookup by running minimum (no pairs are formed).
     """
-    # the distinct lines feed the sums and the (customer, brand, day) rows:
-    # materialised once, so the source is read once
-    raw = checkpointed(where(df, row_condition)
-                       .select(col(customer_id).alias("customer_id"), col(date).cast("date").alias("date"),
-                               col(order_id).alias("order_id"), col(brand).alias("brand"),
-                               col(revenue).alias("revenue"), col(quantity).alias("quantity"))
-                       .distinct())
+    lines = (where(df, row_condition)
+             .select(col(customer_id).alias("customer_id"), col(date).cast("date").alias("date"),
+                     col(order_id).alias("order_id"), col(brand).alias("brand"),
+                     col(revenue).alias("revenue"), col(quantity).alias("quantity"))
+             .distinct())
+    # the sums and the (customer, brand, day) rows both read this grain,
+    # materialised once; the distinct lines are not
+    grain = checkpointed(lines.groupBy("customer_id", "date", "order_id", "brand").agg(
+        F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity")))
     # one distinct aggregate (two-level, no row expansion); distinct customers
     # come from the (customer, brand, day) rows below
-    brand_purchase = raw.groupBy("date", "brand").agg(
+    brand_purchase = grain.groupBy("date", "brand").agg(
         F.sum("revenue").alias("brand_revenue"), F.sum("quantity").alias("brand_quantity"),
         F.countDistinct("order_id").alias("brand_orders"))
 
-    known = raw.where(F.col("customer_id").isNotNull())
-    # every loyalty figure reads (customer, brand, day): materialised once
-    dcb = checkpointed(known.select("customer_id", "brand", "date").distinct())
-    profile = dcb.groupBy("customer_id", "brand").agg(F.min("date").alias("_fbd"))
+    dcb = grain.where(F.col("customer_id").isNotNull()).select("customer_id", "brand", "date").distinct()
 
-    # One window pass over probes (one per profile, at first-brand-day +
+    # One window pass over probes (one per customer and brand, at first-brand-day +
     # min_days) and purchases, in descending time with purchases before probes
     # on the same day: the running min of purchase days is then the first
     # purchase at or after the probe (an as-of lookup), for any brand
     # (per customer) and for the same brand (per customer and brand; the same
     # hash partitioning).  Rows per customer: brands x days, never pairs.
-    probes = profile.select("customer_id", "brand", "_fbd", F.date_add("_fbd", min_days).alias("_t"),
-                            F.lit(0).alias("_kind"))
-    buys = dcb.select("customer_id", "brand", F.lit(None).cast("date").alias("_fbd"), F.col("date").alias("_t"),
-                      F.lit(1).alias("_kind"))
+    first_day = F.min("date").over(Window.partitionBy("customer_id", "brand"))
+    none = F.lit(None).cast("date")
+    buy = F.struct(none.alias("_fbd"), F.col("date").alias("_t"), F.lit(1).alias("_kind"))
+    probe_row = F.struct(F.col("_fbd"), F.date_add("_fbd", min_days).alias("_t"), F.lit(0).alias("_kind"))
+    opens = F.col("date").eqNullSafe(F.col("_fbd"))
+    steps = (dcb.withColumn("_fbd", first_day)
+             .select("customer_id", "brand", F.explode(F.when(opens, F.array(buy, probe_row)).otherwise(F.array(buy)))
+                     .alias("_e")).select("customer_id", "brand", "_e.*"))
     order = [F.col("_t").desc_nulls_last(), F.col("_kind").desc()]
     w_any = Window.partitionBy("customer_id").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     w_same = Window.partitionBy("customer_id", "brand").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     buy_day = F.when(F.col("_kind") == 1, F.col("_t"))
-    flags = (probes.unionByName(buys)
-             .select("brand", "_fbd", "_kind", "_t",
+    flags = (steps.select("brand", "_fbd", "_kind", "_t",
                      F.min(buy_day).over(w_any).alias("_next_any"),
                      F.min(buy_day).over(w_same).alias("_next_same"),
                      F.min(buy_day).over(Window.partitionBy("customer_id")).alias("_cfd")))

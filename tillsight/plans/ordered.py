@@ -120,6 +120,9 @@ def ordered_scan(
         keys = list(order_by)
 
     bucketed = checkpointed(_by_range(df, keys, n).withColumn(BUCKET, F.spark_partition_id()))
+    if not pb:
+        # one task per bucket (hashing the ids would double some up); the window needs no further shuffle
+        bucketed = bucketed.repartitionById(max(1, bucketed.rdd.getNumPartitions()), BUCKET)
 
     w = Window.partitionBy(*seg_keys).orderBy(*order_by)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -233,6 +236,22 @@ def _ranks_only(df: DataFrame, order_by: list[Column], row_number: str | None, n
     return out.select(*original, *added)
 
 
+def tile_of(df: DataFrame, measure: str, key: str, n: int) -> Column:
+    """``ntile(n) over (order by measure, key)`` for the rows of ``df``, as a column.
+
+    Only the narrow (measure, key) rows are ordered; the last pair of each
+    tile but the top one (``n - 1`` rows, one scalar subquery) then labels any row
+    by comparison, so the wide rows are never shuffled for it.  ``df`` is read once
+    more: materialise it if it is expensive.  Rows with equal pairs share a tile.
+    """
+    pair = F.struct(F.col(measure).alias("m"), F.col(key).alias("k"))
+    tiles = ordered_scan(df.select(measure, key), [measure, key], ntiles={"_tile": n})
+    last = tiles.where(F.col("_tile") < n).groupBy("_tile").agg(F.max(pair).alias("_last"))
+    ends = last.agg(F.collect_list("_last")).scalar()
+    above = [F.when(pair > F.try_element_at(ends, F.lit(i)), 1).otherwise(0) for i in range(1, n)]
+    return sum(above, F.lit(1))
+
+
 def _ntile(r: Column, total: Column, n: int) -> Column:
     """SQL ``ntile(n)`` from the 1-based row number ``r`` of ``total`` rows:
     the first ``total % n`` tiles hold one extra row."""
