@@ -4,7 +4,11 @@ import pytest
 
 from tests.conftest import SF_SMALL
 from tests.test_ordered_scan import assert_row_level_work_is_partitioned
+from tillsight.operators import customers, products
+from tillsight.plans import ordered
+from tillsight.plans.ordered import checkpointed
 from tillsight.registry import queries
+from tillsight.sources import bindings
 
 
 def _plan(df) -> str:
@@ -17,14 +21,46 @@ def test_global_orderings_are_not_single_task(spark, name):
     assert_row_level_work_is_partitioned(queries()[name](spark, SF_SMALL))
 
 
+@pytest.fixture
+def stages(monkeypatch):
+    """The plans of all materialised stages of a query, besides its last one."""
+    seen = []
+
+    def recording(df):
+        seen.append(_plan(df))
+        return checkpointed(df)
+
+    for module in (bindings, customers, ordered, products):
+        monkeypatch.setattr(module, "checkpointed", recording, raising=False)
+    return seen
+
+
+# materialised stages per query: input grains and ordered scans
+MATERIALISED = {"get_customers": 0, "get_cohort_matrix": 0, "get_latency": 0, "get_multi_brands_loyalty": 1,
+                "basket_product_analytics": 1, "customer_abc_segments": 2, "replace_profile_window": 0}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
-def test_no_cartesian_or_nested_loop_joins_or_python(spark, name):
-    plan = _plan(queries()[name](spark, SF_SMALL))
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
-    # every registered query stays JVM-side (no Python UDF / pandas stages)
-    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
-        assert node not in plan
+def test_no_cartesian_or_nested_loop_joins_or_python(spark, stages, name):
+    plans = [_plan(queries()[name](spark, SF_SMALL)), *stages]
+    for plan in plans:
+        assert "CartesianProduct" not in plan
+        assert "BroadcastNestedLoopJoin" not in plan
+        # every registered query stays JVM-side (no Python UDF / pandas stages)
+        for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas", "MapInArrow"):
+            assert node not in plan
+    assert any("FileScan parquet" in plan for plan in plans)
+    if name in MATERIALISED:
+        assert len(stages) == MATERIALISED[name]
+    for plan in stages:  # no stage copies whole lines: sums or distinct rows, or an ordering of such
+        assert "Aggregate" in plan or "ExistingRDD" in plan or "rangepartitioning" in plan
+
+
+def test_replaced_window_reads_the_existing_rows_twice(spark):
+    plan = _plan(queries()["replace_profile_window"](spark, SF_SMALL))
+    plan = plan[:plan.find("Initial Plan")] if "Initial Plan" in plan else plan
+    # rows outside the window, the slice, the re-fetch and its profile list
+    assert plan.count("FileScan parquet") <= 4
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):

@@ -57,10 +57,11 @@ def q_get_rfm_segments(spark, sf):
                                       recency="recency", orders="orders", revenue="revenue", tenure="tenure")
 
 
-def q_history_rfm(spark, sf):
+def q_history_rfm(spark, sf, scope="customer"):
     return customers.history_rfm_segments(B.sales_lines(spark, sf, with_part=False), customer_id="customer_id",
                                           transaction_type="transaction_type", date="order_date",
-                                          revenue="revenue", order_id="order_id", as_of=B.ORDERS_AS_OF)
+                                          revenue="revenue", order_id="order_id", as_of=B.ORDERS_AS_OF,
+                                          revenue_scope=scope)
 
 
 def q_customer_abc_segments(spark, sf, scope="customer"):
@@ -77,9 +78,9 @@ def q_basket(spark, sf, product="product"):
     return products.basket_product_analytics(lines, product=product, order_id="order_id")
 
 
-def q_cohort_matrix(spark, sf):
+def q_cohort_matrix(spark, sf, dims=()):
     return cohorts.get_cohort_matrix(B.table(spark, sf, "orders"), order_id="o_orderkey", customer_id="o_custkey",
-                                     order_created_at="o_orderdate")
+                                     order_created_at="o_orderdate", dims=dims)
 
 
 def q_latency(spark, sf):
@@ -100,9 +101,11 @@ def q_next_purchase(spark, sf):
 
 
 def q_repurchase(spark, sf):
-    return products.get_repurchase_rates(B.sales_lines(spark, sf), product="product", order_id="order_id",
-                                         quantity="quantity", customer_id="customer_id", line_price="revenue",
-                                         unit_price="unit_price")
+    prices = B.table(spark, sf, "part").select(F.col("p_partkey").alias("product"),
+                                               F.col("p_retailprice").cast("decimal(18,2)").alias("unit_price"))
+    return products.get_repurchase_rates(B.sales_lines(spark, sf, with_part=False), product="product",
+                                         order_id="order_id", quantity="quantity", customer_id="customer_id",
+                                         line_price="revenue", unit_prices=prices)
 
 
 def q_loyalty(spark, sf, min_days=0):
@@ -162,13 +165,14 @@ def q_web_traffic(spark, sf):
     return web_traffic.sessions_by_competitor(B.traffic_series(spark, sf), "FR")
 
 
-def q_legal_units(spark, sf):
+def q_legal_units(spark, sf, dedupe_on=None):
     src = B.legal_units(spark, sf)
     target = legal_units.conform_legal_units(src.where(F.col("dateCreationUniteLegale") < "2000-01-01"))
-    return legal_units.incremental_append(src, target, extracted_at="2024-01-31 00:00:00")
+    return legal_units.incremental_append(src, target, extracted_at="2024-01-31 00:00:00", dedupe_on=dedupe_on)
 
 
 def q_replace_window(spark, sf):
+    """The re-fetch holds three of the event types on purpose: what it lacks is dropped from the window."""
     return posts.replace_profile_window(B.post_rows(spark, sf), B.post_rows(spark, sf, refetch=True),
                                         network="instagram", as_of=B.EVENTS_AS_OF)
 
@@ -183,20 +187,30 @@ def q_profiles(spark, sf):
     return profiles.clean_profiles(profiles.union_profiles(B.social_profiles(spark, sf)))
 
 
-def q_export_posts(spark, sf):
-    return posts.export_posts(B.post_pages(spark, sf), "facebook", reaction_keys=["like", "love"])
+def q_profile_ids(spark, sf):
+    return profiles.profile_ids(profiles.union_profiles(B.social_profiles(spark, sf)), "instagram")
+
+
+def q_metric_cube(spark, sf):
+    return metrics.unpack_metric_cube(B.metric_cubes(spark, sf), "instagram")
+
+
+def q_export_posts(spark, sf, reaction_keys=("like", "love")):
+    return posts.export_posts(B.post_pages(spark, sf), "facebook", reaction_keys=reaction_keys)
 
 
 _QUERIES: dict[str, Query] = {
     "get_customers": q_get_customers,
     "get_rfm_segments": q_get_rfm_segments,
     "history_rfm_segments": q_history_rfm,
+    "history_rfm_segments_daily": lambda s, sf: q_history_rfm(s, sf, "day"),
     "customer_abc_segments": q_customer_abc_segments,
     "customer_abc_segments_total": lambda s, sf: q_customer_abc_segments(s, sf, "all"),
     "product_abc_segments": q_product_abc_segments,
     "basket_product_analytics": q_basket,
     "basket_brand_analytics": lambda s, sf: q_basket(s, sf, "brand"),
     "get_cohort_matrix": q_cohort_matrix,
+    "get_cohort_matrix_by_status": lambda s, sf: q_cohort_matrix(s, sf, ["o_orderstatus"]),
     "get_latency": q_latency,
     "get_lifetimes_rfmt": q_lifetimes,
     "get_next_purchase_date": q_next_purchase,
@@ -213,10 +227,14 @@ _QUERIES: dict[str, Query] = {
     "create_model_bigquery_cost": q_job_cost,
     "web_traffic_sessions": q_web_traffic,
     "incremental_legal_units": q_legal_units,
+    "incremental_legal_units_deduped": lambda s, sf: q_legal_units(s, sf, ["siren", legal_units.UPDATED_AT]),
     "replace_profile_window": q_replace_window,
     "replace_metrics_tail": q_replace_tail,
     "union_profiles": q_profiles,
+    "profile_ids": q_profile_ids,
+    "unpack_metric_cube": q_metric_cube,
     "export_posts": q_export_posts,
+    "export_posts_discovered_keys": lambda s, sf: q_export_posts(s, sf, None),
 }
 
 

@@ -9,6 +9,8 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillsight.plans.ordered import checkpointed
+
 # fixed reference dates of the fixtures
 ORDERS_AS_OF = dt.date(2001, 8, 2)
 EVENTS_AS_OF = dt.date(2024, 1, 31)
@@ -106,8 +108,6 @@ EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 def traffic_series(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Daily event counts per event type, read as one visits series per domain."""
-    from tillsight.plans.ordered import checkpointed
-
     daily = checkpointed(table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("date"), "event_type")
                          .agg(F.count(F.lit(1)).cast("double").alias("visits")))
     return {f"{t}.fr": daily.where(F.col("event_type") == t).select("date", "visits") for t in EVENT_TYPES}
@@ -153,19 +153,22 @@ def profile_metrics(spark: SparkSession, sf_dir: str, since=None) -> list[DataFr
     day = F.to_date("ts").cast("string").alias("date")
     who = F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("profile_id")
     t = F.col("event_type")
-    ig = (e.where(t.isin("view", "click")).groupBy(day, who)
+    fb_types = t.isin("purchase", "signup")
+    ig = (e.where(~F.coalesce(fb_types, F.lit(False))).groupBy(day, who)
           .agg(F.count(F.when(t == "view", 1)).alias("instagram_views"),
-               F.count(F.when(t == "click", 1)).alias("instagram_clicks"))
+               F.count(F.when(t == "click", 1)).alias("instagram_clicks"),
+               F.count(F.when(t == "error", 1)).alias("instagram_errors"))
           .withColumn("network", F.lit("instagram")))
-    fb = (e.where(t == "purchase").groupBy(day, who)
-          .agg(F.count(F.lit(1)).alias("facebook_purchases"),
+    fb = (e.where(fb_types).groupBy(day, who)
+          .agg(F.count(F.when(t == "purchase", 1)).alias("facebook_purchases"),
+               F.count(F.when(t == "signup", 1)).alias("facebook_signups"),
                F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("facebook_revenue"))
           .withColumn("network", F.lit("facebook")))
     return [ig, fb]
 
 
 def social_profiles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """``customer`` read as profile lists of three networks (one of them empty)."""
+    """``customer`` read as profile lists of four networks (one of them empty); every customer is in one."""
     c = table(spark, sf_dir, "customer")
     bal = F.col("c_acctbal")
     base = c.select(
@@ -173,14 +176,35 @@ def social_profiles(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         F.array(F.col("c_mktsegment"), F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))).alias("profile_labels"),
         F.when(bal < 0, F.lit(None).cast("boolean")).otherwise(bal > 5000).alias("community_enabled"),
         F.col("c_mktsegment").alias("_segment"), F.col("c_nationkey").alias("_nation"))
+    facebook = F.col("_segment").isin("BUILDING", "AUTOMOBILE")
+    instagram = F.col("_segment").isin("MACHINERY", "HOUSEHOLD")
     return {
-        "facebook": base.where(F.col("_segment") == "BUILDING").drop("_segment", "_nation"),
-        "instagram": base.where(F.col("_segment") == "MACHINERY").withColumnRenamed("_nation", "nation")
-        .drop("_segment"),
-        "tiktok": base.where(F.col("_segment") == "NONE").drop("_segment", "_nation"),
+        "facebook": base.where(facebook).drop("_segment", "_nation"),
+        "instagram": base.where(instagram).withColumnRenamed("_nation", "nation").drop("_segment"),
+        "tiktok": base.where(~F.coalesce(facebook | instagram, F.lit(False))).drop("_segment", "_nation"),
+        "youtube": base.where(F.lit(False)).drop("_segment", "_nation"),
     }
 
 
+def metric_cubes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` read as dense metric cubes: one payload per day and block of 100 users."""
+    e = table(spark, sf_dir, "events")
+    t = F.col("event_type")
+    cells = e.groupBy(F.to_date("ts").cast("string").alias("_day"), "user_id").agg(
+        F.count(F.when(t == "view", 1)).cast("double").alias("views"),
+        F.count(F.when(t == "click", 1)).cast("double").alias("clicks"),
+        F.sum(F.col("value").cast("decimal(18,2)")).cast("double").alias("revenue"))
+    cell = F.struct("user_id", F.array("views", "clicks", "revenue").alias("v"))
+    block = cells.groupBy("_day", F.floor(F.col("user_id") / 100).alias("_block")).agg(
+        F.array_sort(F.collect_list(cell)).alias("_c"))
+    users = F.transform("_c", lambda c: F.concat(F.lit("u"), c["user_id"].cast("string")))
+    rows = lambda a: F.struct(a.alias("rows"))
+    return block.select(
+        F.array(rows(F.array("_day")), rows(users), rows(F.array(*map(F.lit, ("views", "clicks", "revenue")))))
+        .alias("header"),
+        F.array(F.transform("_c", lambda c: c["v"])).alias("data"))
+
+
 def post_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` read as API pages of at most 100 posts (``data.posts``)."""
     e = table(spark, sf_dir, "events")
