@@ -48,7 +48,8 @@ _HOMOGLYPHS = str.maketrans(
 _STAND_INS = str.maketrans("0134578@$!|", "oieastbasil")
 _INVISIBLE = re.compile("[­​-‏⁠﻿]")
 _FOREIGN = re.compile("[Ͱ-ԯ]")
-_INSIDE = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])|(?<![\w@$!|])[0134578]+(?=[^\W\d_]{2})")
+_INSIDE = re.compile(r"(?<=[^\W\d_])[0134578@$!|]+(?=[^\W\d_])")
+_LEADING = re.compile(r"(?<![\w@$!|])[0134578]+(?=[^\W\d_]{3})")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -59,7 +60,9 @@ def fold(text: str) -> str:
     text = text.lower()
     if not text.isascii() and _FOREIGN.search(text):
         text = text.translate(_HOMOGLYPHS)
-    return _INSIDE.sub(lambda m: m.group().translate(_STAND_INS), text)
+    for place in (_INSIDE, _LEADING):
+        text = place.sub(lambda m: m.group().translate(_STAND_INS), text)
+    return text
 
 
 def words_of(text: str) -> list[str]:
