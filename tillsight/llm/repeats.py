@@ -148,10 +148,10 @@ def _dense(*columns: np.ndarray) -> np.ndarray:
     return np.unique(key, return_inverse=True)[1]
 
 
-def _less(rank: np.ndarray) -> np.ndarray:
-    """How many entries are smaller, for each entry of a dense ranking."""
-    count = np.bincount(rank)
-    return (np.cumsum(count) - count)[rank]
+def _smaller(of: np.ndarray, than: np.ndarray) -> np.ndarray:
+    """How many of ``of`` are smaller than each of ``than``; both are ranks below a few times their number."""
+    count = np.bincount(of, minlength=int(than.max(initial=0)) + 1)
+    return (np.cumsum(count) - count)[than]
 
 
 def suffix_ranks(chars: np.ndarray, cover: int, depth: int) -> np.ndarray:
@@ -175,12 +175,11 @@ def suffix_ranks(chars: np.ndarray, cover: int, depth: int) -> np.ndarray:
     k2 = _dense(np.concatenate((padded[none], padded[two])), np.concatenate((padded[none + 1], padded[two + 1])),
                 np.concatenate((rank[none + 2], rank[two + 2])))
     a1, b1, a2, b2 = k1[:len(none)], k1[len(none):], k2[:len(none)], k2[len(none):]
-    s1, s2, t1, t2 = np.sort(a1), np.sort(a2), np.sort(b1), np.sort(b2)
     out = np.empty(n, dtype=np.int64)
-    own = _less(_dense(names))
-    out[none] = np.searchsorted(s1, a1) + np.searchsorted(t1, a1) + np.searchsorted(t2, a2)
-    out[one] = own[:len(one)] + np.searchsorted(s1, b1)
-    out[two] = own[len(one):] + np.searchsorted(s2, b2)
+    own = _smaller(names, names)
+    out[none] = _smaller(a1, a1) + _smaller(b1, a1) + _smaller(b2, a2)
+    out[one] = own[:len(one)] + _smaller(a1, b1)
+    out[two] = own[len(one):] + _smaller(a2, b2)
     return out
 
 
@@ -250,7 +249,8 @@ def _blobs(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def _buckets(values: np.ndarray, n: int) -> np.ndarray:
-    return ((values >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+    """Bucket of each anchor; anchors are least hashes, so they are scrambled once more to spread."""
+    return ((mix(values & ~_LOW16) >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
 
 
 def _scan(n_buckets: int):
@@ -284,9 +284,12 @@ def _scan(n_buckets: int):
             values, texts = anchor_places(data, bounds)
             for lo in range(0, len(fresh), 1 << 15):
                 some = (texts >= lo) & (texts < lo + (1 << 15))
-                packed = np.sort((values[some] & ~_LOW16) | (texts[some] - lo).astype(np.uint64))
+                packed = (values[some] & ~_LOW16) | (texts[some] - lo).astype(np.uint64)
+                bucket = _buckets(packed, n_buckets)
+                order = np.argsort(bucket, kind="stable")
+                packed, bucket = packed[order], bucket[order]
                 digests = rows["digest"][fresh[lo:lo + (1 << 15)]]
-                cuts = np.searchsorted(_buckets(packed, n_buckets), np.arange(n_buckets + 1))
+                cuts = np.searchsorted(bucket, np.arange(n_buckets + 1))
                 out = []
                 for k in range(n_buckets):
                     if cuts[k] < cuts[k + 1]:
