@@ -286,8 +286,12 @@ def history_rfm_segments(df: DataFrame, *, customer_id, transaction_type, date,
     cuts = F.filter(F.array(F.date_add("date", 6), F.date_add("date", 13)), lambda c: (c > s) & (c <= e))
     points = F.array_sort(F.array_distinct(F.concat(F.array(s), cuts, F.coalesce(
         new_years, F.array().cast("array<date>")))))
-    pieces = prep.select("*", F.posexplode(points).alias("_i", "_p")).withColumn(
-        "_q", F.coalesce(F.date_sub(F.try_element_at(points, (F.col("_i") + 2).cast("int")), 1), e))
+    # each change point with the day before the next one, built once per interval
+    pts = F.col("_points")
+    ends = F.concat(F.transform(F.slice(pts, 2, F.size(pts)), lambda d: F.date_sub(d, 1)), F.array(e))
+    piece = F.arrays_zip(pts.alias("p"), ends.alias("q"))
+    pieces = prep.withColumn("_points", points).select("*", F.explode(piece).alias("_piece")).select(
+        "*", F.col("_piece")[F.lit("p")].alias("_p"), F.col("_piece")[F.lit("q")].alias("_q"))
 
     recency = F.datediff("_p", "date")
     years = (F.year("_p") - F.year("first_transaction_date")).cast("long")
