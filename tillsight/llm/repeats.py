@@ -348,14 +348,26 @@ def _decode_docs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _decode_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(digest, its anchors) per text and blob."""
+    """(digest, its anchors) of each text, once per task or for every few million anchors."""
+    held: list[np.ndarray] = []
+    size = 0
+
+    def out() -> pa.RecordBatch:
+        rows = np.concatenate([np.empty((0, 2), np.uint64), *held])
+        rows = rows[np.argsort(rows[:, 0], kind="stable")]
+        head = np.flatnonzero(np.diff(rows[:, 0], prepend=~rows[:1, 0]))
+        parts = np.split(rows[:, 1], head[1:]) if len(head) else []
+        return pa.RecordBatch.from_arrays([pa.array(rows[head, 0].view(np.int64)),
+                                           pa.array([p.tobytes() for p in parts], pa.binary())], ["digest", "anchors"])
+
     for b in batches:
         for d in b.column(0):
-            rows = np.frombuffer(d.as_buffer(), np.uint64).reshape(-1, 2)
-            head = np.flatnonzero(np.diff(rows[:, 0], prepend=~rows[:1, 0]))
-            parts = np.split(rows[:, 1], head[1:])
-            yield pa.RecordBatch.from_arrays([pa.array(rows[head, 0].view(np.int64)),
-                                              pa.array([p.tobytes() for p in parts], pa.binary())], ["digest", "anchors"])
+            held.append(np.frombuffer(d.as_buffer(), np.uint64).reshape(-1, 2))
+            size += len(held[-1])
+            if size > 4 << 20:
+                yield out()
+                held, size = [], 0
+    yield out()
 
 
 _FRAGMENT = "bucket int, anchor long, document long, place long, low long, text binary, done boolean"
