@@ -302,30 +302,48 @@ def _choose(n_buckets: int):
     return run
 
 
-def _groups(groups: pa.Table, chosen: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(probers, holders, parts of their own of the probers) of each signature that somebody probes."""
+class _Groups:
+    """The signatures of a bucket that somebody probes: ranges of probers and of holders, one for each."""
+
+    def __init__(self, data: bytes, picked: np.ndarray, signature: np.ndarray):
+        half = len(data) // 2
+        values, refs = np.frombuffer(data[:half], np.uint64), np.frombuffer(data[half:], np.int64)
+        holds = _role(values) != NEIGHBOUR
+        held, self.holders = values[holds] & _SIGNATURE, refs[holds]
+        head = np.flatnonzero(np.diff(held, prepend=~held[:1]))
+        lo = np.searchsorted(signature, held[head], side="left")
+        hi = np.searchsorted(signature, held[head], side="right")
+        probed = hi > lo
+        self.probers, self.own = picked[:, 1], picked[:, 2]
+        self.lo, self.hi = lo[probed], hi[probed]
+        self.head, self.end = head[probed], np.append(head[1:], len(held))[probed]
+        p, h = self.hi - self.lo, self.end - self.head
+        self.small = p * h <= 4 * (p + h)
+
+    def small_pairs(self) -> np.ndarray:
+        """Every prober of a small group with every holder."""
+        lo, head = self.lo[self.small], self.head[self.small]
+        p, h = self.hi[self.small] - lo, self.end[self.small] - head
+        n = p * h
+        group = np.repeat(np.arange(len(n)), n)
+        k = np.arange(len(group)) - np.repeat(np.cumsum(n) - n, n)
+        return np.column_stack((self.probers[lo[group] + k // h[group]], self.holders[head[group] + k % h[group]]))
+
+    def large(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(probers, holders, parts of their own of the probers) of each large group."""
+        for g in np.flatnonzero(~self.small).tolist():
+            probers, at = np.unique(self.probers[self.lo[g]:self.hi[g]], return_index=True)
+            yield probers, np.unique(self.holders[self.head[g]:self.end[g]]), self.own[self.lo[g]:self.hi[g]][at]
+
+
+def _groups(groups: pa.Table, chosen: pa.Table) -> Iterator[_Groups]:
     if not chosen.num_rows:
         return
     picked = np.concatenate([np.frombuffer(d, np.int64).reshape(-1, 3) for d in chosen["data"].to_pylist()])
     signature = picked[:, 0].copy().view(np.uint64)
     order = np.lexsort((picked[:, 1], signature))
-    picked, signature = picked[order], signature[order]
-    for count, data in zip(groups["base"].to_pylist(), groups["data"].to_pylist(), strict=True):
-        values, refs = np.frombuffer(data[:8 * count], np.uint64), np.frombuffer(data[8 * count:], np.int64)
-        held = values & _SIGNATURE
-        head = np.flatnonzero(np.diff(held, prepend=~held[:1]))
-        end = np.append(head[1:], len(held))
-        lo = np.searchsorted(signature, held[head], side="left")
-        hi = np.searchsorted(signature, held[head], side="right")
-        for g in np.flatnonzero(hi > lo).tolist():
-            members = slice(head[g], end[g])
-            holders = np.unique(refs[members][_role(values[members]) != NEIGHBOUR])
-            probers, at = np.unique(picked[lo[g]:hi[g], 1], return_index=True)
-            yield probers, holders, picked[lo[g]:hi[g], 2][at]
-
-
-def _small(probers: np.ndarray, holders: np.ndarray) -> bool:
-    return len(probers) * len(holders) <= 4 * (len(probers) + len(holders))
+    for data in groups["data"].to_pylist():
+        yield _Groups(data, picked[order], signature[order])
 
 
 _META = "bucket int, kind int, data binary"
@@ -346,18 +364,17 @@ def _distinct(pairs: list[np.ndarray], width: int = 2) -> np.ndarray:
 def _first_round(key, groups: pa.Table, chosen: pa.Table) -> pa.Table:
     """All pairs of the small groups of a bucket and a star of each large one; the members of the large."""
     pairs, members, held = [], [], 0
-    for probers, holders, own in _groups(groups, chosen):
-        if _small(probers, holders):
-            pairs.append(np.column_stack((np.repeat(probers, len(holders)), np.tile(holders, len(probers)))))
-        else:
+    for some in _groups(groups, chosen):
+        pairs.append(some.small_pairs())
+        for probers, holders, own in some.large():
             centre = probers[np.lexsort((probers, own))[0]]
             everyone = np.union1d(probers, holders)
             pairs.append(np.column_stack((everyone, np.full(len(everyone), centre))))
             members.append(everyone)
-        held += len(pairs[-1])
-        if held > 1 << 20:
-            pairs, held = [_distinct(pairs)], 0
-            members = [np.unique(np.concatenate(members))] if members else []
+            held += len(everyone)
+            if held > 1 << 20:
+                pairs, members, held = [_distinct(pairs)], [np.unique(np.concatenate(members))], 0
+        pairs, held = [_distinct(pairs)], 0
     found = _distinct([np.sort(p, axis=1) for p in pairs])
     found = found[found[:, 0] != found[:, 1]]
     bucket = key[0].as_py()
@@ -432,9 +449,7 @@ def _second_round(key, left: pa.Table, members: pa.Table) -> pa.Table:
     chosen = left.filter(pa.compute.equal(kinds, MATCH))
     out: list[np.ndarray] = []
     seen: set[tuple[bytes, bytes]] = set()
-    for probers, holders, _ in _groups(groups, chosen):
-        if _small(probers, holders):
-            continue
+    for probers, holders, _ in (g for some in _groups(groups, chosen) for g in some.large()):
         p, h = np.searchsorted(ref, probers), np.searchsorted(ref, holders)
         if len(np.unique(np.concatenate((component[p], component[h])))) == 1:
             continue
