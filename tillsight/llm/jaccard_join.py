@@ -24,9 +24,12 @@ Stages, each written to the shared folder:
 3. In its bucket a small group of probers and holders gives all its pairs; a large one gives a
    star: every member with the one whose parts are the least its own.
    These pairs are verified exactly on the full sets, and components are found.
-4. In every large group that still spans several components, each probe is verified
-   against each holder of another component.  So every linked pair is either inside one component
-   or verified itself: nothing is capped or sampled, and a group of near copies costs a star.
+4. For the members of a large group the star also gives their deviations, the elements in which they
+   and the centre differ; two members differ in exactly the elements that one deviation has and the other
+   lacks.  A member that does not link with the centre can only link with one whose deviation shares
+   an element (else their distance is the sum of both deviations, too much already), so an index
+   of the deviations' elements finds and verifies the remaining links.  So every linked pair is
+   inside one component or verified itself: nothing is capped or sampled, and no group gives all its pairs.
 
 Shingles are compared as 64-bit hashes.  Sets below four elements link only with equal sets.
 Null, empty and blank texts have no shingles and link with nothing; rows without an id
@@ -346,40 +349,43 @@ def _groups(groups: pa.Table, chosen: pa.Table) -> Iterator[_Groups]:
         yield _Groups(data, picked[order], signature[order])
 
 
-_META = "bucket int, kind int, data binary"
-PAIRS, MEMBERS = 0, 1
+_META = "kind int, part int, data binary"
+PAIRS, STARS = 0, 1
 
 
-def _meta(rows: list[tuple[int, int, bytes]]) -> pa.Table:
-    bucket, kind, data = zip(*rows, strict=True) if rows else ((), (), ())
-    return pa.table([pa.array(bucket, pa.int32()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())],
-                    ["bucket", "kind", "data"])
-
-
-def _distinct(pairs: list[np.ndarray], width: int = 2) -> np.ndarray:
+def _distinct(pairs: list[np.ndarray]) -> np.ndarray:
     """Distinct rows of some arrays."""
-    return np.unique(np.concatenate([np.empty((0, width), np.int64), *pairs]), axis=0)
-
-
-def _first_round(key, groups: pa.Table, chosen: pa.Table) -> pa.Table:
-    """All pairs of the small groups of a bucket and a star of each large one; the members of the large."""
-    pairs, members, held = [], [], 0
-    for some in _groups(groups, chosen):
-        pairs.append(some.small_pairs())
-        for probers, holders, own in some.large():
-            centre = probers[np.lexsort((probers, own))[0]]
-            everyone = np.union1d(probers, holders)
-            pairs.append(np.column_stack((everyone, np.full(len(everyone), centre))))
-            members.append(everyone)
-            held += len(everyone)
-            if held > 1 << 20:
-                pairs, members, held = [_distinct(pairs)], [np.unique(np.concatenate(members))], 0
-        pairs, held = [_distinct(pairs)], 0
-    found = _distinct([np.sort(p, axis=1) for p in pairs])
-    found = found[found[:, 0] != found[:, 1]]
-    bucket = key[0].as_py()
-    return _meta([(bucket, PAIRS, found.tobytes())]
-                 + ([(bucket, MEMBERS, np.unique(np.concatenate(members)).tobytes())] if members else []))
+    return np.unique(np.concatenate([np.empty((0, 2), np.int64), *pairs]), axis=0)
+
+
+def _first_round(n_parts: int):
+    """All pairs of the small groups of a bucket, and of each large one every member with the centre, dealt by pair."""
+
+    def run(key, groups: pa.Table, chosen: pa.Table) -> pa.Table:
+        pairs, stars, held = [], [], 0
+        for some in _groups(groups, chosen):
+            pairs.append(np.sort(some.small_pairs(), axis=1))
+            for probers, holders, own in some.large():
+                centre = probers[np.lexsort((probers, own))[0]]
+                everyone = np.union1d(probers, holders)
+                stars.append(np.column_stack((everyone, np.full(len(everyone), centre))))
+                held += len(everyone)
+                if held > 1 << 20:
+                    stars, held = [_distinct(stars)], 0
+            pairs = [_distinct(pairs)]
+        out = []
+        for kind, rows in ((PAIRS, _distinct(pairs)), (STARS, _distinct(stars))):
+            rows = rows[rows[:, 0] != rows[:, 1]]
+            part = _bucket(mix(rows[:, 0].astype(np.uint64) * np.uint64(3) + rows[:, 1].astype(np.uint64)), n_parts)
+            order = np.argsort(part, kind="stable")
+            cuts = np.searchsorted(part[order], np.arange(n_parts + 1))
+            out += [(kind, k, rows[order[cuts[k]:cuts[k + 1]]].tobytes())
+                    for k in range(n_parts) if cuts[k] < cuts[k + 1]]
+        kind, part, data = zip(*out, strict=True) if out else ((), (), ())
+        return pa.table([pa.array(kind, pa.int32()), pa.array(part, pa.int32()), pa.array(data, pa.binary())],
+                        ["kind", "part", "data"])
+
+    return run
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -392,78 +398,80 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                    for c in _DOC.names[:-1]], ["ref", *_DOC.names[:-1]])
 
 
-def _pairs(blobs: DataFrame) -> DataFrame:
-    """Pairs ``(x, y)`` out of the blobs of the buckets; one that several buckets found comes once per task."""
+def _pairs(blobs: DataFrame, kind: int, n_parts: int) -> DataFrame:
+    """Distinct pairs ``(x, y)`` out of the blobs of all buckets; a pair's blobs meet in one part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-
-        def out() -> pa.RecordBatch:
-            rows = _distinct(held)
-            return pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], ["x", "y"])
-
         for b in batches:
             held += [np.frombuffer(d.as_buffer(), np.int64).reshape(-1, 2) for d in b.column(0)]
-            if sum(map(len, held)) > 4 << 20:
+            if len(held) > 100:
                 held = [_distinct(held)]
-                if len(held[0]) > 2 << 20:
-                    yield out()
-                    held = []
-        yield out()
+        rows = _distinct(held)
+        yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy())], ["x", "y"])
 
-    return blobs.where(F.col("kind") == PAIRS).select("data").mapInArrow(run, "x long, y long").distinct()
+    return (blobs.where(F.col("kind") == kind).repartitionById(n_parts, F.col("part")).select("data")
+            .mapInArrow(run, "x long, y long"))
 
 
-def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for bucket, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-            refs = np.frombuffer(data.as_buffer(), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(refs), bucket, np.int32)), pa.array(refs.copy())],
-                                             ["bucket", "ref"])
+_VERIFIED = "a long, b long, n_a long, linked boolean, deviation binary"
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs whose sets link."""
+def _verified(pairs: DataFrame, sets: DataFrame, deviations: bool) -> DataFrame:
+    """Whether the sets of each pair link, and the elements in which they differ (for stars)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            good = []
+            sizes, good, apart = [], [], []
             for x, y in zip(b.column(2), b.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.sort(np.concatenate((x, y)))
-                shared = int((both[1:] == both[:-1]).sum())
+                twice = both[1:] == both[:-1]
+                shared = int(twice.sum())
+                sizes.append(len(x))
                 good.append(100 * shared >= 80 * (len(x) + len(y) - shared))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+                if deviations:
+                    once = np.ones(len(both), dtype=bool)
+                    once[1:] &= ~twice
+                    once[:-1] &= ~twice
+                    apart.append(both[once].tobytes())
+                else:
+                    apart.append(b"")
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(good, pa.bool_()),
+                 pa.array(apart, pa.binary())], ["a", "b", "n_a", "linked", "deviation"])
 
     one, two = sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), sets.select(
         F.col("node").alias("b"), F.col("elements").alias("y"))
-    return (pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long").distinct())
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, _VERIFIED)
 
 
-def _second_round(key, left: pa.Table, members: pa.Table) -> pa.Table:
-    """Probes of the large groups of a bucket against the holders of other components."""
-    order = np.argsort(members["ref"].to_numpy())
-    ref, component, n = (members[c].to_numpy()[order] for c in ("ref", "component", "n"))
-    kinds = left["kind"]
-    groups = left.filter(pa.compute.equal(kinds, GROUP))
-    chosen = left.filter(pa.compute.equal(kinds, MATCH))
-    out: list[np.ndarray] = []
-    seen: set[tuple[bytes, bytes]] = set()
-    for probers, holders, _ in (g for some in _groups(groups, chosen) for g in some.large()):
-        p, h = np.searchsorted(ref, probers), np.searchsorted(ref, holders)
-        if len(np.unique(np.concatenate((component[p], component[h])))) == 1:
-            continue
-        pair = (probers.tobytes(), holders.tobytes())
-        if pair in seen:  # the same sets met in another signature
-            continue
-        if len(seen) < 1000:
-            seen.add(pair)
-        for i, x in zip(p, probers, strict=True):
-            other = holders[(component[h] != component[i]) & (n[h] >= n[i]) & (4 * n[h] <= 5 * n[i])]
-            out.append(np.sort(np.column_stack((np.full(len(other), x), other)), axis=1))
-        if sum(map(len, out)) > 1 << 20:
-            out = [_distinct(out)]
-    return _meta([(key[0].as_py(), PAIRS, _distinct(out).tobytes())])
+def _around_centre(star: pa.Table) -> pa.Table:
+    """Links between members of one star that are in different components.
+
+    One per member and component is enough.  Only members that do not link with the centre are looked up.
+    """
+    node, n, component = (star[c].to_numpy() for c in ("a", "n_a", "component"))
+    out: list[tuple[int, int]] = []
+    loose = np.flatnonzero(~star["linked"].to_numpy(zero_copy_only=False))
+    if len(loose) and len(np.unique(component)) > 1:
+        apart = [np.frombuffer(d, np.uint64) for d in star["deviation"].to_pylist()]
+        size = np.array([len(d) for d in apart])
+        elements, owner = np.concatenate(apart), np.repeat(np.arange(len(apart)), size)
+        order = np.argsort(elements, kind="stable")
+        elements, owner = elements[order], owner[order]
+        for i in loose.tolist():
+            lo = np.searchsorted(elements, apart[i], side="left")
+            hi = np.searchsorted(elements, apart[i], side="right")
+            length = hi - lo
+            at = np.repeat(lo - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+            shared = np.bincount(owner[at], minlength=len(node))
+            distance = size[i] + size - 2 * shared
+            near = np.flatnonzero((component != component[i]) & (9 * distance <= n[i] + n) & (node != node[i]))
+            _, first = np.unique(component[near], return_index=True)
+            out += [(max(node[i], node[j]), min(node[i], node[j])) for j in near[first].tolist()]
+    a, b = zip(*out, strict=True) if out else ((), ())
+    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -488,20 +496,20 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     asked = blobs.where(kind.isin(DOC, MATCH)).repartition("base").sortWithinPartitions("base", "kind")
     chosen = materialize(asked.mapInArrow(_choose(n_buckets), _CHOSEN), "probes")
     held = blobs.where(kind == GROUP).select("bucket", "base", "data")
-    found = materialize(held.groupBy("bucket").cogroup(chosen.groupBy("bucket")).applyInArrow(_first_round, _META),
-                        "stars")
+    found = materialize(held.groupBy("bucket").cogroup(chosen.groupBy("bucket")).applyInArrow(_first_round(n_buckets), _META),
+                        "found")
 
     of = nodes.select("ref", "node")
 
     def by_node(pairs: DataFrame) -> DataFrame:
         return (pairs.join(of.toDF("x", "a"), "x").join(of.toDF("y", "b"), "y").where("a != b")
-                .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-
-    pairs = materialize(by_node(_pairs(found)), "pairs")
-    members = found.where(kind == MEMBERS).select("bucket", "data").mapInArrow(_members, "bucket int, ref long")
+                .select("a", "b").distinct())
 
-    met = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node")))
-    met = met.union(members.select("ref").distinct().join(of, "ref").select("node")).distinct()
+    stars = materialize(by_node(_pairs(found, STARS, n_buckets)), "stars")  # (member, centre)
+    pairs = by_node(_pairs(found, PAIRS, n_buckets)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    pairs = materialize(pairs, "pairs")
+    either = stars.unionByName(pairs)
+    met = either.select(F.col("a").alias("node")).union(either.select(F.col("b").alias("node"))).distinct()
     wanted = (nodes.select("node", "node_digest").distinct().join(met, "node", "left_semi")
               .select(F.col("node").alias("doc_id"), F.col("node_digest").alias("digest")))
 
@@ -513,17 +521,14 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     sets = materialize(rows.join(wanted, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
                        .select("doc_id", "text").mapInArrow(elements, "node long, elements binary"), "elements")
-    links = materialize(_verified(pairs, sets), "links")
+    around = materialize(_verified(stars, sets, deviations=True), "stars")
+    links = materialize(_verified(pairs, sets, deviations=False).unionByName(around).where("linked").select("a", "b"),
+                        "links")
     known = connected_components(links)
 
-    component = nodes.join(known, "node", "left").select("ref", "n", F.coalesce("component", "node").alias("component"))
-    large = members.select("bucket").distinct()
-    again = (held.withColumn("kind", F.lit(GROUP)).unionByName(
-        chosen.select("bucket", F.lit(0).cast("long").alias("base"), "data", F.lit(MATCH).alias("kind")))
-        .join(large, "bucket", "left_semi"))
-    others = materialize(again.groupBy("bucket").cogroup(members.join(component, "ref").groupBy("bucket"))
-                         .applyInArrow(_second_round, _META), "stars")
-    more = materialize(_verified(by_node(_pairs(others)), sets), "links")
+    component = known.select(F.col("node").alias("a"), "component")
+    spokes = around.join(component, "a", "left").withColumn("component", F.coalesce("component", "a"))
+    more = materialize(spokes.groupBy("b").applyInArrow(_around_centre, "a long, b long"), "links")
     if not more.isEmpty():
         known = connected_components(links.unionByName(more))
 
