@@ -207,6 +207,16 @@ def test_main_text(page, want):
     assert html_text.main_text(page) == want
 
 
+@pytest.mark.parametrize("first,second", [
+    ("<section>", "<section>"), ("<article>", "<article>"), ("<div>", "<div>"), ("<table><tr><td>", "<td>")])
+def test_main_text_in_sibling_containers(first, second):
+    close = [f"</{re.findall('[a-z]+', x)[-1]}>" for x in (first, second)]
+    paragraphs = [f"{i}. {LONG.strip()}" for i in range(10)]
+    page = (f"<body><nav>Home</nav><div>{first}" + "".join(f"<p>{x}</p>" for x in paragraphs[:7]) + close[0] + second
+            + "".join(f"<p>{x}</p>" for x in paragraphs[7:]) + f"{close[1]}</div><footer>x</footer></body>")
+    assert html_text.main_text(page) == "\n\n".join(paragraphs)
+
+
 def test_op10_on_all_pages(spark):
     import html
 

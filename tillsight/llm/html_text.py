@@ -5,10 +5,12 @@ length and punctuation are summed per path over the page; a path's two ratios
 (characters per block, punctuation marks per block) are fused by multiplication,
 the fused values are smoothed along the page order with a short Gaussian, and
 blocks above the threshold (the standard deviation of the smoothed values) are
-taken as content.  The content's container is found by descending from the root
-into the sectioning element that holds most of the selected text, and every
-block of the container that is no boilerplate is returned, so a short paragraph
-or a heading between long ones is kept.
+taken as content.  The content's container is the deepest sectioning element
+that holds every selected block (no deeper than an article or main; blocks selected
+only for their neighbours do not widen it), and every block of the container that is
+no boilerplate is returned, so a short paragraph or a heading between long ones is
+kept, and so is a second section or article.  Selected blocks outside the container
+and what lies between are returned too: no selected block is left out.
 
 Boilerplate is left out before the ratios are computed: scripts, styles, forms,
 menus, page headers and footers, sidebars, notices, adverts and reader comments,
@@ -211,31 +213,27 @@ def smooth(values: list[float], radius: int = 2) -> list[float]:
     return out
 
 
-def main_text(page: str, share: float = 0.6) -> str:
-    """The main text of a page; ``share``: part of the selected text an element must hold to be descended into."""
+def main_text(page: str) -> str:
+    """The main text of a page."""
     blocks, names = blocks_of(page)
     if not blocks:
         return ""
-    scores = smooth(path_scores(blocks))
+    fused = path_scores(blocks)
+    scores = smooth(fused)
     mean = sum(scores) / len(scores)
     threshold = min(math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores)), max(scores))
-    chosen = [b for b, s in zip(blocks, scores, strict=True) if s >= threshold]
-    inside, depth = chosen, 0
+    chosen = [i for i, s in enumerate(scores) if s >= threshold]
     container: tuple[int, ...] = ()
-    while True:
-        held: dict[int, int] = {}
-        for b in inside:
-            if len(b.elements) > depth:
-                held[b.elements[depth]] = held.get(b.elements[depth], 0) + len(b.text)
-        best = max(held, key=held.get, default=None)
-        if best is None or held[best] < share * sum(len(b.text) for b in inside):
+    own = [i for i in chosen if fused[i] >= threshold] or chosen
+    for level in zip(*(blocks[i].elements for i in own), strict=False):
+        if len(set(level)) > 1:
             break
-        container += (best,)
-        inside = [b for b in inside if b.elements[depth:depth + 1] == (best,)]
-        depth += 1
-        if names[best] in ("article", "main"):
+        container += level[:1]
+        if names[level[0]] in ("article", "main"):
             break
-    return "\n\n".join(b.text for b in blocks if b.elements[:depth] == container)
+    inside = [i for i, b in enumerate(blocks) if b.elements[:len(container)] == container]
+    first, last = min(inside[0], chosen[0]), max(inside[-1], chosen[-1])
+    return "\n\n".join(b.text for b in blocks[first:last + 1])
 
 
 def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
