@@ -217,6 +217,29 @@ def test_main_text_in_sibling_containers(first, second):
     assert html_text.main_text(page) == "\n\n".join(paragraphs)
 
 
+@pytest.mark.parametrize("attrs", [
+    'href="/hidden-gems"', 'title="hidden treasures"', 'data-hidden="false"', 'href="/a?id=comments"', 'data-id="share"',
+    'href=/a?class=menu', 'title="id=comments"', "data-role=navigation"])
+def test_main_text_reads_whole_attributes(attrs):
+    page = f"<article><p>{LONG}</p><p>See <a {attrs}>this</a>; more.</p><p {attrs}>{LONG}</p></article>"
+    assert html_text.main_text(page) == f"{LONG.strip()}\n\nSee this; more.\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("attrs", ['class="content has-sidebar"', 'id="page-no-sidebar"', "class=widget", "class=topbar"])
+def test_main_text_below_a_cue(attrs):
+    inner = f"<article><p>{LONG}<p>{LONG}</article><div class=sidebar>{LONG}</div>"
+    assert html_text.main_text(f"<body><nav>Home</nav><div {attrs}>{inner}</div><footer>x</footer></body>") == (
+        f"{LONG.strip()}\n\n{LONG.strip()}")
+    parts = "".join(f"<div {attrs}><p>{i} {LONG}</p></div>" for i in range(9))
+    assert html_text.main_text(f"<body>{parts}</body>") == "\n\n".join(f"{i} {LONG.strip()}" for i in range(9))
+
+
+@pytest.mark.parametrize("attrs", ["hidden", "HIDDEN=''", 'aria-hidden="true"', "role=navigation", 'data-x="1"class="menu"',
+                                   "style='display:none'", "id = comments"])
+def test_main_text_still_leaves_out(attrs):
+    assert html_text.main_text(f"<article><p>{LONG}</p><div {attrs}>gone</div></article>") == LONG.strip()
+
+
 def test_op10_on_all_pages(spark):
     import html
 

@@ -14,7 +14,10 @@ and what lies between are returned too: no selected block is left out.
 
 Boilerplate is left out before the ratios are computed: scripts, styles, forms,
 menus, page headers and footers, sidebars, notices, adverts and reader comments,
-by element, role, or a word of the class or id.
+by element, role, or a word of the class or id.  Such a word does not count where
+its elements hold more text than the page has outside all elements with such words
+(except a name that is nothing but such words, on a page with an article or main
+elsewhere); there the ratios decide.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by a blank line.  Null or empty html, or a page without any
@@ -62,7 +65,7 @@ HEADER_CUES = frozenset("header masthead topbar".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/)?(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>][^\s>]*)))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _PUNCT = re.compile(r"[.,;:!?…。，、！？；：]")
 
@@ -74,24 +77,70 @@ class Block:
     text: str
 
 
-def _boilerplate(name: str, attrs: str, inside_article: bool) -> bool:
+@dataclass
+class Cued:
+    """An element with a cue in its class or id (number 0: the page), and the text inside it and no deeper one."""
+    kind: tuple[str, frozenset[str], bool]
+    inner: list[int]
+    length: int = 0
+    article: bool = False  # some of that text is in an article or main
+
+
+def _boilerplate(name: str, attrs: str, inside_article: bool) -> tuple[bool, frozenset[str], bool]:
+    """Whether an element is boilerplate by its name, role or being hidden; the cues in its class and id, and
+    whether one of their names has no other words."""
     if name in BOILERPLATE or (name == "header" and not inside_article):
-        return True
-    if not attrs:
-        return False
+        return True, frozenset(), False
+    cues: set[str] = set()
+    plain = False
     for m in _ATTR.finditer(attrs):
         key, value = m.group(1).lower(), m.group(2) or m.group(3) or m.group(4) or ""
         if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
+            return True, frozenset(), False
         if key == "role" and value.strip().lower() in ROLES:
-            return True
+            return True, frozenset(), False
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return True, frozenset(), False
         if key in ("class", "id") and name not in ("html", "body", "main", "article"):
-            words = {w.lower() for w in _WORDS.findall(value)}
-            if words & CUES or (words & HEADER_CUES and not inside_article):
-                return True
-    return False
+            for one in value.split():
+                words = {w.lower() for w in _WORDS.findall(one)}
+                some = words & (CUES if inside_article else CUES | HEADER_CUES)
+                cues |= some
+                plain |= bool(some) and some == words
+    return False, frozenset(cues), plain
+
+
+def _content(cued: list[Cued]) -> set[int]:
+    """The numbers of the elements whose cues are not believed, so that their own text stays.
+
+    The outermost elements are weighed first, those of one name and cue together.  Where they hold more than all text
+    outside such elements, the cue is not believed and the elements inside are weighed next.  A name that is nothing
+    but a cue is believed if the page has an article or main outside all of them.
+    """
+    held = [c.length for c in cued]
+    for e in range(len(cued) - 1, -1, -1):
+        held[e] += sum(held[i] for i in cued[e].inner)
+    kept = {0}
+    clear, article = cued[0].length, cued[0].article
+    outer: dict[tuple, list[int]] = {}
+    totals: dict[tuple, int] = {}
+    more = cued[0].inner
+    while True:
+        for e in more:
+            outer.setdefault(cued[e].kind, []).append(e)
+            totals[cued[e].kind] = totals.get(cued[e].kind, 0) + held[e]
+        large = [k for k, n in totals.items() if n > clear]
+        large = [k for k in large if not k[2]] or ([] if article else large)
+        if not large:
+            return kept
+        more = []
+        for k in large:
+            del totals[k]
+            for e in outer.pop(k):
+                kept.add(e)
+                clear += cued[e].length
+                article |= cued[e].article
+                more += cued[e].inner
 
 
 def blocks_of(page: str) -> tuple[list[Block], dict[int, str]]:
@@ -99,16 +148,17 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, str]]:
     blocks: list[Block] = []
     names: dict[int, str] = {}
     stack: list[tuple[str, int, bool]] = []  # name, number (sections) or -1, boilerplate
-    buffer: list[str] = []
+    cued = [Cued(("", frozenset(), False), [])]
+    around = [(-1, 0)]  # the open cued elements: place in the stack, number
+    raw: list[tuple[str, tuple[int, ...], list[tuple[int, str]]]] = []
+    buffer: list[tuple[int, str]] = []  # pieces with the innermost cued element
     dropped = articles = number = 0
     where: tuple[str, tuple[int, ...]] | None = None
 
     def flush() -> None:
         nonlocal where
         if buffer:
-            text = " ".join(_html.unescape("".join(buffer)).split())
-            if text:
-                blocks.append(Block(*where, text))
+            raw.append((*where, buffer.copy()))
             buffer.clear()
         where = None
 
@@ -118,7 +168,11 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, str]]:
             return
         if where is None:
             where = ("/".join(s[0] for s in stack if s[0] not in INLINE), tuple(s[1] for s in stack if s[1] >= 0))
-        buffer.append(text)
+        inner = around[-1][1]
+        buffer.append((inner, text))
+        if said := len(text.strip()):
+            cued[inner].length += said
+            cued[inner].article |= articles > 0
 
     def pop_to(k: int) -> None:
         nonlocal dropped, articles
@@ -128,6 +182,8 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, str]]:
             articles -= name in ("article", "main")
             if name not in INLINE:
                 flush()
+            if around[-1][0] == len(stack):
+                around.pop()
 
     at, size = 0, len(page)
     while at < size:
@@ -174,7 +230,11 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, str]]:
             flush()
         if name in VOID or m["attrs"].endswith("/"):
             continue
-        out = _boilerplate(name, m["attrs"], articles > 0)
+        out, cues, plain = _boilerplate(name, m["attrs"], articles > 0)
+        if cues and not dropped:
+            cued[around[-1][1]].inner.append(len(cued))
+            around.append((len(stack), len(cued)))
+            cued.append(Cued((name, cues, plain), []))
         if name in SECTIONS:
             names[number] = name
             stack.append((name, number, out))
@@ -184,6 +244,11 @@ def blocks_of(page: str) -> tuple[list[Block], dict[int, str]]:
         dropped += out
         articles += name in ("article", "main")
     flush()
+    kept = _content(cued)
+    for path, elements, pieces in raw:
+        text = " ".join(_html.unescape("".join(t for e, t in pieces if e in kept)).split())
+        if text:
+            blocks.append(Block(path, elements, text))
     return blocks, names
 
 
