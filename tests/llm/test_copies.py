@@ -91,6 +91,28 @@ def test_large_group_of_near_copies(spark, tmp_dir):
     assert {r.doc_id: r.component_id for r in got} == components(rows)
 
 
+def test_members_of_a_star_link_through_rare_and_hot_elements(spark):
+    # the deviations from one centre: every pair of different components that links is a candidate, whatever the cells
+    rng = random.Random(12)
+    centre, common = set(range(40)), list(range(100, 112))
+    nodes = {0: centre}
+    for i in range(1, 160):
+        own = set(rng.sample(common, rng.randrange(0, 7))) | {1000 + 10 * i + k for k in range(rng.randrange(0, 5))}
+        nodes[i] = centre - set(rng.sample(range(12), rng.randrange(0, 10))) | own
+    link = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
+    rows = [(i, 0, len(x), 40, link(x, centre), sorted(x ^ centre), 0 if link(x, centre) else i)
+            for i, x in nodes.items() if i]
+    spokes = spark.createDataFrame(rows, "a long, b long, n_a long, n_b long, linked boolean, deviation array<long>, "
+                                         "component long")
+    want = {(i, j) for i in nodes for j in nodes if i > j > 0 and link(nodes[i], nodes[j])
+            and not (link(nodes[i], centre) and link(nodes[j], centre))}
+    loose = sum(not r[4] for r in rows)
+    assert 30 < loose < 130 and len(want) > 30
+    for cell in (3, 1 << 11):
+        got = [tuple(r) for r in jaccard_join._within_stars(spokes, cell).collect()]
+        assert len(set(got)) == len(got) and want <= set(got)
+
+
 def test_near_duplicate_edges(spark, tmp_dir):
     rows = edge_rows()
     df = stored(frame(spark, rows), f"{tmp_dir}/d")

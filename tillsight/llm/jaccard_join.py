@@ -27,9 +27,11 @@ Stages, each written to the shared folder:
 4. For the members of a large group the star also gives their deviations, the elements in which they
    and the centre differ; two members differ in exactly the elements that one deviation has and the other
    lacks.  A member that does not link with the centre can only link with one whose deviation shares
-   an element (else their distance is the sum of both deviations, too much already), so an index
-   of the deviations' elements finds and verifies the remaining links.  So every linked pair is
-   inside one component or verified itself: nothing is capped or sampled, and no group gives all its pairs.
+   elements (else their distance is the sum of both deviations, too much already); how many is known
+   from the sizes, so two that link meet in the rarest elements of their deviations (prefix filter).
+   These are joined on (centre, element), a hot one in a grid of cells by member, and the distinct pairs
+   of different components verified on the full sets.  So every linked pair is
+   inside one component or verified itself: nothing is capped or sampled, and no task holds a group.
 
 Shingles are compared as 64-bit hashes.  Sets below four elements link only with equal sets.
 Null, empty and blank texts have no shingles and link with nothing; rows without an id
@@ -414,7 +416,7 @@ def _pairs(blobs: DataFrame, kind: int, n_parts: int) -> DataFrame:
             .mapInArrow(run, "x long, y long"))
 
 
-_VERIFIED = "a long, b long, n_a long, linked boolean, deviation binary"
+_VERIFIED = "a long, b long, n_a long, n_b long, linked boolean, deviation array<long>"
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, deviations: bool) -> DataFrame:
@@ -422,56 +424,79 @@ def _verified(pairs: DataFrame, sets: DataFrame, deviations: bool) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, good, apart = [], [], []
+            sizes, others, good, apart, ends = [], [], [], [], [0]
             for x, y in zip(b.column(2), b.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 both = np.sort(np.concatenate((x, y)))
                 twice = both[1:] == both[:-1]
                 shared = int(twice.sum())
                 sizes.append(len(x))
+                others.append(len(y))
                 good.append(100 * shared >= 80 * (len(x) + len(y) - shared))
                 if deviations:
                     once = np.ones(len(both), dtype=bool)
                     once[1:] &= ~twice
                     once[:-1] &= ~twice
-                    apart.append(both[once].tobytes())
-                else:
-                    apart.append(b"")
+                    apart.append(both[once].view(np.int64))
+                ends.append(ends[-1] + (len(apart[-1]) if deviations else 0))
+            elements = pa.array(np.concatenate([np.empty(0, np.int64), *apart]))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(good, pa.bool_()),
-                 pa.array(apart, pa.binary())], ["a", "b", "n_a", "linked", "deviation"])
+                [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(others, pa.int64()),
+                 pa.array(good, pa.bool_()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), elements)],
+                ["a", "b", "n_a", "n_b", "linked", "deviation"])
 
     one, two = sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), sets.select(
         F.col("node").alias("b"), F.col("elements").alias("y"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, _VERIFIED)
 
 
-def _around_centre(star: pa.Table) -> pa.Table:
-    """Links between members of one star that are in different components.
+_CELL = 2048  # most probing or held members of one element in a cell
+
+
+def _within_stars(spokes: DataFrame, cell: int = _CELL) -> DataFrame:
+    """``(a, b)``: members of one star, in different components, that may link; one of each does not link with the centre.
 
-    One per member and component is enough.  Only members that do not link with the centre are looked up.
+    With deviations D, sizes n and the centre's size c, a pair links if 18 * |Dx & Dy| >= 9 * |Dx| - nx + 9 * |Dy| - ny.
+    So x, loose (9 * |Dx| - nx - c > 0), shares at least (9 * |Dx| - nx - c) / 10 elements with any
+    partner y, as ny <= c + |Dy|; and y at least (1 + 9 * |Dy| - ny + c) / 18 with any loose one.
     """
-    node, n, component = (star[c].to_numpy() for c in ("a", "n_a", "component"))
-    out: list[tuple[int, int]] = []
-    loose = np.flatnonzero(~star["linked"].to_numpy(zero_copy_only=False))
-    if len(loose) and len(np.unique(component)) > 1:
-        apart = [np.frombuffer(d, np.uint64) for d in star["deviation"].to_pylist()]
-        size = np.array([len(d) for d in apart])
-        elements, owner = np.concatenate(apart), np.repeat(np.arange(len(apart)), size)
-        order = np.argsort(elements, kind="stable")
-        elements, owner = elements[order], owner[order]
-        for i in loose.tolist():
-            lo = np.searchsorted(elements, apart[i], side="left")
-            hi = np.searchsorted(elements, apart[i], side="right")
-            length = hi - lo
-            at = np.repeat(lo - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-            shared = np.bincount(owner[at], minlength=len(node))
-            distance = size[i] + size - 2 * shared
-            near = np.flatnonzero((component != component[i]) & (9 * distance <= n[i] + n) & (node != node[i]))
-            _, first = np.unique(component[near], return_index=True)
-            out += [(max(node[i], node[j]), min(node[i], node[j])) for j in near[first].tolist()]
-    a, b = zip(*out, strict=True) if out else ((), ())
-    return pa.table([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+    loose = F.col("excess") > 0
+    active = (spokes.groupBy("b").agg(F.max((~F.col("linked")).cast("int")).alias("any"),
+                                      (F.min("component") != F.max("component")).alias("several"))
+              .where("any = 1 and several").select("b"))
+    members = materialize(spokes.join(active, "b", "left_semi").select(
+        "b", "a", "component", "deviation", F.size("deviation").cast("long").alias("d"),
+        F.expr("9L * size(deviation) - n_a").alias("need"), F.expr("9L * size(deviation) - n_a - n_b").alias("excess"),
+        "n_b"), "members")
+    elements = members.select("b", "a", loose.cast("int").alias("loose"), F.explode("deviation").alias("e"))
+    # an element that one member or no loose one has is shared by none: rarer than all others, and never joined
+    live = (elements.groupBy("b", "e").agg(F.count("*").alias("held"), F.sum("loose").alias("probed"))
+            .where("held > 1 and probed > 0"))
+    ranked = (elements.join(live, ["b", "e"]).groupBy("b", "a")
+              .agg(F.sort_array(F.collect_list(F.struct("held", "e", "probed"))).alias("live")))
+    shared = members.select("b", "a", "component", "d", "need", "excess", "n_b").join(ranked, ["b", "a"])
+
+    def prefix(least: str) -> DataFrame:
+        some = F.expr(f"cast(greatest(0L, least(size(live), d - ({least}) + 1 - (d - size(live)))) as int)")
+        return (shared.select("*", F.posexplode(F.slice("live", F.lit(1), some)).alias("at", "l"))
+                .select("b", "a", "component", (F.size("live") - F.col("at")).alias("rest"), "need", "excess", "l.*"))
+
+    def cells(count: str) -> F.Column:
+        return F.expr(f"(({count}) + {cell - 1}) div {cell}")
+
+    held = (prefix("(1 + need + n_b + 17) div 18").withColumn("row", F.expr("pmod(xxhash64(a), held)") % cells("held"))
+            .withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), cells("probed") - 1)))
+            .select("b", "e", "row", "column", F.col("a").alias("y"), F.col("component").alias("cy"),
+                    F.col("rest").alias("ry"), F.col("need").alias("ny"), loose.alias("loose")))
+    probes = (prefix("(excess + 9) div 10").where(loose)
+              .withColumn("column", F.expr("pmod(xxhash64(a), probed)") % cells("probed"))
+              .withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), cells("held") - 1)))
+              .select("b", "e", "row", "column", F.col("a").alias("x"), F.col("component").alias("cx"),
+                      F.col("rest").alias("rx"), F.col("need").alias("nx")))
+    # in the first element they share, a pair still has all it shares before it; two loose members meet once
+    return (probes.join(held, ["b", "e", "row", "column"])
+            .where("cx != cy and x != y and (x > y or not loose) and 18 * least(rx, ry) >= nx + ny")
+            .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
@@ -528,7 +553,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     component = known.select(F.col("node").alias("a"), "component")
     spokes = around.join(component, "a", "left").withColumn("component", F.coalesce("component", "a"))
-    more = materialize(spokes.groupBy("b").applyInArrow(_around_centre, "a long, b long"), "links")
+    more = materialize(_verified(materialize(_within_stars(spokes), "candidates"), sets, deviations=False)
+                       .where("linked").select("a", "b"), "links")
     if not more.isEmpty():
         known = connected_components(links.unionByName(more))
 
