@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
+    best_fit,
+    collocations,
     decontaminate,
     html_text,
     jaccard_join,
@@ -18,12 +20,14 @@ from tillsight.llm import (
     token_counts,
     token_files,
     toxicity,
+    whitening,
 )
 from tillsight.llm.common import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
+WORD_BPE = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -99,6 +103,23 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_main_text(_table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding projected on the 16 leading directions of all distinct embeddings, with unit variance."""
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into as few windows of 4096 tokens as best-fit decreasing needs."""
+    packed = best_fit.pack_best_fit(_table(spark, sf_dir, "documents"), tokenizer=WORD_BPE)
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id",
+                         "offset")
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's best phrases of 2 to 5 words."""
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_token_files": op1_token_files,
     "op2_decontamination": op2_decontamination,
@@ -110,6 +131,9 @@ QUERIES: dict[str, Query] = {
     "op8_nearest": op8_nearest,
     "op9_packing": op9_packing,
     "op10_main_text": op10_main_text,
+    "op11_whitening": op11_whitening,
+    "op12_best_fit": op12_best_fit,
+    "op13_collocations": op13_collocations,
 }
 
 #: none of these can be written in SQL: tokenizers, learned models and iterative joins; the tests hold them to brute force
