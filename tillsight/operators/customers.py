@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tillsight.functions.columns import as_of_date, col, where
 from tillsight.functions.dates import day_diff, quarter_label
 from tillsight.operators.products import percentage
-from tillsight.plans.ordered import checkpointed, ordered_scan, tile_of
+from tillsight.plans.ordered import checkpointed, ordered_scan, with_tiles
 
 # fixed values: sale marker and RFM segment labels of the original macros
 SALE = "VENTE"
@@ -56,12 +56,13 @@ def get_rfm_segments(df: DataFrame, *, customer_id, first_order_date, last_order
     p = df.select(col(customer_id).alias("customer_id"), col(first_order_date).alias("acquisition_date"),
                   col(last_order_date).alias("recency_date"), col(recency).alias("recency"),
                   col(orders).alias("frequency"), col(revenue).alias("monetary"), col(tenure).alias("tenure"))
-    # one row per customer, read by three narrow orderings and one projection
+    # one row per customer, read by one ordering of all three measures and one projection
     p = checkpointed(p)
-    tile = {m: tile_of(p, m, "customer_id", 5) for m in ("recency", "frequency", "monetary")}
-    label = tile["recency"] * 100 + tile["frequency"] * 10 + tile["monetary"]
-    return p.select("customer_id", "acquisition_date", "recency_date", "recency", "frequency", "monetary",
-                    "tenure", _rfm_segment(label).alias("rfm_segments_name"))
+    tiles = with_tiles(p, {"_r": "recency", "_f": "frequency", "_m": "monetary"}, "customer_id", 5)
+    # the label is a column of its own, so that it is computed once and not in every comparison
+    label = tiles.withColumn("_label", F.col("_r") * 100 + F.col("_f") * 10 + F.col("_m"))
+    return label.select("customer_id", "acquisition_date", "recency_date", "recency", "frequency", "monetary",
+                        "tenure", _rfm_segment(F.col("_label")).alias("rfm_segments_name"))
 
 
 def _abc_class(pct, threshold, with_d: bool):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight.functions.columns import col, join_nullsafe, where
-from tillsight.plans.ordered import checkpointed, ordered_scan, tile_of
+from tillsight.plans.ordered import checkpointed, ordered_scan, with_tiles
 
 # fixed value: placeholder product excluded by the original macros
 UNASSIGNED = "Unassigned"
@@ -192,10 +192,9 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
     })
     # product grain from here on; only (rate, product) is ordered
     rep = checkpointed(rep)
-    tile = {rate: tile_of(rep, rate, "product", 5) for rate in ("bulk_purchase_rate", "repurchase_rate")}
-    label = F.concat(_label(tile["bulk_purchase_rate"], BULK_LABELS), F.lit("_"),
-                     _label(tile["repurchase_rate"], REPURCHASE_LABELS))
-    return rep.withColumn("bulk_and_repurchase_label", label)
+    tiles = with_tiles(rep, {"_bulk": "bulk_purchase_rate", "_again": "repurchase_rate"}, "product", 5)
+    label = F.concat(_label(F.col("_bulk"), BULK_LABELS), F.lit("_"), _label(F.col("_again"), REPURCHASE_LABELS))
+    return tiles.withColumn("bulk_and_repurchase_label", label).drop("_bulk", "_again")
 
 
 def _one_sum_type(c, t):

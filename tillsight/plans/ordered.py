@@ -236,20 +236,58 @@ def _ranks_only(df: DataFrame, order_by: list[Column], row_number: str | None, n
     return out.select(*original, *added)
 
 
-def tile_of(df: DataFrame, measure: str, key: str, n: int) -> Column:
-    """``ntile(n) over (order by measure, key)`` for the rows of ``df``, as a column.
+def tile_ends(df: DataFrame, measures: Sequence[str], key: str, n: int) -> Column:
+    """The last (value, key) of every tile but the top one, of ``ntile(n) over (order by measure, key)``, all measures.
+
+    One struct, as one scalar subquery: a field per measure with at most ``n - 1``
+    pairs.  The measures are unpivoted to rows ``(measure, value, key)``, each
+    value in a column of its own type, and ordered by one range shuffle with the
+    measure leading.  Row positions come from the sorted buckets, the buckets'
+    counts (one row per bucket and measure) tell which position ends a tile, and only those
+    rows leave the scan.  ``df`` is read once more: materialise it if it is expensive.
+    """
+    values = [f"v{i}" for i in range(len(measures))]
+    types = [df.schema[m].dataType for m in measures]
+
+    def row(i: int) -> Column:
+        own = [(F.col(m) if i == j else F.lit(None)).cast(t).alias(v)
+               for j, (m, t, v) in enumerate(zip(measures, types, values, strict=True))]
+        return F.struct(F.lit(i).alias("m"), *own, F.col(key).alias("k"))
 
-    Only the narrow (measure, key) rows are ordered; the last pair of each
-    tile but the top one (``n - 1`` rows, one scalar subquery) then labels any row
-    by comparison, so the wide rows are never shuffled for it.  ``df`` is read once
-    more: materialise it if it is expensive.  Rows with equal pairs share a tile.
+    rows = df.select(F.explode(F.array(*[row(i) for i in range(len(measures))])).alias("r")).select("r.*")
+    order = [F.col(c).asc_nulls_first() for c in ("m", *values, "k")]
+    pinned = checkpointed(_by_range(rows, order, None).sortWithinPartitions(*order)
+                          .withColumns({BUCKET: F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
+    runs = pinned.groupBy(BUCKET, "m").agg(F.count(F.lit(1)).alias("rows"), F.min("_mid").alias("first"))
+    by_measure = Window.partitionBy("m").orderBy(BUCKET)
+    everything = by_measure.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = runs.select("first", "rows", (F.sum("rows").over(by_measure) - F.col("rows")).alias("before"),
+                         F.sum("rows").over(everything).alias("total"))
+    # tile i ends at row i * floor(total / n) + min(i, total mod n); in this bucket if that lies among its rows
+    ends = (placed.withColumn("i", F.explode(F.sequence(F.lit(1), F.lit(n - 1))))
+            .withColumn("at", F.expr(f"i * (total div {n}) + least(i, total % {n}) - before"))
+            .where("at between 1 and rows").select((F.col("first") + F.col("at") - 1).alias("_mid")).distinct())
+    # at most (n - 1) rows per measure
+    picked = pinned.join(F.broadcast(ends), "_mid", "left_semi")
+    lists = [F.sort_array(F.collect_list(F.when(F.col("m") == i, F.struct(F.col(v).alias("m"), F.col("k"))))).alias(m)
+             for i, (m, v) in enumerate(zip(measures, values, strict=True))]
+    return picked.agg(*lists).select(F.struct(*measures)).scalar()
+
+
+def with_tiles(df: DataFrame, tiles: Mapping[str, str], key: str, n: int) -> DataFrame:
+    """Add ``{name: measure}`` columns ``ntile(n) over (order by measure, key)``; rows with equal pairs share a tile.
+
+    The ends are attached once, so every row is labelled by comparisons and the
+    wide rows are never shuffled.
     """
-    pair = F.struct(F.col(measure).alias("m"), F.col(key).alias("k"))
-    tiles = ordered_scan(df.select(measure, key), [measure, key], ntiles={"_tile": n})
-    last = tiles.where(F.col("_tile") < n).groupBy("_tile").agg(F.max(pair).alias("_last"))
-    ends = last.agg(F.collect_list("_last")).scalar()
-    above = [F.when(pair > F.try_element_at(ends, F.lit(i)), 1).otherwise(0) for i in range(1, n)]
-    return sum(above, F.lit(1))
+    attached = df.withColumn("_ends", tile_ends(df, list(dict.fromkeys(tiles.values())), key, n))
+
+    def tile(measure: str) -> Column:
+        pair = F.struct(F.col(measure).alias("m"), F.col(key).alias("k"))
+        ends = F.col("_ends").getField(measure)
+        return sum((F.when(pair > F.try_element_at(ends, F.lit(i)), 1).otherwise(0) for i in range(1, n)), F.lit(1))
+
+    return attached.withColumns({name: tile(m) for name, m in tiles.items()}).drop("_ends")
 
 
 def _ntile(r: Column, total: Column, n: int) -> Column:
