@@ -91,6 +91,14 @@ def test_large_group_of_near_copies(spark, tmp_dir):
     assert {r.doc_id: r.component_id for r in got} == components(rows)
 
 
+def spoke(i, x, centre):
+    """A star's row: sizes, overlap, whether they link, and the deviations of a member from the centre (node 0)."""
+    both = len(x & centre)
+    near = 5 * both >= 4 * len(x)
+    return (i, 0, len(x), len(centre), both, 100 * both >= 80 * len(x | centre), sorted(x - centre),
+            sorted(centre - x) if near else [])
+
+
 def test_members_of_a_star_link_through_rare_and_hot_elements(spark):
     # the deviations from one centre: every pair of different components that links is a candidate, whatever the cells
     rng = random.Random(12)
@@ -100,13 +108,11 @@ def test_members_of_a_star_link_through_rare_and_hot_elements(spark):
         own = set(rng.sample(common, rng.randrange(0, 7))) | {1000 + 10 * i + k for k in range(rng.randrange(0, 5))}
         nodes[i] = centre - set(rng.sample(range(12), rng.randrange(0, 10))) | own
     link = lambda x, y: 100 * len(x & y) >= 80 * len(x | y)
-    rows = [(i, 0, len(x), 40, link(x, centre), sorted(x ^ centre), 0 if link(x, centre) else i)
-            for i, x in nodes.items() if i]
-    spokes = spark.createDataFrame(rows, "a long, b long, n_a long, n_b long, linked boolean, deviation array<long>, "
-                                         "component long")
+    rows = [(*spoke(i, x, centre), 0 if link(x, centre) else i) for i, x in nodes.items() if i]
+    spokes = spark.createDataFrame(rows, jaccard_join._VERIFIED + ", component long")
     want = {(i, j) for i in nodes for j in nodes if i > j > 0 and link(nodes[i], nodes[j])
             and not (link(nodes[i], centre) and link(nodes[j], centre))}
-    loose = sum(not r[4] for r in rows)
+    loose = sum(not r[5] for r in rows)
     assert 30 < loose < 130 and len(want) > 30
     for cell in (3, 1 << 11):
         got = [tuple(r) for r in jaccard_join._within_stars(spokes, cell).collect()]
@@ -124,7 +130,12 @@ def test_near_duplicate_edges(spark, tmp_dir):
     assert all(r.component_id is None for r in got if r.doc_id is None)
     kept = jaccard_join.keep_first(df)
     assert kept.columns == df.columns
-    assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(set(want.values()))
+    # ... and as many where one row of a group is kept: each distinct (id, text) is decided on its own
+    distinct = sorted({(d, t or "") for d, t in rows if d is not None},
+                      key=lambda r: (r[0], hashlib.sha256(r[1].encode()).hexdigest()))
+    first = components([(i, t) for i, (_, t) in enumerate(distinct)])
+    assert sorted(((r.doc_id, r.text or "") for r in kept.collect() if r.doc_id is not None), key=repr) == sorted(
+        (r for i, r in enumerate(distinct) if first[i] == i), key=repr)
     assert kept.where("doc_id is null").count() == 2
     empty = stored(frame(spark, []), f"{tmp_dir}/e", 1)
     assert jaccard_join.near_duplicates(empty).count() == 0 == jaccard_join.keep_first(empty).count()
@@ -229,3 +240,78 @@ def test_op3_on_all_documents(spark):
     got = [tuple(r[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"))
            for r in registry.op3_repeated_strings(spark, SF).collect()]
     assert order(got) == order(without_repeats(rows))
+
+
+def family(seed, members=400, size=140):
+    """Texts that share one long passage but little else, a third of them edits of one text, and pairs that link."""
+    rng = random.Random(seed)
+    passage = words(30, seed).split()
+    centre = words(size, seed + 1).split()
+    rows = []
+    for i in range(members):
+        if i % 3:
+            text = words(rng.randrange(60, size), seed * 1000 + i).split()
+        else:
+            text = list(centre)
+            for _ in range(rng.choice([1, 3, 6, 9])):
+                text[rng.randrange(len(text))] = f"w{rng.randrange(9999)}"
+        rows.append((2 * i, " ".join(text + passage)))
+        if i % 5 == 0:  # a near copy of a loose member
+            text[rng.randrange(len(text))] = "other"
+            rows.append((2 * i + 1, " ".join(text + passage)))
+    return rows
+
+
+def test_a_large_family_makes_few_candidates(spark, tmp_dir, monkeypatch):
+    """Members of a star that share only what all share with its centre are not compared."""
+    rows, made = family(3), []
+
+    def counted(df, name, keep=jaccard_join.materialize):
+        out = keep(df, name)
+        if name == "candidates":
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(jaccard_join, "materialize", counted)
+    got = jaccard_join.near_duplicates(stored(frame(spark, rows), f"{tmp_dir}/d"))
+    assert {r.doc_id: r.component_id for r in got.collect()} == components(rows)
+    assert sum(made) <= 20 * len(rows)
+
+
+def test_bounds_within_a_star(spark):
+    """Random members around a centre, some far from it: every pair that links (one of them loose) is a candidate."""
+    rng = random.Random(8)
+    centre = set(range(100))
+    sets = {0: centre}
+    for i in range(1, 220):
+        base = sets[rng.choice(list(sets))] if rng.random() < 0.7 else set(rng.sample(range(400), 90))
+        gone = rng.choice([0, 3, 8, 15, 40])
+        own = set(rng.sample(sorted(base), max(1, len(base) - gone)))
+        sets[i] = own | {rng.randrange(100, 400) for _ in range(rng.choice([0, 2, 8, 15]))}
+
+    def linked(x, y):
+        return 100 * len(x & y) >= 80 * len(x | y)
+
+    rows = [(*spoke(i, x, centre), i) for i, x in sets.items() if i]
+    spokes = spark.createDataFrame(rows, jaccard_join._VERIFIED + ", component long")
+    for cell in (2048, 7):
+        found = {(r.a, r.b) for r in jaccard_join._within_stars(spokes, cell).collect()}
+        want = {(i, j) for i in sets for j in sets if i > j > 0 and linked(sets[i], sets[j])
+                and not (linked(sets[i], centre) and linked(sets[j], centre))}
+        assert want and want <= found
+
+
+def test_keep_first_decides_by_id_and_text(spark, tmp_dir):
+    a, b, c = words(60, 1), words(60, 2), words(60, 3)
+    rows = [(1, a), (1, b), (2, a), (3, b + " tail"), (4, c), (4, c), (5, None), (5, ""), (None, a), (6, " ")]
+    got = jaccard_join.keep_first(stored(spark.createDataFrame(rows, "doc_id long, text string"), f"{tmp_dir}/a"))
+    texts = [(r.doc_id, r.text or "") for r in got.collect()]
+    assert sorted(texts, key=repr) == sorted([(1, a), (1, b), (4, c), (5, ""), (None, a), (6, " ")], key=repr)
+    # unique ids, and column names that the operator could use itself
+    rows = [(i, t, "x", "y", 1, i) for i, t in ((3, a), (2, a + " tail"), (7, b), (9, None))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _first string, _sha string, _nth int, number long")
+    got = jaccard_join.keep_first(stored(df, f"{tmp_dir}/b"))
+    assert got.columns == df.columns and sorted(r.doc_id for r in got.collect()) == [2, 7, 9]
+    doubled = stored(df.union(df), f"{tmp_dir}/c")
+    assert sorted(map(repr, jaccard_join.keep_first(doubled).collect())) == sorted(map(repr, got.collect()))
+    assert jaccard_join.keep_first(df.limit(0)).count() == 0

@@ -24,11 +24,10 @@ Stages, each written to the shared folder:
 3. In its bucket a small group of probers and holders gives all its pairs; a large one gives a
    star: every member with the one whose parts are the least its own.
    These pairs are verified exactly on the full sets, and components are found.
-4. For the members of a large group the star also gives their deviations, the elements in which they
-   and the centre differ; two members differ in exactly the elements that one deviation has and the other
-   lacks.  A member that does not link with the centre can only link with one whose deviation shares
-   elements (else their distance is the sum of both deviations, too much already); how many is known
-   from the sizes, so two that link meet in the rarest elements of their deviations (prefix filter).
+4. The star also tells what each member of a large group shares with the centre and where it
+   deviates from it.  Two members far from the centre that link share elements outside of it; two
+   near ones share deviations; how many is known from the sizes, so a pair meets in the
+   rarest of those elements (prefix filter).
    These are joined on (centre, element), a hot one in a grid of cells by member, and the distinct pairs
    of different components verified on the full sets.  So every linked pair is
    inside one component or verified itself: nothing is capped or sampled, and no task holds a group.
@@ -46,12 +45,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillsight.llm.common import id_and_text, materialize, slices
 from tillsight.llm.components import connected_components
 from tillsight.llm.shingles import mix, shingle_sets
+from tillsight.plans.ordered import ordered_scan
 from tillsight.session import shuffle_partitions
 
 WIDTH = 5
@@ -416,86 +416,117 @@ def _pairs(blobs: DataFrame, kind: int, n_parts: int) -> DataFrame:
             .mapInArrow(run, "x long, y long"))
 
 
-_VERIFIED = "a long, b long, n_a long, n_b long, linked boolean, deviation array<long>"
+_VERIFIED = ("a long, b long, n_a long, n_b long, shared long, linked boolean, outside array<long>, "
+             "missing array<long>")
+_EMPTY = np.empty(0, np.int64)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, deviations: bool) -> DataFrame:
-    """Whether the sets of each pair link, and the elements in which they differ (for stars)."""
+    """Whether the sets of each pair link; for stars also what the member has and the centre lacks, and the reverse.
+
+    The reverse (``missing``) is left empty for a member far from the centre, which is never asked for it.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            sizes, others, good, apart, ends = [], [], [], [], [0]
+            sizes, others, common, good, outside, missing = [], [], [], [], [_EMPTY], [_EMPTY]
             for x, y in zip(b.column(2), b.column(3), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.sort(np.concatenate((x, y)))
-                twice = both[1:] == both[:-1]
-                shared = int(twice.sum())
+                shared = np.intersect1d(x, y, assume_unique=True)
+                n = len(shared)
                 sizes.append(len(x))
                 others.append(len(y))
-                good.append(100 * shared >= 80 * (len(x) + len(y) - shared))
+                common.append(n)
+                good.append(100 * n >= 80 * (len(x) + len(y) - n))
                 if deviations:
-                    once = np.ones(len(both), dtype=bool)
-                    once[1:] &= ~twice
-                    once[:-1] &= ~twice
-                    apart.append(both[once].view(np.int64))
-                ends.append(ends[-1] + (len(apart[-1]) if deviations else 0))
-            elements = pa.array(np.concatenate([np.empty(0, np.int64), *apart]))
+                    outside.append(np.setdiff1d(x, shared, assume_unique=True).view(np.int64))
+                    near = 5 * n >= 4 * len(x)
+                    missing.append(np.setdiff1d(y, shared, assume_unique=True).view(np.int64) if near else _EMPTY)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(others, pa.int64()),
-                 pa.array(good, pa.bool_()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), elements)],
-                ["a", "b", "n_a", "n_b", "linked", "deviation"])
+                 pa.array(common, pa.int64()), pa.array(good, pa.bool_()), *(_lists(v, b.num_rows) for v in (outside, missing))],
+                ["a", "b", "n_a", "n_b", "shared", "linked", "outside", "missing"])
 
     one, two = sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), sets.select(
         F.col("node").alias("b"), F.col("elements").alias("y"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, _VERIFIED)
 
 
+def _lists(values: list[np.ndarray], rows: int) -> pa.Array:
+    """A list column of the arrays after the first; without any, empty lists."""
+    sizes = [len(v) for v in values[1:]] or [0] * rows
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)),
+                                    pa.array(np.concatenate(values)))
+
+
 _CELL = 2048  # most probing or held members of one element in a cell
 
 
 def _within_stars(spokes: DataFrame, cell: int = _CELL) -> DataFrame:
     """``(a, b)``: members of one star, in different components, that may link; one of each does not link with the centre.
 
-    With deviations D, sizes n and the centre's size c, a pair links if 18 * |Dx & Dy| >= 9 * |Dx| - nx + 9 * |Dy| - ny.
-    So x, loose (9 * |Dx| - nx - c > 0), shares at least (9 * |Dx| - nx - c) / 10 elements with any
-    partner y, as ny <= c + |Dy|; and y at least (1 + 9 * |Dy| - ny + c) / 18 with any loose one.
+    With sizes n, s elements shared with the centre, and c the centre's size, x and y link if they share
+    ``t = 4 (nx + ny) / 9`` elements.  At most ``min(sx, sy)`` of those lie in the centre.
+
+    * One of them is far from the centre (5 s < 4 n, so it does not link with it): the two share at least
+      ``t - min(sx, sy)`` elements *outside* the centre, ``4 n / 5 - s`` by the size of either alone, and one at
+      least.  What all far members lack of the centre plays no part.
+    * Both are near, one loose (not linked with the centre): with the deviations D from the centre,
+      ``18 * |Dx & Dy| >= 9 * |Dx| - nx + 9 * |Dy| - ny``, so the loose one shares at least ``(9 * |Dx| - nx - c) / 10``
+      elements with any partner, as ny <= c + |Dy|, and a partner ``(1 + 9 * |Dy| - ny + c) / 18`` with any loose one.
+
+    Both kinds meet in the rarest elements that can be shared, each in its own space (``far``: 1 or 0).
     """
-    loose = F.col("excess") > 0
     active = (spokes.groupBy("b").agg(F.max((~F.col("linked")).cast("int")).alias("any"),
                                       (F.min("component") != F.max("component")).alias("several"))
               .where("any = 1 and several").select("b"))
-    members = materialize(spokes.join(active, "b", "left_semi").select(
-        "b", "a", "component", "deviation", F.size("deviation").cast("long").alias("d"),
-        F.expr("9L * size(deviation) - n_a").alias("need"), F.expr("9L * size(deviation) - n_a - n_b").alias("excess"),
-        "n_b"), "members")
-    elements = members.select("b", "a", loose.cast("int").alias("loose"), F.explode("deviation").alias("e"))
-    # an element that one member or no loose one has is shared by none: rarer than all others, and never joined
-    live = (elements.groupBy("b", "e").agg(F.count("*").alias("held"), F.sum("loose").alias("probed"))
+    deviation = F.expr("n_a + n_b - 2 * shared")
+    members = spokes.join(active, "b", "left_semi").select(
+        "b", "a", "component", F.col("n_a").alias("n"), F.col("shared").alias("s"),
+        F.expr("5 * shared < 4 * n_a").alias("is_far"), (~F.col("linked")).alias("loose"), "outside", "missing",
+        (9 * deviation - F.col("n_a")).alias("need"), (9 * deviation - F.col("n_a") - F.col("n_b")).alias("excess"), "n_b")
+    one = materialize(members, "members")
+    narrow = [c for c in one.columns if c not in ("outside", "missing")]
+    # a member's elements outside the centre, and a near one's deviation; what a member probes with and what it is found by
+    spaces = materialize(
+        one.select(*narrow, F.lit(1).alias("far"), F.col("is_far").alias("probes"), F.col("outside").alias("elements"),
+                   F.expr("greatest(1L, (4 * n + 4) div 5 - s)").alias("ask"),
+                   F.expr("greatest(1L, (4 * n + 4) div 5 - s)").alias("give"))
+        .unionByName(one.where("not is_far").select(
+            *narrow, F.lit(0).alias("far"), F.col("loose").alias("probes"), F.concat("outside", "missing").alias("elements"),
+            F.expr("(excess + 9) div 10").alias("ask"), F.expr("(1 + need + n_b + 17) div 18").alias("give"))), "spaces")
+    star = ["b", "far"]
+    elements = spaces.select(*star, "a", F.col("probes").cast("int").alias("probes"), F.explode("elements").alias("e"))
+    # an element that one member or no probing one has is shared by none: rarer than all others, and never joined
+    live = (elements.groupBy(*star, "e").agg(F.count("*").alias("held"), F.sum("probes").alias("probed"))
             .where("held > 1 and probed > 0"))
-    ranked = (elements.join(live, ["b", "e"]).groupBy("b", "a")
+    ranked = (elements.join(live, [*star, "e"]).groupBy(*star, "a")
               .agg(F.sort_array(F.collect_list(F.struct("held", "e", "probed"))).alias("live")))
-    shared = members.select("b", "a", "component", "d", "need", "excess", "n_b").join(ranked, ["b", "a"])
+    found = spaces.drop("elements").join(ranked, [*star, "a"])
 
     def prefix(least: str) -> DataFrame:
-        some = F.expr(f"cast(greatest(0L, least(size(live), d - ({least}) + 1 - (d - size(live)))) as int)")
-        return (shared.select("*", F.posexplode(F.slice("live", F.lit(1), some)).alias("at", "l"))
-                .select("b", "a", "component", (F.size("live") - F.col("at")).alias("rest"), "need", "excess", "l.*"))
+        some = F.expr(f"cast(greatest(0L, least(size(live), size(live) - ({least}) + 1)) as int)")
+        return (found.select("*", F.posexplode(F.slice("live", F.lit(1), some)).alias("at", "l"))
+                .select(*star, "a", "component", (F.size("live") - F.col("at")).alias("rest"), "n", "s", "need", "probes", "l.*"))
 
     def cells(count: str) -> F.Column:
         return F.expr(f"(({count}) + {cell - 1}) div {cell}")
 
-    held = (prefix("(1 + need + n_b + 17) div 18").withColumn("row", F.expr("pmod(xxhash64(a), held)") % cells("held"))
+    held = (prefix("give").withColumn("row", F.expr("pmod(xxhash64(a), held)") % cells("held"))
             .withColumn("column", F.explode(F.sequence(F.lit(0).cast("long"), cells("probed") - 1)))
-            .select("b", "e", "row", "column", F.col("a").alias("y"), F.col("component").alias("cy"),
-                    F.col("rest").alias("ry"), F.col("need").alias("ny"), loose.alias("loose")))
-    probes = (prefix("(excess + 9) div 10").where(loose)
+            .select(*star, "e", "row", "column", F.col("a").alias("y"), F.col("component").alias("cy"),
+                    F.col("rest").alias("ry"), F.col("need").alias("dy"), F.col("n").alias("ny"), F.col("s").alias("sy"),
+                    F.col("probes").alias("py")))
+    probes = (prefix("ask").where("probes")
               .withColumn("column", F.expr("pmod(xxhash64(a), probed)") % cells("probed"))
               .withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), cells("held") - 1)))
-              .select("b", "e", "row", "column", F.col("a").alias("x"), F.col("component").alias("cx"),
-                      F.col("rest").alias("rx"), F.col("need").alias("nx")))
-    # in the first element they share, a pair still has all it shares before it; two loose members meet once
-    return (probes.join(held, ["b", "e", "row", "column"])
-            .where("cx != cy and x != y and (x > y or not loose) and 18 * least(rx, ry) >= nx + ny")
+              .select(*star, "e", "row", "column", F.col("a").alias("x"), F.col("component").alias("cx"),
+                      F.col("rest").alias("rx"), F.col("need").alias("dx"), F.col("n").alias("nx"), F.col("s").alias("sx")))
+    # in the first element they share, a pair still has all it shares before it; two probing members meet once
+    enough = ("if(far = 1, 9 * (least(rx, ry) + least(sx, sy)) >= 4 * (nx + ny), 18 * least(rx, ry) >= dx + dy) "
+              "and 5 * nx >= 4 * ny and 5 * ny >= 4 * nx")
+    return (probes.join(held, [*star, "e", "row", "column"])
+            .where(f"cx != cy and x != y and (x > y or not py) and {enough}")
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
 
@@ -564,13 +595,35 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     return result.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def _free(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not use."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def keep_first(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
-    """``docs`` (all columns) with one document of each group of near duplicates, the one with the smallest id.
+    """``docs`` (all columns) with one row of each group of near duplicates, the one with the smallest id.
 
-    One row of each repeated id stays; rows without an id are all kept.
+    Rows that share an id are documents of their own: of the distinct (id, text) of a group the first by
+    id, then by the text's SHA-256, stays.  Of rows with the same id and text the first in the order of the
+    other columns' JSON text stays.  Rows without an id are all kept.  Texts without words are near nothing.
     """
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, width=width)
-    first = found.where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    key = F.col(f"`{id_col}`").cast("long")
-    kept = docs.join(first, key == F.col("_first"), "left_semi").dropDuplicates([id_col])
-    return kept.unionByName(docs.where(F.col(f"`{id_col}`").isNull()))
+    key, text = F.col(f"`{id_col}`").cast("long"), F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    named, unnamed = docs.where(key.isNotNull()), docs.where(key.isNull())
+    first, sha, nth = (_free(docs, c) for c in ("_first", "_sha", "_nth"))
+    if named.groupBy(key.alias("k")).count().where("count > 1").isEmpty():
+        found = near_duplicates(named, id_col=id_col, text_col=text_col, width=width)
+        stay = found.where("doc_id = component_id").select(F.col("doc_id").alias(first))
+        return named.join(stay, key == F.col(first), "left_semi").unionByName(unnamed)
+    distinct = (named.select(key.alias("k"), F.sha2(text, 256).alias("sha"), text.alias("text"))
+                .groupBy("k", "sha").agg(F.first("text").alias("text")))
+    rows = materialize(ordered_scan(distinct, ["k", "sha"], row_number="number"), "rows")
+    found = near_duplicates(rows, id_col="number", width=width).where("doc_id = component_id")
+    stay = (rows.join(found.select(F.col("doc_id").alias("number")), "number", "left_semi")
+            .select(F.col("k").alias(first), F.col("sha").alias(sha)))
+    order = F.to_json(F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != text_col)), {"ignoreNullFields": "false"})
+    kept = (named.withColumn(first, key).withColumn(sha, F.sha2(text, 256)).join(stay, [first, sha], "left_semi")
+            .withColumn(nth, F.row_number().over(Window.partitionBy(first, sha).orderBy(order))).where(F.col(nth) == 1))
+    return kept.select(*(f"`{c}`" for c in docs.columns)).unionByName(unnamed)
