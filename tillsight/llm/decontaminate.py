@@ -7,21 +7,24 @@ which every such passage must hold unchanged; an Aho-Corasick automaton finds th
 all items in one run over a text, and each hit is verified by Myers' bit-parallel distance over the
 window the item can occupy.  The least distance per (document, item) is exact.
 
-Items shorter than ``min_chars`` after normalisation occur everywhere by chance;
-they match only a document that consists of nothing else.
+Items shorter than ``min_chars`` after normalisation have no budget: they match word for word, from
+one word boundary to another (a character of a script without spaces is a word of its own).  An item
+of a single word says nothing inside a text; it matches only a document that consists of nothing else.
+An item without letters and digits matches nothing.
 
 Items are taken in blocks of about ``BLOCK_CHARS`` characters (by a hash of
 the item; on average, so a block holds that and the deviation of a hash); each
-block is one broadcast and one scan of the documents, so any number of items is
-matched without a shuffle of the documents.
+block is one broadcast and one scan of the documents, whose hits are written before the next
+block is taken, so any number of items is matched without a shuffle of the documents.
 
 Null and empty texts or items match nothing.  Repeated rows of either table are
-reported once per distinct (doc_id, item_id) with the least distance; only the
+reported once per distinct (doc_id, item_id) with the least distance; ids may be of any type; only the
 id and text columns are read.
 """
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -30,13 +33,16 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tillsight.llm.common import id_and_text, slices
+from tillsight.llm.common import id_and_text, materialize, slices
 
 ERROR_RATE = 0.08
 MIN_CHARS = 20
 BLOCK_CHARS = 4 << 20
-Item = tuple[int, str]
+Item = tuple[object, str]
+#: scripts that are written without spaces (kana, Han, Thai, Lao, Khmer, Myanmar)
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff]")
 
 
 def normalise(texts: pa.Array) -> pa.Array:
@@ -79,6 +85,16 @@ class Pattern:
         return best, end
 
 
+def n_words(text: str) -> int:
+    """Words of a normalised text; in scripts without spaces every character is one."""
+    return len(_UNSPACED.sub(" x ", text).split())
+
+
+def _boundary(text: str, at: int) -> bool:
+    """Whether a word may begin or end at this place."""
+    return at in (0, len(text)) or any(c == " " or _UNSPACED.match(c) for c in text[at - 1:at + 1])
+
+
 def pieces(text: str, errors: int) -> list[tuple[int, str]]:
     """``errors + 1`` consecutive pieces of nearly equal length, with their offsets."""
     n, m = errors + 1, len(text)
@@ -91,14 +107,18 @@ class Matcher:
     def __init__(self, items: list[Item], rate: float = ERROR_RATE, min_chars: int = MIN_CHARS):
         import ahocorasick
 
-        self.whole: dict[str, list[int]] = defaultdict(list)
-        self.items: list[tuple[int, int, str]] = []
+        self.whole: dict[str, list] = defaultdict(list)
+        self.items: list[tuple[object, int | None, str]] = []
         at: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for item_id, text in items:
             if not text:
                 continue
             if len(text) < min_chars:
-                self.whole[text].append(item_id)
+                if n_words(text) == 1:
+                    self.whole[text].append(item_id)
+                    continue
+                at[text].append((len(self.items), 0))
+                self.items.append((item_id, None, text))
                 continue
             errors = int(rate * len(text))
             for offset, piece in pieces(text, errors):
@@ -116,7 +136,7 @@ class Matcher:
             self.patterns[k] = Pattern(self.items[k][2])
         return self.patterns[k]
 
-    def matches(self, text: str) -> dict[int, tuple[int, int]]:
+    def matches(self, text: str) -> dict[object, tuple[int, int]]:
         """item id -> (distance, end) of its nearest passage in the normalised ``text``."""
         found = {i: (0, len(text)) for i in self.whole.get(text, ())}
         if not len(self.automaton):
@@ -126,6 +146,10 @@ class Matcher:
             for k, offset in places:
                 item_id, errors, item = self.items[k]
                 start = last + 1 - size - offset  # where the item would begin without edits
+                if errors is None:
+                    if item_id not in found and _boundary(text, start) and _boundary(text, last + 1):
+                        found[item_id] = (0, last + 1)
+                    continue
                 # the window tried at s holds every passage whose hit puts the start within `errors` of s
                 if any(abs(start - s) <= errors for s in tried[k]):
                     continue
@@ -157,12 +181,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
     ``passage_end`` is the end (in the normalised text) of the first passage at the least distance.
     """
     rows = id_and_text(docs, id_col, text_col)
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, item_id long, distance long, passage_end long"
-
-    def scan(block: list[Item]):
-        shared = docs.sparkSession.sparkContext.broadcast(block)  # block_chars characters at most
+    kind, item_kind = rows.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_id_col].dataType
+    schema = f"doc_id {kind}, item_id {item_kind.simpleString()}, distance long, passage_end long"
+    item_type = to_arrow_type(item_kind)
 
+    def scan(shared) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(shared.value, rate, min_chars)
             for b in slices(batches):
@@ -171,13 +194,17 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
                 if out:
                     index, item, distance, end = zip(*out, strict=True)
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(pa.array(index)), pa.array(item, pa.int64()),
+                        [b.column(0).take(pa.array(index)), pa.array(item, item_type),
                          pa.array(distance, pa.int64()), pa.array(end, pa.int64())],
                         ["doc_id", "item_id", "distance", "passage_end"])
 
         return rows.mapInArrow(run, schema)
 
-    found = [scan(block) for block in item_blocks(benchmark, item_id_col, item_text_col, block_chars)]
+    found = []
+    for block in item_blocks(benchmark, item_id_col, item_text_col, block_chars):
+        shared = docs.sparkSession.sparkContext.broadcast(block)  # block_chars characters at most
+        found.append(materialize(scan(shared), "hits"))
+        shared.unpersist()
     if not found:
         return docs.sparkSession.createDataFrame([], schema)
     nearest = F.min(F.struct("distance", "passage_end")).alias("_n")
