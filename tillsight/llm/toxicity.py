@@ -10,8 +10,9 @@ exception phrase, divided by its length in words; a logistic curve fitted on
 the training rows turns it into a score from 0 to 1.
 
 The training sample is bounded by ``max_rows`` labelled rows (in the order of a
-hash of the id), so the model and all that reaches the driver are bounded;
-scoring covers all rows and needs no shuffle.
+hash of the id).  Spark counts every term of the sample in both classes and tests it; only the
+significant ones reach the driver, none is cut for being rare.  Scoring covers all rows and
+needs no shuffle.
 
 Null and empty texts get the score of a text without terms.  Without labels of
 both classes every score is the share of toxic labels (0 without labels).
@@ -36,7 +37,8 @@ from pyspark.sql import functions as F
 from tillsight.llm.common import id_and_text, materialize, slices
 
 MAX_ROWS = 20_000
-MAX_TERMS = 50_000
+#: terms that a task counts before it hands its sums on
+HELD_TERMS = 400_000
 LENGTHS = range(3, 10)
 
 # Letters of other scripts that look like Latin ones.
@@ -130,21 +132,42 @@ def _terms(words: list[str]) -> set[str]:
 
 
 def _counted(rows: DataFrame, count) -> DataFrame:
-    """Sum over all tasks of the Counters ``count(words, toxic)`` of each text: (key, toxic, benign)."""
+    """Sum over all tasks of the Counters ``count(words)`` of each text: (key, toxic, benign)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = (Counter(), Counter())
+
+        def out() -> pa.RecordBatch:
+            keys = list(both[0].keys() | both[1].keys())
+            got = [pa.array(keys, pa.string()), *(pa.array([both[c][k] for k in keys], pa.int64()) for c in (1, 0))]
+            both[0].clear()
+            both[1].clear()
+            return pa.RecordBatch.from_arrays(got, ["key", "toxic", "benign"])
+
         for b in slices(batches):
             for text, toxic in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 both[toxic].update(count(words_of(text)))
-        keys = list(both[0].keys() | both[1].keys())
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([both[1][k] for k in keys], pa.int64()),
-                                          pa.array([both[0][k] for k in keys], pa.int64())], ["key", "toxic", "benign"])
+                if len(both[0]) + len(both[1]) > HELD_TERMS:  # sums so far go on, a task holds no more
+                    yield out()
+        yield out()
 
     return (rows.select("text", "toxic").mapInArrow(run, "key string, toxic long, benign long")
             .groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("benign").alias("benign")))
 
 
+def _significant(counts: DataFrame, n1: int, n0: int, least: float, significance: float) -> DataFrame:
+    """Terms whose log odds and likelihood ratio reach the limits (less a rounding margin), decided by Spark."""
+    n, both = float(n1 + n0), F.col("toxic") + F.col("benign")
+    odds = F.log((F.col("toxic") + 0.5) / (n1 + 1.0)) - F.log((F.col("benign") + 0.5) / (n0 + 1.0))
+
+    def part(x: Column, size: int, share: Column) -> Column:
+        return F.when((x > 0) & (share > 0), x * F.log(x / (F.lit(float(size)) * share))).otherwise(0.0)
+
+    g = sum(part(x, size, share) for seen, size in ((F.col("toxic"), n1), (F.col("benign"), n0))
+            for x, share in ((seen, both / n), (F.lit(size) - seen, 1 - both / n)))
+    return counts.where((odds >= least - 1e-6) & (2 * g >= significance - 1e-6))
+
+
 def _log_odds(a: int, b: int, n1: int, n0: int) -> float:
     return math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
 
@@ -216,39 +239,26 @@ def training_rows(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id",
 
 
 def fit(rows: DataFrame, *, min_texts: int = 5, least: float = 2.0, significance: float = 30.0,
-        max_terms: int = MAX_TERMS, exceptions: list[str] = ()) -> ToxicityModel:
+        exceptions: list[str] = ()) -> ToxicityModel:
     """Learn a model from ``(text, toxic)`` rows; ``exceptions`` are further phrases that are never toxic."""
     rows = materialize(rows, "toxicity-training")
     sizes = {r.toxic: r.n for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
         return ToxicityModel(intercept=500.0 if n1 else -500.0)
-    candidates = (_counted(rows.where("toxic = 1"), _terms).where(F.col("toxic") >= min(min_texts, n1))
-                  .orderBy(F.desc("toxic"), "key").limit(max_terms).select("key", "toxic").collect())
-    toxic = {r.key: r.toxic for r in candidates}
-    probe = _prober(list(toxic))
-    benign = {r.key: r.benign for r in _counted(rows.where("toxic = 0"), probe).collect()}
-    weights = _lexicon({t: (a, benign.get(t, 0)) for t, a in toxic.items()}, n1, n0, least, significance)
+    terms = _significant(_counted(rows, _terms).where(F.col("toxic") >= min(min_texts, n1)), n1, n0, least, significance)
+    weights = _lexicon({r.key: (r.toxic, r.benign) for r in terms.collect()}, n1, n0, least, significance)
     model = ToxicityModel(weights, sorted(exceptions))
     if weights:
-        phrases = _counted(rows, _phraser(weights)).where(F.col("benign") >= 5).orderBy(
-            F.desc("benign"), "key").limit(max_terms).collect()
-        found = [r.key for r in phrases if _log_odds(r.toxic, r.benign, n1, n0) < -1]
-        model.exceptions = sorted({*exceptions, *found})
+        phrases = _counted(rows, _phraser(weights)).where(
+            (F.col("benign") >= 5) & (F.log((F.col("toxic") + 0.5) / (n1 + 1.0))
+                                      < F.log((F.col("benign") + 0.5) / (n0 + 1.0)) - 1))
+        model.exceptions = sorted({*exceptions, *(r.key for r in phrases.collect())})
     loads = np.array(_loads(rows, model).select("load", "toxic").collect(), dtype=np.float64)  # max_rows at most
     model.slope, model.intercept = _logistic(loads[:, 0], loads[:, 1])
     return model
 
 
-def _prober(terms: list[str]):
-    def count(words: list[str]) -> set[str]:
-        wanted = store.setdefault("set", set(terms))
-        return _terms(words) & wanted
-
-    store: dict = {}
-    return count
-
-
 def _phraser(weights: dict[str, float]):
     def count(words: list[str]) -> set[str]:
         if "m" not in store:
