@@ -89,6 +89,41 @@ def test_exception_phrases():
     assert sorted(m.hits("the trash can is trash idiots idiot".split()).values()) == [2.0, 3.0]
 
 
+def test_matcher_equals_a_naive_one():
+    """Each word takes its heaviest term (a beginning, or the whole word); words of an exception phrase take none."""
+    rng = random.Random(6)
+    some = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 6))) for _ in range(40)]
+    for _ in range(400):
+        weights = {rng.choice(some) + rng.choice(["", " "]): rng.choice([0.5, 1.0, 2.0]) for _ in range(8)}
+        exceptions = [f"{rng.choice(some)} {rng.choice(some)}" for _ in range(4)]
+        text = [rng.choice(some) for _ in range(rng.randrange(0, 30))]
+        want, at = {}, 0
+        for i, w in enumerate(text):
+            spared = any(f"{a} {b}" in exceptions for a, b in ((text[i - 1] if i else "", w), (w, text[i + 1] if i + 1 < len(text) else "")))
+            found = [x for t, x in weights.items() if (w + " " == t if t.endswith(" ") else w.startswith(t))]
+            if found and not spared:
+                want[at] = max(found)
+            at += len(w) + 1
+        assert toxicity._Matcher(weights, exceptions).hits(text) == want
+
+
+def test_every_significant_term_is_learned(spark):
+    """The lexicon equals one learned from literal counts, whatever the frequency of other terms."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(300):
+        text = words(rng.randrange(10, 40), i).split() + (["zyxrare", "qqqq"][:1 + i % 2] if i % 5 == 0 else [])
+        rows.append((" ".join(text), int(i % 5 == 0)))
+    counts, n1 = {}, sum(y for _, y in rows)
+    for t, y in rows:
+        for term in toxicity._terms(toxicity.words_of(t)):
+            a, b = counts.get(term, (0, 0))
+            counts[term] = (a + y, b + 1 - y)
+    counts = {t: c for t, c in counts.items() if c[0] >= 5}
+    want = toxicity._lexicon(counts, n1, len(rows) - n1, 2.0, 30.0)
+    assert want and toxicity.fit(spark.createDataFrame(rows, "text string, toxic int")).weights == want
+
+
 def labelled(spark):
     rng = random.Random(2)
     rows, labels = [], []
@@ -175,6 +210,19 @@ def test_contaminated_edges(spark):
     assert decontaminate.contaminated(frame(spark, []), bench).count() == 0
 
 
+def test_short_items_match_word_for_word(spark):
+    items = [("q1", "Wie alt ist er?"), ("q2", "你好吗今天"), ("q3", "yes"), ("q4", "a b"), ("q5", "?!")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    rows = [(1, "Er fragte: wie ALT ist er, und ging."), (2, "wie alt ist erika"), (3, "他说你好吗今天我们"), (4, "Yes!"),
+            (5, "oh yes it is"), (6, "la b"), (7, "x a, b"), (8, "wie alt  ist sie"), (9, None), (10, "?!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for size in (decontaminate.BLOCK_CHARS, 6):
+        got = decontaminate.contaminated(docs, bench, block_chars=size).collect()
+        assert sorted((r.doc_id, r.item_id, r.distance) for r in got) == [(1, "q1", 0), (3, "q2", 0), (4, "q3", 0), (7, "q4", 0)]
+        assert sorted(r.doc_id for r in decontaminate.remove_contaminated(docs, bench, block_chars=size).collect()) == [
+            2, 5, 6, 8, 9, 10]
+
+
 def test_op2_finds_verbatim_items(spark):
     texts = {n: {r[0]: t for r, t in zip(rows, decontaminate.normalise(pa.array([r[1] or "" for r in rows])).to_pylist(),
                                          strict=True)}
@@ -240,6 +288,50 @@ def test_main_text_still_leaves_out(attrs):
     assert html_text.main_text(f"<article><p>{LONG}</p><div {attrs}>gone</div></article>") == LONG.strip()
 
 
+@pytest.mark.parametrize("attrs", ["class=share-price", "class='form-factor'", "class=notice-board", "id=social-history",
+                                   "class='lead comment-on-events'"])
+def test_a_cue_among_other_words_keeps_a_block_of_an_article(attrs):
+    page = f"<body><nav>Home</nav><article><p>{LONG}</p><div {attrs}>Short one.</div><p {attrs}>Two.</p><p>{LONG}</p></article></body>"
+    assert html_text.main_text(page) == f"{LONG.strip()}\n\nShort one.\n\nTwo.\n\n{LONG.strip()}"
+
+
+@pytest.mark.parametrize("attrs", ["class=ad-slot", "class='related-posts'", "id=comments-list", "class='share-buttons x'",
+                                   "class=newsletter-box"])
+def test_a_name_of_cues_alone_drops_a_block(attrs):
+    assert html_text.main_text(f"<article><p>{LONG}</p><div {attrs}>gone</div><p>{LONG}</p></article>") == (
+        f"{LONG.strip()}\n\n{LONG.strip()}")
+
+
+def test_unlabelled_menu_and_footer_stay_out():
+    paragraphs = [f"{i}. {LONG.strip()}" for i in range(8)]
+    menu = "<div><ul>" + "".join(f"<li><a href=/{i}>Item {i}</a>" for i in range(8)) + "</ul></div>"
+    content = "<div>" + "<p>Short.</p>".join(f"<p>{x}</p>" for x in paragraphs) + "</div>"
+    footer = "<div><p>Copyright 2024 Example, all rights reserved.</p></div>"
+    want = "\n\nShort.\n\n".join(paragraphs)
+    assert html_text.main_text(f"<body>{menu}{content}{footer}</body>") == want
+    # two sections that count, with a short one between, and a closing one of some weight
+    two = f"<div><p>{LONG}</p><p>{LONG}</p></div><div><p>Between.</p></div><div><p>{LONG}</p></div>"
+    one = LONG.strip()
+    assert html_text.main_text(f"<body>{menu}{two}{footer}</body>") == f"{one}\n\n{one}\n\nBetween.\n\n{one}"
+    # blocks of the container itself are not cut off
+    assert html_text.main_text(f"<body><h1>Title</h1><p>{LONG}</p><p>Short.</p></body>") == f"Title\n\n{one}\n\nShort."
+
+
+def test_a_very_long_page():
+    paragraphs = [f"{i}. {LONG.strip()}" for i in range(5000)]
+    page = "<body><nav>x</nav><div class=a>" + "".join(f"<p>{x}</p>" for x in paragraphs) + "</div><footer>y</footer></body>"
+    assert html_text.main_text(page) == "\n\n".join(paragraphs)
+    deep = "<div>" * 3000 + f"<p>{LONG}</p>" + "</div>" * 3000
+    assert html_text.main_text(deep) == LONG.strip()
+
+
+def test_pages_without_an_article_keep_the_same_text(spark):
+    """The given pages with their article element renamed: what counts is found by the ratios alone."""
+    pages = [r.html or "" for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    same = sum(html_text.main_text(re.sub(r"(</?)article\b", r"\1div", p)) == html_text.main_text(p) for p in pages)
+    assert same >= 0.9 * len(pages)
+
+
 def test_op10_on_all_pages(spark):
     import html
 

@@ -5,19 +5,21 @@ length and punctuation are summed per path over the page; a path's two ratios
 (characters per block, punctuation marks per block) are fused by multiplication,
 the fused values are smoothed along the page order with a short Gaussian, and
 blocks above the threshold (the standard deviation of the smoothed values) are
-taken as content.  The content's container is the deepest sectioning element
-that holds every selected block (no deeper than an article or main; blocks selected
-only for their neighbours do not widen it), and every block of the container that is
-no boilerplate is returned, so a short paragraph or a heading between long ones is
-kept, and so is a second section or article.  Selected blocks outside the container
-and what lies between are returned too: no selected block is left out.
+taken as content.  A sectioning element that holds such blocks counts where one of its own
+blocks is of some weight too (a line of a footer that merely shares the content's path is not).
+The content's container is the deepest sectioning element that holds all of these (no
+deeper than an article or main).  Every block of an article or main that is no boilerplate
+is returned; of any other container those from the first element that counts to the last
+one, with what lies between, and the container's own blocks around them.  So a short paragraph or a
+heading between long ones is kept, and so is a second section or article.
 
 Boilerplate is left out before the ratios are computed: scripts, styles, forms,
 menus, page headers and footers, sidebars, notices, adverts and reader comments,
-by element, role, or a word of the class or id.  Such a word does not count where
-its elements hold more text than the page has outside all elements with such words
-(except a name that is nothing but such words, on a page with an article or main
-elsewhere); there the ratios decide.
+by element, role, or a name of the class or id.  A name counts if it is nothing but cues and
+words for a place (``ad-slot``, not ``share-price``); a cue among other words counts outside
+articles only, and only where the ratios may still decide: not where its elements hold more
+text than the page has outside all elements with cues, nor does a plain name there on a page without an
+article or main elsewhere.
 
 Character references are decoded, white space inside a block becomes one space,
 blocks are joined by a blank line.  Null or empty html, or a page without any
@@ -61,6 +63,10 @@ CUES = frozenset(
     "sharing social comment comments commentlist disqus reply replies respond login signup form toolbar pagination "
     "pager skip".split())
 HEADER_CUES = frozenset("header masthead topbar".split())
+#: words of a name that say where or how an element stands, not what it is
+PLACES = frozenset("box block slot container wrapper wrap area zone section list item items link links button buttons bar "
+                   "panel pane unit row col column inner outer top bottom left right main body content wide fixed "
+                   "posts post articles stories thread icons form js x s m l".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -105,8 +111,10 @@ def _boilerplate(name: str, attrs: str, inside_article: bool) -> tuple[bool, fro
             for one in value.split():
                 words = {w.lower() for w in _WORDS.findall(one)}
                 some = words & (CUES if inside_article else CUES | HEADER_CUES)
-                cues |= some
-                plain |= bool(some) and some == words
+                whole = bool(some) and all(w in some or w in PLACES or w.isdigit() for w in words)
+                if whole or not inside_article:
+                    cues |= some
+                plain |= whole
     return False, frozenset(cues), plain
 
 
@@ -288,17 +296,24 @@ def main_text(page: str) -> str:
     mean = sum(scores) / len(scores)
     threshold = min(math.sqrt(sum((s - mean) ** 2 for s in scores) / len(scores)), max(scores))
     chosen = [i for i, s in enumerate(scores) if s >= threshold]
+    own = [i for i in chosen if fused[i] >= threshold] or chosen  # not those chosen for their neighbours alone
+    heavy = {b.elements for b in blocks if 4 * len(b.text) * (1 + len(_PUNCT.findall(b.text))) >= threshold}
+    own = [i for i in own if blocks[i].elements in heavy] or own
     container: tuple[int, ...] = ()
-    own = [i for i in chosen if fused[i] >= threshold] or chosen
     for level in zip(*(blocks[i].elements for i in own), strict=False):
         if len(set(level)) > 1:
             break
         container += level[:1]
         if names[level[0]] in ("article", "main"):
             break
-    inside = [i for i, b in enumerate(blocks) if b.elements[:len(container)] == container]
-    first, last = min(inside[0], chosen[0]), max(inside[-1], chosen[-1])
-    return "\n\n".join(b.text for b in blocks[first:last + 1])
+    depth = len(container)
+    inside = [i for i, b in enumerate(blocks) if b.elements[:depth] == container]
+    if not container or names[container[-1]] not in ("article", "main"):
+        # the elements of the container that count; its own blocks are not cut off
+        parts = {blocks[i].elements[:depth + 1] for i in own}
+        stays = [i for i in inside if blocks[i].elements[:depth + 1] in parts or len(blocks[i].elements) == depth]
+        inside = [i for i in inside if stays[0] <= i <= stays[-1]]
+    return "\n\n".join(blocks[i].text for i in inside)
 
 
 def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url",
