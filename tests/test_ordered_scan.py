@@ -42,6 +42,28 @@ def test_matches_window(spark, pb, order):
     assert ref.exceptAll(got).count() == 0
 
 
+@pytest.mark.parametrize("pb", [[], ["g"]])
+@pytest.mark.parametrize("order", [[("k", True), ("id", True)], [("k", False), ("id", True)]])
+def test_running_minimum_maximum_and_last_value(spark, pb, order):
+    df = _frame(spark).withColumn("s", F.when(F.col("id") % 7 == 0, F.col("id")))
+    got = ordered_scan(df, order, partition_by=pb, buckets=9,
+                       running={"lo": ("min", F.col("v")), "hi": ("max", F.col("v")), "prev": ("last", F.col("s"))})
+    cols = [F.col(c).asc_nulls_first() if asc else F.col(c).desc_nulls_last() for c, asc in order]
+    run = (Window.partitionBy(*pb) if pb else Window.partitionBy()).orderBy(*cols).rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("*", F.min("v").over(run).alias("lo"), F.max("v").over(run).alias("hi"),
+                    F.last("s", ignorenulls=True).over(run).alias("prev"))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_only_cut_keys_need_other_buckets(spark):
+    """Many keys: the rows that carry offsets across buckets are bounded by the buckets, not by the keys."""
+    df = spark.range(5000).select((F.col("id") % 1000).alias("g"), F.col("id").alias("k"), F.col("id"))
+    got = ordered_scan(df, ["k"], partition_by=["g"], row_number="rn", buckets=6)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert got.groupBy("g").agg(F.max("rn").alias("m")).where("m != 5").isEmpty()
+
+
 @pytest.mark.parametrize("order", [[("k", True), ("id", True)], [("k", False), ("id", False)]])
 def test_rank_only_path_matches_window(spark, order):
     df = _frame(spark)

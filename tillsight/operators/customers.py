@@ -249,31 +249,26 @@ def history_rfm_segments(df: DataFrame, *, customer_id, transaction_type, date,
     # one pass over the lines; everything after works on (customer, day) rows
     per_raw = sales.groupBy("customer_id", "_raw").agg(F.countDistinct("_oid").alias("total_order"),
                                                      F.sum("_rev").alias("_day_rev"))
-    # customer totals as windows over (customer, day) rows: the same
-    # partitioning as the running sums below, so one exchange serves both
-    wc = Window.partitionBy("customer_id")
+    # running sums, the customer's total and first day, and the next day come from one scan over range
+    # buckets: a customer (or the null one) with a large share of the rows is split
+    day = F.col("_raw").cast("date")
     if revenue_scope == "customer":
-        rev = F.sum("_day_rev").over(wc)
+        # distinct (day, order count) rows; each adds the customer's all-time revenue, so the sum so far is a product
+        rows = (per_raw.groupBy("customer_id", day.alias("date"), "total_order").agg(F.sum("_day_rev").alias("_rev")))
+        order = ["date", "total_order"]
     elif revenue_scope == "day":
-        rev = F.col("_day_rev")
+        rows = per_raw.select("customer_id", day.alias("date"), "total_order", F.col("_day_rev").alias("_rev"), "_raw")
+        order = ["date", "total_order", "_raw"]
     else:
         raise ValueError("revenue_scope must be 'customer' or 'day'")
-    data_agg = per_raw.select(F.col("_raw").cast("date").alias("date"), "customer_id", rev.alias("total_revenue"),
-                              "total_order",
-                              F.min(F.col("_raw").cast("date")).over(wc).alias("first_transaction_date"))
-    if revenue_scope == "customer":
-        data_agg = data_agg.distinct()
-
-    # rows per customer = distinct purchase days: bounded by the calendar
-    w = Window.partitionBy("customer_id").orderBy(F.col("date").asc_nulls_first(),
-                                                  F.col("total_order").asc_nulls_first())
-    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prep = data_agg.select(
-        "date", "customer_id",
-        F.round(F.sum("total_revenue").over(run), 2).alias("total_revenue_to_date"),
-        F.sum("total_order").over(run).alias("total_order_to_date"),
-        "first_transaction_date",
-        F.coalesce(F.date_sub(F.lead("date").over(w), 1), today).alias("_next"))
+    scan = ordered_scan(rows, order, partition_by=["customer_id"], row_number="_nth",
+                        running_sums={"_rev_to_date": F.col("_rev"), "total_order_to_date": F.col("total_order")},
+                        totals={"_all_rev": "_rev_to_date"}, lead={"_next_date": "date"},
+                        mins={"first_transaction_date": "date"})
+    to_date = F.col("_nth") * F.col("_all_rev") if revenue_scope == "customer" else F.col("_rev_to_date")
+    prep = scan.select(
+        "date", "customer_id", F.round(to_date, 2).alias("total_revenue_to_date"), "total_order_to_date",
+        "first_transaction_date", F.coalesce(F.date_sub("_next_date", 1), today).alias("_next"))
 
     start = F.greatest(F.col("date"), F.lit(CALENDAR_START).cast("date"))
     end = F.least(F.col("_next"), F.lit(CALENDAR_END).cast("date"))

@@ -11,15 +11,19 @@ into a single task.  ``ordered_scan`` computes the same values in two passes:
    buckets by the trailing tie-break columns.  The bucket id is materialised
    with a reliable ``checkpoint()`` so every later pass sees the same buckets
    (and so that a lost executor cannot re-draw them).
-2. A local window per ``(bucket, partition key)`` segment, plus one small
-   aggregate row per segment (count, sums, first/last values).  A window over
-   those segment rows (at most ``#keys + #buckets`` rows, at most ``#buckets``
-   per key) turns them into offsets, joined back on the segment key.
+2. The rows of a bucket stay together (``repartitionById``), and a local window runs per
+   ``(bucket, partition key)`` segment.  Global scans add one aggregate row per bucket.  With partition keys
+   only the keys cut by a bucket's end need more than their own bucket: those are the
+   least and greatest keys of the buckets, so at most two aggregate rows per bucket (count,
+   sums, minimums, first/last values).  A window over these rows turns them into offsets,
+   a broadcast of that bounded size.
 
 Row numbers / ntiles alone (global) skip the local window: each bucket is
 sorted in place after the range shuffle and a row's position is the low part
-of ``monotonically_increasing_id()``.  Partition totals and minimums come from
-the same segment rows, so no per-key aggregate is joined back onto the data.
+of ``monotonically_increasing_id()``.
+
+Any associative operator can be carried across buckets: sums, counts, running minimums and
+maximums, and the last non-null value.
 
 The result equals the single global window (ties broken by the given order).
 """
@@ -35,6 +39,9 @@ from tillsight.session import ensure_checkpoint_dir
 
 BUCKET = "_scan_bucket"
 _SEG = "_scan_seg"
+#: running operators: over rows, and of what came before a segment with what lies in it
+_RUNNING = {"min": (F.min, F.least), "max": (F.max, F.greatest),
+            "last": (lambda c: F.last(c, ignorenulls=True), lambda before, here: F.coalesce(here, before))}
 
 
 def _by_range(df: DataFrame, keys: list[Column], buckets: int | None) -> DataFrame:
@@ -78,6 +85,7 @@ def ordered_scan(
     lead: Mapping[str, str] | None = None,
     totals: Mapping[str, str] | None = None,
     mins: Mapping[str, str] | None = None,
+    running: Mapping[str, tuple[str, Column]] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
     """Add global (or per-``partition_by``) ordered values to ``df``.
@@ -90,6 +98,8 @@ def ordered_scan(
       partition (``sum(expr) over (partition by ..)``), from the bucket sums
     * ``mins``: ``{name: source column}`` for ``min(src) over (partition by ..)``,
       from the bucket minimums (no join of the rows with a per-key aggregate)
+    * ``running``: ``{name: (op, expr)}`` for the ``"min"``, ``"max"`` or ``"last"`` (non-null) of ``expr``
+      over ``rows between unbounded preceding and current row``
 
     ``order_by`` items are column names or ``(name, ascending)`` pairs.
     """
@@ -101,15 +111,18 @@ def ordered_scan(
     lead = dict(lead or {})
     totals = dict(totals or {})
     mins = dict(mins or {})
+    running = dict(running or {})
     pb = list(partition_by)
     n = buckets
     original = df.columns
 
-    if not (pb or sums or lag or lead or totals or mins):
+    if not (pb or sums or lag or lead or totals or mins or running):
         return _ranks_only(df, order_by, row_number, ntiles, n)
 
     for name, expr in sums.items():
         df = df.withColumn(f"_sx_{name}", expr)
+    for name, (_, expr) in running.items():
+        df = df.withColumn(f"_rx_{name}", expr)
     if pb:
         # one struct key: null-safe by construction and a single hash key
         df = df.withColumn(_SEG, F.struct(*[F.col(p) for p in pb]))
@@ -120,9 +133,8 @@ def ordered_scan(
         keys = list(order_by)
 
     bucketed = checkpointed(_by_range(df, keys, n).withColumn(BUCKET, F.spark_partition_id()))
-    if not pb:
-        # one task per bucket (hashing the ids would double some up); the window needs no further shuffle
-        bucketed = bucketed.repartitionById(max(1, bucketed.rdd.getNumPartitions()), BUCKET)
+    # one task per bucket (hashing the ids would double some up); the windows need no further shuffle
+    bucketed = bucketed.repartitionById(max(1, bucketed.rdd.getNumPartitions()), BUCKET)
 
     w = Window.partitionBy(*seg_keys).orderBy(*order_by)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -130,41 +142,58 @@ def ordered_scan(
     local = bucketed.withColumn("_lrn", F.row_number().over(w)).withColumn("_lcnt", F.count(F.lit(1)).over(w_all))
     for name in sums:
         local = local.withColumn(f"_lsum_{name}", F.sum(f"_sx_{name}").over(w_run))
+    for name, (op, _) in running.items():
+        local = local.withColumn(f"_lrun_{name}", _RUNNING[op][0](F.col(f"_rx_{name}")).over(w_run))
+    if pb:  # what a key that lies in one bucket needs
+        local = local.withColumns({f"_ltot_{name}": F.sum(f"_sx_{src}").over(w_all) for name, src in totals.items()}
+                                  | {f"_lmin_{name}": F.min(src).over(w_all) for name, src in mins.items()})
     for name, src in lag.items():
-        local = (local.withColumn(f"_llag_{name}", F.lag(src).over(w))
-                 .withColumn(f"_slast_{name}", F.last(src).over(w_all)))
+        local = local.withColumn(f"_llag_{name}", F.lag(src).over(w))
     for name, src in lead.items():
-        local = (local.withColumn(f"_llead_{name}", F.lead(src).over(w))
-                 .withColumn(f"_sfirst_{name}", F.first(src).over(w_all)))
-
-    if (lag or lead) and not all_asc:
-        # segment first/last values taken from the local window (second pass)
-        seg_aggs = [F.max("_lcnt").alias("_scnt")]
-        seg_aggs += [F.sum(f"_sx_{name}").alias(f"_ssum_{name}") for name in sums]
-        seg_aggs += [F.first(f"_slast_{name}").alias(f"_slast_{name}") for name in lag]
-        seg_aggs += [F.first(f"_sfirst_{name}").alias(f"_sfirst_{name}") for name in lead]
-        seg_aggs += [F.min(src).alias(f"_smin_{name}") for name, src in mins.items()]
-        seg = local.groupBy(*seg_keys).agg(*seg_aggs)
+        local = local.withColumn(f"_llead_{name}", F.lead(src).over(w))
+
+    across = bucketed
+    if pb:
+        ends = bucketed.groupBy(BUCKET).agg(F.min(_SEG).alias("_lo"), F.max(_SEG).alias("_hi"))
+        cut = (ends.select(BUCKET, F.explode(F.array("_lo", "_hi")).alias(_SEG)).distinct()
+               .groupBy(_SEG).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(_SEG))
+        across = bucketed.join(F.broadcast(cut), _SEG, "left_semi")  # at most one key per bucket end
+    # partial aggregation straight from the buckets, no second sort; the order as a struct of ranks of its own direction
+    seg_aggs = [F.count(F.lit(1)).alias("_scnt")]
+    seg_aggs += [F.sum(f"_sx_{name}").alias(f"_ssum_{name}") for name in sums]
+    seg_aggs += [F.min(src).alias(f"_smin_{name}") for name, src in mins.items()]
+    lasts = [name for name, (op, _) in running.items() if op == "last"]
+    seg_aggs += [_RUNNING[op][0](F.col(f"_rx_{name}")).alias(f"_srun_{name}") for name, (op, _) in running.items()
+                 if op != "last"]
+    if (lag or lead or lasts) and not all_asc:
+        # segment first/last values taken from windows over the segments that are cut
+        edge = across
+        for name, src in lag.items():
+            edge = edge.withColumn(f"_slast_{name}", F.last(src).over(w_all))
+        for name, src in lead.items():
+            edge = edge.withColumn(f"_sfirst_{name}", F.first(src).over(w_all))
+        for name in lasts:
+            edge = edge.withColumn(f"_srun_{name}", F.last(f"_rx_{name}", ignorenulls=True).over(w_all))
+        seg_aggs += [F.first(c).alias(c) for c in edge.columns if c.startswith(("_slast_", "_sfirst_", "_srun_"))]
+        seg = edge.groupBy(*seg_keys).agg(*seg_aggs)
     else:
-        # straight from the buckets: partial aggregation, no second sort
         key = F.struct(*[F.col(c) for c in order_names])
-        seg_aggs = [F.count(F.lit(1)).alias("_scnt")]
-        seg_aggs += [F.sum(f"_sx_{name}").alias(f"_ssum_{name}") for name in sums]
         seg_aggs += [F.max_by(F.col(src), key).alias(f"_slast_{name}") for name, src in lag.items()]
         seg_aggs += [F.min_by(F.col(src), key).alias(f"_sfirst_{name}") for name, src in lead.items()]
-        seg_aggs += [F.min(src).alias(f"_smin_{name}") for name, src in mins.items()]
-        seg = bucketed.groupBy(*seg_keys).agg(*seg_aggs)
-        local = local.drop(*[f"_slast_{n}" for n in lag], *[f"_sfirst_{n}" for n in lead])
+        seg_aggs += [F.max_by(f"_rx_{name}", F.when(F.col(f"_rx_{name}").isNotNull(), key)).alias(f"_srun_{name}")
+                     for name in lasts]
+        seg = across.groupBy(*seg_keys).agg(*seg_aggs)
 
     ws = (Window.partitionBy(_SEG) if pb else Window.partitionBy()).orderBy(BUCKET)
     ws_before = ws.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     seg = seg.withColumn("_ocnt", F.coalesce(F.sum("_scnt").over(ws_before), F.lit(0)))
     if ntiles:
-        seg = seg.withColumn("_ntot", F.sum("_scnt").over(ws.rowsBetween(Window.unboundedPreceding,
-                                                                           Window.unboundedFollowing)))
+        seg = seg.withColumn("_ntot", F.sum("_scnt").over(whole))
     for name in sums:
         seg = seg.withColumn(f"_osum_{name}", F.sum(f"_ssum_{name}").over(ws_before))
-    whole = ws.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    for name, (op, _) in running.items():
+        seg = seg.withColumn(f"_orun_{name}", _RUNNING[op][0](F.col(f"_srun_{name}")).over(ws_before))
     for name, src in totals.items():
         seg = seg.withColumn(f"_tot_{name}", F.sum(f"_ssum_{src}").over(whole))
     for name in mins:
@@ -174,10 +203,17 @@ def ordered_scan(
     for name in lead:
         seg = seg.withColumn(f"_pnext_{name}", F.lead(f"_sfirst_{name}").over(ws))
     keep = [c for c in seg.columns
-            if c.startswith(("_ocnt", "_ntot", "_osum_", "_tot_", "_pmin_", "_pprev_", "_pnext_"))]
+            if c.startswith(("_ocnt", "_ntot", "_osum_", "_orun_", "_tot_", "_pmin_", "_pprev_", "_pnext_"))]
     seg = seg.select(*seg_keys, *keep)
-    # global case: one row per bucket, a size bounded by the bucket count
-    joined = local.join(F.broadcast(seg) if not pb else seg, on=seg_keys, how="inner")
+    # one row per bucket, or two per bucket end: a size bounded by the bucket count
+    joined = local.join(F.broadcast(seg), on=seg_keys, how="left" if pb else "inner")
+    if pb:  # keys of one bucket have no offsets
+        inside = F.col("_ocnt").isNull()
+        joined = joined.withColumns(
+            {"_ntot": F.when(inside, F.col("_lcnt")).otherwise(F.col("_ntot")) if ntiles else F.lit(0)}
+            | {f"_tot_{c}": F.when(inside, F.col(f"_ltot_{c}")).otherwise(F.col(f"_tot_{c}")) for c in totals}
+            | {f"_pmin_{c}": F.when(inside, F.col(f"_lmin_{c}")).otherwise(F.col(f"_pmin_{c}")) for c in mins}
+        ).withColumn("_ocnt", F.coalesce("_ocnt", F.lit(0)))
 
     out = joined
     rn = (F.col("_ocnt") + F.col("_lrn")).cast("long")
@@ -189,6 +225,8 @@ def ordered_scan(
         off, loc = F.col(f"_osum_{name}"), F.col(f"_lsum_{name}")
         out = out.withColumn(name, F.when(off.isNull() & loc.isNull(), F.lit(None))
                              .otherwise(F.coalesce(off, F.lit(0)) + F.coalesce(loc, F.lit(0))))
+    for name, (op, _) in running.items():
+        out = out.withColumn(name, _RUNNING[op][1](F.col(f"_orun_{name}"), F.col(f"_lrun_{name}")))
     for name in totals:
         out = out.withColumn(name, F.col(f"_tot_{name}"))
     for name in mins:
@@ -200,7 +238,7 @@ def ordered_scan(
         out = out.withColumn(name, F.when(F.col("_lrn") == F.col("_lcnt"), F.col(f"_pnext_{name}"))
                              .otherwise(F.col(f"_llead_{name}")))
     added = [row_number] if row_number else []
-    added += list(ntiles) + list(sums) + list(totals) + list(mins) + list(lag) + list(lead)
+    added += list(ntiles) + list(sums) + list(totals) + list(mins) + list(running) + list(lag) + list(lead)
     return out.select(*original, *added)
 
 
