@@ -8,7 +8,7 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from tillsight.sources import archives, legal_units, metrics, posts, profiles, sinks, web_traffic
+from tillsight.sources import archives, landed, legal_units, metrics, posts, profiles, sinks, web_traffic
 
 PAGE = ("data struct<posts: array<struct<id: string, authorId: string, created_time: string, "
         "content_type: string, post_labels: array<struct<id: string, name: string>>, insights_reach: string, "
@@ -264,3 +264,118 @@ def test_csv_records_keep_quoted_breaks(spark, tmp_dir):
 def test_unlisted_reaction_key_fails(spark):
     with pytest.raises(Exception, match="reaction_keys lacks like"):
         posts.export_posts(_pages(spark), "facebook", reaction_keys=["love"]).collect()
+
+
+def test_legal_units_watermark_loses_no_text(spark, tmp_dir):
+    """Offsets, spaces and other notations around the watermark give a row or an error."""
+    target = spark.createDataFrame([("0", "2024-06-06T00:00:00")], LU)
+    texts = {"1": "2024-06-05T23:30:00-05:00", "2": " 2024-06-07T10:00:00", "3": "2024-6-7", "4": "2024-06-06T00:30:00+14:00",
+             "5": "2024-06-05T10:00:00Z", "6": "2024-06-06", "7": "2024-06-04T23:00:00-18:00", "8": "1999-01-01", "9": None}
+    path = os.path.join(tmp_dir, "lu")
+    spark.createDataFrame(sorted(texts.items()), LU).repartition(3).write.parquet(path)
+    out = legal_units.incremental_append(spark.read.parquet(path), target, extracted_at="x")
+    assert sorted(r.siren for r in out.collect()) == ["1", "2", "3", "6"]
+    plan = spark._jvm.PythonSQLUtils.explainString(out._jdf.queryExecution(), "formatted")
+    assert f"GreaterThanOrEqual({legal_units.UPDATED_AT},2024-06-04)" in plan
+    bad = spark.createDataFrame([("1", "07/06/2024 10:00")], LU)
+    with pytest.raises(Exception, match="not an ISO timestamp"):
+        legal_units.incremental_append(bad, target, extracted_at="x").collect()
+
+
+def test_legal_units_without_a_key_are_compared_as_a_whole(spark, tmp_dir):
+    from tillsight.streaming.incremental import append_available, legal_unit_stream
+    schema = LU + ", sigleUniteLegale string"
+    rows = [(None, "2024-01-06T00:00:00", "a"), (None, "2024-01-06T00:00:00", "b"), (None, "2024-01-06T00:00:00", "b"),
+            ("1", "2024-01-06T00:00:00", "c"), ("1", None, "d")]
+    src, key = spark.createDataFrame(rows, schema), ["siren", legal_units.UPDATED_AT]
+    first = legal_units.incremental_append(src, src.limit(0), extracted_at="x", dedupe_on=key)
+    assert sorted(r.sigleUniteLegale for r in first.collect()) == ["a", "b", "c"]  # a null date is never new
+    again = legal_units.incremental_append(src, first, extracted_at="y", dedupe_on=key)
+    assert again.count() == 0
+    land, out, ck = (os.path.join(tmp_dir, x) for x in ("landing", "table", "ck"))
+    for name in ("one", "two"):
+        src.coalesce(1).write.mode("append").json(land)
+        append_available(legal_unit_stream(spark, land, schema, extracted_at=name), out, ck, dedupe_on=key).awaitTermination(120)
+    assert sorted(r.sigleUniteLegale for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
+
+
+def test_series_by_position(spark, tmp_dir):
+    d = dt.date
+    rows = {"a.fr": [(d(2024, 1, 3), 3.0), (d(2024, 1, 1), 1.0), (d(2024, 1, 1), 5.0)], "b.fr": [(d(2024, 2, 9), 7.0)], "c.fr": []}
+    frames = {}
+    for name, some in rows.items():
+        path = os.path.join(tmp_dir, name)
+        spark.createDataFrame(some, "date date, visits double").coalesce(1).write.parquet(path)
+        frames[name] = web_traffic.with_file_position(spark.read.parquet(path))
+    got = web_traffic.align_series(frames, by="position", order=["_file", "_row"])
+    assert got.columns == ["date_a.fr", "a.fr", "date_b.fr", "b.fr", "date_c.fr", "c.fr"]
+    want = [(d(2024, 1, 1), 1.0, None, None, None, None), (d(2024, 1, 1), 5.0, None, None, None, None),
+            (d(2024, 1, 3), 3.0, d(2024, 2, 9), 7.0, None, None)]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(want, key=repr)
+    with pytest.raises(ValueError, match="by must be"):
+        web_traffic.align_series(frames, by="name")
+
+
+def test_landed_payloads_keep_varying_fields(spark, tmp_dir):
+    lines = ['{"id": 1, "data": {"posts": [{"id": "a", "n": 1}]}}', '{"id": 2, "extra": [1.5, null], "mixed": "x"}',
+             '{"id": 3, "data": {"posts": [{"id": "b", "label": {"name": "q"}}], "next": null}, "mixed": {"k": [1]}}',
+             "not json", "[1, 2]", "{}", '{"id": 99999999999, "odd name`": true}', None]
+    df = spark.createDataFrame([(x,) for x in lines], "payload string")
+    got = landed.landed_payloads(df)
+    rows = sorted((r for r in got.collect()), key=lambda r: (r.id is None, r.id or 0, str(r[landed.BAD_RECORD])))
+    assert [r.id for r in rows] == [1, 2, 3, 99999999999, None, None, None, None]
+    assert rows[0].data.posts[0].n == 1 and rows[2].data.posts[0].label.name == "q" and rows[2].data.posts[0].n is None
+    assert [float(x) if x is not None else None for x in rows[1].extra] == [1.5, None]
+    assert rows[1].mixed == "x" and rows[2].mixed == '{"k":[1]}' and rows[3]["odd name`"] is True
+    assert sorted(r[landed.BAD_RECORD] for r in rows if r[landed.BAD_RECORD]) == ["[1, 2]", "not json"]
+    path = os.path.join(tmp_dir, "lines")
+    df.where("payload is not null").coalesce(1).write.text(path)
+    assert landed.landed_payloads(landed.read_payload_files(spark, path)).where("id = 3").count() == 1
+    for none in (df.limit(0), df.where("payload = 'not json'")):
+        assert landed.landed_payloads(none).columns == [landed.BAD_RECORD]
+
+
+def _days(df):
+    return sorted((str(r.date), r.who, r.n) for r in df.collect())
+
+
+def test_replace_in_place_survives_a_failed_run(spark, tmp_dir, monkeypatch):
+    table, day = os.path.join(tmp_dir, "t"), lambda df: metrics.as_date(df, "date")
+    old = spark.createDataFrame([(f"2024-01-{k:02d}", w, k) for k in range(1, 21) for w in ("a", "b")] + [(None, "z", 0)],
+                                "date string, who string, n int")
+    new = spark.createDataFrame([("2024-01-12", "a", 100), ("2024-01-25", "c", 101), ("2024-01-02", "late", 102), (None, "y", 103)],
+                                "date string, who string, n int")
+    full = lambda e, n: metrics.replace_tail(e, n, days=10, as_of="2024-01-20")
+    want = _days(full(old, new))
+    run = dict(day=day, low=dt.date(2024, 1, 10), high=None)
+    sinks.write_by_day(old, table, day)
+    before = {n for n in os.listdir(table)}
+    real = sinks._overwrite_days
+
+    def broken(rows, target, day_col):  # some days are replaced, then the run dies
+        real(rows.where("day = '2024-01-12' or day = '2024-01-02'"), target, day_col)
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(sinks, "_overwrite_days", broken)
+    with pytest.raises(RuntimeError, match="lost"):
+        sinks.replace_in_place(table, new, full, stage=f"{tmp_dir}/run1", **run)
+    monkeypatch.setattr(sinks, "_overwrite_days", real)
+    untouched = {n: os.path.getmtime(os.path.join(table, n)) for n in before if n == "day=2024-01-05"}
+    for _ in range(2):  # the repeated run, and once more
+        sinks.replace_in_place(table, new, full, stage=f"{tmp_dir}/run1", **run)
+        assert _days(spark.read.parquet(table)) == want
+    assert {n: os.path.getmtime(os.path.join(table, n)) for n in untouched} == untouched
+    assert "day=2024-01-15" not in os.listdir(table) and "day=2024-01-25" in os.listdir(table)
+
+
+def test_replace_profile_window_in_place(spark, tmp_dir):
+    table, day = os.path.join(tmp_dir, "t"), posts._created_date
+    cols = "tiktok_id int, profile_id string, created_time string"
+    old = spark.createDataFrame([(i, f"p{i % 3}", f"2024-01-{1 + i % 28:02d}T10:00:00") for i in range(80)] + [(99, "p0", None)], cols)
+    new = spark.createDataFrame([(500, "p0", "2024-01-20T00:00:00"), (501, "p9", "2024-02-20T00:00:00")], cols)
+    full = lambda e, n: posts.replace_profile_window(e, n, network="tiktok", start="2024-01-10", end="2024-01-22")
+    sinks.write_by_day(old, table, day, "created_day")
+    sinks.replace_in_place(table, new, full, day=day, low=dt.date(2024, 1, 10), high=dt.date(2024, 1, 22),
+                           stage=f"{tmp_dir}/s", day_col="created_day")
+    got = spark.read.parquet(table).drop("created_day")
+    assert sorted(map(repr, got.select(*old.columns).collect())) == sorted(map(repr, full(old, new).select(*old.columns).collect()))

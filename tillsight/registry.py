@@ -7,6 +7,8 @@ reported as double, integers as long).
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight.operators import campaigns, cohorts, customers, job_costs, products, raw_json
+from tillsight.session import ensure_checkpoint_dir
 from tillsight.sources import bindings as B
-from tillsight.sources import legal_units, metrics, posts, profiles, web_traffic
+from tillsight.sources import landed, legal_units, metrics, posts, profiles, sinks, web_traffic
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -165,6 +168,10 @@ def q_web_traffic(spark, sf):
     return web_traffic.sessions_by_competitor(B.traffic_series(spark, sf), "FR")
 
 
+def q_web_traffic_by_position(spark, sf):
+    return web_traffic.sessions_by_competitor(B.traffic_series(spark, sf), "FR", by="position", order=["date"])
+
+
 def q_legal_units(spark, sf, dedupe_on=None):
     src = B.legal_units(spark, sf)
     target = legal_units.conform_legal_units(src.where(F.col("dateCreationUniteLegale") < "2000-01-01"))
@@ -183,6 +190,18 @@ def q_replace_tail(spark, sf):
     return metrics.replace_tail(existing, new, date_col="date", days=10, as_of=B.EVENTS_AS_OF)
 
 
+def q_replace_tail_in_place(spark, sf):
+    """The same table as ``replace_metrics_tail``, by rewriting only the touched days of a table."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tail-{uuid.uuid4().hex}"
+    day = lambda df: metrics.as_date(df, "date")
+    sinks.write_by_day(metrics.union_metrics(B.profile_metrics(spark, sf)), f"{folder}/table", day)
+    new = metrics.union_metrics(B.profile_metrics(spark, sf, since="2024-01-21"))
+    as_of = B.EVENTS_AS_OF
+    sinks.replace_in_place(f"{folder}/table", new, lambda e, n: metrics.replace_tail(e, n, days=10, as_of=as_of),
+                           day=day, low=as_of - dt.timedelta(days=10), high=None, stage=f"{folder}/stage")
+    return spark.read.parquet(f"{folder}/table").drop("day")
+
+
 def q_profiles(spark, sf):
     return profiles.clean_profiles(profiles.union_profiles(B.social_profiles(spark, sf)))
 
@@ -195,6 +214,12 @@ def q_metric_cube(spark, sf):
     return metrics.unpack_metric_cube(B.metric_cubes(spark, sf), "instagram")
 
 
+def q_export_posts_landed(spark, sf):
+    """The pages as JSON text, one payload a row: schema and values come from the text alone."""
+    text = B.post_pages(spark, sf).select(F.to_json(F.struct("data")).alias("payload"))
+    return posts.export_posts(landed.landed_payloads(text).drop(landed.BAD_RECORD), "facebook", reaction_keys=("like", "love"))
+
+
 def q_export_posts(spark, sf, reaction_keys=("like", "love")):
     return posts.export_posts(B.post_pages(spark, sf), "facebook", reaction_keys=reaction_keys)
 
@@ -226,14 +251,17 @@ _QUERIES: dict[str, Query] = {
     "splio_contact_segmentation": q_splio_contacts,
     "create_model_bigquery_cost": q_job_cost,
     "web_traffic_sessions": q_web_traffic,
+    "web_traffic_sessions_by_position": q_web_traffic_by_position,
     "incremental_legal_units": q_legal_units,
     "incremental_legal_units_deduped": lambda s, sf: q_legal_units(s, sf, ["siren", legal_units.UPDATED_AT]),
     "replace_profile_window": q_replace_window,
     "replace_metrics_tail": q_replace_tail,
+    "replace_metrics_tail_in_place": q_replace_tail_in_place,
     "union_profiles": q_profiles,
     "profile_ids": q_profile_ids,
     "unpack_metric_cube": q_metric_cube,
     "export_posts": q_export_posts,
+    "export_posts_landed_json": q_export_posts_landed,
     "export_posts_discovered_keys": lambda s, sf: q_export_posts(s, sf, None),
 }
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillsight.functions.columns import join_nullsafe
+
 # fixed values: the 20-column load contract of the legal-unit table
 LEGAL_UNIT_COLUMNS = (
     "siren", "statutDiffusionUniteLegale", "dateCreationUniteLegale", "sigleUniteLegale", "sexeUniteLegale",
@@ -57,30 +61,61 @@ def high_watermark(target: DataFrame, col: str = UPDATED_AT) -> DataFrame:
     return target.agg(F.coalesce(newest, F.lit(DEFAULT_WATERMARK).cast("date")).alias("watermark"))
 
 
+ROW_DIGEST = "_row_digest"
+
+
+def with_identity(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add ``ROW_DIGEST``: null where all ``keys`` are known, else a digest of the whole row but its load time.
+
+    A record without a full key is identified by all it holds, so two such records are only the same if
+    nothing differs.
+    """
+    whole = F.struct(*[F.col(c).cast("string").alias(c) for c in sorted(df.columns) if c != "date_extraction"])
+    unknown = reduce(lambda x, y: x | y, [F.col(k).isNull() for k in keys])
+    return df.withColumn(ROW_DIGEST, F.when(unknown, F.sha2(F.to_json(whole), 256)))
+
+
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the first one in the order of all columns' JSON text."""
     first = Window.partitionBy(*keys).orderBy(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
     return df.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_nth")
 
 
+def not_yet_loaded(batch: DataFrame, target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``batch`` that ``target`` does not hold, one per key (per whole row where a key is null)."""
+    identity = [*keys, ROW_DIGEST]
+    same = target.select(*[F.col(c) if c in target.columns else F.lit(None).alias(c) for c in batch.columns])
+    loaded = with_identity(same, keys).select(*identity).distinct()
+    return join_nullsafe(one_per_key(with_identity(batch, keys), identity), loaded, identity, "left_anti").drop(ROW_DIGEST)
+
+
+def since(source: DataFrame, bound: dt.date, ts_col: str = UPDATED_AT) -> DataFrame:
+    """Rows whose timestamp text lies on or after the day ``bound``.
+
+    Text that begins with an ISO date sorts like its own day, which an offset moves by a day at most: a
+    bound two days earlier on the text reaches the scan and loses nothing.  Text below that bound is read apart, and only what does not begin with an ISO date goes on.
+    The exact timestamp decides in either case; text that is no timestamp fails the job.
+    """
+    text = F.col(ts_col)
+    low = F.lit((bound - dt.timedelta(days=2)).isoformat())
+    odd = ~text.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]|$)")
+    rows = source.where(text >= low).unionByName(source.where((text < low) & odd))
+    return rows.where(F.to_date(_timestamp(text)) >= F.lit(bound.isoformat()).cast("date"))
+
+
 def incremental_append(source: DataFrame, target: DataFrame, *, ts_col: str = UPDATED_AT,
                        extracted_at: str | None = None, dedupe_on=None) -> DataFrame:
     """Rows of ``source`` updated on or after the target's watermark date,
     stamped with ``date_extraction`` and conformed: the batch to append (P16).
 
     The bound is inclusive (the boundary day is fetched again), as in the
-    original.  ISO text sorts like time, so the bound on the text itself reaches
-    the scan; a text in the batch that is no timestamp fails the job.
+    original.  It is one value, read first, so that it reaches the scan (see :func:`since`).  Days are
+    those of the session's time zone.
     ``dedupe_on`` (e.g. ``["siren", UPDATED_AT]``) drops batch rows whose key is
-    already in ``target`` (a left anti join) and repeats inside the batch.
+    already in ``target`` and repeats inside the batch; a row with a null in its key is compared as a whole.
     """
-    wm = high_watermark(target, ts_col)
-    text = F.col(ts_col)
+    bound = high_watermark(target, ts_col).first().watermark
     stamp = F.lit(extracted_at) if extracted_at is not None else \
         F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
-    bound = wm.select(F.date_format("watermark", "yyyy-MM-dd")).scalar()  # one value: a scalar subquery
-    batch = source.where(text >= bound).where(F.to_date(_timestamp(text)) >= F.to_date(bound))
-    if dedupe_on:
-        keys = list(dedupe_on)
-        batch = one_per_key(batch, keys).join(target.select(*keys), keys, "left_anti")
-    return conform_legal_units(batch.withColumn("date_extraction", stamp))
+    batch = conform_legal_units(since(source, bound, ts_col).withColumn("date_extraction", stamp))
+    return not_yet_loaded(batch, target, list(dedupe_on)) if dedupe_on else batch

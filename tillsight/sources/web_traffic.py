@@ -10,6 +10,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillsight.plans.ordered import ordered_scan
+
 # fixed values: what becomes an underscore and what disappears from a column name
 UNDERSCORED = (r"\.+", "en", "& ", "[/() -]")
 DROPPED = "[&+]"
@@ -28,25 +30,42 @@ def clean_column_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[clean_name(c) for c in df.columns])
 
 
-def align_series(frames: Mapping[str, DataFrame], *, date_col: str = "date", value_col: str = "visits") -> DataFrame:
+def with_file_position(df: DataFrame) -> DataFrame:
+    """Add ``_file`` and ``_row``, a landed Parquet file's name and the row's place in it: an order that no task changes."""
+    return df.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+
+
+def align_series(frames: Mapping[str, DataFrame], *, date_col: str = "date", value_col: str = "visits",
+                 by: str = "date", order: Sequence[str] | None = None) -> DataFrame:
     """Per-domain daily series side by side: column ``<domain>`` holds the
     visits and ``date_<domain>`` that domain's date (P18).
 
-    The original glued the frames by row position; rows are matched by date
-    here (identical for equal date grids).  A domain's repeated rows of one date
+    The original glued the frames by row position.  ``by="position"`` does that: every series is
+    numbered in the given ``order`` (default: date, then value; landed files keep theirs with
+    :func:`with_file_position` and ``order=["_file", "_row"]``) and row k stands beside row k.  The numbers come
+    from one ordered scan over all series, so a long series is split over tasks.
+
+    By default rows are matched by date (identical for equal date grids).  A domain's repeated rows of one date
     are numbered in the order of their values and matched by date and number, so
     every row is kept.  All series go through one union + pivot, i.e. a single
     aggregation instead of a chain of joins.
     """
+    if by not in ("date", "position"):
+        raise ValueError("by must be 'date' or 'position'")
     domains = list(frames)
+    keys = [f"_o{i}" for i in range(len(order))] if order else ["_date", "_v"]
     long = None
     for d, df in frames.items():
         part = df.select(F.col(date_col).alias("_date"), F.lit(d).alias("_domain"),
-                         F.col(value_col).cast("double").alias("_v"))
+                         F.col(value_col).cast("double").alias("_v"),
+                         *[F.col(c).alias(k) for c, k in zip(order or (), keys, strict=False)])
         long = part if long is None else long.unionByName(part)
     nth = F.row_number().over(Window.partitionBy("_domain", "_date").orderBy(F.col("_v").asc_nulls_first()))
-    wide = (long.withColumn("_nth", nth).groupBy("_date", "_nth").pivot("_domain", domains)
-            .agg(F.max("_v").alias("v"), F.max("_date").alias("d")))
+    if by == "date":
+        matched = long.withColumn("_nth", nth).groupBy("_date", "_nth")
+    else:
+        matched = ordered_scan(long, keys, partition_by=["_domain"], row_number="_nth").groupBy("_nth")
+    wide = matched.pivot("_domain", domains).agg(F.max("_v").alias("v"), F.max("_date").alias("d"))
     cols = []
     for d in domains:
         cols += [F.col(f"`{d}_d`").alias(f"date_{d}"), F.col(f"`{d}_v`").alias(d)]
@@ -69,9 +88,9 @@ def melt(df: DataFrame, ids: Sequence[str] = ("event_timestamp", "country"), var
 
 
 def sessions_by_competitor(frames: Mapping[str, DataFrame], country: str, *, date_col: str = "date",
-                           value_col: str = "visits") -> DataFrame:
+                           value_col: str = "visits", by: str = "date", order: Sequence[str] | None = None) -> DataFrame:
     """The whole export: P18 -> P17 -> P19 (first domain's date kept as
     ``event_timestamp``) -> P20."""
     first = clean_name(f"date_{next(iter(frames))}")
-    wide = clean_column_names(align_series(frames, date_col=date_col, value_col=value_col))
+    wide = clean_column_names(align_series(frames, date_col=date_col, value_col=value_col, by=by, order=order))
     return melt(tag_and_prune(wide, country, {first: "event_timestamp"}))

@@ -17,9 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tillsight.functions.columns import join_nullsafe
 from tillsight.session import ensure_checkpoint_dir
-from tillsight.sources.legal_units import conform_legal_units, one_per_key
+from tillsight.sources.legal_units import conform_legal_units, not_yet_loaded
 
 
 def checkpoint_location(spark: SparkSession, name: str) -> str:
@@ -42,7 +41,7 @@ def append_available(df: DataFrame, target_dir: str, checkpoint: str, fmt: str =
 
     ``dedupe_on`` (e.g. ``["siren", UPDATED_AT]``) drops re-delivered records: a
     batch's rows whose key the target already holds, however old, and repeats
-    inside the batch.  The key is checked against the target itself, so there is no
+    inside the batch; a row with a null in its key is compared as a whole, as in the batch form.  The key is checked against the target itself, so there is no
     state that grows and no record is too late.
     """
     if not dedupe_on:
@@ -55,7 +54,7 @@ def append_available(df: DataFrame, target_dir: str, checkpoint: str, fmt: str =
         # an empty append makes the first batch's target readable
         batch.limit(0).write.mode("append").format(fmt).save(target_dir)
         target = spark.read.schema(batch.schema).format(fmt).load(target_dir)
-        new = join_nullsafe(one_per_key(batch, keys), target.select(*keys).distinct(), keys, "left_anti")
+        new = not_yet_loaded(batch, target, keys)
         # written in one piece: a retried batch finds its own rows and appends nothing twice
         new.write.mode("append").format(fmt).save(target_dir)
 
