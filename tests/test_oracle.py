@@ -52,7 +52,8 @@ EDGE_QUERIES = ["get_customers", "get_rfm_segments", "history_rfm_segments", "cu
                 "create_model_bigquery_cost", "web_traffic_sessions", "replace_profile_window",
                 "replace_metrics_tail", "export_posts", "export_posts_discovered_keys", "union_profiles",
                 "profile_ids", "unpack_metric_cube", "incremental_legal_units", "incremental_legal_units_deduped",
-                "history_rfm_segments_daily", "get_cohort_matrix_by_status"]
+                "history_rfm_segments_daily", "get_cohort_matrix_by_status", "web_traffic_sessions_by_position",
+                "replace_metrics_tail_in_place", "export_posts_landed_json"]
 
 
 @pytest.fixture(scope="module")

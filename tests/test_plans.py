@@ -8,7 +8,7 @@ from tillsight.operators import customers, products
 from tillsight.plans import ordered
 from tillsight.plans.ordered import checkpointed
 from tillsight.registry import queries
-from tillsight.sources import bindings
+from tillsight.sources import bindings, landed
 
 
 def _plan(df) -> str:
@@ -30,7 +30,7 @@ def stages(monkeypatch):
         seen.append(_plan(df))
         return checkpointed(df)
 
-    for module in (bindings, customers, ordered, products):
+    for module in (bindings, customers, landed, ordered, products):
         monkeypatch.setattr(module, "checkpointed", recording, raising=False)
     return seen
 
@@ -73,7 +73,7 @@ def test_scan_prunes_columns_and_pushes_filters(spark):
 
 def test_history_rfm_does_not_expand_days(spark):
     """Intervals are cut at change points only: a few rows each, where days would be hundreds."""
-    days = bindings.order_lines(spark, SF_SMALL).select("customer_id", "order_date").distinct().count()
+    days = bindings.sales_lines(spark, SF_SMALL, with_part=False).select("customer_id", "order_date").distinct().count()
     df = queries()["history_rfm_segments"](spark, SF_SMALL)
     assert "BroadcastNestedLoopJoin" not in _plan(df)
     assert df.count() <= 30 * days

@@ -134,7 +134,8 @@ def ordered_scan(
 
     bucketed = checkpointed(_by_range(df, keys, n).withColumn(BUCKET, F.spark_partition_id()))
     # one task per bucket (hashing the ids would double some up); the windows need no further shuffle
-    bucketed = bucketed.repartitionById(max(1, bucketed.rdd.getNumPartitions()), BUCKET)
+    if not pb or bucketed.rdd.getNumPartitions() > 1:  # keys of one bucket are dealt by hash
+        bucketed = bucketed.repartitionById(max(1, bucketed.rdd.getNumPartitions()), BUCKET)
 
     w = Window.partitionBy(*seg_keys).orderBy(*order_by)
     w_run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
