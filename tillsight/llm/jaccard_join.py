@@ -75,7 +75,7 @@ def bands(limit: int) -> list[tuple[int, int]]:
     out, low = [], SMALLEST
     while low <= limit:
         high = -(-low * 3 // 2)
-        out.append((low, -(-23 * (max_difference(high - 1) + 1) // 20) + 1))
+        out.append((low, -(-3 * (max_difference(high - 1) + 1) // 2) + 1))
         low = high
     return out
 
@@ -463,7 +463,9 @@ _CELL = 2048  # most probing or held members of one element in a cell
 
 
 def _within_stars(spokes: DataFrame, cell: int = _CELL) -> DataFrame:
-    """``(a, b)``: members of one star, in different components, that may link; one of each does not link with the centre.
+    """``(a, b)``: members of one star, in different components, that may link.
+
+    The members that link with the centre are of one component, the core; so one of the two is apart from it.
 
     With sizes n, s elements shared with the centre, and c the centre's size, x and y link if they share
     ``t = 4 (nx + ny) / 9`` elements.  At most ``min(sx, sy)`` of those lie in the centre.
@@ -471,19 +473,19 @@ def _within_stars(spokes: DataFrame, cell: int = _CELL) -> DataFrame:
     * One of them is far from the centre (5 s < 4 n, so it does not link with it): the two share at least
       ``t - min(sx, sy)`` elements *outside* the centre, ``4 n / 5 - s`` by the size of either alone, and one at
       least.  What all far members lack of the centre plays no part.
-    * Both are near, one loose (not linked with the centre): with the deviations D from the centre,
-      ``18 * |Dx & Dy| >= 9 * |Dx| - nx + 9 * |Dy| - ny``, so the loose one shares at least ``(9 * |Dx| - nx - c) / 10``
-      elements with any partner, as ny <= c + |Dy|, and a partner ``(1 + 9 * |Dy| - ny + c) / 18`` with any loose one.
+    * Both are near, one apart (so not linked with the centre): with the deviations D from the centre,
+      ``18 * |Dx & Dy| >= 9 * |Dx| - nx + 9 * |Dy| - ny``, so the one apart shares at least ``(9 * |Dx| - nx - c) / 10``
+      elements with any partner, as ny <= c + |Dy|, and a partner ``(1 + 9 * |Dy| - ny + c) / 18`` with any one apart.
 
     Both kinds meet in the rarest elements that can be shared, each in its own space (``far``: 1 or 0).
     """
-    active = (spokes.groupBy("b").agg(F.max((~F.col("linked")).cast("int")).alias("any"),
+    active = (spokes.groupBy("b").agg(F.max(F.expr("if(linked, component, null)")).alias("core"),
                                       (F.min("component") != F.max("component")).alias("several"))
-              .where("any = 1 and several").select("b"))
+              .where("several").select("b", "core"))
     deviation = F.expr("n_a + n_b - 2 * shared")
-    members = spokes.join(active, "b", "left_semi").select(
+    members = spokes.join(active, "b").select(
         "b", "a", "component", F.col("n_a").alias("n"), F.col("shared").alias("s"),
-        F.expr("5 * shared < 4 * n_a").alias("is_far"), (~F.col("linked")).alias("loose"), "outside", "missing",
+        F.expr("5 * shared < 4 * n_a").alias("is_far"), F.expr("core is null or component != core").alias("apart"), "outside", "missing",
         (9 * deviation - F.col("n_a")).alias("need"), (9 * deviation - F.col("n_a") - F.col("n_b")).alias("excess"), "n_b")
     one = materialize(members, "members")
     narrow = [c for c in one.columns if c not in ("outside", "missing")]
@@ -493,14 +495,15 @@ def _within_stars(spokes: DataFrame, cell: int = _CELL) -> DataFrame:
                    F.expr("greatest(1L, (4 * n + 4) div 5 - s)").alias("ask"),
                    F.expr("greatest(1L, (4 * n + 4) div 5 - s)").alias("give"))
         .unionByName(one.where("not is_far").select(
-            *narrow, F.lit(0).alias("far"), F.col("loose").alias("probes"), F.concat("outside", "missing").alias("elements"),
+            *narrow, F.lit(0).alias("far"), F.col("apart").alias("probes"), F.concat("outside", "missing").alias("elements"),
             F.expr("(excess + 9) div 10").alias("ask"), F.expr("(1 + need + n_b + 17) div 18").alias("give"))), "spaces")
     star = ["b", "far"]
-    elements = spaces.select(*star, "a", F.col("probes").cast("int").alias("probes"), F.explode("elements").alias("e"))
-    # an element that one member or no probing one has is shared by none: rarer than all others, and never joined
-    live = (elements.groupBy(*star, "e").agg(F.count("*").alias("held"), F.sum("probes").alias("probed"))
-            .where("held > 1 and probed > 0"))
-    ranked = (elements.join(live, [*star, "e"]).groupBy(*star, "a")
+    elements = spaces.select(*star, "a", "component", F.col("probes").cast("int").alias("probes"), F.explode("elements").alias("e"))
+    # an element that no probing member or one component alone has joins nothing: rarer than all others, and left out
+    live = (elements.groupBy(*star, "e").agg(F.count("*").alias("held"), F.sum("probes").alias("probed"),
+                                             (F.min("component") != F.max("component")).alias("several"))
+            .where("several and probed > 0").drop("several"))
+    ranked = (elements.drop("component", "probes").join(live, [*star, "e"]).groupBy(*star, "a")
               .agg(F.sort_array(F.collect_list(F.struct("held", "e", "probed"))).alias("live")))
     found = spaces.drop("elements").join(ranked, [*star, "a"])
 
