@@ -301,6 +301,36 @@ def test_bounds_within_a_star(spark):
         assert want and want <= found
 
 
+def test_stars_of_one_family_move_to_one_centre(spark):
+    rng = random.Random(5)
+    sets = {}
+    for family in range(4):
+        base = [rng.randrange(1 << 60) for _ in range(60)]
+        for k in range(15):
+            some = set(base) - set(rng.sample(base, rng.randrange(12))) | {rng.randrange(1 << 60) for _ in range(rng.randrange(8))}
+            sets[family * 15 + k] = some
+    links = {(a, b) for a in sets for b in sets if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])}
+    stars = {}
+    for _ in range(25):
+        family = rng.randrange(4)
+        some = rng.sample(range(family * 15, family * 15 + 15), 9) + rng.sample(sorted(sets), 2)
+        stars.setdefault(some[0], set()).update(set(some[1:]) - {some[0]})
+    stored = spark.createDataFrame([(n, np.array(sorted(e), np.uint64).tobytes()) for n, e in sets.items()],
+                                   "node long, elements binary")
+    rows = [(a, b) for b, members in stars.items() for a in members]
+    got = {}
+    for a, b in jaccard_join._fewer_stars(spark.createDataFrame(rows, "a long, b long"), stored).collect():
+        assert a != b and a not in got.setdefault(b, set())
+        got[b].add(a)
+    together = [members | {b} for b, members in got.items()]
+    for b, members in stars.items():
+        assert any(members | {b} <= some for some in together)
+        home = min((c for c in stars if c < b and b in stars[c] and (b, c) in links), default=b)
+        assert members | {b} <= got[home] | {home}
+    assert len(got) < len(stars) and sum(map(len, got.values())) < len(rows)
+    assert not jaccard_join._fewer_stars(spark.createDataFrame([], "a long, b long"), stored).collect()
+
+
 def test_keep_first_decides_by_id_and_text(spark, tmp_dir):
     a, b, c = words(60, 1), words(60, 2), words(60, 3)
     rows = [(1, a), (1, b), (2, a), (3, b + " tail"), (4, c), (4, c), (5, None), (5, ""), (None, a), (6, " ")]

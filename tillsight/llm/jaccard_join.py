@@ -533,6 +533,22 @@ def _within_stars(spokes: DataFrame, cell: int = _CELL) -> DataFrame:
             .select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct())
 
 
+def _fewer_stars(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """The stars ``(member a, centre b)``, those of one family around one centre.
+
+    A family of near copies has a group, and so a star, for each signature that many of it share, mostly of the same
+    members.  A centre that is a member of stars with smaller centres moves, with its members, to the smallest one
+    that it links with.  Whoever was in one star still is: with the old centre as a member, and the pairs with the
+    new centre are verified like any spoke.  One step only, so that a centre remains close to its members.
+    """
+    centres = stars.select(F.col("b").alias("a")).distinct()
+    smaller = stars.where("b < a").join(centres, "a", "left_semi")
+    homes = materialize(_verified(smaller, sets, deviations=False).where("linked")
+                        .groupBy("a").agg(F.min("b").alias("home")), "homes")
+    moved = stars.join(homes.withColumnRenamed("a", "b"), "b", "left").select("a", F.coalesce("home", "b").alias("b"))
+    return materialize(moved.unionByName(homes.withColumnRenamed("home", "b")).where("a != b").distinct(), "stars")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` for every row."""
     n_buckets = max(1, shuffle_partitions(docs.sparkSession))
@@ -580,7 +596,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
 
     sets = materialize(rows.join(wanted, ["doc_id", "digest"], "left_semi").dropDuplicates(["doc_id", "digest"])
                        .select("doc_id", "text").mapInArrow(elements, "node long, elements binary"), "elements")
-    around = materialize(_verified(stars, sets, deviations=True), "stars")
+    around = materialize(_verified(_fewer_stars(stars, sets), sets, deviations=True), "around")
     links = materialize(_verified(pairs, sets, deviations=False).unionByName(around).where("linked").select("a", "b"),
                         "links")
     known = connected_components(links)
