@@ -261,6 +261,56 @@ def test_csv_records_keep_quoted_breaks(spark, tmp_dir):
     assert [r.name for r in archives.parse_csv(latin, "id INT, name STRING").collect()] == ["été"]
 
 
+def _listed(records):
+    return sorted((r.archive, r.entry, r.record_no, r.fields) for r in records.collect())
+
+
+def test_members_are_read_by_tasks_of_their_own(spark, tmp_dir):
+    with zipfile.ZipFile(os.path.join(tmp_dir, "kw large one.zip"), "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr("sub/", "")
+        for k in range(50):
+            body = "".join(f"{i};{k} x{i % 7}\n" for i in range(k * 40))
+            z.writestr(f"sub/m{k:02d}.csv", 'id;name\n1;"two\nlines"\n\n' + body)
+    files = archives.list_drop_files(spark, tmp_dir, "kw", dt.date.today())
+    records = archives.unzip_members(files, sep=";")
+    assert records.schema == archives.unzip_records(files).schema
+    assert records.rdd.getNumPartitions() == 50
+    got = _listed(records)
+    assert got == _listed(archives.unzip_records(files, sep=";")) and len(got) == 50 * 2 + 40 * sum(range(50))
+    assert [len(set(r.entry for r in part)) for part in records.rdd.glom().collect()] == [1] * 50
+    few = archives.unzip_members(files, sep=";", task_bytes=1 << 16)
+    assert 2 <= few.rdd.getNumPartitions() < 20 and _listed(few) == got
+    assert archives.parse_csv(records, "id INT, name STRING").where("name = 'two\\nlines'").count() == 50
+
+
+def test_member_source_edges(spark, tmp_dir):
+    """Empty archives and members, members of one name, byte order marks, other encodings, chunks, no files, no zip."""
+    with zipfile.ZipFile(os.path.join(tmp_dir, "kw_empty.zip"), "w"):
+        pass
+    files = archives.list_drop_files(spark, tmp_dir, "kw", dt.date.today())
+    assert _listed(archives.unzip_members(files)) == []
+    with zipfile.ZipFile(os.path.join(tmp_dir, "kw_a.zip"), "w") as z:
+        z.writestr("none.csv", "")
+        z.writestr("bom.csv", "\ufeffid,name\n1,x\n")
+        z.writestr("long.csv", "".join(f"{i},{'y' * 900}\n" for i in range(2 * archives.CHUNK_RECORDS + 1)))
+        z.writestr("same.csv", "1\n")
+        with pytest.warns(UserWarning, match="Duplicate name"):
+            z.writestr("same.csv", "2\n")
+    files = archives.list_drop_files(spark, tmp_dir, "kw", dt.date.today())
+    got = _listed(archives.unzip_members(files))
+    assert got == _listed(archives.unzip_records(files))
+    assert [r[3] for r in got if r[1] == "same.csv"] == [["1"], ["2"]] and [r[3] for r in got if r[1] == "bom.csv"][0] == ["id", "name"]
+    assert _listed(archives.unzip_members(files.where("false"))) == []
+    with zipfile.ZipFile(os.path.join(tmp_dir, "latin.zip"), "w") as z:
+        z.writestr("l.csv", "été\n".encode("latin-1"))
+    latin = archives.list_drop_files(spark, tmp_dir, "latin", dt.date.today())
+    assert [r[3] for r in _listed(archives.unzip_members(latin, encoding="latin-1"))] == [["été"]]
+    with open(os.path.join(tmp_dir, "broken.zip"), "w") as f:
+        f.write("no archive")
+    with pytest.raises(Exception, match="not a zip file"):
+        archives.unzip_members(archives.list_drop_files(spark, tmp_dir, "broken", dt.date.today())).collect()
+
+
 def test_unlisted_reaction_key_fails(spark):
     with pytest.raises(Exception, match="reaction_keys lacks like"):
         posts.export_posts(_pages(spark), "facebook", reaction_keys=["love"]).collect()
