@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillsight.functions.columns import col, join_nullsafe, where
-from tillsight.plans.ordered import checkpointed, ordered_scan, with_tiles
+from tillsight.plans.ordered import checkpointed, dealt, ordered_scan, with_tiles
 
 # fixed value: placeholder product excluded by the original macros
 UNASSIGNED = "Unassigned"
@@ -230,7 +230,8 @@ def get_multi_brands_loyalty(df: DataFrame, *, customer_id, date, order_id, bran
         F.sum("revenue").alias("brand_revenue"), F.sum("quantity").alias("brand_quantity"),
         F.countDistinct("order_id").alias("brand_orders"))
 
-    dcb = grain.where(F.col("customer_id").isNotNull()).select("customer_id", "brand", "date").distinct()
+    dcb = dealt(grain.where(F.col("customer_id").isNotNull()).select("customer_id", "brand", "date").distinct(),
+                "customer_id")
 
     # One window pass over probes (one per customer and brand, at first-brand-day +
     # min_days) and purchases, in descending time with purchases before probes

@@ -35,7 +35,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.session import ensure_checkpoint_dir
+from tillsight.session import ensure_checkpoint_dir, shuffle_partitions
 
 BUCKET = "_scan_bucket"
 _SEG = "_scan_seg"
@@ -62,6 +62,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash ``df`` by ``keys`` into ``spark.sql.shuffle.partitions`` partitions.
+
+    AQE merges the partitions of its own shuffles into about one per core, so a
+    task that sorts or groups them holds a share of the table that no number of
+    partitions makes smaller.  A count that is asked for stays.
+    """
+    return df.repartition(shuffle_partitions(df.sparkSession), *keys)
+
+
 def _sort_cols(order_by) -> tuple[list[Column], bool]:
     """``name`` / ``(name, ascending)`` -> sort columns (BigQuery and Spark
     null placement: first when ascending, last when descending)."""

@@ -9,7 +9,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillsight.plans.ordered import checkpointed
+from tillsight.plans.ordered import checkpointed, dealt
 
 # fixed reference dates of the fixtures
 ORDERS_AS_OF = dt.date(2001, 8, 2)
@@ -33,10 +33,12 @@ def sales_lines(spark: SparkSession, sf_dir: str, with_part: bool = True) -> Dat
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
                                                  "l_returnflag", "l_linestatus")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     if with_part:
         p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
-        j = j.join(p, li["l_partkey"] == p["p_partkey"])
+        li = li.join(p, li["l_partkey"] == p["p_partkey"])
+    # grouping by order and more needs no further shuffle
+    li, o = dealt(li, "l_orderkey"), dealt(o, "o_orderkey")
+    j = li.join(o, li["l_orderkey"] == o["o_orderkey"])
     money = "decimal(18,2)"
     part_cols = [F.col("p_brand").alias("brand"), F.col("p_retailprice").cast(money).alias("unit_price")] \
         if with_part else []
