@@ -105,3 +105,18 @@ def test_repurchase_with_a_hot_guest(spark):
     # customer 0 bought twice; the guests are one customer group with 20 orders
     assert (p.orders, p.customers, p.purchased_once, p.repurchases) == (41, 20, 19, 22)
     assert (p.purchased_individually, p.avg_unit_price) == (40, 2.0)
+
+
+def test_repurchase_counts_orders_without_a_quantity_of_a_pair_that_bought_once(spark):
+    rows = [("p", 1, 7, 1), ("p", 2, 7, 0), ("p", 3, 7, None),  # bought once, in three orders
+            ("p", 4, None, 1), ("p", 5, None, 0), ("p", None, None, 1),  # guests: once, an order more, no order
+            ("p", 6, 8, 1), ("p", 7, 8, 1), ("p", 8, 8, 0),  # bought twice
+            ("p", 9, 9, 0),  # never
+            ("p", 2, 10, 1), ("q", 2, 10, 1)]  # an order of two customers
+    df = spark.createDataFrame(rows, "product string, order_id long, customer_id long, quantity int").withColumn(
+        "price", F.lit(1.0))
+    got = {r.product: r for r in P.get_repurchase_rates(
+        df, product="product", order_id="order_id", quantity="quantity", customer_id="customer_id",
+        line_price="price", unit_price="price").collect()}
+    assert (got["p"].orders, got["p"].customers, got["p"].purchased_once) == (9, 4, 5)
+    assert (got["q"].orders, got["q"].customers, got["q"].purchased_once) == (1, 1, 1)

@@ -120,9 +120,9 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
 
     The original's distinct-count windows become aggregations over the
     ``(product, order, customer)`` grain.  How often a (product, customer) pair
-    bought is an aggregate joined back null-safe, a sort-merge join whose hot pairs
-    (all guest purchases of a popular product, say) AQE can split; no window
-    gathers a product, an order or a customer.
+    bought is an aggregate, and so is the order of a pair that bought once; only
+    rows without a bought quantity meet the pairs in a null-safe join, a sort-merge join whose
+    hot pairs AQE can split.  No window gathers a product, an order or a customer.
 
     The unit price is a column of the lines, or ``unit_prices`` gives it per product
     (``product``, ``unit_price``): it is then joined to the report, not to the lines.
@@ -141,19 +141,23 @@ def get_repurchase_rates(df: DataFrame, *, product, order_id, quantity, customer
         F.sum("quantity").alias("_sq"), F.max(F.col("quantity") > 0).alias("_pos")))
     # orders holding a single product, counted per that product: aggregations
     # only (map-side combined), so a hot order never meets a join
-    individually = (grain.where(F.col("order_id").isNotNull()).groupBy("order_id")
+    individually = (dealt(grain.where(F.col("order_id").isNotNull()), "order_id", "product").groupBy("order_id")
                     .agg(F.countDistinct("product").alias("_n"), F.min("product").alias("product"))
                     .where(F.col("_n") == 1)
                     .groupBy("product").agg(F.count(F.lit(1)).alias("purchased_individually")))
-    pairs = grain.groupBy("product", "customer_id").agg(
-        F.count(F.when(F.col("_pos"), F.col("order_id"))).alias("_times"))
+    bought = F.when(F.col("_pos"), F.col("order_id"))
+    pairs = checkpointed(grain.groupBy("product", "customer_id").agg(
+        F.count(bought).alias("_times"), F.min(bought).alias("order_id"), F.count("order_id").alias("_orders")))
     customers = pairs.groupBy("product").agg(F.count("customer_id").alias("customers"))
-    once = (join_nullsafe(grain.where(F.col("order_id").isNotNull()).select("product", "customer_id", "order_id"),
-                          pairs.where(F.col("_times") == 1).select("product", "customer_id"),
-                          ["product", "customer_id"], "left_semi")
-            .select("product", "order_id").distinct()
+    # the order of a pair that bought once is in its aggregate; only its orders without a quantity are looked up
+    single = pairs.where(F.col("_times") == 1)
+    unbought = grain.where(F.col("order_id").isNotNull() & ~F.coalesce("_pos", F.lit(False)))
+    more = join_nullsafe(unbought.select("product", "customer_id", "order_id"),
+                         single.where(F.col("_orders") > 1).select("product", "customer_id"),
+                         ["product", "customer_id"], "left_semi")
+    once = (single.select("product", "order_id").union(more.select("product", "order_id")).distinct()
             .groupBy("product").agg(F.count(F.lit(1)).alias("purchased_once")))
-    sku = (grain.groupBy("product", "order_id").agg(
+    sku = (dealt(grain, "product", "order_id").groupBy("product", "order_id").agg(
         *[F.sum(c).alias(c) for c in ("_lines", "_sl", "_cl", "_su", "_cu", "_sq")])
         .groupBy("product").agg(*[F.sum(c).alias(c) for c in ("_lines", "_sl", "_cl", "_su", "_cu")],
                                 F.sum("_sq").alias("items"), F.count("order_id").alias("orders")))
