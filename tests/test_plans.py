@@ -1,5 +1,7 @@
 """Plan shape: the properties that must hold at scale."""
 
+import re
+
 import pytest
 
 from tests.conftest import SF_SMALL
@@ -56,6 +58,21 @@ def test_no_cartesian_or_nested_loop_joins_or_python(spark, stages, name):
         assert "Aggregate" in plan or "ExistingRDD" in plan or "rangepartitioning" in plan
 
 
+# shuffles of whole lines or grains keep the number of partitions that was asked for
+DEALT = {"get_multi_brands_loyalty": ["l_orderkey", "customer_id"],
+         "get_multi_brands_loyalty_returns": ["l_orderkey", "customer_id"],
+         "get_repurchase_rates": ["l_orderkey", "product#\\d+L?, order_id", "order_id#\\d+L?, product"],
+         "basket_product_analytics": ["l_orderkey", "order_id#\\d+L?, _ca#\\d+, _cb"],
+         "basket_brand_analytics": ["l_orderkey", "order_id#\\d+L?, _ca#\\d+, _cb"]}
+
+
+@pytest.mark.parametrize("name", sorted(DEALT))
+def test_large_shuffles_are_not_merged_into_a_task_per_core(spark, stages, name):
+    plans = "\n".join([_plan(queries()[name](spark, SF_SMALL)), *stages])
+    for keys in DEALT[name]:
+        assert re.search(rf"hashpartitioning\({keys}#\d+L?, 8\), REPARTITION_BY_NUM", plans), keys
+
+
 def test_replaced_window_reads_the_existing_rows_twice(spark):
     plan = _plan(queries()["replace_profile_window"](spark, SF_SMALL))
     plan = plan[:plan.find("Initial Plan")] if "Initial Plan" in plan else plan

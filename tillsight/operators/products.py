@@ -89,7 +89,8 @@ def basket_product_analytics(df: DataFrame, *, product, order_id, unassigned: st
                      span.alias("_cb"))
     b = cells.select("order_id", F.col("product_item").alias("p2"), F.col("_n").alias("_n2"), span.alias("_ca"),
                      own.alias("_cb"))
-    half = (a.join(b, ["order_id", "_ca", "_cb"]).where(F.col("p1") < F.col("p2"))
+    cell = ["order_id", "_ca", "_cb"]
+    half = (dealt(a, *cell).join(dealt(b, *cell), cell).where(F.col("p1") < F.col("p2"))
             .groupBy("p1", "p2").agg(F.count(F.lit(1)).alias("associated_orders"), F.max("_n1").alias("_n1"),
                                      F.max("_n2").alias("_n2")))
     # each unordered pair gives two rows
