@@ -11,6 +11,7 @@ import __spark_entry__ as E
 import corpus_pipeline
 from tests.llm.helpers import SF, components
 from tillsight.llm import decontaminate, pii, registry, toxicity
+from tillsight.llm.common import slices, worker_state
 from tillsight.llm.tokens import BatchEncoder, tokenizer_path
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -60,3 +61,15 @@ def test_entry_works_without_the_package():
             "import __spark_entry__ as e\nassert 'get_customers' in e.queries() and 'pipeline' not in e.queries()\n"
             "assert not any(k.startswith('op') for k in e.queries())")
     subprocess.run([sys.executable, "-c", code], check=True, cwd=ROOT, env=os.environ | {"PYTHONPATH": ROOT})
+
+
+def test_a_worker_keeps_nothing_of_another_stage(spark):
+    def remember(batches):
+        list(slices(batches))
+        store = worker_state()
+        store["tasks"] = store.get("tasks", 0) + 1
+        yield pa.RecordBatch.from_arrays([pa.array([store["tasks"]], pa.int64())], ["tasks"])
+
+    one = spark.createDataFrame([("a",)], "text string").coalesce(1)
+    for _ in range(5):  # one job after the other, so a worker is used again
+        assert [r.tasks for r in one.mapInArrow(remember, "tasks long").collect()] == [1]

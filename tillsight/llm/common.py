@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,13 +37,33 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def worker_state() -> dict:
-    """A dict that lives as long as the Python worker process, across tasks."""
-    return sys.modules.setdefault("_tillsight_llm_worker", types.ModuleType("_tillsight_llm_worker")).__dict__
+    """A dict that lives across the tasks of one stage in a Python worker process.
+
+    Workers serve one stage after the other; what a stage kept (a tokenizer and its
+    words, say) is dropped when the worker turns to another.
+    """
+    state = sys.modules.setdefault("_tillsight_llm_worker", types.ModuleType("_tillsight_llm_worker")).__dict__
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    kept = state.get("kept")
+    if kept is None or state.get("stage") != stage:
+        state["stage"], kept = stage, {}
+        state["kept"] = kept
+    return kept
+
+
+def give_back() -> None:
+    """Return the memory that this worker has freed to the system: it waits for its next task for as long as it lives."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc
+    if trim:
+        trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
            max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``max_bytes`` of text (or one row)."""
+    worker_state()
     for b in batches:
         if b.num_rows == 0:
             continue
@@ -53,6 +75,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text",
             hi = max(lo + 1, int(np.searchsorted(ends, base + max_bytes, side="right")))
             yield b.slice(lo, hi - lo)
             lo = hi
+    give_back()
 
 
 def binary_array(data: np.ndarray, bounds: np.ndarray) -> pa.Array:
