@@ -36,6 +36,23 @@ def test_encoder_equals_the_library(name):
     assert enc.encode(pa.array([], pa.string()))[1].tolist() == [0]
 
 
+def test_words_are_stored_by_pre_token():
+    stems = ["bleon", "Er\u00e9ant", "hand", "Wher", "x1y", "\u00dfkeit", "23"]
+    tails = ["", ".", "&&&", "$$$", ",%%%", "!!", ")", '"']
+    texts = [" ".join(f"{a}{t}\n{b}{u}" for b in stems for u in tails) for a in stems for t in tails]
+    texts += [f"({a}-{b}/{t or '_'}" for a in stems for b in stems for t in tails]
+    enc = tokens.BatchEncoder(tokens.tokenizer_path(BPE))
+    ids, bounds = enc.encode(pa.array(texts))
+    for i, want in enumerate(ids_of(texts, end=False)):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == want.tolist()
+    assert enc.count < 60  # of about 3,500 distinct words
+    # no cut where a line end or an apostrophe joins its neighbours
+    texts = ["a\n\nb c", "a \nb c", "a\n b", "a.\n", "\na.", "a'snd b's 's", "a.\r\nb", "a\n\u00a0b", "a.\u0301b", "\u00b2a \u00aa1"]
+    ids, bounds = enc.encode(pa.array(texts))
+    for i, want in enumerate(ids_of(texts, end=False)):
+        assert ids[bounds[i]:bounds[i + 1]].tolist() == want.tolist()
+
+
 def test_token_files_round_trip(spark):
     rows = edge_rows()
     path = scratch_path(spark, "test-tokens")

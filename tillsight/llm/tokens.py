@@ -4,9 +4,10 @@ Natural text repeats its words, and BPE never merges across a pre-token
 boundary.  A space whose two neighbours are not both white space always
 starts a pre-token in the byte-level pattern, so a text can be cut there and
 each distinct piece encoded once; the pieces' ids concatenated are exactly the
-ids of the whole text.  Texts where the rule does not hold (a space between
-two white-space characters, a special token's string) are encoded whole, and a
-tokenizer with another pre-tokenizer encodes every text whole.
+ids of the whole text.  Pieces of plain characters are cut further, into
+their pre-tokens: runs of letters, of digits, of punctuation, and single line ends.  Texts where the
+rule does not hold (a space between two white-space characters, a special token's string)
+are encoded whole, and a tokenizer with another pre-tokenizer encodes every text whole.
 """
 
 from __future__ import annotations
@@ -23,8 +24,14 @@ from tillsight.llm.shingles import mix, text_bytes
 
 #: Unicode white space (and the four separators that only some engines count).
 WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-#: letters that are letters to every engine, and a tail that never joins them
-PLAIN_WORD = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+[.,]*$"
+#: characters of one class to every engine: letters, digits, punctuation but the apostrophe (which may open a contraction)
+_PLAIN = r"[A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}0-9!-&(-/:-@\[-`{-~]"
+#: a word whose pre-tokens are its runs of one class; a line end between two such characters stands alone
+PLAIN_WORD = f"^{_PLAIN}+(?:\n{_PLAIN}+)*$"
+_CLASS = np.full(256, 2, dtype=np.uint8)  # of each UTF-8 byte of a plain word: punctuation
+_CLASS[[*range(0x30, 0x3A)]] = 1
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = 0
+_CLASS[0x0A] = _LINE_END = 3
 #: distinct pieces kept per worker process (about 60 bytes each) before the store starts afresh
 MAX_WORDS = 1_500_000
 _RNG = np.random.default_rng(97)
@@ -49,11 +56,14 @@ class BatchEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.max_words = max_words
+        line_end = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end[0] if len(line_end) == 1 else None
         spec = json.loads(self.tokenizer.to_str())
         pre = spec.get("pre_tokenizer") or {}
         added = spec.get("added_tokens") or []
         self.by_word = (pre.get("type") == "ByteLevel" and pre.get("use_regex", True)
-                        and not pre.get("add_prefix_space") and not spec.get("normalizer"))
+                        and not pre.get("add_prefix_space") and not spec.get("normalizer")
+                        and self.line_end is not None and not any(c.isspace() for t in added for c in t["content"]))
         marks = [t for t in added if t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"])]
         self.separator = (marks[0]["content"], marks[0]["id"]) if marks else None
         unsafe = [f"{WHITE} {WHITE}"] + [_quote(t["content"]) for t in added]
@@ -70,25 +80,30 @@ class BatchEncoder:
         self.used = 0
         self.starts = np.zeros(1 << 16, dtype=np.int64)
         self.sizes = np.zeros(1 << 16, dtype=np.int32)
-        self.count = 1  # slot 0: no ids
+        self.count = 2  # slot 0: no ids, slot 1: a line end
+        if self.line_end is not None:
+            self.pool[0], self.sizes[1], self.used = self.line_end, 1, 1
 
     def _encode_pieces(self, pieces: list[str], words: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces and the number of ids of each; ``words``: letters after a space."""
+        """Ids of all pieces and the number of ids of each; ``words``: single pre-tokens, all after a space or none."""
         ids, sizes = [], []
-        for lo in range(0, len(pieces), 4000):
-            some = pieces[lo:lo + 4000]
-            if self.separator:
-                mark, mark_id = self.separator
-                # a space opens a pre-token of letters, so words need no separator between them
-                text = "".join(some) if words else mark.join(some)
+        for lo in range(0, len(pieces), 1000):
+            some = pieces[lo:lo + 1000]
+            if words:
+                # a space opens a pre-token, and a line end between two is one of its own
+                spaced = some[0].startswith(" ")
+                text = "".join(some) if spaced else "\n" + "\n".join(some)
                 got = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
-                if words:
-                    sizes.append(np.diff(np.flatnonzero(self.spaced[got]), append=len(got)))
-                else:
-                    cuts = np.flatnonzero(got == mark_id)
-                    sizes.append(np.diff(cuts, prepend=-1, append=len(got)) - 1)
-                    got = got[got != mark_id]
-                ids.append(got)
+                opens = self.spaced[got] if spaced else got == self.line_end
+                sizes.append(np.diff(np.flatnonzero(opens), append=len(got)) - (not spaced))
+                ids.append(got if spaced else got[~opens])
+            elif self.separator:
+                mark, mark_id = self.separator
+                got = np.array(self.tokenizer.encode_batch_fast([mark.join(some)], add_special_tokens=False)[0].ids,
+                               np.uint32)
+                cuts = np.flatnonzero(got == mark_id)
+                sizes.append(np.diff(cuts, prepend=-1, append=len(got)) - 1)
+                ids.append(got[got != mark_id])
             else:
                 found = self.whole(some)
                 ids += found
@@ -134,27 +149,22 @@ class BatchEncoder:
         return slots[coded.indices.to_numpy(zero_copy_only=False)]
 
     def _words(self, words: pa.Array, lead: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of ``lead + word`` for each word, and their bounds.
-
-        Latin letters and a tail of ``.,`` are pre-tokens of their own, stored once each.
-        """
+        """Ids of ``lead + word`` for each word, and their bounds; plain words are stored by pre-token."""
         plain = np.asarray(pc.match_substring_regex(words, PLAIN_WORD))
-        slots = np.zeros((len(words), 2), dtype=np.int64)
-        at = np.flatnonzero(plain)
-        if len(at):
-            some = words.take(pa.array(at))
-            base = pc.utf8_rtrim(some, ".,")
-            slots[at, 0] = self._slots_of(base, lead, words=bool(lead))
-            cut = np.flatnonzero(np.asarray(pc.binary_length(base)) < np.asarray(pc.binary_length(some)))
-            if len(cut):
-                tail = pc.utf8_ltrim(pc.replace_substring_regex(some.take(pa.array(cut)), "^[^.,]+", ""), " ")
-                slots[at[cut], 1] = self._slots_of(tail, "", words=False)
-        at = np.flatnonzero(~plain)
-        if len(at):
-            slots[at, 0] = self._slots_of(words.take(pa.array(at)), lead, words=False)
-        slots = slots.ravel()
+        counts = np.ones(len(words), dtype=np.int64)
+        runs, first, line_end = _runs(words.take(pa.array(np.flatnonzero(plain))))
+        counts[plain] = np.diff(np.flatnonzero(first), append=len(runs))
+        of_runs = np.ones(len(runs), dtype=np.int64)  # slot 1: a line end
+        for at, before in ((first, lead), (~first & ~line_end, "")):
+            if at.any():
+                of_runs[at] = self._slots_of(runs.take(pa.array(np.flatnonzero(at))), before, words=True)
+        in_plain = np.repeat(plain, counts)
+        slots = np.empty(len(in_plain), dtype=np.int64)
+        slots[in_plain] = of_runs
+        if not plain.all():
+            slots[~in_plain] = self._slots_of(words.take(pa.array(np.flatnonzero(~plain))), lead, words=False)
         ids, ends = self._gather(self.pool, self.starts[slots], self.sizes[slots])
-        return ids, np.concatenate(([0], ends[1::2]))
+        return ids, np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
 
     @staticmethod
     def _gather(pool: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -224,6 +234,19 @@ def _digests(texts: pa.Array, salt: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+def _runs(words: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The runs of one class in plain words, which of them open a word and which are line ends."""
+    data, bounds = text_bytes(words)
+    kind = _CLASS[data]
+    opens = np.zeros(len(data), dtype=bool)
+    opens[bounds[:-1]] = True
+    begin = np.flatnonzero(opens | (np.diff(kind, prepend=_LINE_END) != 0))
+    offsets = np.append(begin, len(data)).astype(np.int64)
+    runs = pa.Array.from_buffers(pa.large_string(), len(begin),
+                                 [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+    return runs, opens[begin], kind[begin] == _LINE_END
+
+
 def _quote(text: str) -> str:
     return "".join(c if c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text)
 
