@@ -98,6 +98,36 @@ def test_a_full_bit_table_loses_nothing(spark, monkeypatch):
     assert mined(docs, min_count=4) == literal(rows, 4)
 
 
+def test_equal_hashes_of_other_words(spark, monkeypatch):
+    """Were all phrases to share one hash, their words would still be counted apart."""
+    rows = corpus(11)
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    monkeypatch.setattr(collocations._Hashed, "phrases", lambda self, at, n: np.full(len(at), 7, dtype=np.uint64))
+    assert mined(docs, min_count=4) == literal(rows, 4)
+
+
+def test_counting_does_not_move_a_row_for_each_phrase(spark, monkeypatch):
+    """Hashes and phrases travel as arrays, one row per bucket: no aggregate sees one row for each of them."""
+    plans = {}
+    whole = collocations.materialize
+    monkeypatch.setattr(collocations, "materialize", lambda df, name: plans.setdefault(name, []).append(df) or whole(df, name))
+    rows = corpus(5)
+    assert mined(spark.createDataFrame(rows, "text string, lang string"), min_count=3) == literal(rows, 3)
+    counts = [df._jdf.queryExecution().executedPlan().toString() for name in ("phrase-hashes", "phrases") for df in plans[name]]
+    assert len(counts) == 4
+    assert not any("Aggregate" in plan for plan in counts)
+
+
+def test_words_end_where_the_text_says(spark):
+    """Only spaces and tabs part words, only .,;:!? and line ends part pieces; texts do not run together."""
+    odd = ["a\x1c b\x1f c", "a\x85 b\u00a0 c\u2003", "x", "y", " x", "y ", "", "x\ty\x0bx\x0cy", "\u00c9t\u00c9 A\u0130 \ufeff.", "x.y", "x .", ". y"]
+    odd += ["".join(["averyveryverylongword", end]) + " " + "z" * n for n in (1, 7, 8, 9, 16, 17) for end in ("", "1", "2")]
+    rows = [(t, "en") for t in odd * 3] + [(" ".join(odd), "de")] * 2
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    for period in (1, 3):
+        assert mined(docs, min_count=2, period=period) == literal(rows, 2)
+
+
 def test_rounds_of_ranking(spark):
     rows = [("en" if i % 3 else "de", f"p{i}", i % 7, i % 5) for i in range(2000)]
     df = spark.createDataFrame(rows, "lang string, phrase string, score long, a long")

@@ -30,6 +30,7 @@ read, nor are other columns.  Ties in score and count go by the phrase's UTF-8 b
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +39,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import materialize, slices
+from tillsight.llm.common import binary_array, give_back, materialize, slices, worker_state
 from tillsight.llm.shingles import mix, text_bytes
+from tillsight.session import shuffle_partitions
 
 MAX_WORDS = 5
 MIN_COUNT = 100
@@ -52,7 +54,10 @@ LONGEST = 512
 FILTER_BITS = 1 << 26
 #: rows that one task may rank at the end
 RANKED = 200_000
+#: hashes that a task holds before it deals them out, and of the dictionary's words for each bucket
+HELD = 1 << 21
 _CHUNK = "lang string, own int, words string"
+_HASHES = "bucket int, size int, hashes binary, counts binary"
 _RNG = np.random.default_rng(1301)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -74,38 +79,58 @@ def _hashes(data: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray
     return mix(np.add.reduceat(_BYTE[data] * powers[place], first) + size.astype(np.uint64))
 
 
+def _marks(text: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of each word's length, first 8 and last 8 bytes: enough to say where to cut."""
+    eights = np.ndarray(len(text), dtype="<u8", buffer=np.append(text, np.zeros(8, np.uint8)), strides=(1,))
+    some = np.minimum(size, 8)
+    drop = (64 - 8 * some).astype(np.uint64)
+    head, tail = eights[first] << drop, eights[first + size - some] << drop
+    return mix(mix(head) + tail * _BASE + size.astype(np.uint64))
+
+
 def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = MAX_WORDS,
           period: int = PERIOD) -> DataFrame:
-    """The dictionary ``(lang, own, words, freq)`` in the shared folder.
+    """The dictionary ``(lang, own, words, freq, hashes)`` in the shared folder.
 
-    ``words`` are a chunk's words with one space after each but the last; a word that ends its
-    piece carries a line end.  The first ``own`` words belong to the chunk, the rest is overlap.
+    ``words`` are a chunk's words with one byte between two: a line end where the piece ends, else a
+    space.  The first ``own`` words belong to the chunk, the rest is overlap.
+    ``hashes`` has 32 bits for each word, so that the passes that count by hash read no text.
     """
     overlap = max_words - 1
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, max_bytes=4 << 20):
+        for b in slices(batches, max_bytes=1 << 20):
             data, bounds = text_bytes(b.column(1))
             if not len(data):
                 continue
             kind = _KIND[data]
             inside = kind == 0
-            start = inside.copy()
+            start, last = inside.copy(), inside.copy()
             start[1:] &= ~inside[:-1]
-            edges = bounds[:-1][bounds[:-1] < len(data)]
-            start[edges] |= inside[edges]
+            last[:-1] &= ~inside[1:]
+            inner = bounds[(bounds > 0) & (bounds < len(data))]  # no word goes from one text to the next
+            start[inner] |= inside[inner]
+            last[inner - 1] |= inside[inner - 1]
             begin = np.flatnonzero(start)
             if not len(begin):
                 continue
-            letters = _LOWER[data[inside]]
-            first = np.cumsum(inside)[begin] - 1
-            size = np.diff(first, append=len(letters))
-            hashes = _hashes(letters, first, size)
+            end = np.flatnonzero(last) + 1
+            size = end - begin
             doc = np.searchsorted(bounds, begin, side="right") - 1
-            breaks = np.cumsum(kind == 2)[begin]  # piece ends before each word
             new_doc = np.diff(doc, prepend=-1) != 0
-            new_piece = new_doc | (np.diff(breaks, prepend=-1) != 0)
+            new_piece = np.append(new_doc, False)
+            new_piece[np.searchsorted(begin, np.flatnonzero(kind == 2))] = True  # the word after each piece end
+            new_piece = new_piece[:-1]
             ends = np.append(new_piece[1:], True)  # the word ends its piece
+            # the words' letters, after each word the byte that follows it
+            spaced = end < len(data)
+            spaced[spaced] = ~inside[end[spaced]]
+            kept = inside
+            kept[end[spaced]] = True
+            text = _LOWER[data[kept]]
+            offset = np.concatenate(([0], np.cumsum(size + spaced)))
+            text[(offset[:-1] + size)[spaced]] = np.where(ends[spaced], np.uint8(0x0A), np.uint8(0x20))
+            hashes = _marks(text, offset[:-1], size)
             cut = new_doc.copy()
             cut[1:] |= mix(hashes[:-1] * _STEP + hashes[1:]) % np.uint64(period) == 0
             at = np.flatnonzero(cut)
@@ -117,15 +142,10 @@ def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_w
                 gap = np.diff(at, append=len(begin))
             # words after the chunk, to the end of the piece of its last word
             stop = np.append(np.flatnonzero(new_piece), len(begin))
-            last = stop[np.searchsorted(stop, at + gap - 1, side="right")]
-            till = np.minimum(at + gap + overlap, np.maximum(last, at + gap))
-            # each word's letters, a line end at the end of a piece, and a space
-            width = size + ends + 1
-            offset = np.concatenate(([0], np.cumsum(width)))
-            text = np.full(offset[-1], 0x20, dtype=np.uint8)
-            text[np.arange(len(letters)) + np.repeat(offset[:-1] - first, size)] = letters
-            text[(offset[:-1] + size)[ends]] = 0x0A
-            lo, n = offset[at], offset[till] - 1 - offset[at]
+            until = stop[np.searchsorted(stop, at + gap - 1, side="right")]
+            till = np.minimum(at + gap + overlap, np.maximum(until, at + gap))
+            lo = offset[at]
+            n = offset[till - 1] + size[till - 1] - lo
             out = np.concatenate(([0], np.cumsum(n)))
             body = text[np.repeat(lo - out[:-1], n) + np.arange(out[-1])]
             words = pa.Array.from_buffers(pa.large_string(), len(at),
@@ -136,35 +156,37 @@ def parse(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_w
 
     rows = docs.select(F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"),
                        F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    return materialize(rows.mapInArrow(chunks, _CHUNK).groupBy("lang", "own", "words")
-                       .agg(F.count("*").alias("freq")), "phrase-dictionary")
+    counted = rows.mapInArrow(chunks, _CHUNK).groupBy("lang", "own", "words").agg(F.count("*").alias("freq"))
+    return materialize(counted.mapInArrow(_with_hashes, f"{_CHUNK}, freq long, hashes binary"), "phrase-dictionary")
+
+
+def _with_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in slices(batches, "words", 4 << 20):
+        w = _Words(b)
+        yield pa.RecordBatch.from_arrays([*b.columns, binary_array(w.hashes(), w.bounds)], [*b.schema.names, "hashes"])
 
 
 class _Words:
     """The words of a batch of dictionary rows, as codes into their distinct values."""
 
     def __init__(self, b: pa.RecordBatch):
-        lists = pc.split_pattern(b.column(2), " ")
-        offsets = np.asarray(lists.offsets).astype(np.int64)
-        offsets -= offsets[0]
-        coded = lists.flatten().dictionary_encode()
-        code = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        marked = np.asarray(pc.ends_with(coded.dictionary, "\n"))
-        plain = pc.utf8_rtrim(coded.dictionary, "\n").dictionary_encode()
+        data, bounds = text_bytes(b.column(b.schema.get_field_index("words")))
+        spaces = np.flatnonzero(_KIND[data])
+        # each word with the byte after it, if there is one
+        cuts = np.sort(np.concatenate((spaces + 1, bounds)))
+        coded = pa.Array.from_buffers(pa.large_string(), len(cuts) - 1,
+                                      [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)]).dictionary_encode()
+        plain = pc.ascii_rtrim_whitespace(coded.dictionary).cast(pa.string()).dictionary_encode()
         self.names = plain.dictionary
-        self.code = plain.indices.to_numpy(zero_copy_only=False).astype(np.int64)[code]
-        langs = b.column(0).dictionary_encode()
+        self.code = plain.indices.to_numpy(zero_copy_only=False)[coded.indices.to_numpy(zero_copy_only=False)]
+        langs = b.column(b.schema.get_field_index("lang")).dictionary_encode()
         self.langs = langs.dictionary
-        chunk = np.repeat(np.arange(b.num_rows), np.diff(offsets))
-        self.lang = langs.indices.to_numpy(zero_copy_only=False).astype(np.int64)[chunk]
-        own = b.column(1).to_numpy(zero_copy_only=False)
-        self.weight = b.column(3).to_numpy(zero_copy_only=False)[chunk]
-        self.starts = np.arange(len(chunk)) - offsets[:-1][chunk] < own[chunk]
-        self.linked = np.zeros(len(chunk), dtype=bool)  # the next word follows in the same piece
-        self.linked[:-1] = (chunk[1:] == chunk[:-1]) & ~marked[code[:-1]]
+        self.bounds = np.searchsorted(cuts, bounds)
+        self.lang = np.repeat(langs.indices.to_numpy(zero_copy_only=False), np.diff(self.bounds))
+        self.linked = data[cuts[1:] - 1] == 0x20  # the next word follows in the same piece
 
     def hashes(self) -> np.ndarray:
-        """One hash for each word in its language."""
+        """For each word 31 bits of its hash in its language, above the bit that says whether it is linked."""
         def of(names: pa.Array) -> np.ndarray:
             data, bounds = text_bytes(names)
             size = np.diff(bounds)
@@ -172,13 +194,36 @@ class _Words:
             some = size > 0
             out[some] = _hashes(data, bounds[:-1][some], size[some])
             return out
-        return mix(of(self.names)[self.code] + mix(of(self.langs))[self.lang])
+        both = mix(of(self.names)[self.code] + mix(of(self.langs))[self.lang])
+        return (both >> np.uint64(32)).astype(np.uint32) & ~np.uint32(1) | self.linked
+
+
+class _Hashed:
+    """The words of a batch of dictionary rows by their stored hashes."""
 
-    def phrases(self, hashes: np.ndarray, n: int) -> np.ndarray:
-        """The hash of the ``n`` words from each word on (past the end: of fewer)."""
-        out = hashes.copy()
-        for j in range(1, min(n, len(out))):
-            out[:len(out) - j] = mix(out[:len(out) - j] * _STEP + hashes[j:])
+    def __init__(self, b: pa.RecordBatch):
+        own, freq, hashes = (b.column(b.schema.get_field_index(c)) for c in ("own", "freq", "hashes"))
+        data, bounds = text_bytes(hashes)
+        bounds = bounds // 4
+        size = np.diff(bounds)
+        word = data.view(np.uint32)
+        self.hash = (word >> np.uint32(1)).astype(np.uint64)
+        self.linked = (word & np.uint32(1)).astype(bool)
+        self.starts = np.arange(len(word)) < np.repeat(bounds[:-1] + own.to_numpy(zero_copy_only=False), size)
+        self.weight = np.repeat(freq.to_numpy(zero_copy_only=False), size)
+
+    def phrases(self, at: np.ndarray, n: int) -> np.ndarray:
+        """The hashes of the ``n`` words from each of these words on."""
+        out = mix(self.hash[at])
+        for j in range(1, n):
+            out = mix(out * _STEP + self.hash[at + j])
+        return out
+
+    def among(self, may: np.ndarray, n: int, table: BitTable) -> np.ndarray:
+        """Which of the words ``may`` begin a phrase of ``n`` words that is in the table."""
+        at = np.flatnonzero(may)
+        out = np.zeros(len(may), dtype=bool)
+        out[at[table.has(self.phrases(at, n))]] = True
         return out
 
 
@@ -189,12 +234,19 @@ def _at(mask: np.ndarray, j: int) -> np.ndarray:
     return out
 
 
-def _sums(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``(distinct keys, where each stands first, exact sum of its weights)``."""
-    order = np.argsort(keys, kind="stable")
+def _sums(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(distinct keys, exact sum of their weights)``; keys that weigh 1, nearly all there are, are only sorted."""
+    once = np.sort(keys[weight == 1])
+    first = np.flatnonzero(np.diff(once, prepend=~once[:1]))
+    many = np.flatnonzero(weight != 1)
+    if not len(many):
+        return once[first], np.diff(first, append=len(once))
+    keys = np.concatenate((once[first], keys[many]))
+    weight = np.concatenate((np.diff(first, append=len(once)), weight[many]))
+    order = np.argsort(keys)
     keys = keys[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
-    return keys[first], order[first], np.add.reduceat(weight[order], first) if len(first) else np.empty(0, np.int64)
+    first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+    return keys[first], np.add.reduceat(weight[order], first)
 
 
 class BitTable:
@@ -211,7 +263,7 @@ class BitTable:
 def bit_table(hashes: DataFrame, rows: int, most_bits: int) -> BitTable:
     """A table of the column ``h``: at most ``most_bits`` bits come to the driver, merged by Spark first."""
     bits = 1 << 16
-    while bits < 32 * rows and bits < most_bits:
+    while bits < 32 * rows and bits < min(most_bits, 1 << 32):
         bits *= 2
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,92 +281,207 @@ def bit_table(hashes: DataFrame, rows: int, most_bits: int) -> BitTable:
     return BitTable(words, bits)
 
 
-def word_counts(dictionary: DataFrame) -> DataFrame:
-    """``(lang, phrase, h, f)``: every word's exact count, with its hash."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "words", 4 << 20):
-            w = _Words(b)
-            own = np.flatnonzero(w.starts)
-            _, first, total = _sums(w.lang[own] * len(w.names) + w.code[own], w.weight[own])
-            at = own[first]
+def _dealt(size: int, keys: np.ndarray, weight: np.ndarray, buckets: int, most: int) -> Iterator[pa.RecordBatch]:
+    """One row per bucket for the hashes that occur once here, one for the others with their counts up to ``most``."""
+    placed = (keys >> np.uint64(32)) % np.uint64(buckets) << np.uint64(32) | keys & np.uint64(0xFFFFFFFF)
+    placed, total = _sums(placed, weight)
+    for some in (total == 1, total != 1):
+        here, counts = placed[some], np.minimum(total[some], most).astype(np.uint32)
+        bounds = np.searchsorted(here, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+        used = np.flatnonzero(np.diff(bounds))
+        if len(used):
+            bounds = np.append(bounds[used], len(here))
+            hashes = binary_array(here.astype(np.uint32), bounds)
             yield pa.RecordBatch.from_arrays(
-                [w.langs.take(pa.array(w.lang[at])), w.names.take(pa.array(w.code[at])),
-                 pa.array(w.hashes()[at].view(np.int64)), pa.array(total)], ["lang", "phrase", "h", "f"])
+                [pa.array(used.astype(np.int32)), pa.array(np.full(len(used), size, np.int32)), hashes,
+                 binary_array(counts, bounds) if counts[0] > 1 else pa.nulls(len(used), pa.binary())],
+                ["bucket", "size", "hashes", "counts"])
 
-    return (dictionary.mapInArrow(count, "lang string, phrase string, h long, f long")
-            .groupBy("lang", "phrase").agg(F.first("h").alias("h"), F.sum("f").alias("f")))
 
+def hashed_counts(dictionary: DataFrame, lengths: list[int], part: int, table: BitTable | None, min_count: int,
+                  buckets: int) -> DataFrame:
+    """``(size, h)`` of the phrases of these lengths whose hash reaches ``min_count``; ``h`` is its lower half.
 
-def _where(w: _Words, hashes: np.ndarray, n: int, part: int, table: BitTable) -> np.ndarray:
-    """Words where a phrase of ``n`` starts whose phrases of ``part`` words are all in the table."""
-    mask = w.starts.copy()
-    for j in range(n - 1):
-        mask &= _at(w.linked, j)
-    known = table.has(w.phrases(hashes, part))
-    for j in range(n - part + 1):
-        mask &= _at(known, j)
-    return np.flatnonzero(mask)
-
-
-def hashed_counts(dictionary: DataFrame, lengths: list[int], part: int, table: BitTable, min_count: int) -> DataFrame:
-    """``(size, h)`` of the phrases of these lengths whose hash reaches ``min_count``."""
+    Only phrases whose parts of ``part`` words are all in the table count.  Hashes travel as sorted
+    arrays per bucket, in which they are 32 bits; phrases that share bucket and bits are one.
+    """
     shared = dictionary.sparkSession.sparkContext.broadcast(table)
+    most = min(min_count, (1 << 32) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "words", 4 << 20):
-            w = _Words(b)
-            hashes = w.hashes()
+        worker_state()
+        kept: dict[int, list] = {n: [] for n in lengths}
+        held = 0
+        for b in batches:
+            w = _Hashed(b)
+            known, here = None, w.starts.copy()
+            if shared.value is not None:
+                may = np.ones(len(here), dtype=bool)
+                for j in range(part - 1):
+                    may &= _at(w.linked, j)
+                known = w.among(may, part, shared.value)
+            links = parts = 0  # how many of each are in ``here``
             for n in lengths:
-                at = _where(w, hashes, n, part, shared.value)
-                keys, _, total = _sums(w.phrases(hashes, n)[at], w.weight[at])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), n, np.int32)),
-                                                  pa.array(keys.view(np.int64)), pa.array(total)], ["size", "h", "f"])
-
-    return materialize(dictionary.mapInArrow(count, "size int, h long, f long").groupBy("size", "h")
-                       .agg(F.sum("f").alias("f")).where(F.col("f") >= min_count).select("size", "h"), "phrase-hashes")
-
-
-def phrase_counts(dictionary: DataFrame, tables: dict[int, BitTable], min_count: int) -> DataFrame:
-    """``(lang, phrase, f)``: exact counts of all phrases of two words or more that reach ``min_count``."""
+                for j in range(links, n - 1):
+                    here &= _at(w.linked, j)
+                links = n - 1
+                if known is not None:
+                    for j in range(parts, n - part + 1):
+                        here &= _at(known, j)
+                    parts = n - part + 1
+                at = np.flatnonzero(here)
+                kept[n].append((w.phrases(at, n), w.weight[at]))
+                held += len(at)
+            if held > HELD:
+                yield from flushed(kept)
+                held = 0
+        yield from flushed(kept)
+        give_back()
+
+    def flushed(kept: dict[int, list]) -> Iterator[pa.RecordBatch]:
+        for n, found in kept.items():
+            if found:
+                keys, weight = (np.concatenate(x) for x in zip(*found, strict=True))
+                found.clear()
+                if len(keys):
+                    yield from _dealt(n, keys, weight, buckets, most)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
+        found = defaultdict(list)
+        for b in batches:
+            for bucket, size, hashes, counts in zip(*(c.to_pylist() for c in b.columns[:2]), *b.columns[2:], strict=True):
+                found[bucket, size].append((np.frombuffer(hashes.as_buffer(), np.uint32),
+                                            np.frombuffer(counts.as_buffer(), np.uint32) if counts.is_valid else None))
+        for (_, size), parts in found.items():
+            packed = np.concatenate([h.astype(np.uint64) << np.uint64(32) | (np.uint64(1) if c is None else c)
+                                     for h, c in parts])
+            packed.sort()
+            keys = (packed >> np.uint64(32)).astype(np.uint32)
+            first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]))
+            often = keys[first][np.add.reduceat(packed & np.uint64(0xFFFFFFFF), first) >= most]
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(often), size, np.int32)),
+                                              pa.array(often.astype(np.int64))], ["size", "h"])
+        found.clear()
+        give_back()
+
+    return materialize(dictionary.select("own", "freq", "hashes").mapInArrow(count, _HASHES)
+                       .repartitionById(buckets, F.col("bucket")).mapInArrow(merge, "size int, h long"), "phrase-hashes")
+
+
+def _exact(w: _Words, at: np.ndarray, n: int, hashes: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(where each phrase stands, its exact count)`` of the phrases of ``n`` words at these words."""
+    space = len(w.langs) * len(w.names)
+    if n == 1 and space <= 4 * len(w.code):
+        key = w.lang[at].astype(np.int64) * len(w.names) + w.code[at]
+        total, place = np.zeros(space, dtype=np.int64), np.zeros(space, dtype=np.int64)
+        np.add.at(total, key, weight)
+        place[key] = at
+        found = np.flatnonzero(total)
+        return place[found], total[found]
+    order = np.argsort(hashes)
+    new = np.diff(hashes[order], prepend=~hashes[order[:1]]) != 0
+    first = np.flatnonzero(new)
+    # equal hashes, equal words?
+    of = at[order]
+    like = of[first][np.cumsum(new) - 1]
+    if any((w.code[of + j] != w.code[like + j]).any() for j in range(n)) or (w.lang[of] != w.lang[like]).any():
+        key = w.lang[at].astype(np.int64)
+        for j in range(n):  # one word more, made dense each time
+            key = np.unique(key, return_inverse=True)[1] * len(w.names) + w.code[at + j]
+        order = np.argsort(key)
+        first = np.flatnonzero(np.diff(key[order], prepend=~key[order[:1]]))
+    return at[order[first]], np.add.reduceat(weight[order], first)
+
+
+def joined(batches: Iterator[pa.RecordBatch], text: str, min_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Record batches put together until they hold so much text."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        held.append(b)
+        if sum(x.column(x.schema.get_field_index(text)).nbytes for x in held) >= min_bytes:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def phrase_counts(dictionary: DataFrame, tables: dict[int, BitTable], min_count: int, buckets: int) -> DataFrame:
+    """``(lang, phrase, f)``: exact counts of all words and phrases that reach ``min_count``.
+
+    Counts are added up in the task, and travel as one record batch per bucket of hashes.
+    """
     shared = dictionary.sparkSession.sparkContext.broadcast(tables)
+    schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "words", 4 << 20):
-            w = _Words(b)
-            hashes = w.hashes()
-            for n, table in shared.value.items():
-                at = _where(w, hashes, n, n, table)
-                # exact keys: the code of the first words, then one word more, made dense each time
-                key = w.lang[at] * len(w.names) + w.code[at]
-                for j in range(1, n):
-                    key = np.unique(key, return_inverse=True)[1] * len(w.names) + w.code[at + j]
-                _, first, total = _sums(key, w.weight[at])
-                at = at[first]
+        kept: list[pa.RecordBatch] = []
+        for b in slices(joined(batches, "words", 8 << 20), "words", 16 << 20):
+            w, h = _Words(b), _Hashed(b)
+            found = None
+            for n in range(1, max(shared.value, default=0) + 1):
+                if n not in shared.value:
+                    break
+                # a phrase's parts are as frequent as it is
+                may = np.ones(len(w.code), dtype=bool) if found is None else found & _at(found, 1) & _at(w.linked, n - 2)
+                found = h.among(may, n, shared.value[n])
+                at = np.flatnonzero(found & h.starts)
+                if not len(at):
+                    continue
+                at, total = _exact(w, at, n, h.phrases(at, n), h.weight[at])
                 parts = [w.names.take(pa.array(w.code[at + j])) for j in range(n)]
-                yield pa.RecordBatch.from_arrays(
-                    [w.langs.take(pa.array(w.lang[at])), pc.binary_join_element_wise(*parts, " "),
-                     pa.array(total)], ["lang", "phrase", "f"])
-
-    return (dictionary.mapInArrow(count, "lang string, phrase string, f long").groupBy("lang", "phrase")
-            .agg(F.sum("f").alias("f")).where(F.col("f") >= min_count))
+                bucket = (h.phrases(at, n) >> np.uint64(32)) % np.uint64(buckets)
+                kept.append(pa.RecordBatch.from_arrays(
+                    [pa.array(bucket.astype(np.int32)), w.langs.take(pa.array(w.lang[at])),
+                     pc.binary_join_element_wise(*parts, " "), pa.array(total)], ["bucket", *schema.names]))
+            if sum(x.num_rows for x in kept) > HELD:
+                yield from dealt(kept)
+        yield from dealt(kept)
+
+    def dealt(kept: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if not kept:
+            return
+        rows = added(pa.Table.from_batches(kept), ["bucket", "lang", "phrase"]).sort_by("bucket").combine_chunks()
+        kept.clear()
+        used, first = np.unique(rows["bucket"].to_numpy(), return_index=True)
+        rows = rows.select(schema.names).to_batches()[0]
+        parts = [rows.slice(i, j - i).serialize().to_pybytes()
+                 for i, j in zip(first.tolist(), [*first[1:].tolist(), rows.num_rows], strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(parts, pa.binary())], ["bucket", "rows"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state()
+        parts = [pa.ipc.read_record_batch(rows.as_buffer(), schema) for b in batches for rows in b.column(1)]
+        if parts:
+            rows = added(pa.Table.from_batches(parts), ["lang", "phrase"])
+            del parts
+            yield from rows.filter(pc.greater_equal(rows["f"], min_count)).to_batches(max_chunksize=50_000)
+            del rows
+        give_back()
+
+    def added(rows: pa.Table, keys: list[str]) -> pa.Table:
+        return (rows.group_by(keys, use_threads=False).aggregate([("f", "sum")]).rename_columns([*keys, "f"]))
+
+    return (dictionary.mapInArrow(count, "bucket int, rows binary").repartitionById(buckets, F.col("bucket"))
+            .mapInArrow(merge, "lang string, phrase string, f long"))
 
 
 def frequent_phrases(dictionary: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT,
                      filter_bits: int = FILTER_BITS) -> DataFrame:
     """``(lang, phrase, f)`` of all words and phrases with at least ``min_count`` occurrences."""
-    words = materialize(word_counts(dictionary).where(F.col("f") >= min_count), "phrase-words")
-    singles = words.select("lang", "phrase", "f")
-    if max_words < 2:
-        return singles
-    table = bit_table(words, words.count(), filter_bits)
-    pairs = hashed_counts(dictionary, [2], 1, table, min_count)
-    tables = {2: bit_table(pairs, pairs.count(), filter_bits)}
-    if max_words > 2:
-        longer = hashed_counts(dictionary, list(range(3, max_words + 1)), 2, tables[2], min_count)
-        rows = {r["size"]: r["count"] for r in longer.groupBy("size").count().collect()}
-        tables |= {n: bit_table(longer.where(F.col("size") == n), rows[n], filter_bits) for n in sorted(rows)}
-    return materialize(singles.unionByName(phrase_counts(dictionary, tables, min_count)), "phrases")
+    words = dictionary.agg(F.sum(F.col("own").cast("long"))).first()[0] or 0
+    partitions = shuffle_partitions(dictionary.sparkSession)
+
+    def counted(lengths: list[int], part: int, table: BitTable | None) -> dict[int, BitTable]:
+        hashes = hashed_counts(dictionary, lengths, part, table, min_count, max(partitions, -(-words // HELD)))
+        rows = {r["size"]: r["count"] for r in hashes.groupBy("size").count().collect()}
+        return {n: bit_table(hashes.where(F.col("size") == n), rows[n], filter_bits) for n in sorted(rows)}
+
+    tables = counted([1], 1, None)
+    for lengths, part in (([2], 1), (list(range(3, max_words + 1)), 2)):
+        if lengths and lengths[0] <= max_words and part in tables:
+            tables |= counted(lengths, part, tables[part])
+    return materialize(phrase_counts(dictionary, tables, min_count, max(partitions, -(-words // (4 * HELD)))), "phrases")
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
