@@ -103,6 +103,7 @@ def test_equal_hashes_of_other_words(spark, monkeypatch):
     rows = corpus(11)
     docs = spark.createDataFrame(rows, "text string, lang string")
     monkeypatch.setattr(collocations._Hashed, "phrases", lambda self, at, n: np.full(len(at), 7, dtype=np.uint64))
+    monkeypatch.setattr(collocations._Hashed, "among", lambda self, may, n, table: may.copy())
     assert mined(docs, min_count=4) == literal(rows, 4)
 
 
@@ -113,7 +114,7 @@ def test_counting_does_not_move_a_row_for_each_phrase(spark, monkeypatch):
     monkeypatch.setattr(collocations, "materialize", lambda df, name: plans.setdefault(name, []).append(df) or whole(df, name))
     rows = corpus(5)
     assert mined(spark.createDataFrame(rows, "text string, lang string"), min_count=3) == literal(rows, 3)
-    counts = [df._jdf.queryExecution().executedPlan().toString() for name in ("phrase-hashes", "phrases") for df in plans[name]]
+    counts = [df._jdf.queryExecution().executedPlan().toString() for name in ("phrase-words", "phrase-hashes", "phrases") for df in plans[name]]
     assert len(counts) == 4
     assert not any("Aggregate" in plan for plan in counts)
 

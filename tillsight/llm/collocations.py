@@ -20,9 +20,9 @@ Counting over the dictionary:
    a bit set by another phrase lets a rare phrase through, it never loses one;
 3. the phrases that are left, exactly, by their words.
 
-So rare phrases, nearly all there are, never travel as text.  Every count is combined in the batch
-and in the task before it is shuffled, so a word or phrase that fills a third of a corpus is
-a few rows.  All sums and products are exact (decimals of 38 digits).
+So rare phrases, nearly all there are, never travel as text.  Every count is combined in the task
+before it is shuffled, so a word or phrase that fills a third of a corpus is a few entries; hashes
+travel as sorted arrays and exact counts as record batches, one row per bucket, not per entry.  All sums and products are exact (decimals of 38 digits).
 
 Null text is empty, a null language counts as ``und``.  Repeated rows all count, the id is not
 read, nor are other columns.  Ties in score and count go by the phrase's UTF-8 bytes.  An empty table, or one without a frequent phrase, gives no rows.
@@ -31,7 +31,7 @@ read, nor are other columns.  Ties in score and count go by the phrase's UTF-8 b
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -187,17 +187,20 @@ class _Words:
 
     def hashes(self) -> np.ndarray:
         """For each word 31 bits of its hash in its language, above the bit that says whether it is linked."""
-        def of(names: pa.Array) -> np.ndarray:
-            data, bounds = text_bytes(names)
-            size = np.diff(bounds)
-            out = np.zeros(len(size), dtype=np.uint64)
-            some = size > 0
-            out[some] = _hashes(data, bounds[:-1][some], size[some])
-            return out
-        both = mix(of(self.names)[self.code] + mix(of(self.langs))[self.lang])
+        both = mix(_whole(self.names)[self.code] + mix(_whole(self.langs))[self.lang])
         return (both >> np.uint64(32)).astype(np.uint32) & ~np.uint32(1) | self.linked
 
 
+def _whole(names: pa.Array) -> np.ndarray:
+    """A hash of each string."""
+    data, bounds = text_bytes(names)
+    size = np.diff(bounds)
+    out = np.zeros(len(size), dtype=np.uint64)
+    some = size > 0
+    out[some] = _hashes(data, bounds[:-1][some], size[some])
+    return out
+
+
 class _Hashed:
     """The words of a batch of dictionary rows by their stored hashes."""
 
@@ -298,7 +301,7 @@ def _dealt(size: int, keys: np.ndarray, weight: np.ndarray, buckets: int, most:
                 ["bucket", "size", "hashes", "counts"])
 
 
-def hashed_counts(dictionary: DataFrame, lengths: list[int], part: int, table: BitTable | None, min_count: int,
+def hashed_counts(dictionary: DataFrame, lengths: list[int], part: int, table: BitTable, min_count: int,
                   buckets: int) -> DataFrame:
     """``(size, h)`` of the phrases of these lengths whose hash reaches ``min_count``; ``h`` is its lower half.
 
@@ -314,21 +317,18 @@ def hashed_counts(dictionary: DataFrame, lengths: list[int], part: int, table: B
         held = 0
         for b in batches:
             w = _Hashed(b)
-            known, here = None, w.starts.copy()
-            if shared.value is not None:
-                may = np.ones(len(here), dtype=bool)
-                for j in range(part - 1):
-                    may &= _at(w.linked, j)
-                known = w.among(may, part, shared.value)
+            may, here = np.ones(len(w.hash), dtype=bool), w.starts.copy()
+            for j in range(part - 1):
+                may &= _at(w.linked, j)
+            known = w.among(may, part, shared.value)
             links = parts = 0  # how many of each are in ``here``
             for n in lengths:
                 for j in range(links, n - 1):
                     here &= _at(w.linked, j)
                 links = n - 1
-                if known is not None:
-                    for j in range(parts, n - part + 1):
-                        here &= _at(known, j)
-                    parts = n - part + 1
+                for j in range(parts, n - part + 1):
+                    here &= _at(known, j)
+                parts = n - part + 1
                 at = np.flatnonzero(here)
                 kept[n].append((w.phrases(at, n), w.weight[at]))
                 held += len(at)
@@ -406,26 +406,19 @@ def joined(batches: Iterator[pa.RecordBatch], text: str, min_bytes: int) -> Iter
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def phrase_counts(dictionary: DataFrame, tables: dict[int, BitTable], min_count: int, buckets: int) -> DataFrame:
-    """``(lang, phrase, f)``: exact counts of all words and phrases that reach ``min_count``.
+def exact_counts(dictionary: DataFrame, found: Callable[[_Words, _Hashed], Iterator[tuple[int, np.ndarray]]],
+                 min_count: int, buckets: int) -> DataFrame:
+    """``(lang, phrase, f)``: exact counts, from ``min_count`` on, of phrases of so many words found at these words.
 
     Counts are added up in the task, and travel as one record batch per bucket of hashes.
     """
-    shared = dictionary.sparkSession.sparkContext.broadcast(tables)
     schema = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("f", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pa.RecordBatch] = []
         for b in slices(joined(batches, "words", 8 << 20), "words", 16 << 20):
             w, h = _Words(b), _Hashed(b)
-            found = None
-            for n in range(1, max(shared.value, default=0) + 1):
-                if n not in shared.value:
-                    break
-                # a phrase's parts are as frequent as it is
-                may = np.ones(len(w.code), dtype=bool) if found is None else found & _at(found, 1) & _at(w.linked, n - 2)
-                found = h.among(may, n, shared.value[n])
-                at = np.flatnonzero(found & h.starts)
+            for n, at in found(w, h):
                 if not len(at):
                     continue
                 at, total = _exact(w, at, n, h.phrases(at, n), h.weight[at])
@@ -466,22 +459,53 @@ def phrase_counts(dictionary: DataFrame, tables: dict[int, BitTable], min_count:
             .mapInArrow(merge, "lang string, phrase string, f long"))
 
 
+def word_counts(dictionary: DataFrame, min_count: int, buckets: int) -> DataFrame:
+    """``(lang, phrase, h, f)``: the exact counts of all words that reach ``min_count``, with their hashes."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = mix(mix(_whole(b.column(1)) + mix(_whole(b.column(0)))) >> np.uint64(33))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(h.view(np.int64)), b.column(2)],
+                                             ["lang", "phrase", "h", "f"])
+
+    counts = exact_counts(dictionary, lambda w, h: iter([(1, np.flatnonzero(h.starts))]), min_count, buckets)
+    return counts.mapInArrow(hashed, "lang string, phrase string, h long, f long")
+
+
+def phrase_counts(dictionary: DataFrame, tables: dict[int, BitTable], min_count: int, buckets: int) -> DataFrame:
+    """``(lang, phrase, f)``: exact counts of all phrases of two words or more that reach ``min_count``."""
+    shared = dictionary.sparkSession.sparkContext.broadcast(tables)
+
+    def found(w: _Words, h: _Hashed) -> Iterator[tuple[int, np.ndarray]]:
+        may = h.linked
+        for n in range(2, max(shared.value) + 1):
+            if n not in shared.value:
+                break
+            known = h.among(may, n, shared.value[n])
+            yield n, np.flatnonzero(known & h.starts)
+            may = known & _at(known, 1) & _at(h.linked, n - 1)  # a phrase's parts are as frequent as it is
+
+    return exact_counts(dictionary, found, min_count, buckets)
+
+
 def frequent_phrases(dictionary: DataFrame, max_words: int = MAX_WORDS, min_count: int = MIN_COUNT,
                      filter_bits: int = FILTER_BITS) -> DataFrame:
     """``(lang, phrase, f)`` of all words and phrases with at least ``min_count`` occurrences."""
-    words = dictionary.agg(F.sum(F.col("own").cast("long"))).first()[0] or 0
-    partitions = shuffle_partitions(dictionary.sparkSession)
-
-    def counted(lengths: list[int], part: int, table: BitTable | None) -> dict[int, BitTable]:
-        hashes = hashed_counts(dictionary, lengths, part, table, min_count, max(partitions, -(-words // HELD)))
-        rows = {r["size"]: r["count"] for r in hashes.groupBy("size").count().collect()}
-        return {n: bit_table(hashes.where(F.col("size") == n), rows[n], filter_bits) for n in sorted(rows)}
-
-    tables = counted([1], 1, None)
-    for lengths, part in (([2], 1), (list(range(3, max_words + 1)), 2)):
-        if lengths and lengths[0] <= max_words and part in tables:
-            tables |= counted(lengths, part, tables[part])
-    return materialize(phrase_counts(dictionary, tables, min_count, max(partitions, -(-words // (4 * HELD)))), "phrases")
+    held = dictionary.agg(F.sum(F.col("own").cast("long"))).first()[0] or 0
+    least = shuffle_partitions(dictionary.sparkSession)
+    many, few = max(least, -(-held // HELD)), max(least, -(-held // (4 * HELD)))
+    words = materialize(word_counts(dictionary, min_count, few), "phrase-words")
+    singles = words.select("lang", "phrase", "f")
+    if max_words < 2:
+        return singles
+    table = bit_table(words, words.count(), filter_bits)
+    pairs = hashed_counts(dictionary, [2], 1, table, min_count, many)
+    tables = {2: bit_table(pairs, pairs.count(), filter_bits)}
+    if max_words > 2:
+        longer = hashed_counts(dictionary, list(range(3, max_words + 1)), 2, tables[2], min_count, many)
+        rows = {r["size"]: r["count"] for r in longer.groupBy("size").count().collect()}
+        tables |= {n: bit_table(longer.where(F.col("size") == n), rows[n], filter_bits) for n in sorted(rows)}
+    return materialize(singles.unionByName(phrase_counts(dictionary, tables, min_count, few)), "phrases")
 
 
 def scored(phrases: DataFrame, totals: DataFrame) -> DataFrame:
